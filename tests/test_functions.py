@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from vidlake.functions.dates import date_parts, day_label, days_before, lenient_date, path_parts
+from vidlake.functions.numbers import at_least_zero, at_most, lenient_long, thousands
+from vidlake.functions.text import mentions
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first().x
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [("5", 5), ("-3", -3), (" 7 ", 7), ("n/a", None), ("12.7", None), ("", None), (None, None)],
+)
+def test_lenient_long(spark, text, number):
+    assert one(spark, lenient_long(F.lit(text).cast("string"))) == number
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+@pytest.mark.parametrize(
+    "text, date",
+    [
+        ("2024-01-05T02:30:00Z", dt.date(2024, 1, 5)),
+        ("2024-01-05T02:30:00.000Z", dt.date(2024, 1, 5)),
+        ("2024-01-05T23:30:00-05:00", dt.date(2024, 1, 5)),
+        ("2024-01-05", dt.date(2024, 1, 5)),
+        ("17.14.11", None),
+        ("junk", None),
+        (None, None),
+    ],
+)
+def test_lenient_date_keeps_the_literal_day(spark, zone, text, date):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert one(spark, lenient_date(F.lit(text).cast("string"))) == date
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_clamps_keep_null(spark):
+    null = F.lit(None).cast("bigint")
+    five, nine = F.lit(5).cast("bigint"), F.lit(9).cast("bigint")
+    assert one(spark, at_least_zero(F.lit(-1).cast("bigint"))) == 0
+    assert one(spark, at_least_zero(five)) == 5
+    assert one(spark, at_least_zero(null)) is None
+    assert one(spark, at_most(nine, five)) == 5
+    assert one(spark, at_most(five, nine)) == 5
+    assert one(spark, at_most(null, five)) is None
+    assert one(spark, at_most(nine, null)) == 9
+    clamped = spark.range(1).select(at_least_zero(F.col("id")).alias("x"))
+    assert dict(clamped.dtypes)["x"] == "bigint"
+
+
+def test_date_pieces(spark):
+    day = F.lit(dt.date(2024, 1, 5))
+    frame = spark.range(1).select(*(c.alias(n) for n, c in date_parts(day).items()))
+    assert tuple(frame.first()) == (2024, 1, 5)
+    assert frame.select(day_label().alias("x")).first().x == "2024-1-5"
+    padded = spark.range(1).select(*(c.alias(n) for n, c in path_parts(day).items()))
+    assert tuple(padded.first()) == ("2024", "01", "05")
+    nothing = spark.sql("SELECT 2024 AS year, CAST(NULL AS INT) AS month, 5 AS day")
+    assert nothing.select(day_label().alias("x")).first().x is None
+    assert one(spark, days_before(dt.date(2024, 3, 1), 50)) == dt.date(2024, 1, 11)
+
+
+def test_thousands(spark):
+    assert one(spark, thousands(F.lit(1234567).cast("bigint"))) == "1,234,567"
+    assert one(spark, thousands(F.lit(0).cast("bigint"))) == "0"
+
+
+@pytest.mark.parametrize(
+    "text, hit",
+    [
+        ("AI", True),
+        ("the ai.", True),
+        ("(Ai)", True),
+        ("line\nAI", True),
+        ("AI\n", True),
+        ("maine", False),
+        ("AI2", False),
+        ("_AI", False),
+        ("éAI", False),
+        ("AIé", False),
+        ("", False),
+        (None, False),
+    ],
+)
+def test_mentions_whole_words(spark, text, hit):
+    frame = spark.createDataFrame([(text, None)], "title string, description string")
+    assert frame.select(mentions("AI", ["title", "description"]).alias("x")).first().x is hit
+    swapped = frame.select(F.col("description").alias("title"), F.col("title").alias("description"))
+    assert swapped.select(mentions("AI", ["title", "description"]).alias("x")).first().x is hit
+
+
+def test_keyword_is_taken_literally(spark):
+    frame = spark.createDataFrame([("c++ rocks",), ("ccc rocks",)], "title string")
+    found = [row.x for row in frame.select(mentions("C++", ["title"]).alias("x")).collect()]
+    assert found == [True, False]

@@ -1,0 +1,168 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from vidlake.schemas import CSV_NAMES
+from vidlake.sources import readers, writers
+
+RECORD = {
+    "video_id": "v1",
+    "title": "é",
+    "channel_id": "ch",
+    "channel_title": "c",
+    "published_date": "2024-01-05T00:00:00Z",
+    "views": 5,
+    "likes": 1,
+    "comments": 0,
+    "extraction_date": "2024-02-01",
+}
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+
+
+def write_array(path, *ids):
+    write(path, json.dumps([{**RECORD, "video_id": i} for i in ids], indent=4, ensure_ascii=False))
+
+
+def records(spark, *changes):
+    rows = [{**RECORD, **change} for change in changes]
+    schema = ", ".join(
+        f"{c} {'bigint' if c in ('views', 'likes', 'comments') else 'string'}" for c in RECORD
+    )
+    return spark.createDataFrame([tuple(r.values()) for r in rows], schema)
+
+
+def test_csv_goes_by_header_name(spark, tmp_path):
+    header = "video_id,trending_date,tags,title,channel_title,category_id,publish_time"
+    header += ",views,likes,dislikes,comment_count,description\n"
+    first = 'v1,17.14.11,"x|y","he said ""hi"", ok",c,10,2017-11-13T00:00:00Z,5,1,0,2,"a\nb, ""c"""\n'
+    write(tmp_path / "in" / "a.csv", header + first)
+    write(tmp_path / "in" / "deeper" / "b.csv", header + "v2,17.14.11,,t,c,10,x,n/a,1,0,2,\n")
+    frame = readers.read_csv(spark, str(tmp_path / "in"))
+    assert set(dict(frame.dtypes).values()) == {"string"} and set(CSV_NAMES) <= set(frame.columns)
+    got = {r.video_id: r for r in frame.collect()}
+    assert got["v1"].title == 'he said "hi", ok' and got["v1"].description == 'a\nb, "c"'
+    assert (got["v1"].views, got["v1"].comment_count) == ("5", "2")
+    assert got["v2"].views == "n/a" and got["v2"].description is None
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    write(tmp_path / "a.csv", "video_id,views\nv1,5\n")
+    write(tmp_path / "b.csv", "views,video_id\n5,v1\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_without_line_breaks_splits(spark, tmp_path):
+    write(tmp_path / "a.csv", "video_id,views\nv1,5\nv2,6\n")
+    frame = readers.read_csv(spark, str(tmp_path), multi_line=False)
+    assert sorted(r.video_id for r in frame.collect()) == ["v1", "v2"]
+
+
+def test_bronze_reads_both_layouts_and_quarantines(spark, tmp_path):
+    write_array(tmp_path / "year=2024/month=02/day=01/a.json", "v1", "v2")
+    write_array(tmp_path / "chart/date=2024-02-02/b.json", "v3")
+    whole = json.dumps([RECORD, RECORD], indent=4)
+    write(tmp_path / "chart/date=2024-02-03/cut.json", whole[: len(whole) // 2])
+    landed = readers.read_bronze(spark, str(tmp_path))
+    good = readers.readable(landed).collect()
+    assert sorted(r.video_id for r in good) == ["v1", "v2", "v3"]
+    assert good[0].title == "é" and good[0].views == "5" and good[0].description is None
+    bad = readers.quarantined(landed).collect()
+    assert len(bad) == 1 and bad[0].file.endswith("cut.json") and bad[0].text.startswith("[")
+    assert readers.quarantined(landed).count() == 1
+
+
+def test_bronze_lines(spark, tmp_path):
+    write(tmp_path / "a.json", json.dumps(RECORD) + "\n{broken\n" + json.dumps(RECORD) + "\n")
+    landed = readers.read_bronze(spark, str(tmp_path), arrays=False)
+    assert readers.readable(landed).count() == 2
+    assert [r.text for r in readers.quarantined(landed).collect()] == ["{broken"]
+
+
+def test_responses_from_files(spark, tmp_path):
+    write(tmp_path / "d" / "1.json", json.dumps({"items": [{"id": "a"}]}, indent=2))
+    write(tmp_path / "d" / "2.json", json.dumps({"kind": "x"}, indent=2))
+    assert readers.read_details(spark, str(tmp_path / "d")).count() == 2
+    write(tmp_path / "s" / "1.json", json.dumps({"items": [{"id": {"videoId": "a"}}]}, indent=2))
+    page = readers.read_search(spark, str(tmp_path / "s")).first()
+    assert page["items"][0].id.videoId == "a" and page.nextPageToken is None
+
+
+def test_landing_replaces_only_its_days(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    days = [{"extraction_date": d, "video_id": d} for d in ("2024-02-01", "2024-11-12")]
+    assert writers.land_by_day(records(spark, *days), root).get["records"] == 2
+    assert (tmp_path / "bronze/year=2024/month=02/day=01").is_dir()
+    assert (tmp_path / "bronze/year=2024/month=11/day=12").is_dir()
+    again = records(spark, {"views": 9}, {"views": 10, "video_id": "v2"})
+    writers.land_by_day(again, root)
+    got = readers.readable(readers.read_bronze(spark, root, arrays=False)).collect()
+    assert {(r.video_id, r.views) for r in got} == {("v1", "9"), ("v2", "10"), ("2024-11-12", "5")}
+
+
+def test_landing_by_date_escapes_text(spark, tmp_path):
+    root = str(tmp_path)
+    writers.land_by_date(records(spark, {}), root, "chart")
+    writers.land_by_date(records(spark, {"title": "è"}), root, "chart")
+    files = list((tmp_path / "chart/date=2024-02-01").glob("*.json"))
+    assert len(files) == 1 and "\\u00E8" in files[0].read_text()
+    writers.land_by_day(records(spark, {}), str(tmp_path / "raw"))
+    raw = next((tmp_path / "raw").rglob("*.json")).read_text(encoding="utf-8")
+    assert "é" in raw
+
+
+def test_append_adds_and_registers_partitions(spark, tmp_path):
+    rows = spark.range(4).select("id", *(F.lit(n).alias(c) for c, n in (("year", 2024), ("month", 1))))
+    table = "vidlake_append_test"
+    for day in (1, 2):
+        part = rows.withColumn("day", F.lit(day))
+        assert writers.append_table(part, str(tmp_path / "t"), table).get["records"] == 4
+    try:
+        assert spark.table(table).count() == 8
+        partitions = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        assert partitions == {"year=2024/month=1/day=1", "year=2024/month=1/day=2"}
+        assert spark.sql(f"SELECT count(*) n FROM {table} WHERE day = 2").first().n == 4
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    writers.append_table(rows.withColumn("day", F.lit(3)), str(tmp_path / "t"))
+    assert readers.read_table(spark, str(tmp_path / "t")).count() == 12
+    assert next((tmp_path / "t").rglob("*.parquet")).name.endswith(".snappy.parquet")
+
+
+def test_replace_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.replace_table(spark.range(5).withColumn("day", F.lit(1)), path, "day")
+    writers.replace_table(spark.range(3).withColumn("day", F.lit(2)), path, "day")
+    assert {(r.id, r.day) for r in readers.read_table(spark, path).collect()} == {(0, 2), (1, 2), (2, 2)}
+    assert readers.read_table_sql(spark, path).count() == 3
+    assert readers.read_table_sql(spark, path, "max(id) AS top").first().top == 2
+
+
+def test_promote_swaps_and_comes_back(spark, tmp_path):
+    published, staged, old = (str(tmp_path / n) for n in ("gold/t", "stage/t", "stage/old/t"))
+    spark.range(1).write.parquet(published)
+    spark.range(2).write.parquet(staged)
+    writers.promote(spark, staged, published, old)
+    assert spark.read.parquet(published).count() == 2 and spark.read.parquet(old).count() == 1
+    with pytest.raises(OSError):
+        writers.promote(spark, str(tmp_path / "nothing"), published, str(tmp_path / "old2"))
+    assert spark.read.parquet(published).count() == 2
+
+
+def test_run_report(spark, tmp_path):
+    path = str(tmp_path / "t")
+    report = writers.run_report(spark, "stored", path, lambda: writers.replace_table(spark.range(7), path))
+    assert tuple(report.first()) == ("succeeded", "stored", 7, path, None)
+
+    def broken():
+        raise RuntimeError("no disk")
+
+    row = writers.run_report(spark, "stored", path, broken).first()
+    assert (row.outcome, row.records, row.error) == ("failed", None, "no disk")

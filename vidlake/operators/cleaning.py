@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -32,8 +33,9 @@ def trim_text(df: DataFrame, columns: Sequence[str] = TRIMMED) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
-    """Drop rows with a NULL in any required column."""
-    return df.dropna(how="any", subset=list(columns))
+    """Drop rows with a NULL in any required column. One test per column, other
+    than dropna, so that those on stored columns reach the files."""
+    return df.filter(reduce(lambda left, right: left & right, [F.col(c).isNotNull() for c in columns]))
 
 
 def clamp_negative(df: DataFrame) -> DataFrame:
@@ -86,12 +88,13 @@ def clean_videos(
     if published_as not in ("date", "text"):
         raise ValueError("published_as must be 'date' or 'text'")
     as_text = published_as == "text"
-    rows = df.select(*CANONICAL, *(DATE_PARTS if as_text else ())).transform(trim_text)
-    if as_text:
-        rows = rows.transform(drop_incomplete).transform(type_metrics)
-    else:
-        rows = rows.transform(type_metrics).withColumn("published_date", publish_date(rows))
-        rows = rows.transform(drop_incomplete)
+    rows = df.select(*CANONICAL, *(DATE_PARTS if as_text else ()))
+    # Trimming neither makes nor removes a NULL, so NULLs can go first, by tests
+    # on the stored columns.
+    rows = rows.transform(drop_incomplete).transform(trim_text).transform(type_metrics)
+    if not as_text:
+        rows = rows.withColumn("published_date", publish_date(rows))
+        rows = rows.transform(drop_incomplete, ("published_date", *METRICS))
     rows = rows.transform(clamp_negative).transform(clamp_to_views)
     if for_rollups:
         rows = rows.select(*ROLLUP_COLUMNS, *(DATE_PARTS if as_text else ()))

@@ -37,7 +37,9 @@ def lookup_details(
     wanted = distinct_ids(ids, column=column)
     if broadcast_up_to and wanted.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
         return details.join(F.broadcast(wanted), column, "left_semi")
-    return details.join(wanted.hint("merge"), column, "left_semi")
+    # Spark splits a join side only if both come straight from a shuffle. The ids
+    # come from an aggregate, so they are shuffled once more; they are narrow.
+    return details.join(wanted.hint("rebalance").hint("merge"), column, "left_semi")
 
 
 def id_batches(
@@ -65,7 +67,9 @@ def id_batches(
     )
 
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", column)) - 1
-    placed = hashed.withColumn("_place", place).join(F.broadcast(starts), "_bucket")
+    # Every bucket has a start. The left join only keeps Spark from putting a NULL
+    # test into one of the two readings of the ids, which then share a shuffle.
+    placed = hashed.withColumn("_place", place).join(F.broadcast(starts), "_bucket", "left")
     batch = F.floor((F.col("_start") + F.col("_place")) / size).cast("bigint")
     return placed.select(batch.alias("batch"), column)
 

@@ -21,11 +21,16 @@ def _counter(name: str) -> Column:
     return lenient_long(F.coalesce(F.col(f"item.statistics.{name}"), F.lit("0")))
 
 
+def _items(responses: DataFrame, field: Column, name: str) -> DataFrame:
+    """One row per element. An outer explode with the empty ones dropped after:
+    before an inner one Spark tests the array, and parses the JSON again for it."""
+    return responses.select(F.explode_outer(field).alias(name)).filter(F.col(name).isNotNull())
+
+
 def flatten_details(responses: DataFrame, run_date: dt.date) -> DataFrame:
     """One flat record per item of the details responses, stamped with the run
     date. Missing objects give NULL texts and zero counters."""
-    items = responses.select(F.explode("items").alias("item"))
-    records = items.select(
+    records = _items(responses, F.col("items"), "item").select(
         F.col("item.id").alias("video_id"),
         F.col("item.snippet.title").alias("title"),
         F.col("item.snippet.channelId").alias("channel_id"),
@@ -40,4 +45,4 @@ def flatten_details(responses: DataFrame, run_date: dt.date) -> DataFrame:
 
 def search_ids(responses: DataFrame) -> DataFrame:
     """One row per result of the search responses, duplicates included."""
-    return responses.select(F.explode("items.id.videoId").alias("video_id"))
+    return _items(responses, F.col("items.id.videoId"), "video_id")

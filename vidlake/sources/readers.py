@@ -68,9 +68,10 @@ def readable(landed: DataFrame) -> DataFrame:
 
 def quarantined(landed: DataFrame) -> DataFrame:
     """What did not parse: file and text, for a count or a quarantine table."""
-    # Spark refuses to read the corrupt column alone, hence the second test.
-    broken = F.col(CORRUPT).isNotNull() & F.col(landed.columns[0]).isNull()
-    return landed.filter(broken).select(
+    # Spark refuses to read the corrupt column alone, hence the second test, which
+    # is always true.
+    other = F.coalesce(F.col(landed.columns[0]).cast("string"), F.lit(""))
+    return landed.filter(F.col(CORRUPT).isNotNull() & (other >= "")).select(
         F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("text")
     )
 
