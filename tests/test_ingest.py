@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from vidlake.plans.jobs import bronze_to_silver, split_history
 from vidlake.streaming.ingest import ingest, rows_read
 
 RECORD = {
@@ -86,6 +87,37 @@ def test_a_run_that_died_is_repeated_whole(spark, tmp_path):
     assert ids_in(spark, silver) == ["v1", "v2"]
 
 
+def test_backlog_in_steps(spark, tmp_path):
+    bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
+    for n in range(5):
+        land(tmp_path / f"bronze/{n}.json", f"v{n}")
+    query = ingest(spark, silver, progress, bronze_path=bronze, files_per_batch=2)
+    assert rows_read(query) == 5 and query.lastProgress["batchId"] >= 2
+    assert ids_in(spark, silver) == [f"v{n}" for n in range(5)]
+
+
+def test_a_table_has_one_feeder(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    land(tmp_path / "bronze/a.json", "v1")
+    ingest(spark, str(tmp_path / "stream"), str(tmp_path / "p1"), bronze_path=bronze)
+    with pytest.raises(ValueError, match="incremental"):
+        bronze_to_silver(spark, str(tmp_path / "stream"), bronze)
+    bronze_to_silver(spark, str(tmp_path / "batch"), bronze)
+    with pytest.raises(ValueError, match="batch job"):
+        ingest(spark, str(tmp_path / "batch"), str(tmp_path / "p2"), bronze_path=bronze)
+
+
+def test_large_history_goes_through_small_files(spark, tmp_path):
+    land_csv(tmp_path / "csv/a.csv", *(f"v{n}" for n in range(50)))
+    parts = str(tmp_path / "parts")
+    assert split_history(spark, str(tmp_path / "csv"), parts).get["records"] == 50
+    ingest(spark, str(tmp_path / "silver"), str(tmp_path / "p"), csv_path=parts)
+    bronze_to_silver(spark, str(tmp_path / "batch"), csv_path=str(tmp_path / "csv"), split_csv=True)
+    for table in ("silver", "batch"):
+        rows = spark.read.parquet(str(tmp_path / table))
+        assert rows.count() == 50 and {r.title for r in rows.collect()} == {'a, "b"\nc'}
+
+
 def test_no_source(spark, tmp_path):
     with pytest.raises(ValueError):
         ingest(spark, str(tmp_path / "s"), str(tmp_path / "p"))

@@ -151,7 +151,7 @@ def test_promote_swaps_and_comes_back(spark, tmp_path):
     spark.range(2).write.parquet(staged)
     writers.promote(spark, staged, published, old)
     assert spark.read.parquet(published).count() == 2 and spark.read.parquet(old).count() == 1
-    with pytest.raises(OSError):
+    with pytest.raises(Exception, match="cannot move|FileNotFound"):
         writers.promote(spark, str(tmp_path / "nothing"), published, str(tmp_path / "old2"))
     assert spark.read.parquet(published).count() == 2
 
@@ -166,3 +166,41 @@ def test_run_report(spark, tmp_path):
 
     row = writers.run_report(spark, "stored", path, broken).first()
     assert (row.outcome, row.records, row.error) == ("failed", None, "no disk")
+
+
+def csv_text(rows):
+    quoted = (",".join('"' + cell.replace('"', '""') + '"' for cell in row) for row in rows)
+    return "video_id,title,views\n" + "".join(line + "\n" for line in quoted)
+
+
+@pytest.mark.parametrize("block", [16, 40, 1000, 10_000_000])
+def test_split_csv_reads_what_read_csv_reads(spark, tmp_path, block):
+    texts = ["plain", "a\nb", '"', '""\n""', "x,y\n\n\nz", "\n", 'say "hi"\n', "é\nè", "l" * 90 + "\n" * 30]
+    rows = [(f"v{n}", texts[n % len(texts)], str(n)) for n in range(60)]
+    write(tmp_path / "a.csv", csv_text(rows))
+    write(tmp_path / "b.csv", csv_text(rows[:7]).replace("v", "w").replace("wideo_id", "video_id").replace("wiews", "views"))
+    write(tmp_path / "c.csv", "video_id,title,views\n")
+    write(tmp_path / "d.csv", "video_id,title,views\nz1,,5\nz2,t\n\nz3,\"a\nb\",\"\"")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    wanted = sorted(readers.read_csv(spark, str(tmp_path)).collect(), key=repr)
+    spark.conf.set(key, str(block))
+    try:
+        got = sorted(readers.read_split_csv(spark, str(tmp_path)).collect(), key=repr)
+    finally:
+        spark.conf.set(key, before)
+    assert got == wanted and len(got) == 70
+
+
+def test_split_csv_with_carriage_returns(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'video_id,title\r\nv1,"a\r\nb"\r\nv2,c\r\n')
+    (tmp_path / "b.csv").write_bytes(b'video_id,title\nw1,"a\r\nb"\nw2,c\n')
+    wanted = sorted(readers.read_csv(spark, str(tmp_path)).collect())
+    assert sorted(readers.read_split_csv(spark, str(tmp_path)).collect()) == wanted
+
+
+def test_split_csv_refuses_other_headers(spark, tmp_path):
+    write(tmp_path / "a.csv", "video_id,views\nv1,5\n")
+    write(tmp_path / "b.csv", "views,video_id\n5,v1\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        readers.read_split_csv(spark, str(tmp_path)).collect()

@@ -197,6 +197,8 @@ SELECT count(*) AS channels, CAST(coalesce(sum(total_videos), 0) AS BIGINT) AS t
        CAST(coalesce(sum(total_likes), 0) AS BIGINT) AS total_likes FROM channels"""
 _LABEL = "year || '-' || month || '-' || day"
 
+_CORPUS_TEXT = _sql([_HITS], "SELECT * REPLACE (CAST(views AS VARCHAR) AS views) FROM corpus")
+
 ORACLES: dict[str, str] = {
     "apply_mapping": _sql(_SILVER, "SELECT * FROM mapped"),
     "align_union": _sql(
@@ -321,9 +323,8 @@ ORACLES: dict[str, str] = {
     ),
     "json_text": _sql([_BRONZE], "SELECT * FROM bronze"),
     "csv_scan": _sql([_HISTORICAL], "SELECT * FROM historical"),
-    "csv_scan_texts": _sql(
-        [_HITS], "SELECT * REPLACE (CAST(views AS VARCHAR) AS views) FROM corpus"
-    ),
+    "csv_scan_texts": _CORPUS_TEXT,
+    "csv_scan_split": _CORPUS_TEXT,
     "json_scan": _sql([_BRONZE], _BRONZE_TEXT.format(views="views")),
     "parquet_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
     "parquet_sql_scan": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag"

@@ -187,19 +187,20 @@ def _json_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark)
-    _write_csv(historical(spark, sf), path)
+    writers.write_csv(historical(spark, sf), path)
     return readers.read_csv(spark, path)
 
 
 def _csv_texts(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark)
-    _write_csv(corpus(spark, sf), path)
+    writers.write_csv(corpus(spark, sf), path)
     return readers.read_csv(spark, path)
 
 
-def _write_csv(rows: DataFrame, path: str) -> None:
-    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.options(header=True, quote='"', escape='"', **keep).csv(path)
+def _csv_split(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark)
+    writers.write_csv(corpus(spark, sf), path)
+    return readers.read_split_csv(spark, path)
 
 
 def _early(rows: DataFrame) -> DataFrame:
@@ -252,7 +253,7 @@ def _run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def _silver_publish(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark)
-    _write_csv(historical(spark, sf), f"{root}/csv")
+    writers.write_csv(historical(spark, sf), f"{root}/csv")
     name = "silver_" + root.rsplit("-", 1)[1]
     jobs.bronze_to_silver(
         spark,
@@ -357,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "json_text": _json_text,
     "csv_scan": _csv_scan,
     "csv_scan_texts": _csv_texts,
+    "csv_scan_split": _csv_split,
     "json_scan": _json_scan,
     "parquet_scan": _table_scan,
     "parquet_sql_scan": _sql_scan,

@@ -30,6 +30,7 @@ from vidlake.sources.readers import (
     read_csv,
     read_details,
     read_search,
+    read_split_csv,
     readable,
 )
 from vidlake.sources.writers import (
@@ -41,6 +42,7 @@ from vidlake.sources.writers import (
     promote,
     replace_table,
     run_report,
+    write_csv,
 )
 
 
@@ -71,6 +73,12 @@ def land_search(
     )
 
 
+def split_history(spark: SparkSession, csv_path: str, out_path: str) -> Observation:
+    """Large CSV files to many small ones, for the readers that take a file as
+    one task, such as incremental ingest."""
+    return write_csv(read_split_csv(spark, csv_path), out_path)
+
+
 def bronze_to_silver(
     spark: SparkSession,
     silver_path: str,
@@ -79,10 +87,12 @@ def bronze_to_silver(
     table: str | None = None,
     quarantine_path: str | None = None,
     arrays: bool = True,
+    split_csv: bool = False,
 ) -> Observation:
     """Unify both sources and add them to the silver table. Reads everything
     there is; streaming.ingest reads only what is new. Text that does not parse
-    goes to the quarantine path, if one is given."""
+    goes to the quarantine path, if one is given. ``split_csv`` reads a CSV file
+    in many tasks (see read_split_csv)."""
     bronze = csv = None
     if bronze_path is not None:
         landed = read_bronze(spark, bronze_path, arrays=arrays)
@@ -90,7 +100,7 @@ def bronze_to_silver(
         if quarantine_path is not None:
             replace_table(quarantined(landed), quarantine_path)
     if csv_path is not None:
-        csv = read_csv(spark, csv_path)
+        csv = (read_split_csv if split_csv else read_csv)(spark, csv_path)
     return append_table(silver_rows(csv, bronze), silver_path, table)
 
 

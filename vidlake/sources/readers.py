@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from vidlake.schemas import (
     BRONZE,
@@ -30,60 +30,151 @@ def csv_header(spark: SparkSession, path: str) -> StructType:
     return spark.read.options(**_CSV_OPTIONS, multiLine=True).csv(path).schema
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True, stream: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, stream: bool = False, **options: object
+) -> DataFrame:
     """Historical CSV, every column text. Columns go by header name, so other
     columns may be present in any place.
 
-    A file whose quoted texts hold line breaks cannot be split, so lay large
-    data out as many files; ``multi_line=False`` makes files without such
-    breaks splittable.
+    A file whose quoted texts may hold line breaks is one task here. For large
+    files there are read_split_csv, and ``multi_line=False`` if no text has a
+    line break.
     """
     reader = spark.readStream if stream else spark.read
     reader = reader.schema(csv_header(spark, path)).options(**_CSV_OPTIONS)
-    return reader.option("multiLine", multi_line).csv(path)
+    return reader.options(**options).option("multiLine", multi_line).csv(path)
+
+
+def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows as read_csv, from any number of tasks per file, for files
+    that follow RFC 4180: a quote character occurs in quoted texts only.
+
+    Lines are read in file blocks. A line starts a record where the quotes before
+    it in the file are even in number. Each block reports its quotes and how many
+    records start in it if it begins outside, or inside, quotes; running sums over
+    the blocks, one row each, tell which it is and number the records. No group is
+    larger than a block or a record.
+    """
+    schema = csv_header(spark, path)
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        # Rises with the position in the block; only the order is used.
+        F.monotonically_increasing_id().alias("_line"),
+        value,
+        quotes.alias("_quotes"),
+    )
+    so_far = Window.partitionBy("_file", "_block").orderBy("_line").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    inside = (F.sum("_quotes").over(so_far) - F.col("_quotes")) % 2
+    lines = lines.withColumn("_inside", inside)
+    lines = lines.withColumn("_starts_outside", F.count_if(F.col("_inside") == 0).over(so_far))
+    lines = lines.withColumn("_starts_inside", F.count_if(F.col("_inside") == 1).over(so_far))
+
+    blocks = lines.groupBy("_file", "_block").agg(
+        F.sum("_quotes").alias("_quotes"),
+        F.max("_starts_outside").alias("_outside"),
+        F.max("_starts_inside").alias("_inside"),
+        F.min_by(value.endswith("\r"), "_line").alias("_crlf"),
+    )
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    opens_inside = F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2 == 1
+    blocks = blocks.withColumn("_opens_inside", opens_inside)
+    starts = F.when(F.col("_opens_inside"), F.col("_inside")).otherwise(F.col("_outside"))
+    blocks = blocks.withColumn("_starts", starts)
+    blocks = blocks.select(
+        "_file",
+        "_block",
+        "_opens_inside",
+        F.coalesce(F.sum("_starts").over(before), F.lit(0)).alias("_records_before"),
+        # The first line ending of a file is the one of its records.
+        F.first("_crlf").over(Window.partitionBy("_file").orderBy("_block")).alias("_crlf"),
+    )
+
+    in_block = F.when(F.col("_opens_inside"), F.col("_starts_inside")).otherwise(F.col("_starts_outside"))
+    numbered = lines.join(blocks, ["_file", "_block"]).select(
+        "_file",
+        "_block",
+        "_line",
+        "value",
+        "_crlf",
+        (F.col("_records_before") + in_block).alias("_record"),
+    )
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "_line", "value")))
+    whole = F.array_join(F.transform(pieces, lambda piece: piece["value"]), "\n")
+    records = numbered.groupBy("_file", "_record", "_crlf").agg(whole.alias("_text"))
+    unix = F.regexp_replace(F.replace("_text", F.lit("\r\n"), F.lit("\n")), r"\r\z", "")
+    records = records.withColumn("_text", F.when(F.col("_crlf"), unix).otherwise(F.col("_text")))
+    records = records.filter(F.col("_text") != "")
+
+    columns = ", ".join(f"`{name}` string" for name in schema.names)
+    options = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}
+    parsed = records.select("_file", "_record", F.from_csv("_text", columns, options).alias("_row"))
+    header = F.array(*(F.col("_row").getField(name) for name in schema.names))
+    wanted = F.array(*(F.lit(name) for name in schema.names))
+    refused = F.raise_error(F.concat(F.lit("CSV header does not conform: "), F.col("_file")))
+    kept = F.when(F.col("_record") > 1, True).when(header != wanted, refused.cast("boolean"))
+    return parsed.filter(F.coalesce(kept, F.lit(False))).select("_row.*")
 
 
 def _json(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool, stream: bool
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    multi_line: bool,
+    stream: bool = False,
+    **options: object,
 ) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     reader = reader.schema(with_corrupt_column(schema)).option("recursiveFileLookup", True)
-    return reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    reader = reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.options(**options).json(path)
 
 
-def read_bronze(spark: SparkSession, path: str, arrays: bool = True, stream: bool = False) -> DataFrame:
+def read_bronze(
+    spark: SparkSession, path: str, arrays: bool = True, stream: bool = False, **options: object
+) -> DataFrame:
     """All snapshots below the path, whatever the directory layout, metrics as
     text, with the column of unparsable text.
 
     ``arrays=True`` reads one JSON array per file, one task per file at the
     least; ``arrays=False`` reads the JSON lines our own sinks write, which split.
     """
-    return _json(spark, path, BRONZE, multi_line=arrays, stream=stream)
+    return _json(spark, path, BRONZE, multi_line=arrays, stream=stream, **options)
+
+
+def _any_row(landed: DataFrame) -> Column:
+    """Always true, and reads a column: Spark refuses to read the column of
+    unparsable text alone, which a count of a filter on it would come to."""
+    first = landed.schema[0]
+    size = F.size if isinstance(first.dataType, ArrayType) else F.length
+    return F.coalesce(size(F.col(first.name)), F.lit(0)) >= -1
 
 
 def readable(landed: DataFrame) -> DataFrame:
     """Rows that parsed, without the column of unparsable text."""
-    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return landed.filter(F.col(CORRUPT).isNull() & _any_row(landed)).drop(CORRUPT)
 
 
 def quarantined(landed: DataFrame) -> DataFrame:
     """What did not parse: file and text, for a count or a quarantine table."""
-    # Spark refuses to read the corrupt column alone, hence the second test, which
-    # is always true.
-    other = F.coalesce(F.col(landed.columns[0]).cast("string"), F.lit(""))
-    return landed.filter(F.col(CORRUPT).isNotNull() & (other >= "")).select(
+    return landed.filter(F.col(CORRUPT).isNotNull() & _any_row(landed)).select(
         F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("text")
     )
 
 
 def read_details(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Landed details responses, one row per response that parsed."""
-    return readable(_json(spark, path, DETAILS_RESPONSE, multi_line, stream=False))
+    return readable(_json(spark, path, DETAILS_RESPONSE, multi_line))
 
 
 def read_search(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Landed search result pages, one row per page that parsed."""
-    return readable(_json(spark, path, SEARCH_RESPONSE, multi_line, stream=False))
+    return readable(_json(spark, path, SEARCH_RESPONSE, multi_line))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

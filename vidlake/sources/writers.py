@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from vidlake.functions.dates import lenient_date, path_parts
 from vidlake.schemas import DATE_PARTS
 
+# Where a streaming file sink keeps its log. Readers of a folder that has one
+# see only the files in the log.
+STREAM_LOG = "_spark_metadata"
+
 
 def gathered(df: DataFrame, *columns: str) -> DataFrame:
     """Bring the rows of a partition together before a partitioned write, so
@@ -50,6 +54,8 @@ def _land(rows: DataFrame, path: str, *partitions: str, **options: object) -> Ob
 def append_table(df: DataFrame, path: str, table: str | None = None) -> Observation:
     """Add rows to the day-partitioned snappy Parquet table. With a name, the
     table and its new partitions are registered in the catalog as well."""
+    if exists(df.sparkSession, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is fed by incremental ingest, which would hide these rows")
     rows, observed = counted(gathered(df, *DATE_PARTS))
     writer = rows.write.mode("append").format("parquet")
     writer = writer.partitionBy(*DATE_PARTS).option("compression", "snappy")
@@ -60,6 +66,15 @@ def append_table(df: DataFrame, path: str, table: str | None = None) -> Observat
     return observed
 
 
+def write_csv(df: DataFrame, path: str) -> Observation:
+    """Rows as CSV files with a header, in the form the CSV readers take; the
+    files are about as large as the advisory partition size."""
+    rows, observed = counted(df.hint("rebalance"))
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(header=True, quote='"', escape='"', **keep).csv(path)
+    return observed
+
+
 def replace_table(df: DataFrame, path: str, *partitions: str) -> Observation:
     """Replace a Parquet table as a whole, partitioned or not. The path must not
     be one the rows are read from."""
@@ -68,27 +83,42 @@ def replace_table(df: DataFrame, path: str, *partitions: str) -> Observation:
     return observed
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder of this name?"""
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
 def promote(spark: SparkSession, staged: str, path: str, retired: str) -> None:
     """Put a staged table in the place of the published one, which moves to
     ``retired``, and comes back if the staged one cannot be moved in."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    source, target, old = (hadoop.Path(p) for p in (staged, path, retired))
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    (fs, target), (_, source), (_, old) = (
+        _file_system(spark, p) for p in (path, staged, retired)
+    )
     fs.mkdirs(target.getParent())
     fs.mkdirs(old.getParent())
     replaces = fs.exists(target)
     if replaces and not fs.rename(target, old):
         raise OSError(f"cannot retire {path}")
-    if not fs.rename(source, target):
-        if replaces:
+    moved = False
+    try:
+        moved = fs.rename(source, target)
+    finally:
+        if not moved and replaces:
             fs.rename(old, target)
+    if not moved:
         raise OSError(f"cannot move {staged} to {path}")
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staging directory of ours."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
 
 
 def run_report(

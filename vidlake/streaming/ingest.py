@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vidlake.operators.mapping import silver_rows
 from vidlake.schemas import DATE_PARTS
 from vidlake.sources.readers import read_bronze, read_csv, readable
-from vidlake.sources.writers import gathered
+from vidlake.sources.writers import STREAM_LOG, exists, gathered
 
 
 def ingest(
@@ -18,17 +18,23 @@ def ingest(
     bronze_path: str | None = None,
     csv_path: str | None = None,
     arrays: bool = True,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append the new files of both sources to the silver table and stop.
 
     One query feeds the table, so its file log makes every batch appear once,
-    also when a run dies half way and is repeated with the same checkpoint.
+    also when a run dies half way and is repeated with the same checkpoint. The
+    batch job therefore does not write to a table fed this way, nor the other
+    way round. ``files_per_batch`` takes a large backlog in several steps.
     """
+    if exists(spark, silver_path) and not exists(spark, f"{silver_path}/{STREAM_LOG}"):
+        raise ValueError(f"{silver_path} was written by the batch job, whose rows this would hide")
+    limit = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
     bronze = csv = None
     if bronze_path is not None:
-        bronze = readable(read_bronze(spark, bronze_path, arrays=arrays, stream=True))
+        bronze = readable(read_bronze(spark, bronze_path, arrays=arrays, stream=True, **limit))
     if csv_path is not None:
-        csv = read_csv(spark, csv_path, stream=True)
+        csv = read_csv(spark, csv_path, stream=True, **limit)
     rows = gathered(silver_rows(csv, bronze), *DATE_PARTS)
     query = (
         rows.writeStream.format("parquet")
