@@ -133,3 +133,9 @@ def test_id_batches_do_not_depend_on_layout(spark):
     one = {tuple(r) for r in lookup.id_batches(ids.coalesce(1)).collect()}
     many = {tuple(r) for r in lookup.id_batches(ids.repartition(13), bucket_digits=2).collect()}
     assert one == many
+
+
+def test_lookup_does_not_broadcast_long_texts(spark, details, plan, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 10)
+    ids = spark.createDataFrame([("a",), ("z" * 20,)], "video_id string")
+    assert "SortMergeJoin" in plan(lookup.lookup_details(details, ids))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vidlake.schemas import LOOKUP_BATCH
 
-# Up to this many ids, some 100 MB, the id side is broadcast.
+# The id side is broadcast if it has no more ids and no more text than this.
 BROADCAST_IDS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def distinct_ids(*frames: DataFrame, column: str = "video_id") -> DataFrame:
@@ -22,6 +23,12 @@ def count_ids(df: DataFrame, column: str = "video_id") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(column).alias("n_ids"))
 
 
+def _is_small(ids: DataFrame, column: str, rows: int) -> bool:
+    text = F.sum(F.octet_length(F.col(column).cast("string"))).alias("bytes")
+    size = ids.agg(F.count(F.lit(1)).alias("ids"), text).first()
+    return size["ids"] <= rows and (size["bytes"] or 0) <= BROADCAST_BYTES
+
+
 def lookup_details(
     details: DataFrame,
     ids: DataFrame,
@@ -30,12 +37,12 @@ def lookup_details(
 ) -> DataFrame:
     """Detail rows of the wanted ids; ids without details vanish.
 
-    The ids are counted first, up to one over the limit, and broadcast if they
+    The ids are measured first, up to one over the limit, and broadcast if they
     are within it, which spares the details a shuffle. Beyond it both sides
     shuffle, and Spark splits the detail rows of an oversized id at run time.
     """
     wanted = distinct_ids(ids, column=column)
-    if broadcast_up_to and wanted.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
+    if broadcast_up_to and _is_small(wanted.limit(broadcast_up_to + 1), column, broadcast_up_to):
         return details.join(F.broadcast(wanted), column, "left_semi")
     # Spark splits a join side only if both come straight from a shuffle. The ids
     # come from an aggregate, so they are shuffled once more; they are narrow.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vidlake.functions.dates import day_label
 from vidlake.functions.numbers import thousands
@@ -52,3 +52,21 @@ def daily_views(days: DataFrame) -> DataFrame:
 def daily_uploads(days: DataFrame) -> DataFrame:
     """Videos per publication day, in calendar order."""
     return _by_day(days, "total_videos")
+
+
+# Report name to the gold table it reads and the query on it.
+REPORTS = {
+    "kpi_totals": ("channel_analysis", kpi_totals),
+    "kpi_formatted": ("channel_analysis", kpi_formatted),
+    "top_channels": ("channel_analysis", top_channels),
+    "likes_vs_comments": ("channel_analysis", likes_vs_comments),
+    "channel_table": ("channel_analysis", channel_table),
+    "daily_views": ("daily_analysis", daily_views),
+    "daily_uploads": ("daily_analysis", daily_uploads),
+}
+
+
+def report(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
+    """A report over published gold tables."""
+    table, query = REPORTS[name]
+    return query(spark.read.parquet(f"{gold_path}/{table}"))

@@ -35,3 +35,28 @@ def scratch_dir(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="vidlake-")
         spark.conf.set(CHECKPOINT_DIR, shared)
     return f"{shared.rstrip('/')}/vidlake-{uuid.uuid4().hex}"
+
+
+# One shuffle partition per so many stored bytes; compressed columns grow a few
+# times in memory, which an executor core can hold or spill. Beyond the cap the
+# cost of tracking shuffle blocks would outgrow that of larger partitions.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below the paths."""
+    conf = spark._jsc.hadoopConfiguration()
+    targets = [spark._jvm.org.apache.hadoop.fs.Path(path) for path in paths]
+    return sum(t.getFileSystem(conf).getContentSummary(t).getLength() for t in targets)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to what the input needs. Adaptive
+    execution can merge partitions but not make more of them for a window or an
+    aggregate, so the start must be high enough; it is never lowered."""
+    key = "spark.sql.shuffle.partitions"
+    needed = min(-(-input_bytes // BYTES_PER_PARTITION), MAX_PARTITIONS)
+    partitions = max(needed, int(spark.conf.get(key)))
+    spark.conf.set(key, partitions)
+    return partitions
