@@ -23,10 +23,10 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     run(spark, ["land-search", "--search", paths["search"], "--details", paths["details"],
                 "--bronze", paths["bronze"], "--date", "2024-02-07"])
     assert "succeeded" in capsys.readouterr().out
-    run(spark, ["to-silver", "--silver", paths["silver"], "--bronze", paths["bronze"], "--lines"])
+    run(spark, ["to-silver", "--silver", paths["silver"], "--bronze", paths["bronze"]])
     assert "4 records" in capsys.readouterr().out
     run(spark, ["ingest", "--silver", str(tmp_path / "stream"), "--progress", str(tmp_path / "p"),
-                "--bronze", paths["bronze"], "--lines"])
+                "--bronze", paths["bronze"]])
     assert "4 rows read" in capsys.readouterr().out
     run(spark, ["clean", "--silver", paths["silver"], "--clean", paths["clean"]])
     run(spark, ["gold", "--silver", paths["silver"], "--gold", paths["gold"]])

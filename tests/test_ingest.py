@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from vidlake.plans.jobs import bronze_to_silver, split_history
+from vidlake.plans import jobs
 from vidlake.streaming.ingest import ingest, rows_read
 
 RECORD = {
@@ -65,6 +65,15 @@ def test_both_sources_feed_one_table(spark, tmp_path):
     assert spark.read.parquet(silver).filter("video_id = 'old'").first().title == 'a, "b"\nc'
 
 
+def test_arrays_and_lines_are_both_taken(spark, tmp_path):
+    land(tmp_path / "bronze/a.json", "v1", "v2")
+    lines = "".join(json.dumps({"video_id": f"w{n}", **RECORD}) + "\n" for n in range(3))
+    (tmp_path / "bronze/part-0.json").write_text(lines)
+    query = ingest(spark, str(tmp_path / "s"), str(tmp_path / "p"), bronze_path=str(tmp_path / "bronze"))
+    assert rows_read(query) == 5
+    assert ids_in(spark, str(tmp_path / "s")) == ["v1", "v2", "w0", "w1", "w2"]
+
+
 def test_broken_file_stays_out(spark, tmp_path):
     bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
     land(tmp_path / "bronze/a.json", "v1")
@@ -101,18 +110,19 @@ def test_a_table_has_one_feeder(spark, tmp_path):
     land(tmp_path / "bronze/a.json", "v1")
     ingest(spark, str(tmp_path / "stream"), str(tmp_path / "p1"), bronze_path=bronze)
     with pytest.raises(ValueError, match="incremental"):
-        bronze_to_silver(spark, str(tmp_path / "stream"), bronze)
-    bronze_to_silver(spark, str(tmp_path / "batch"), bronze)
+        jobs.bronze_to_silver(spark, str(tmp_path / "stream"), bronze)
+    jobs.bronze_to_silver(spark, str(tmp_path / "batch"), bronze)
     with pytest.raises(ValueError, match="batch job"):
         ingest(spark, str(tmp_path / "batch"), str(tmp_path / "p2"), bronze_path=bronze)
 
 
-def test_large_history_goes_through_small_files(spark, tmp_path):
+def test_large_history_goes_through_small_files(spark, tmp_path, monkeypatch):
     land_csv(tmp_path / "csv/a.csv", *(f"v{n}" for n in range(50)))
     parts = str(tmp_path / "parts")
-    assert split_history(spark, str(tmp_path / "csv"), parts).get["records"] == 50
+    assert jobs.split_history(spark, str(tmp_path / "csv"), parts).get["records"] == 50
     ingest(spark, str(tmp_path / "silver"), str(tmp_path / "p"), csv_path=parts)
-    bronze_to_silver(spark, str(tmp_path / "batch"), csv_path=str(tmp_path / "csv"), split_csv=True)
+    monkeypatch.setattr(jobs, "SPLIT_CSV_BYTES", 100)
+    jobs.bronze_to_silver(spark, str(tmp_path / "batch"), csv_path=str(tmp_path / "csv"))
     for table in ("silver", "batch"):
         rows = spark.read.parquet(str(tmp_path / table))
         assert rows.count() == 50 and {r.title for r in rows.collect()} == {'a, "b"\nc'}

@@ -54,12 +54,12 @@ def test_from_responses_to_reports(spark, tmp_path):
         "video_id,trending_date,title,channel_title,category_id,publish_time,tags,views,likes,"
         'comment_count,description\nold,17.14.11,"a, b",k,10,2017-11-13T00:00:00Z,x,7,9,1,"d\nd"\n'
     )
-    bad = tmp_path / "bronze/chart/date=2024-02-24/cut.json"
+    bad = tmp_path / "bronze/chart/date=2024-02-24/part-cut.json"
     bad.write_text('{"video_id": "x", \n')
     silver_path, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
     written = jobs.bronze_to_silver(
         spark, silver_path, bronze, str(tmp_path / "csv"), "vidlake_job_test",
-        str(tmp_path / "quarantine"), arrays=False,
+        str(tmp_path / "quarantine"),
     )
     assert written.get["records"] == 54
     assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1

@@ -81,11 +81,23 @@ def test_bronze_reads_both_layouts_and_quarantines(spark, tmp_path):
 
 def test_bronze_lines(spark, tmp_path):
     write(tmp_path / "a.json", json.dumps(RECORD) + "\n{broken\n" + json.dumps(RECORD) + "\n")
-    landed = readers.read_bronze(spark, str(tmp_path), arrays=False)
+    landed = readers.read_bronze(spark, str(tmp_path), form="lines")
     assert readers.readable(landed).count() == 2
     assert [r.text for r in readers.quarantined(landed).collect()] == ["{broken"]
 
 
+def test_bronze_tells_lines_from_arrays(spark, tmp_path):
+    write_array(tmp_path / "year=2024/month=02/day=01/videos.json", "v1", "v2")
+    write_array(tmp_path / "chart/date=2024-02-01/popular.json", "v3")
+    write_array(tmp_path / "chart/date=2024-02-01/part.json", "v4")
+    lines = [{"video_id": f"w{n}", "extraction_date": "2024-02-02"} for n in range(9)]
+    writers.land_by_day(records(spark, *lines).coalesce(1), str(tmp_path))
+    landed = readers.read_bronze(spark, str(tmp_path))
+    got = sorted(r.video_id for r in readers.readable(landed).collect())
+    assert got == ["v1", "v2", "v3", "v4"] + [f"w{n}" for n in range(9)]
+    assert readers.quarantined(landed).count() == 0
+
+
 def test_responses_from_files(spark, tmp_path):
     write(tmp_path / "d" / "1.json", json.dumps({"items": [{"id": "a"}]}, indent=2))
     write(tmp_path / "d" / "2.json", json.dumps({"kind": "x"}, indent=2))
@@ -103,7 +115,7 @@ def test_landing_replaces_only_its_days(spark, tmp_path):
     assert (tmp_path / "bronze/year=2024/month=11/day=12").is_dir()
     again = records(spark, {"views": 9}, {"views": 10, "video_id": "v2"})
     writers.land_by_day(again, root)
-    got = readers.readable(readers.read_bronze(spark, root, arrays=False)).collect()
+    got = readers.readable(readers.read_bronze(spark, root, form="lines")).collect()
     assert {(r.video_id, r.views) for r in got} == {("v1", "9"), ("v2", "10"), ("2024-11-12", "5")}
 
 
@@ -199,6 +211,19 @@ def test_split_csv_with_carriage_returns(spark, tmp_path):
     assert sorted(readers.read_split_csv(spark, str(tmp_path)).collect()) == wanted
 
 
+@pytest.mark.parametrize("line", ['v1,5" screen', 'v1,"a"b', 'v1,a"b"', 'v1,"open', 'v1, "a"'])
+def test_split_csv_refuses_stray_quotes(spark, tmp_path, line):
+    write(tmp_path / "a.csv", f'video_id,title\n{line}\nv2,"b"\nv3,c\n')
+    with pytest.raises(Exception, match="quote outside quoted text"):
+        readers.read_split_csv(spark, str(tmp_path)).collect()
+
+
+def test_largest_file(spark, tmp_path):
+    write(tmp_path / "a.csv", "x" * 10)
+    write(tmp_path / "b" / "c.csv", "x" * 30)
+    assert readers.largest_file(spark, str(tmp_path)) == 30
+
+
 def test_split_csv_refuses_other_headers(spark, tmp_path):
     write(tmp_path / "a.csv", "video_id,views\nv1,5\n")
     write(tmp_path / "b.csv", "views,video_id\n5,v1\n")

@@ -34,16 +34,18 @@ def _arguments() -> argparse.ArgumentParser:
     for sub in (chart, search):
         sub.add_argument("--date", type=dt.date.fromisoformat, required=True)
     command("split-history", "large CSV files to small ones", "csv", "out")
-    command(
+    silver = command(
         "to-silver",
         "all of both sources to silver",
         "silver",
         optional=("bronze", "csv", "table", "quarantine"),
-        flags=("lines", "split-csv"),
     )
+    silver.add_argument("--split-csv", action=argparse.BooleanOptionalAction)
     new = command(
-        "ingest", "new files to silver", "silver", "progress", optional=("bronze", "csv"), flags=("lines",)
+        "ingest", "new files to silver", "silver", "progress", optional=("bronze", "csv")
     )
+    for sub in (silver, new):
+        sub.add_argument("--form", choices=("any", "arrays", "lines"), default="any")
     new.add_argument("--files-per-batch", type=int)
     command("clean", "silver to the clean table", "silver", "clean", flags=("text-dates",))
     command("gold", "silver to gold, behind the gate", "silver", "gold", flags=("text-dates",))
@@ -78,7 +80,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
             args.csv,
             args.table,
             args.quarantine,
-            arrays=not args.lines,
+            form=args.form,
             split_csv=args.split_csv,
         )
         print(written.get["records"], "records")
@@ -89,7 +91,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
             args.progress,
             args.bronze,
             args.csv,
-            arrays=not args.lines,
+            form=args.form,
             files_per_batch=args.files_per_batch,
         )
         print(rows_read(query), "rows read")

@@ -222,7 +222,7 @@ def _land_both(spark: SparkSession, sf: str) -> str:
 
 
 def _json_scan(spark: SparkSession, sf: str) -> DataFrame:
-    landed = readers.read_bronze(spark, _land_both(spark, sf), arrays=False)
+    landed = readers.read_bronze(spark, _land_both(spark, sf))
     return readers.readable(landed)
 
 
@@ -241,7 +241,7 @@ def _day_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     rows = bronze(spark, sf)
     writers.land_by_day(rows, path)
     writers.land_by_day(_early(rows).withColumn("views", F.col("views") + 1), path)
-    return readers.readable(readers.read_bronze(spark, path, arrays=False))
+    return readers.readable(readers.read_bronze(spark, path))
 
 
 def _run_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -261,7 +261,6 @@ def _silver_publish(spark: SparkSession, sf: str) -> DataFrame:
         bronze_path=_land_both(spark, sf),
         csv_path=f"{root}/csv",
         table=name,
-        arrays=False,
     )
     return spark.table(name)
 
@@ -294,7 +293,7 @@ def _ingest_twice(spark: SparkSession, sf: str) -> tuple[DataFrame, list[int]]:
     landing, table_path = f"{root}/bronze", f"{root}/silver"
 
     def run() -> int:
-        query = ingest(spark, table_path, f"{root}/progress", bronze_path=landing, arrays=False)
+        query = ingest(spark, table_path, f"{root}/progress", bronze_path=landing)
         return rows_read(query)
 
     rows = bronze(spark, sf)

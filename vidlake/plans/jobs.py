@@ -25,6 +25,8 @@ from vidlake.operators.rollups import channel_rollup, daily_rollup
 from vidlake.operators.search import snapshot_cap
 from vidlake.schemas import DATE_PARTS
 from vidlake.sources.readers import (
+    SPLIT_CSV_BYTES,
+    largest_file,
     quarantined,
     read_bronze,
     read_csv,
@@ -86,20 +88,22 @@ def bronze_to_silver(
     csv_path: str | None = None,
     table: str | None = None,
     quarantine_path: str | None = None,
-    arrays: bool = True,
-    split_csv: bool = False,
+    form: str = "any",
+    split_csv: bool | None = None,
 ) -> Observation:
     """Unify both sources and add them to the silver table. Reads everything
     there is; streaming.ingest reads only what is new. Text that does not parse
     goes to the quarantine path, if one is given. ``split_csv`` reads a CSV file
-    in many tasks (see read_split_csv)."""
+    in many tasks (see read_split_csv); unless told, large files are."""
     bronze = csv = None
     if bronze_path is not None:
-        landed = read_bronze(spark, bronze_path, arrays=arrays)
+        landed = read_bronze(spark, bronze_path, form=form)
         bronze = readable(landed)
         if quarantine_path is not None:
             replace_table(quarantined(landed), quarantine_path)
     if csv_path is not None:
+        if split_csv is None:
+            split_csv = largest_file(spark, csv_path) > SPLIT_CSV_BYTES
         csv = (read_split_csv if split_csv else read_csv)(spark, csv_path)
     return append_table(silver_rows(csv, bronze), silver_path, table)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -24,6 +26,15 @@ _CSV_OPTIONS = {
     "recursiveFileLookup": True,
 }
 
+_FILE = "_file"
+# File names as Spark writes them, and all others.
+_OURS = "part-*"
+_OTHERS = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}"
+
+
+# CSV files above this are worth splitting.
+SPLIT_CSV_BYTES = 1024**3
+
 
 def csv_header(spark: SparkSession, path: str) -> StructType:
     """Columns of the CSV files, all text, by the names in the header row."""
@@ -47,7 +58,8 @@ def read_csv(
 
 def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     """The same rows as read_csv, from any number of tasks per file, for files
-    that follow RFC 4180: a quote character occurs in quoted texts only.
+    that follow RFC 4180: a quote character occurs in and around quoted texts
+    only. A file that does not is refused with an error.
 
     Lines are read in file blocks. A line starts a record where the quotes before
     it in the file are even in number. Each block reports its quotes and how many
@@ -111,6 +123,13 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     records = records.withColumn("_text", F.when(F.col("_crlf"), unix).otherwise(F.col("_text")))
     records = records.filter(F.col("_text") != "")
 
+    # With every quoted piece put down to one mark, a mark beside anything but a
+    # comma is a quote where none may be.
+    marked = F.regexp_replace("_text", '"[^"]*"', "\u0001")
+    stray = F.raise_error(F.concat(F.lit("quote outside quoted text, use read_csv: "), F.col("_file")))
+    bad = marked.rlike(r'[^,\x01]\x01|\x01[^,\x01]|"')
+    records = records.withColumn("_text", F.when(bad, stray).otherwise(F.col("_text")))
+
     columns = ", ".join(f"`{name}` string" for name in schema.names)
     options = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}
     parsed = records.select("_file", "_record", F.from_csv("_text", columns, options).alias("_row"))
@@ -121,6 +140,12 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     return parsed.filter(F.coalesce(kept, F.lit(False))).select("_row.*")
 
 
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Size of the largest file below the path; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.max("length").alias("length")).first().length or 0
+
+
 def _json(
     spark: SparkSession,
     path: str,
@@ -132,19 +157,27 @@ def _json(
     reader = spark.readStream if stream else spark.read
     reader = reader.schema(with_corrupt_column(schema)).option("recursiveFileLookup", True)
     reader = reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.options(**options).json(path)
+    landed = reader.options(**options).json(path)
+    return landed.select(*landed.columns, F.col("_metadata.file_path").alias(_FILE))
 
 
 def read_bronze(
-    spark: SparkSession, path: str, arrays: bool = True, stream: bool = False, **options: object
+    spark: SparkSession, path: str, form: str = "any", stream: bool = False, **options: object
 ) -> DataFrame:
     """All snapshots below the path, whatever the directory layout, metrics as
-    text, with the column of unparsable text.
+    text, with columns for unparsable text and the file it is in.
 
-    ``arrays=True`` reads one JSON array per file, one task per file at the
-    least; ``arrays=False`` reads the JSON lines our own sinks write, which split.
+    ``form="arrays"``: every file is one JSON array, and one task at the least.
+    ``form="lines"``: files are JSON lines, and split. Read as an array, a file of
+    lines would lose all but its first, so ``form="any"`` tells them apart by
+    name: Spark's own files, which our sinks land, are lines, all others arrays.
     """
-    return _json(spark, path, BRONZE, multi_line=arrays, stream=stream, **options)
+    forms = {"arrays": [(True, "*")], "lines": [(False, "*")], "any": [(True, _OTHERS), (False, _OURS)]}
+    parts = [
+        _json(spark, path, BRONZE, multi_line, stream, pathGlobFilter=names, **options)
+        for multi_line, names in forms[form]
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _any_row(landed: DataFrame) -> Column:
@@ -157,13 +190,13 @@ def _any_row(landed: DataFrame) -> Column:
 
 def readable(landed: DataFrame) -> DataFrame:
     """Rows that parsed, without the column of unparsable text."""
-    return landed.filter(F.col(CORRUPT).isNull() & _any_row(landed)).drop(CORRUPT)
+    return landed.filter(F.col(CORRUPT).isNull() & _any_row(landed)).drop(CORRUPT, _FILE)
 
 
 def quarantined(landed: DataFrame) -> DataFrame:
     """What did not parse: file and text, for a count or a quarantine table."""
     return landed.filter(F.col(CORRUPT).isNotNull() & _any_row(landed)).select(
-        F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("text")
+        F.col(_FILE).alias("file"), F.col(CORRUPT).alias("text")
     )
 
 

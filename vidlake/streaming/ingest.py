@@ -17,7 +17,7 @@ def ingest(
     checkpoint: str,
     bronze_path: str | None = None,
     csv_path: str | None = None,
-    arrays: bool = True,
+    form: str = "any",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append the new files of both sources to the silver table and stop.
@@ -32,7 +32,7 @@ def ingest(
     limit = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
     bronze = csv = None
     if bronze_path is not None:
-        bronze = readable(read_bronze(spark, bronze_path, arrays=arrays, stream=True, **limit))
+        bronze = readable(read_bronze(spark, bronze_path, form=form, stream=True, **limit))
     if csv_path is not None:
         csv = read_csv(spark, csv_path, stream=True, **limit)
     rows = gathered(silver_rows(csv, bronze), *DATE_PARTS)
