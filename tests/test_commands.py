@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
 import pytest
 
@@ -64,6 +65,20 @@ def test_shuffles_grow_with_the_input_only(spark, tmp_path):
     assert stored_bytes(spark, str(tmp_path / "a"), str(tmp_path / "a" / "x")) == 10
 
 
+def session_like(master, settings):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(master=master)
+    )
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session_like("yarn", {}))
+    named = session_like("yarn", {"spark.checkpoint.dir": "hdfs://n/shared/"})
+    assert scratch_dir(named).startswith("hdfs://n/shared/vidlake-")
+    assert scratch_dir(session_like("local[2]", {})) != scratch_dir(session_like("local[2]", {}))
+
+
 def test_scratch_is_fresh_and_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     one, two = scratch_dir(spark), scratch_dir(spark)

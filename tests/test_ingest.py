@@ -5,7 +5,7 @@ import json
 import pytest
 
 from vidlake.plans import jobs
-from vidlake.streaming.ingest import ingest, rows_read
+from vidlake.streaming.ingest import ingest, rows_broken, rows_read
 
 RECORD = {
     "title": "t",
@@ -78,8 +78,9 @@ def test_broken_file_stays_out(spark, tmp_path):
     bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
     land(tmp_path / "bronze/a.json", "v1")
     (tmp_path / "bronze/b.json").write_text('[{"video_id": "x", "tit')
-    ingest(spark, silver, progress, bronze_path=bronze)
+    query = ingest(spark, silver, progress, bronze_path=bronze)
     assert ids_in(spark, silver) == ["v1"]
+    assert (rows_read(query), rows_broken(query)) == (2, 1)
 
 
 def test_a_run_that_died_is_repeated_whole(spark, tmp_path):

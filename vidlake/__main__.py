@@ -12,7 +12,7 @@ from vidlake.plans import jobs
 from vidlake.plans.reports import REPORTS, report
 from vidlake.session import size_shuffles, stored_bytes
 from vidlake.sources.readers import read_table
-from vidlake.streaming.ingest import ingest, rows_read
+from vidlake.streaming.ingest import ingest, rows_broken, rows_read
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -94,7 +94,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
             form=args.form,
             files_per_batch=args.files_per_batch,
         )
-        print(rows_read(query), "rows read")
+        print(rows_read(query), "rows read,", rows_broken(query), "broken")
     elif args.command == "clean":
         written = jobs.silver_to_clean(read_table(spark, args.silver), args.clean, dates)
         print(written.get["records"], "records")

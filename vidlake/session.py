@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,11 @@ def local_session(cores: str = "*", app: str = "vidlake", **settings: str) -> Sp
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="vidlake-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path in the folder all executors share. Only a local session may
     go without one, and then gets a temporary folder."""
@@ -32,8 +38,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="vidlake-")
-        spark.conf.set(CHECKPOINT_DIR, shared)
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/vidlake-{uuid.uuid4().hex}"
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vidlake.operators.mapping import silver_rows
-from vidlake.schemas import DATE_PARTS
+from vidlake.schemas import CORRUPT, DATE_PARTS
 from vidlake.sources.readers import read_bronze, read_csv, readable
 from vidlake.sources.writers import STREAM_LOG, exists, gathered
 
+_LANDED = "landed"
+
 
 def ingest(
     spark: SparkSession,
@@ -32,7 +34,9 @@ def ingest(
     limit = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
     bronze = csv = None
     if bronze_path is not None:
-        bronze = readable(read_bronze(spark, bronze_path, form=form, stream=True, **limit))
+        landed = read_bronze(spark, bronze_path, form=form, stream=True, **limit)
+        broken = F.count_if(F.col(CORRUPT).isNotNull()).alias("broken")
+        bronze = readable(landed.observe(_LANDED, broken))
     if csv_path is not None:
         csv = read_csv(spark, csv_path, stream=True, **limit)
     rows = gathered(silver_rows(csv, bronze), *DATE_PARTS)
@@ -51,5 +55,13 @@ def ingest(
 
 
 def rows_read(query: StreamingQuery) -> int:
-    """Input rows of a finished run."""
+    """Input rows of a finished run, as far as Spark keeps its progress: the last
+    spark.sql.streaming.numRecentProgressUpdates batches."""
     return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+
+def rows_broken(query: StreamingQuery) -> int:
+    """Of these the snapshot records, or whole files, that did not parse and so
+    were left out of the table; read_bronze and quarantined show them."""
+    seen = (progress["observedMetrics"].get(_LANDED) for progress in query.recentProgress)
+    return sum(metrics["broken"] for metrics in seen if metrics)
