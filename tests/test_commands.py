@@ -33,6 +33,8 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     run(spark, ["gold", "--silver", paths["silver"], "--gold", paths["gold"]])
     run(spark, ["gold", "--silver", paths["silver"], "--gold", paths["gold"], "--text-dates"])
     assert capsys.readouterr().out.count("4 records") == 3
+    run(spark, ["quality", "--table", paths["silver"]])
+    assert "likes_over_views" in capsys.readouterr().out
     run(spark, ["report", "kpi_formatted", "--gold", paths["gold"]])
     assert "4,000" in capsys.readouterr().out
     run(spark, ["report", "daily_uploads", "--gold", paths["gold"]])

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from vidlake.operators import lookup, search
+from vidlake.operators import lookup, responses, search
 from vidlake.operators.cleaning import clean_videos
 from vidlake.operators.mapping import silver_rows
 from vidlake.operators.quality import quality_report
 from vidlake.operators.rollups import channel_rollup
 from vidlake.plans.reports import top_channels
+from vidlake.schemas import DETAILS_RESPONSE
+from vidlake.sources import readers
 from vidlake.sources.writers import gathered, replace_table
 
 
@@ -56,8 +59,6 @@ def test_quality_of_a_deduplicated_table_adds_no_keyed_shuffle(silver, plan):
 
 
 def test_recent_videos_prune_partitions(silver, plan):
-    import datetime as dt
-
     text = plan(search.recent_videos(silver, dt.date(2024, 3, 10)))
     pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
     assert "make_date" in pruned
@@ -71,6 +72,19 @@ def test_keyword_search_reads_each_text_once(silver, plan):
     assert len(re.findall("RLIKE", plan(search.keyword_matches(silver)))) == 4
 
 
+def test_responses_are_parsed_once(spark, plan):
+    texts = spark.range(5).select(F.concat(F.lit('{"items": [{"id": "'), "id", F.lit('"}]}')).alias("r"))
+    parsed = responses.parse_responses(texts, "r", DETAILS_RESPONSE)
+    details = responses.flatten_details(parsed, dt.date(2024, 1, 1))
+    assert details.count() == 5 and plan(details).count("from_json") == 1
+
+
+def test_split_csv_reads_lines_once(spark, tmp_path, plan):
+    (tmp_path / "a.csv").write_text("video_id,title\nv1,t\n")
+    text = plan(readers.read_split_csv(spark, str(tmp_path)))
+    assert "ReusedExchange" in text and text.count("FileScan text") == 1
+
+
 def test_top_pages_cut_salted_pieces_before_the_shuffle(silver, plan):
     text = plan(search.top_pages(silver.withColumn("keyword", F.col("title"))))
     assert text.count("WindowGroupLimit") >= 3 and "_salt" in text

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,6 +205,29 @@ def test_split_csv_reads_what_read_csv_reads(spark, tmp_path, block):
     assert got == wanted and len(got) == 70
 
 
+@pytest.mark.parametrize("seed, alphabet, eol", [(1, 'ab", \n', "\n"), (2, 'a",\n\n""', "\n"), (3, 'a",\r\n ', "\r\n")])
+def test_split_csv_on_random_texts(spark, tmp_path, seed, alphabet, eol):
+    pick = random.Random(seed)
+
+    def cell():
+        text = "".join(pick.choice(alphabet) for _ in range(pick.choice([0, 1, 2, 5, 30])))
+        bare = not set(text) & set('",\r\n') and pick.random() < 0.7
+        return text if bare else '"' + text.replace('"', '""') + '"'
+
+    for name in ("a.csv", "b.csv"):
+        rows = [f"{name}{n},{cell()},{cell()}" for n in range(60)]
+        (tmp_path / name).write_bytes(eol.join(["video_id,title,views", *rows]).encode())
+    wanted = sorted(readers.read_csv(spark, str(tmp_path)).collect(), key=repr)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        got = sorted(readers.read_split_csv(spark, str(tmp_path)).collect(), key=repr)
+    finally:
+        spark.conf.set(key, before)
+    assert got == wanted and len(got) == 120
+
+
 def test_split_csv_with_carriage_returns(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b'video_id,title\r\nv1,"a\r\nb"\r\nv2,c\r\n')
     (tmp_path / "b.csv").write_bytes(b'video_id,title\nw1,"a\r\nb"\nw2,c\n')

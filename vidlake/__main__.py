@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from vidlake.operators.quality import quality_report
 from vidlake.plans import jobs
 from vidlake.plans.reports import REPORTS, report
 from vidlake.session import size_shuffles, stored_bytes
@@ -49,6 +50,7 @@ def _arguments() -> argparse.ArgumentParser:
     new.add_argument("--files-per-batch", type=int)
     command("clean", "silver to the clean table", "silver", "clean", flags=("text-dates",))
     command("gold", "silver to gold, behind the gate", "silver", "gold", flags=("text-dates",))
+    command("quality", "rule violations of a table", "table")
     shown = command("report", "show a report", "gold")
     shown.add_argument("name", choices=sorted(REPORTS))
     shown.add_argument("--rows", type=int, default=50, help="rows to show")
@@ -62,6 +64,8 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
         inputs.append(args.bronze)
     if args.command in ("clean", "gold"):
         inputs.append(args.silver)
+    if args.command == "quality":
+        inputs.append(args.table)
     size_shuffles(spark, stored_bytes(spark, *(path for path in inputs if path)))
     dates = "text" if getattr(args, "text_dates", False) else "date"
 
@@ -100,6 +104,8 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
         print(written.get["records"], "records")
     elif args.command == "gold":
         print(jobs.publish_gold(read_table(spark, args.silver), args.gold, dates), "records")
+    elif args.command == "quality":
+        quality_report(read_table(spark, args.table)).show(100, truncate=False)
     else:
         report(spark, args.gold, args.name).show(args.rows, truncate=False)
 
