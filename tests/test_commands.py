@@ -47,6 +47,15 @@ def test_split_history_command(spark, tmp_path, capsys):
     assert "1 records" in capsys.readouterr().out
 
 
+def test_a_failed_landing_fails_the_command(spark, tmp_path, capsys):
+    (tmp_path / "1.json").write_text('{"items": [{"id": "v"}]}')
+    (tmp_path / "taken").write_text("a file where the folder should go")
+    with pytest.raises(SystemExit):
+        run(spark, ["land-chart", "--details", str(tmp_path / "1.json"), "--bronze",
+                    str(tmp_path / "taken"), "--feed", "chart", "--date", "2024-02-06"])
+    assert "failed" in capsys.readouterr().out
+
+
 def test_unknown_command(spark):
     with pytest.raises(SystemExit):
         run(spark, ["nothing"])

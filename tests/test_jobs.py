@@ -81,6 +81,13 @@ def test_from_responses_to_reports(spark, tmp_path):
         "channel_analysis", "daily_analysis", "videos"]
 
 
+def test_landing_reports_failure(spark, tmp_path):
+    row = jobs.land_chart(spark, str(tmp_path / "nothing"), str(tmp_path / "b"), "chart", RUN).first()
+    assert (row.outcome, row.records) == ("failed", None) and "PATH_NOT_FOUND" in row.error
+    row = jobs.land_search(spark, "/no", "/no", str(tmp_path / "b"), RUN).first()
+    assert row.outcome == "failed" and not (tmp_path / "b").exists()
+
+
 def test_gate_leaves_gold_alone(spark, videos, tmp_path):
     gold = str(tmp_path / "gold")
     jobs.publish_gold(silver_rows(bronze=videos({})), gold)

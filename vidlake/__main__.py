@@ -6,7 +6,7 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from vidlake.operators.quality import quality_report
 from vidlake.plans import jobs
@@ -57,6 +57,12 @@ def _arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def _tell(done: DataFrame) -> None:
+    done.show(truncate=False)
+    if done.first().outcome == "failed":
+        raise SystemExit(1)
+
+
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     inputs = [getattr(args, name, None) for name in ("details", "search", "csv")]
@@ -70,10 +76,9 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     dates = "text" if getattr(args, "text_dates", False) else "date"
 
     if args.command == "land-chart":
-        jobs.land_chart(spark, args.details, args.bronze, args.feed, args.date).show(truncate=False)
+        _tell(jobs.land_chart(spark, args.details, args.bronze, args.feed, args.date))
     elif args.command == "land-search":
-        done = jobs.land_search(spark, args.search, args.details, args.bronze, args.date)
-        done.show(truncate=False)
+        _tell(jobs.land_search(spark, args.search, args.details, args.bronze, args.date))
     elif args.command == "split-history":
         print(jobs.split_history(spark, args.csv, args.out).get["records"], "records")
     elif args.command == "to-silver":

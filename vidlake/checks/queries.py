@@ -170,7 +170,8 @@ def _top_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cap(spark: SparkSession, sf: str) -> DataFrame:
-    return search.snapshot_cap(clean(spark, sf)).select("video_id", "extraction_date", "views")
+    rows = cleaning.clean_videos(silver(spark, sf), for_rollups=True)
+    return search.snapshot_cap(rows).select("video_id", "extraction_date", "views")
 
 
 def _day_paths(spark: SparkSession, sf: str) -> DataFrame:

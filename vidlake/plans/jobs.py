@@ -53,11 +53,12 @@ def land_chart(
 ) -> DataFrame:
     """Landed responses of the popularity chart to the day's snapshot, capped.
     Returns the run report."""
-    chart = snapshot_cap(flatten_details(read_details(spark, details_path), run_date))
-    path = f"{bronze_root}/{feed}"
-    return run_report(
-        spark, "chart snapshot", path, lambda: land_by_date(chart, bronze_root, feed)
-    )
+
+    def write() -> Observation:
+        chart = flatten_details(read_details(spark, details_path), run_date)
+        return land_by_date(snapshot_cap(chart), bronze_root, feed)
+
+    return run_report(spark, "chart snapshot", f"{bronze_root}/{feed}", write)
 
 
 def land_search(
@@ -65,14 +66,13 @@ def land_search(
 ) -> DataFrame:
     """Landed search pages and details responses to the day's snapshot: the
     details of the distinct ids found. Returns the run report."""
-    ids = search_ids(read_search(spark, search_path))
-    details = flatten_details(read_details(spark, details_path), run_date)
-    return run_report(
-        spark,
-        "search snapshot",
-        bronze_root,
-        lambda: land_by_day(lookup_details(details, ids), bronze_root),
-    )
+
+    def write() -> Observation:
+        ids = search_ids(read_search(spark, search_path))
+        details = flatten_details(read_details(spark, details_path), run_date)
+        return land_by_day(lookup_details(details, ids), bronze_root)
+
+    return run_report(spark, "search snapshot", bronze_root, write)
 
 
 def split_history(spark: SparkSession, csv_path: str, out_path: str) -> Observation:
