@@ -242,6 +242,19 @@ def test_split_csv_refuses_stray_quotes(spark, tmp_path, line):
         readers.read_split_csv(spark, str(tmp_path)).collect()
 
 
+def test_split_csv_refuses_endless_records_early(spark, tmp_path, monkeypatch):
+    write(tmp_path / "a.csv", 'video_id,title\nv1,5" screen\n' + "v2,c\n" * 200)
+    monkeypatch.setattr(readers, "MAX_RECORD_BYTES", 300)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        with pytest.raises(Exception, match="no end of record"):
+            readers.read_split_csv(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_largest_file(spark, tmp_path):
     write(tmp_path / "a.csv", "x" * 10)
     write(tmp_path / "b" / "c.csv", "x" * 30)

@@ -20,7 +20,13 @@ def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="vidlake")
     commands = parser.add_subparsers(dest="command", required=True)
 
-    def command(name: str, about: str, *required: str, optional: Sequence[str] = (), flags: Sequence[str] = ()):
+    def command(
+        name: str,
+        about: str,
+        *required: str,
+        optional: Sequence[str] = (),
+        flags: Sequence[str] = (),
+    ) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=about)
         for option in required:
             sub.add_argument(f"--{option}", required=True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vidlake.checks.samples import RUN_DATE
-from vidlake.schemas import CANONICAL, METRICS, REQUIRED
+from vidlake.schemas import CANONICAL, METRICS, REQUIRED, TRIMMED
 
 # Sample tables, as samples.py makes them.
 _HISTORICAL = """
@@ -83,7 +83,7 @@ def _parted(name: str, source: str) -> str:
     return f"{name} AS (SELECT *, {parts} FROM {source})"
 
 
-_TRIM = ", ".join(f"trim({c}) AS {c}" for c in ("video_id", "title", "channel_title", "description"))
+_TRIM = ", ".join(f"trim({c}) AS {c}" for c in TRIMMED)
 _TRIMMED = f"trimmed AS (SELECT * REPLACE ({_TRIM}) FROM silver)"
 _PARTS = "year, month, day"
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED)
@@ -202,7 +202,8 @@ _CORPUS_TEXT = _sql([_HITS], "SELECT * REPLACE (CAST(views AS VARCHAR) AS views)
 ORACLES: dict[str, str] = {
     "apply_mapping": _sql(_SILVER, "SELECT * FROM mapped"),
     "align_union": _sql(
-        [*_SILVER, *_BRONZE_SILVER], "SELECT * FROM mapped UNION ALL BY NAME SELECT * FROM mapped_bronze"
+        [*_SILVER, *_BRONZE_SILVER],
+        "SELECT * FROM mapped UNION ALL BY NAME SELECT * FROM mapped_bronze",
     ),
     "cast_metrics": _sql(_SILVER, "SELECT * FROM typed"),
     "publish_date_parts": _sql(
@@ -245,7 +246,9 @@ ORACLES: dict[str, str] = {
     "likes_vs_comments": _sql(
         _CLEAN, "SELECT channel_title, total_likes, total_comments, total_views FROM channels"
     ),
-    "channel_table": _sql(_CLEAN, "SELECT * FROM channels ORDER BY total_views DESC, channel_title"),
+    "channel_table": _sql(
+        _CLEAN, "SELECT * FROM channels ORDER BY total_views DESC, channel_title"
+    ),
     "daily_views": _sql(
         _CLEAN, f"SELECT {_LABEL} AS date, total_views FROM days ORDER BY {_PARTS}"
     ),

@@ -35,7 +35,8 @@ def trim_text(df: DataFrame, columns: Sequence[str] = TRIMMED) -> DataFrame:
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
     """Drop rows with a NULL in any required column. One test per column, other
     than dropna, so that those on stored columns reach the files."""
-    return df.filter(reduce(lambda left, right: left & right, [F.col(c).isNotNull() for c in columns]))
+    present = [F.col(c).isNotNull() for c in columns]
+    return df.filter(reduce(lambda left, right: left & right, present))
 
 
 def clamp_negative(df: DataFrame) -> DataFrame:

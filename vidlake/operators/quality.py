@@ -25,7 +25,9 @@ class QualityError(ValueError):
         super().__init__("; ".join(self.failures))
 
 
-def missing_columns(df: DataFrame, expected: Sequence[str] = (*CANONICAL, *DATE_PARTS)) -> list[str]:
+def missing_columns(
+    df: DataFrame, expected: Sequence[str] = (*CANONICAL, *DATE_PARTS)
+) -> list[str]:
     """Expected columns the table lacks; names compare as Spark resolves them."""
     present = {name.lower() for name in df.columns}
     return [name for name in expected if name not in present]

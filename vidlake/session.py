@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -47,6 +48,7 @@ def scratch_dir(spark: SparkSession) -> str:
 # cost of tracking shuffle blocks would outgrow that of larger partitions.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 MAX_PARTITIONS = 50_000
+ACCURATE_BLOCKS = "spark.shuffle.accurateBlockSkewedFactor"
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -59,9 +61,19 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Raise the number of shuffle partitions to what the input needs. Adaptive
     execution can merge partitions but not make more of them for a window or an
-    aggregate, so the start must be high enough; it is never lowered."""
+    aggregate, so the start must be high enough; it is never lowered.
+
+    Above some 2,000 partitions Spark keeps only an average size for all but the
+    largest blocks of a map task, and a hot day spread over many map tasks then
+    looks no larger than any other. A core setting, given at submit, keeps the
+    sizes of those too; without it this warns.
+    """
     key = "spark.sql.shuffle.partitions"
     needed = min(-(-input_bytes // BYTES_PER_PARTITION), MAX_PARTITIONS)
     partitions = max(needed, int(spark.conf.get(key)))
     spark.conf.set(key, partitions)
+    settings = spark.sparkContext.getConf()
+    averaged_above = int(settings.get("spark.shuffle.minNumPartitionsToHighlyCompress", "2000"))
+    if partitions > averaged_above and float(settings.get(ACCURATE_BLOCKS, "-1")) < 0:
+        warnings.warn(f"submit with --conf {ACCURATE_BLOCKS}=5 so that hot partitions are split")
     return partitions

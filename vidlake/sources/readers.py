@@ -34,6 +34,8 @@ _OTHERS = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}"
 
 # CSV files above this are worth splitting.
 SPLIT_CSV_BYTES = 1024**3
+# No text in Spark can be longer than twice this.
+MAX_RECORD_BYTES = 1024**3
 
 
 def csv_header(spark: SparkSession, path: str) -> StructType:
@@ -65,7 +67,9 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     it in the file are even in number. Each block reports its quotes and how many
     records start in it if it begins outside, or inside, quotes; running sums over
     the blocks, one row each, tell which it is and number the records. No group is
-    larger than a block or a record.
+    larger than a block or a record, and a record that would not fit in a text
+    column, as after a quote that is never closed, is refused before it is put
+    together.
     """
     schema = csv_header(spark, path)
     value = F.col("value")
@@ -91,23 +95,35 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
         F.sum("_quotes").alias("_quotes"),
         F.max("_starts_outside").alias("_outside"),
         F.max("_starts_inside").alias("_inside"),
+        F.sum(F.octet_length(value) + 1).alias("_bytes"),
         F.min_by(value.endswith("\r"), "_line").alias("_crlf"),
     )
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     opens_inside = F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2 == 1
     blocks = blocks.withColumn("_opens_inside", opens_inside)
     starts = F.when(F.col("_opens_inside"), F.col("_inside")).otherwise(F.col("_outside"))
     blocks = blocks.withColumn("_starts", starts)
+    # Blocks in which nothing starts belong to the record of the one before them.
+    run = F.count_if(F.col("_starts") > 0).over(in_file)
+    blocks = blocks.withColumn("_run", run)
+    idle = F.when(F.col("_starts") == 0, F.col("_bytes"))
+    spanned = F.sum(idle).over(Window.partitionBy("_file", "_run"))
+    endless = F.raise_error(F.concat(F.lit("no end of record, use read_csv: "), F.col("_file")))
+    records_before = F.coalesce(F.sum("_starts").over(before), F.lit(0))
     blocks = blocks.select(
         "_file",
         "_block",
         "_opens_inside",
-        F.coalesce(F.sum("_starts").over(before), F.lit(0)).alias("_records_before"),
+        F.when(spanned > MAX_RECORD_BYTES, endless.cast("bigint"))
+        .otherwise(records_before)
+        .alias("_records_before"),
         # The first line ending of a file is the one of its records.
-        F.first("_crlf").over(Window.partitionBy("_file").orderBy("_block")).alias("_crlf"),
+        F.first("_crlf").over(in_file).alias("_crlf"),
     )
 
-    in_block = F.when(F.col("_opens_inside"), F.col("_starts_inside")).otherwise(F.col("_starts_outside"))
+    in_block = F.when(F.col("_opens_inside"), F.col("_starts_inside"))
+    in_block = in_block.otherwise(F.col("_starts_outside"))
     numbered = lines.join(blocks, ["_file", "_block"]).select(
         "_file",
         "_block",
@@ -126,7 +142,8 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     # With every quoted piece put down to one mark, a mark beside anything but a
     # comma is a quote where none may be.
     marked = F.regexp_replace("_text", '"[^"]*"', "\u0001")
-    stray = F.raise_error(F.concat(F.lit("quote outside quoted text, use read_csv: "), F.col("_file")))
+    reason = F.lit("quote outside quoted text, use read_csv: ")
+    stray = F.raise_error(F.concat(reason, F.col("_file")))
     bad = marked.rlike(r'[^,\x01]\x01|\x01[^,\x01]|"')
     records = records.withColumn("_text", F.when(bad, stray).otherwise(F.col("_text")))
 
@@ -172,7 +189,11 @@ def read_bronze(
     lines would lose all but its first, so ``form="any"`` tells them apart by
     name: Spark's own files, which our sinks land, are lines, all others arrays.
     """
-    forms = {"arrays": [(True, "*")], "lines": [(False, "*")], "any": [(True, _OTHERS), (False, _OURS)]}
+    forms = {
+        "arrays": [(True, "*")],
+        "lines": [(False, "*")],
+        "any": [(True, _OTHERS), (False, _OURS)],
+    }
     parts = [
         _json(spark, path, BRONZE, multi_line, stream, pathGlobFilter=names, **options)
         for multi_line, names in forms[form]
