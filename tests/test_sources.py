@@ -97,6 +97,8 @@ def test_bronze_tells_lines_from_arrays(spark, tmp_path):
     got = sorted(r.video_id for r in readers.readable(landed).collect())
     assert got == ["v1", "v2", "v3", "v4"] + [f"w{n}" for n in range(9)]
     assert readers.quarantined(landed).count() == 0
+    with pytest.raises(ValueError, match="any"):
+        readers.read_bronze(spark, str(tmp_path), form="xml")
 
 
 def test_responses_from_files(spark, tmp_path):

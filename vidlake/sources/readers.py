@@ -194,6 +194,8 @@ def read_bronze(
         "lines": [(False, "*")],
         "any": [(True, _OTHERS), (False, _OURS)],
     }
+    if form not in forms:
+        raise ValueError(f"form must be one of {', '.join(forms)}")
     parts = [
         _json(spark, path, BRONZE, multi_line, stream, pathGlobFilter=names, **options)
         for multi_line, names in forms[form]
