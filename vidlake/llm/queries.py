@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.llm import toxicity
+from vidlake.llm import decontam, neardup, toxicity
 from vidlake.llm.common import read
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop(decontam.TEXT_HASH)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op10_neardup": op10_neardup,
 }
 ORACLES: dict[str, str] = {}
