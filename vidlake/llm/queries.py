@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.llm import decontam, neardup, toxicity
+from vidlake.llm import decontam, neardup, pii, toxicity
 from vidlake.llm.common import read
 
 
@@ -13,6 +13,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop(decontam.TEXT_HASH)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -24,6 +28,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_pii": op5_pii,
     "op7_toxicity": op7_toxicity,
     "op10_neardup": op10_neardup,
 }
