@@ -39,16 +39,18 @@ def fifth(doc_id: str | Column) -> Column:
 
 
 class WordCache(dict):
-    """Results of a function of a word, computed once per worker."""
+    """Results of a function of a word (or, with longest 0, a number), computed
+    once per worker."""
 
-    def __init__(self, function: Callable[[bytes], object], entries: int = CACHE_ENTRIES):
+    def __init__(self, function: Callable, entries: int = CACHE_ENTRIES, longest: int = CACHE_WORD_BYTES):
         super().__init__()
         self.function = function
         self.entries = entries
+        self.longest = longest
 
     def __missing__(self, word):
         value = self.function(word)
-        if len(word) <= CACHE_WORD_BYTES:
+        if not self.longest or len(word) <= self.longest:
             if len(self) >= self.entries:
                 self.clear()
             self[word] = value

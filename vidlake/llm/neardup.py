@@ -15,13 +15,14 @@ sequence as one; no words: empty). Shingles are compared by 64-bit hash.
 4. Every band value with two nodes or more elects hubs. Nodes are compared to the
    hubs: Jaccard from the registers, corrected for registers that agree by
    chance, drops hopeless pairs (more than five deviations below the threshold),
-   and the full sets decide the rest. Links so found join nodes into classes.
-   After STAR_ROUNDS elections, what is left are nodes of one band that are
-   still in different classes; those pairs are all compared. A large group of
-   copies is one class by then, so its pairs are never listed.
+   and the full sets decide the rest. Links so found join nodes into classes, and
+   a large group of copies becomes one class without its pairs being listed.
+5. What is left are nodes that share a band with a node of another class. Among
+   them all pairs that can reach the threshold are compared: two such sets share a
+   shingle among the rarest few of each.
 
-Links within a class that the elections did not need stay unlisted; classes
-are the same as if all pairs had been compared.
+Links within a class that were not needed to form it stay unlisted; classes are
+the same as if all pairs had been compared.
 
 Cases: null text is empty; empty documents link with nothing and are their own
 class. Rows that repeat each get a row. A null id takes part in linking but cannot
@@ -47,7 +48,7 @@ THRESHOLD = 75
 REGISTERS = 128
 BAND_ROWS = 4
 MANTISSA_BITS = 10
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 # Registers of two sets at the threshold agree in 0.75 +- 0.038 of cases.
 HOPELESS = 0.75 - 5.2 * 0.0383
 
@@ -175,14 +176,12 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the threshold. Only texts of nodes in pairs
-    are read again."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and sorted shingles of the asked nodes, whose texts are read again."""
     named = nodes.join(asked, "node").select(F.col("doc_id").alias("named"), "node", "key")
     texts = docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("named")))
 
-    def sets(batch: pa.RecordBatch) -> dict:
+    def cut(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"node": [], "set": []}
         rows = zip(*(batch.column(c).to_pylist() for c in ("node", "key", "text")))
         for node, key, text in rows:
@@ -193,24 +192,63 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
                 out["set"].append(shingles(tokens).tobytes())
         return {"node": pa.array(out["node"], pa.int64()), "set": pa.array(out["set"], pa.binary())}
 
-    found = map_texts(texts.select("node", "key", "text"), sets, "node long, set binary")
-    found = save(found.dropDuplicates(["node"]), "sets")
-    both = pairs.join(found.toDF("a", "set_a"), "a").join(found.toDF("b", "set_b"), "b")
+    found = map_texts(texts.select("node", "key", "text"), cut, "node long, set binary")
+    return found.dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y)
+            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 inter = int((y[at] == x).sum())
-                keep.append(100 * inter >= THRESHOLD * (both - inter))
+                keep.append(100 * inter >= THRESHOLD * (len(x) + len(y) - inter))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def _rare_pairs(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes that may reach the threshold, from node,
+    root and set. With n shingles, of which 0.75 n have to be shared, one of the
+    n - ceil(0.75 n) + 1 rarest is; the smaller set of a pair has to share 6/7 of
+    its own, so fewer of its rarest do."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, value in zip(batch.column("node").to_pylist(), batch.column("set")):
+                found = np.frombuffer(value.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_pydict({"node": np.full(len(found), node), "shingle": found})
+
+    rows = left.select("node", "set").mapInArrow(listed, "node long, shingle long")
+    common = rows.groupBy("shingle").agg(F.count("*").alias("df"))
+    ranked = (
+        rows.join(common, "shingle")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ranked"))
+        .withColumn("n", F.size("ranked"))
+    )
+    need = F.ceil(F.col("n") * THRESHOLD / 100)
+    need_small = F.ceil(F.col("n") * (2 * THRESHOLD) / (100 + THRESHOLD))
+    first = ranked.join(left.select("node", "root"), "node").select(
+        "node", "root", "n", (F.col("n") - need_small + 1).alias("few"),
+        F.posexplode(F.slice("ranked", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("at", "one"),
+    )
+    first = first.select("node", "root", "n", F.col("one.shingle").alias("shingle"), (F.col("at") < F.col("few")).alias("few"))
+    large = first.select("shingle", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
+    small = first.filter("few").select(
+        "shingle", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b")
+    )
+    both = large.join(small, "shingle").filter("root_a != root_b and (n_b < n_a or n_b = n_a and b < a)")
+    both = both.filter(F.col("n_b") * 100 >= F.col("n_a") * THRESHOLD)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node that links (a, b) lead to, for nodes that
     have a link. Alternates pulling larger and smaller neighbours to the
@@ -253,7 +291,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     met = save(banded.join(shared, "band"), "met")
 
-    links, roots = None, met.select(F.col("node"), F.col("node").alias("root")).distinct()
+    sets = save(_sets(met.select("node").distinct(), nodes, docs), "sets")
+    links, roots = None, sets.select("node", F.col("node").alias("root"))
     for star in range(STAR_ROUNDS):
         # Any node may be hub; another one for each band and round. Bands that are
         # one class already have nothing to ask.
@@ -267,17 +306,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         asked = members.join(hubs, "band").filter("root != hub_root")
         asked = asked.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        links, roots = _linked(asked, links, nodes, docs)
-
-    members = met.join(roots, "node").join(nodes.select("node", "n_shingles"), "node")
-    open_ = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    members = members.join(open_.select("band"), "band")
-    other = members.toDF("band", "b", "root_b", "n_b").select("band", "b", "root_b", "n_b")
-    rest = members.join(other, "band").filter(
-        "node < b and root != root_b"
-    ).filter(_similar_size(F.col("n_shingles"), F.col("n_b")))
-    rest = rest.select(F.col("node").alias("a"), "b").distinct()
-    links, roots = _linked(rest, links, nodes, docs)
+        links, roots = _linked(asked, links, nodes, sets)
+
+    members = met.join(roots, "node")
+    several = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    left = members.join(several.select("band"), "band").select("node", "root").distinct()
+    links, roots = _linked(_rare_pairs(save(left.join(sets, "node"), "left")), links, nodes, sets)
 
     named = nodes.select("node", "key", F.col("doc_id").alias("low_id")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
@@ -296,12 +330,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _linked(
-    asked: DataFrame, links: DataFrame | None, nodes: DataFrame, docs: DataFrame
+    asked: DataFrame, links: DataFrame | None, nodes: DataFrame, sets: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Links with those among the asked pairs added, and the class of every node."""
+    """Links with those among the asked pairs added, and the class of every node
+    that has a set."""
     likely = save(_estimated(asked, nodes), "likely")
-    found = _verified(likely, nodes, docs)
+    found = _verified(likely, sets)
     links = save(found if links is None else links.select("a", "b").union(found), "links")
-    joined = components(links)
-    roots = nodes.select("node").join(joined, "node", "left")
+    roots = sets.select("node").join(components(links), "node", "left")
     return links, save(roots.withColumn("root", F.coalesce("root", "node")), "roots")
