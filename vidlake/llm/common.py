@@ -116,3 +116,26 @@ def map_texts(
             yield pa.RecordBatch.from_pydict(columns)
 
     return docs.mapInArrow(run, schema)
+
+
+def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of equal keys from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            key = tuple(c[start] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

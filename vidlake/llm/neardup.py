@@ -17,9 +17,10 @@ sequence as one; no words: empty). Shingles are compared by 64-bit hash.
    chance, drops hopeless pairs (more than five deviations below the threshold),
    and the full sets decide the rest. Links so found join nodes into classes, and
    a large group of copies becomes one class without its pairs being listed.
-5. What is left are nodes that share a band with a node of another class. Among
-   them all pairs that can reach the threshold are compared: two such sets share a
-   shingle among the rarest few of each.
+5. What is left are bands whose nodes are of several classes. Their nodes are
+   dealt to tasks with their shingles, CHUNK at a time against CHUNK, and each task
+   compares all its pairs of different classes in memory, so pairs that are not
+   links are never listed.
 
 Links within a class that were not needed to form it stay unlisted; classes are
 the same as if all pairs had been compared.
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import as_long, hashes, map_texts, mix, odd_multipliers, save, text_of, words
+from vidlake.llm.common import as_long, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
 
 WORDS = 5
 # 100 * intersection >= THRESHOLD * union.
@@ -49,6 +50,7 @@ REGISTERS = 128
 BAND_ROWS = 4
 MANTISSA_BITS = 10
 STAR_ROUNDS = 2
+CHUNK = 1_000
 # Registers of two sets at the threshold agree in 0.75 +- 0.038 of cases.
 HOPELESS = 0.75 - 5.2 * 0.0383
 
@@ -213,40 +215,54 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _rare_pairs(left: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes that may reach the threshold, from node,
-    root and set. With n shingles, of which 0.75 n have to be shared, one of the
-    n - ceil(0.75 n) + 1 rarest is; the smaller set of a pair has to share 6/7 of
-    its own, so fewer of its rarest do."""
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, value in zip(batch.column("node").to_pylist(), batch.column("set")):
-                found = np.frombuffer(value.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_pydict({"node": np.full(len(found), node), "shingle": found})
-
-    rows = left.select("node", "set").mapInArrow(listed, "node long, shingle long")
-    common = rows.groupBy("shingle").agg(F.count("*").alias("df"))
-    ranked = (
-        rows.join(common, "shingle")
-        .groupBy("node")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ranked"))
-        .withColumn("n", F.size("ranked"))
+def _close_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one band (band, node, root) and different classes that share
+    enough shingles, as far as half of each hash tells."""
+    several = (
+        members.groupBy("band")
+        .agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("low != high")
+        .select("band", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
     )
-    need = F.ceil(F.col("n") * THRESHOLD / 100)
-    need_small = F.ceil(F.col("n") * (2 * THRESHOLD) / (100 + THRESHOLD))
-    first = ranked.join(left.select("node", "root"), "node").select(
-        "node", "root", "n", (F.col("n") - need_small + 1).alias("few"),
-        F.posexplode(F.slice("ranked", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("at", "one"),
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    dealt = (
+        members.join(several, "band")
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("node", "root", "band", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+        .join(sets, "node")
+        .repartition("band", "lo", "hi")
+        .sortWithinPartitions("band", "lo", "hi")
     )
-    first = first.select("node", "root", "n", F.col("one.shingle").alias("shingle"), (F.col("at") < F.col("few")).alias("few"))
-    large = first.select("shingle", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
-    small = first.filter("few").select(
-        "shingle", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b")
-    )
-    both = large.join(small, "shingle").filter("root_a != root_b and (n_b < n_a or n_b = n_a and b < a)")
-    both = both.filter(F.col("n_b") * 100 >= F.col("n_a") * THRESHOLD)
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def compare(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        node, root, mine = (rows.column(c).to_numpy() for c in ("node", "root", "mine"))
+        sets_ = [(np.frombuffer(v.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32) for v in rows.column("set")]
+        size = np.array([len(s) for s in sets_])
+        order = np.argsort(flat := np.concatenate(sets_), kind="stable")
+        owner, flat = np.repeat(np.arange(len(sets_)), size)[order], flat[order]
+        both = int(rows.column("lo")[0].as_py()) != int(rows.column("hi")[0].as_py())
+        out: tuple[list, list] = [], []
+        for i, own in enumerate(sets_):
+            start, end = np.searchsorted(flat, own), np.searchsorted(flat, own, "right")
+            length = end - start
+            at = np.repeat(start - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
+            inter = np.minimum(np.bincount(owner[at], minlength=len(sets_)), np.minimum(size, size[i])) + 1
+            near = (100 * inter >= THRESHOLD * (size + size[i] - inter)) & (root != root[i]) & (node > node[i])
+            if both:  # pairs within one chunk meet elsewhere
+                near &= mine != mine[i]
+            found = node[near]
+            out[0].append(np.full(len(found), node[i]))
+            out[1].append(found)
+        return np.concatenate(out[0]), np.concatenate(out[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["band", "lo", "hi"]):
+            a, b = compare(group)
+            if len(a):
+                yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -308,10 +324,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         asked = asked.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         links, roots = _linked(asked, links, nodes, sets)
 
-    members = met.join(roots, "node")
-    several = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    left = members.join(several.select("band"), "band").select("node", "root").distinct()
-    links, roots = _linked(_rare_pairs(save(left.join(sets, "node"), "left")), links, nodes, sets)
+    links, roots = _linked(_close_pairs(met.join(roots, "node"), sets), links, nodes, sets)
 
     named = nodes.select("node", "key", F.col("doc_id").alias("low_id")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
