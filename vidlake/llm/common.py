@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from vidlake.session import scratch_dir
 
-# Entries a worker keeps per word cache, and the longest word kept there; a
-# full cache is emptied, which costs time but changes no result.
-CACHE_ENTRIES = 300_000
+# Entries a worker keeps per generation of a word cache, and the longest word kept.
+CACHE_ENTRIES = 150_000
 CACHE_WORD_BYTES = 64
 # Texts are handled in slices of about so many bytes.
 SLICE_BYTES = 8_000_000
@@ -40,20 +39,26 @@ def fifth(doc_id: str | Column) -> Column:
 
 class WordCache(dict):
     """Results of a function of a word (or, with longest 0, a number), computed
-    once per worker."""
+    once per worker. A full cache becomes the old one, which words used again are
+    taken from, and the one before it is forgotten."""
 
     def __init__(self, function: Callable, entries: int = CACHE_ENTRIES, longest: int = CACHE_WORD_BYTES):
         super().__init__()
         self.function = function
         self.entries = entries
         self.longest = longest
+        self.old: dict = {}
 
     def __missing__(self, word):
-        value = self.function(word)
-        if not self.longest or len(word) <= self.longest:
-            if len(self) >= self.entries:
-                self.clear()
-            self[word] = value
+        value = self.old.get(word)
+        if value is None:
+            value = self.function(word)
+            if self.longest and len(word) > self.longest:
+                return value
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[word] = value
         return value
 
 

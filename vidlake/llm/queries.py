@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.llm import decontam, neardup, pii, toxicity
+from vidlake.llm import decontam, neardup, packing, pii, token_counts, toxicity
 from vidlake.llm.common import read
 
 
@@ -13,6 +14,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop(decontam.TEXT_HASH)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(read(spark, sf_dir, "documents"), path)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
@@ -21,6 +27,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.counts(read(spark, sf_dir, "documents"), path)
+
+
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -28,8 +39,10 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_packing": op2_packing,
     "op5_pii": op5_pii,
     "op7_toxicity": op7_toxicity,
+    "op8_token_counts": op8_token_counts,
     "op10_neardup": op10_neardup,
 }
 ORACLES: dict[str, str] = {}

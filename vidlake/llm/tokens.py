@@ -11,6 +11,7 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from functools import cache
 
 import numpy as np
@@ -20,7 +21,7 @@ from vidlake.llm.common import WordCache
 
 # Unicode's white space, as the tokenizers' patterns mean it.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 # Up to here all versions of Unicode agree on letters and case; words with later
 # characters are split by the library itself.
 _SETTLED = re.compile("[^\x00-\u052f]")
@@ -57,18 +58,21 @@ class WordIds:
         self.full = regex.compile(rf"{ends}|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+")
 
     def _piece(self, piece: str) -> bytes:
-        piece = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+        if not (piece.isascii() and piece.isprintable()):
+            piece = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "surrogatepass")
-        if _SETTLED.search(text) or b"<|" in word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if text.isascii():
-            found = self.ascii.findall(text.lower())
+        if word.isascii() and b"<|" not in word:
+            text = word.lower().decode()
+            if text.isalpha():
+                return self.pieces[text]
+            found = self.ascii.findall(text)
         else:
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            found = self.full.findall(text)
+            text = word.decode("utf-8", "surrogatepass")
+            if _SETTLED.search(text) or b"<|" in word:
+                return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            found = self.full.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
         return b"".join(map(self.pieces.__getitem__, found))
 
     def ids(self, text: str) -> np.ndarray:
@@ -109,13 +113,10 @@ class PrefixCounts:
             self.turn.setdefault(ids[0] << 32 | ids[1], turn)
             self.made.setdefault(self.id[left + right], (turn, *ids))
         self.special = [t["content"] for t in model["added_tokens"]]
-        lengths: dict[int, set[int]] = {}
-        for token in self.id:
-            lengths.setdefault(token[-1], set()).add(len(token))
-        #: Lengths of the tokens that end in a byte, the longest first.
-        self.lengths = {b: tuple(sorted(n, reverse=True)) for b, n in lengths.items()}
-        self.apart = WordCache(self._apart, CACHE_UNITS, 0)
-        self.whole = WordCache(self._whole, CACHE_UNITS, 0)
+        #: Ids of the tokens, and -1 for what tokens only end in.
+        self.ending = {t[i:]: -1 for t in self.id for i in range(len(t))} | self.id
+        self.apart = WordCache(self._apart, 2 * CACHE_UNITS, 0)
+        self.whole = WordCache(self._whole, 2 * CACHE_UNITS, 0)
         self.units = WordCache(self._unit, CACHE_UNITS)
         self.pieces = WordCache(self._piece, CACHE_UNITS)
         self.split = re.compile(rf"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
@@ -169,17 +170,14 @@ class PrefixCounts:
     def _piece(self, piece: str) -> bytes:
         """Steps over the characters of a piece."""
         data = piece.encode("utf-8", "surrogatepass")
-        ids, apart = self.id, self.apart
+        ending, apart = self.ending, self.apart
         counts, last = [0], [0]
         for end in range(1, len(data) + 1):
-            for length in self.lengths[data[end - 1]]:
-                start = end - length
-                if start < 0:
-                    continue
-                token = ids.get(data[start:end])
+            for start in range(end - 1, -1, -1):
+                token = ending.get(data[start:end])
                 if token is None:
-                    continue
-                if apart[last[start] << 32 | token] if start else self.whole[token]:
+                    break
+                if token >= 0 and (apart[last[start] << 32 | token] if start else self.whole[token]):
                     counts.append(counts[start] + 1)
                     last.append(token)
                     break
