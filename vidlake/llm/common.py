@@ -17,6 +17,8 @@ CACHE_ENTRIES = 150_000
 CACHE_WORD_BYTES = 64
 # Texts are handled in slices of about so many bytes.
 SLICE_BYTES = 8_000_000
+# Column that tells rows of one id apart by their text; no table of ours has it.
+TEXT_HASH = "_vidlake_text_hash"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import as_long, hashes, map_texts, mix, odd_multipliers, save, text_of
+from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, mix, odd_multipliers, save, text_of
 from vidlake.llm.toxicity import _FOLD
 
 # Places a mask looks at.
@@ -42,7 +42,6 @@ SUBSTITUTION = 2
 MAX_BITS = 28
 
 _PLACE = odd_multipliers(SPAN, 21)
-TEXT_HASH = "_text_hash"
 
 
 def _tokens(text: str) -> np.ndarray:
@@ -228,3 +227,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "best.n_item_words",
         TEXT_HASH,
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that hold no test item, with all their columns."""
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id"), TEXT_HASH).distinct()
+    marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("leaked_id")) & (marked[TEXT_HASH] == found[TEXT_HASH])
+    return marked.join(found, same, "left_anti").drop(TEXT_HASH)

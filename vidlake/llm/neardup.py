@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import as_long, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
+from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
 
 WORDS = 5
 # 100 * intersection >= THRESHOLD * union.
@@ -131,9 +131,19 @@ def _signed(docs: DataFrame) -> DataFrame:
             keys.append(xxhash.xxh3_128_digest(b" ".join(tokens)))
             sizes.append(len(found))
             regs.append(registers(found).tobytes() if len(found) else None)
-        return {"doc_id": batch.column("doc_id"), "key": keys, "n_shingles": pa.array(sizes, pa.int64()), "regs": regs}
-
-    return map_texts(docs.select("doc_id", "text"), sign, "doc_id long, key binary, n_shingles long, regs binary")
+        return {
+            "doc_id": batch.column("doc_id"),
+            TEXT_HASH: batch.column(TEXT_HASH),
+            "key": keys,
+            "n_shingles": pa.array(sizes, pa.int64()),
+            "regs": pa.array(regs, pa.binary()),
+        }
+
+    return map_texts(
+        docs.select("doc_id", F.xxhash64("text").alias(TEXT_HASH), "text"),
+        sign,
+        f"doc_id long, {TEXT_HASH} long, key binary, n_shingles long, regs binary",
+    )
 
 
 def _banded(nodes: DataFrame) -> DataFrame:
@@ -297,7 +307,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+    """doc_id, n_shingles, component_id, kept and a hash of the text of every row."""
     signed = save(_signed(docs), "signed")
     nodes = signed.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")
@@ -331,10 +341,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
     classes = named.join(least, "root").select("key", "component_id")
     return (
-        signed.select("doc_id", "key", "n_shingles")
+        signed.select("doc_id", TEXT_HASH, "key", "n_shingles")
         .join(classes, "key", "left")
         .select(
             "doc_id",
+            TEXT_HASH,
             "n_shingles",
             F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         )
@@ -352,3 +363,12 @@ def _linked(
     links = save(found if links is None else links.select("a", "b").union(found), "links")
     roots = sets.select("node").join(components(links), "node", "left")
     return links, save(roots.withColumn("root", F.coalesce("root", "node")), "roots")
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One document of each class, the one of the smallest id, with all its columns.
+    Documents without an id that are alike word by word count as one."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), TEXT_HASH)
+    marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (marked[TEXT_HASH] == kept[TEXT_HASH])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", TEXT_HASH]).drop(TEXT_HASH)

@@ -20,7 +20,7 @@ columns are never looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +115,20 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> Da
     return ready.groupBy().applyInArrow(fit, "feature int, weight double")
 
 
+def _judge(at: np.ndarray, value: np.ndarray) -> Callable[[str], float]:
+    """The score of a text under a list of weights."""
+    dense = np.zeros(1 << BITS, np.float32)
+    dense[at] = value
+    bias = float(dense[_BIAS])
+
+    def judge(text: str) -> float:
+        places = features(text)
+        places = np.unique(places[dense[places] != 0])
+        return float(_sigmoid(bias + dense[places].sum(dtype=float)))
+
+    return judge
+
+
 def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
     """doc_id and score of every row. The weights are broadcast; train() bounds
     their number."""
@@ -125,16 +139,9 @@ def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
     trained = bool(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, value = shared.value
-        dense = np.zeros(1 << BITS, np.float32)
-        dense[at] = value
-        bias = float(dense[_BIAS])
+        judge = _judge(*shared.value)
         for batch in batches:
-            scores = []
-            for text in batch.column("text").to_pylist():
-                places = features(text_of(text))
-                places = np.unique(places[dense[places] != 0])
-                scores.append(_sigmoid(bias + dense[places].sum(dtype=float)) if trained else 0.0)
+            scores = [judge(text_of(t)) if trained else 0.0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "score": pa.array(scores, pa.float64())}
             )
@@ -151,3 +158,19 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, weights: DataFrame) -> DataFrame:
+    """The documents that score below 0.5, with all their columns."""
+    model = weights.collect()
+    at = np.array([w.feature for w in model], np.int64)
+    value = np.array([w.weight for w in model], float)
+    shared = docs.sparkSession.sparkContext.broadcast((at, value))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(*shared.value)
+        for batch in batches:
+            keep = [judge(text_of(t)) < 0.5 for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema) if model else docs
