@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.llm import decontam, neardup, packing, pii, token_counts, toxicity
+from vidlake.llm import decontam, licenses, neardup, packing, pii, quality, token_counts, toxicity
 from vidlake.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), path)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(read(spark, sf_dir, "documents"), path)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"))
+
+
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -40,9 +48,11 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_packing": op2_packing,
+    "op4_licenses": op4_licenses,
     "op5_pii": op5_pii,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_quality": op9_quality,
     "op10_neardup": op10_neardup,
 }
 ORACLES: dict[str, str] = {}
