@@ -49,7 +49,6 @@ THRESHOLD = 75
 REGISTERS = 128
 BAND_ROWS = 4
 MANTISSA_BITS = 10
-STAR_ROUNDS = 2
 CHUNK = 1_000
 # Registers of two sets at the threshold agree in 0.75 +- 0.038 of cases.
 HOPELESS = 0.75 - 5.2 * 0.0383
@@ -278,16 +277,11 @@ def _close_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node that links (a, b) lead to, for nodes that
     have a link. Alternates pulling larger and smaller neighbours to the
-    smallest one until nothing changes; each step is a table, and a hub's many
-    neighbours are split by the join."""
+    smallest one until every node points to a root; each step is a table, and a
+    hub's many neighbours are split by the join."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     edges = save(edges, "edges")
-
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-
-    before = mark(edges)
-    while before[0]:
+    while not _stars(edges):
         # Larger neighbours of every node go to its smallest neighbour.
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -297,15 +291,19 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = save(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        after = mark(edges)
-        if after == before:
-            break
-        before = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node points to one other, and none that is pointed to points."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("from"), F.lit(0).alias("to"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("from").alias("from"), F.max("to").alias("to"))
+    return ends.filter("from > 1 or from = 1 and to = 1").isEmpty()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and a hash of the text of every row."""
     signed = save(_signed(docs), "signed")
@@ -318,23 +316,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = save(banded.join(shared, "band"), "met")
 
     sets = save(_sets(met.select("node").distinct(), nodes, docs), "sets")
-    links, roots = None, sets.select("node", F.col("node").alias("root"))
-    for star in range(STAR_ROUNDS):
-        # Any node may be hub; another one for each band and round. Bands that are
-        # one class already have nothing to ask.
-        place = F.xxhash64("node", "band", F.lit(star))
-        members = met.join(roots, "node")
-        hubs = (
-            members.groupBy("band")
-            .agg(F.min(F.struct(place, "node", "root")).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high"))
-            .filter("low != high")
-            .select("band", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))
-        )
-        asked = members.join(hubs, "band").filter("root != hub_root")
-        asked = asked.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        links, roots = _linked(asked, links, nodes, sets)
+    # Any node may be hub; another one for each band.
+    hubs = met.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band"), "node"))["node"].alias("hub"))
+    asked = met.join(hubs, "band").filter("node != hub")
+    asked = asked.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    links = save(_verified(_estimated(asked, nodes), sets), "links")
+    roots = sets.select("node").join(components(links), "node", "left")
+    roots = save(roots.withColumn("root", F.coalesce("root", "node")), "roots")
 
-    links, roots = _linked(_close_pairs(met.join(roots, "node"), sets), links, nodes, sets)
+    # Links found now join classes.
+    close = _estimated(_close_pairs(met.join(roots, "node"), sets), nodes)
+    found = _verified(close, sets).join(roots.toDF("a", "root_a"), "a").join(roots.toDF("b", "root_b"), "b")
+    joined = components(found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    roots = roots.join(joined.toDF("root", "low"), "root", "left").select("node", F.coalesce("low", "root").alias("root"))
 
     named = nodes.select("node", "key", F.col("doc_id").alias("low_id")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
@@ -353,18 +347,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _linked(
-    asked: DataFrame, links: DataFrame | None, nodes: DataFrame, sets: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Links with those among the asked pairs added, and the class of every node
-    that has a set."""
-    likely = save(_estimated(asked, nodes), "likely")
-    found = _verified(likely, sets)
-    links = save(found if links is None else links.select("a", "b").union(found), "links")
-    roots = sets.select("node").join(components(links), "node", "left")
-    return links, save(roots.withColumn("root", F.coalesce("root", "node")), "roots")
-
-
 def without_copies(docs: DataFrame) -> DataFrame:
     """One document of each class, the one of the smallest id, with all its columns.
     Documents without an id that are alike word by word count as one."""
