@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.llm import decontam, licenses, neardup, packing, pii, quality, token_counts, toxicity
+from vidlake.llm import decontam, htmltext, licenses, neardup, packing, pii, quality, token_counts, toxicity
 from vidlake.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(read(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_licenses": op4_licenses,
     "op5_pii": op5_pii,
+    "op6_main_text": op6_main_text,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
