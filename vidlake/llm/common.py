@@ -29,7 +29,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the folder all executors share and read it back, which
     cuts the lineage: a lost executor costs no more than its own tasks."""
     path = f"{scratch_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.llm import decontam, htmltext, licenses, neardup, packing, pii, quality, token_counts, toxicity
+from vidlake.llm import decontam, hmm, htmltext, licenses, neardup, packing, pii, quality, token_counts, toxicity
 from vidlake.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), path)
 
 
+def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(read(spark, sf_dir, "documents"))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(read(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_packing": op2_packing,
+    "op3_hmm": op3_hmm,
     "op4_licenses": op4_licenses,
     "op5_pii": op5_pii,
     "op6_main_text": op6_main_text,
