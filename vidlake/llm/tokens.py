@@ -22,6 +22,11 @@ from vidlake.llm.common import WordCache
 # Unicode's white space, as the tokenizers' patterns mean it.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CACHE_UNITS = 200_000
+CACHE_WORDS = 400_000
+# Lengths of beginnings that are kept.
+_SHARED = (8, 6, 4)
+# Marks that end a word, none of which begins a piece of its own with what follows.
+_MARKS = b".,;:!?%&*#$|)(-+=/"
 # Up to here all versions of Unicode agree on letters and case; words with later
 # characters are split by the library itself.
 _SETTLED = re.compile("[^\x00-\u052f]")
@@ -51,28 +56,34 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = _library(path)
         self.letters = byte_letters()
-        self.words = WordCache(self._word, CACHE_UNITS)
+        self.words = WordCache(self._word, CACHE_WORDS)
         self.pieces = WordCache(self._piece, CACHE_UNITS)
         ends = "'s|'t|'re|'ve|'m|'ll|'d"
         self.ascii = re.compile(rf"{ends}|[a-z]+|[0-9]|[^a-z0-9{_WHITE}]+")
         self.full = regex.compile(rf"{ends}|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+")
 
-    def _piece(self, piece: str) -> bytes:
-        if not (piece.isascii() and piece.isprintable()):
-            piece = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+    def _piece(self, piece: bytes | str) -> bytes:
+        """Ids of a piece; as bytes it is letters or marks only."""
+        if isinstance(piece, bytes):
+            text = piece.decode()
+        else:
+            text = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        if word.isascii() and b"<|" not in word:
-            text = word.lower().decode()
-            if text.isalpha():
-                return self.pieces[text]
-            found = self.ascii.findall(text)
-        else:
-            text = word.decode("utf-8", "surrogatepass")
-            if _SETTLED.search(text) or b"<|" in word:
-                return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-            found = self.full.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        if word.isascii():
+            low = word.lower()
+            if low.isalpha():
+                return self.pieces[low]
+            core = low.rstrip(_MARKS)
+            if core.isalpha():
+                return self.pieces[core] + self.pieces[low[len(core) :]]
+            if b"<|" not in low:
+                return b"".join(map(self.pieces.__getitem__, self.ascii.findall(low.decode())))
+        text = word.decode("utf-8", "surrogatepass")
+        if _SETTLED.search(text) or b"<|" in word:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        found = self.full.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
         return b"".join(map(self.pieces.__getitem__, found))
 
     def ids(self, text: str) -> np.ndarray:
