@@ -126,9 +126,10 @@ class PrefixCounts:
         self.special = [t["content"] for t in model["added_tokens"]]
         #: Ids of the tokens, and -1 for what tokens only end in.
         self.ending = {t[i:]: -1 for t in self.id for i in range(len(t))} | self.id
+        self.begun: dict[bytes, tuple[list[int], list[int]]] = {}
         self.apart = WordCache(self._apart, 2 * CACHE_UNITS, 0)
         self.whole = WordCache(self._whole, 2 * CACHE_UNITS, 0)
-        self.units = WordCache(self._unit, CACHE_UNITS)
+        self.units = WordCache(self._unit, CACHE_WORDS)
         self.pieces = WordCache(self._piece, CACHE_UNITS)
         self.split = re.compile(rf"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
         self.white = re.compile(rf"[{_WHITE}]*")
@@ -181,9 +182,15 @@ class PrefixCounts:
     def _piece(self, piece: str) -> bytes:
         """Steps over the characters of a piece."""
         data = piece.encode("utf-8", "surrogatepass")
-        ending, apart = self.ending, self.apart
-        counts, last = [0], [0]
-        for end in range(1, len(data) + 1):
+        ending, apart, size = self.ending, self.apart, len(data)
+        # Pieces that begin alike share what was found for their beginnings.
+        for known in _SHARED:
+            if size > known and (found := self.begun.get(data[:known])):
+                counts, last = found[0][:], found[1][:]
+                break
+        else:
+            counts, last, known = [0], [0], 0
+        for end in range(known + 1, size + 1):
             for start in range(end - 1, -1, -1):
                 token = ending.get(data[start:end])
                 if token is None:
@@ -192,6 +199,10 @@ class PrefixCounts:
                     counts.append(counts[start] + 1)
                     last.append(token)
                     break
+            if end in _SHARED and end < size:
+                if len(self.begun) >= CACHE_UNITS:
+                    self.begun.clear()
+                self.begun[data[:end]] = counts[:], last[:]
         if len(data) != len(piece):
             counts = [c for i, c in enumerate(counts) if i == len(data) or data[i] & 0xC0 != 0x80]
         return _steps(counts)
@@ -218,6 +229,8 @@ class PrefixCounts:
 
     def _unit(self, unit: str) -> bytes:
         """Steps of white space and the word after it."""
+        if unit[0] == " " and "!" <= unit[1:2] <= "~":
+            return self._word(unit)
         end = self.white.match(unit).end()
         if end == 0 or end == 1 and unit[0] == " " and len(unit) > 1:
             return self._word(unit)
