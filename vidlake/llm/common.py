@@ -25,10 +25,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def files_for(rows: int, per_file: int) -> int:
+    """Files for so many rows at most, so that small tables are not many files."""
+    return max(12, -(-rows // per_file))
+
+
+def save(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write a table to the folder all executors share and read it back, which
-    cuts the lineage: a lost executor costs no more than its own tasks."""
+    cuts the lineage: a lost executor costs no more than its own tasks. Spark's
+    partitions are put together to the given number of files, if there are more."""
     path = f"{scratch_dir(df.sparkSession)}/{name}"
+    if files is not None:
+        df = df.coalesce(files)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
+from vidlake.llm.common import TEXT_HASH, as_long, files_for, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
 
 WORDS = 5
 # 100 * intersection >= THRESHOLD * union.
@@ -274,13 +274,13 @@ def _close_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, files: int | None = None) -> DataFrame:
     """node, root: the smallest node that links (a, b) lead to, for nodes that
     have a link. Alternates pulling larger and smaller neighbours to the
     smallest one until every node points to a root; each step is a table, and a
     hub's many neighbours are split by the join."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
-    edges = save(edges, "edges")
+    edges = save(edges, "edges", files)
     while not _stars(edges):
         # Larger neighbours of every node go to its smallest neighbour.
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
@@ -290,7 +290,7 @@ def components(links: DataFrame) -> DataFrame:
         # Then smaller neighbours, and the node itself.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = save(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        edges = save(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges", files)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
@@ -310,24 +310,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = signed.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")
     )
-    nodes = save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    n = signed.count()
+    nodes = save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes", files_for(n, 100_000))
     banded = _banded(nodes)
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    met = save(banded.join(shared, "band"), "met")
+    met = save(banded.join(shared, "band"), "met", files_for(n, 50_000))
 
-    sets = save(_sets(met.select("node").distinct(), nodes, docs), "sets")
+    sets = save(_sets(met.select("node").distinct(), nodes, docs), "sets", files_for(n, 20_000))
+    narrow = files_for(n, 1_000_000)
     # Any node may be hub; another one for each band.
     hubs = met.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band"), "node"))["node"].alias("hub"))
     asked = met.join(hubs, "band").filter("node != hub")
     asked = asked.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    links = save(_verified(_estimated(asked, nodes), sets), "links")
-    roots = sets.select("node").join(components(links), "node", "left")
-    roots = save(roots.withColumn("root", F.coalesce("root", "node")), "roots")
+    links = save(_verified(_estimated(asked, nodes), sets), "links", files_for(n, 50_000))
+    roots = sets.select("node").join(components(links, narrow), "node", "left")
+    roots = save(roots.withColumn("root", F.coalesce("root", "node")), "roots", narrow)
 
     # Links found now join classes.
     close = _estimated(_close_pairs(met.join(roots, "node"), sets), nodes)
     found = _verified(close, sets).join(roots.toDF("a", "root_a"), "a").join(roots.toDF("b", "root_b"), "b")
-    joined = components(found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    joined = components(found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), narrow)
     roots = roots.join(joined.toDF("root", "low"), "root", "left").select("node", F.coalesce("low", "root").alias("root"))
 
     named = nodes.select("node", "key", F.col("doc_id").alias("low_id")).join(roots, "node", "left")
