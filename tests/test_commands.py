@@ -26,8 +26,7 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     assert "succeeded" in capsys.readouterr().out
     run(spark, ["to-silver", "--silver", paths["silver"], "--bronze", paths["bronze"]])
     assert "4 records" in capsys.readouterr().out
-    run(spark, ["ingest", "--silver", str(tmp_path / "stream"), "--progress", str(tmp_path / "p"),
-                "--bronze", paths["bronze"]])
+    run(spark, ["ingest", "--silver", str(tmp_path / "stream"), "--bronze", paths["bronze"]])
     assert "4 rows read" in capsys.readouterr().out
     run(spark, ["clean", "--silver", paths["silver"], "--clean", paths["clean"]])
     run(spark, ["gold", "--silver", paths["silver"], "--gold", paths["gold"]])
@@ -39,6 +38,12 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     assert "4,000" in capsys.readouterr().out
     run(spark, ["report", "daily_uploads", "--gold", paths["gold"]])
     assert "2024-2-5" in capsys.readouterr().out
+    run(spark, ["report", "channel_table", "--gold", paths["gold"], "--out", str(tmp_path / "out")])
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 1
+    run(spark, ["gold", "--silver", str(tmp_path / "stream"), "--gold", paths["gold"]])
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="missing column"):
+        run(spark, ["quality", "--table", str(tmp_path / "other"), "--enforce"])
 
 
 def test_split_history_command(spark, tmp_path, capsys):

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 
 import pytest
 
 from vidlake.plans import jobs
-from vidlake.streaming.ingest import ingest, rows_broken, rows_read
+from vidlake.streaming.ingest import Taken, ingest, read_silver
 
 RECORD = {
     "title": "t",
@@ -32,17 +34,17 @@ def land_csv(path, *ids):
 
 
 def ids_in(spark, path):
-    return sorted(r.video_id for r in spark.read.parquet(path).collect())
+    return sorted(r.video_id for r in read_silver(spark, path).collect())
 
 
 def test_each_run_takes_only_new_files(spark, tmp_path):
-    bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
 
     def run():
-        return rows_read(ingest(spark, silver, progress, bronze_path=bronze))
+        return ingest(spark, silver, bronze_path=bronze).rows_read
 
     land(tmp_path / "bronze/year=2024/month=02/day=01/a.json", "v1", "v2")
-    land(tmp_path / "bronze/chart/date=2024-02-01/a.json", "v3")
+    land(tmp_path / "bronze/chart/date=2024-02-01/a b.json", "v3")
     assert run() == 3
     assert run() == 0
     assert ids_in(spark, silver) == ["v1", "v2", "v3"]
@@ -50,85 +52,113 @@ def test_each_run_takes_only_new_files(spark, tmp_path):
     assert run() == 1
     assert run() == 0
     assert ids_in(spark, silver) == ["v1", "v2", "v3", "v4"]
-    row = spark.read.parquet(silver).filter("video_id = 'v4'").first()
+    row = read_silver(spark, silver).filter("video_id = 'v4'").first()
     assert (row.year, row.month, row.day, row.views, row.description) == (2024, 1, 5, 5, "")
 
 
+def test_late_files_are_taken(spark, tmp_path):
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    land(tmp_path / "bronze/a.json", "v1")
+    ingest(spark, silver, bronze_path=bronze)
+    land(tmp_path / "bronze/b.json", "v2")
+    old = time.time() - 60 * 86_400
+    os.utime(tmp_path / "bronze/b.json", (old, old))
+    assert ingest(spark, silver, bronze_path=bronze).files == 1
+    assert ids_in(spark, silver) == ["v1", "v2"]
+
+
+def test_replaced_files_replace_their_rows(spark, tmp_path):
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    land(tmp_path / "bronze/a.json", "v1", "v2")
+    land(tmp_path / "bronze/b.json", "v3")
+    ingest(spark, silver, bronze_path=bronze)
+    land(tmp_path / "bronze/a.json", "v1", "w2", "w3")
+    assert ingest(spark, silver, bronze_path=bronze).rows_read == 3
+    assert ids_in(spark, silver) == ["v1", "v3", "w2", "w3"]
+    (tmp_path / "bronze/a.json").unlink()
+    ingest(spark, silver, bronze_path=bronze)
+    assert ids_in(spark, silver) == ["v1", "v3", "w2", "w3"]
+
+
 def test_both_sources_feed_one_table(spark, tmp_path):
-    bronze, csv, silver, progress = (str(tmp_path / n) for n in ("bronze", "csv", "silver", "progress"))
+    bronze, csv, silver = (str(tmp_path / n) for n in ("bronze", "csv", "silver"))
     land(tmp_path / "bronze/a.json", "v1")
     land_csv(tmp_path / "csv/a.csv", "old")
-    ingest(spark, silver, progress, bronze_path=bronze, csv_path=csv)
+    ingest(spark, silver, bronze_path=bronze, csv_path=csv)
     land_csv(tmp_path / "csv/b.csv", "older")
-    ingest(spark, silver, progress, bronze_path=bronze, csv_path=csv)
+    ingest(spark, silver, bronze_path=bronze, csv_path=csv)
     assert ids_in(spark, silver) == ["old", "older", "v1"]
-    assert spark.read.parquet(silver).filter("video_id = 'old'").first().title == 'a, "b"\nc'
+    assert read_silver(spark, silver).filter("video_id = 'old'").first().title == 'a, "b"\nc'
 
 
 def test_arrays_and_lines_are_both_taken(spark, tmp_path):
     land(tmp_path / "bronze/a.json", "v1", "v2")
     lines = "".join(json.dumps({"video_id": f"w{n}", **RECORD}) + "\n" for n in range(3))
-    (tmp_path / "bronze/part-0.json").write_text(lines)
-    query = ingest(spark, str(tmp_path / "s"), str(tmp_path / "p"), bronze_path=str(tmp_path / "bronze"))
-    assert rows_read(query) == 5
+    (tmp_path / "bronze/snap.json").write_text(lines)
+    taken = ingest(spark, str(tmp_path / "s"), bronze_path=str(tmp_path / "bronze"))
+    assert taken == Taken(2, 5, 0)
     assert ids_in(spark, str(tmp_path / "s")) == ["v1", "v2", "w0", "w1", "w2"]
 
 
 def test_broken_file_stays_out(spark, tmp_path):
-    bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
     land(tmp_path / "bronze/a.json", "v1")
     (tmp_path / "bronze/b.json").write_text('[{"video_id": "x", "tit')
-    query = ingest(spark, silver, progress, bronze_path=bronze)
+    taken = ingest(spark, silver, bronze_path=bronze, quarantine_path=str(tmp_path / "q"))
     assert ids_in(spark, silver) == ["v1"]
-    assert (rows_read(query), rows_broken(query)) == (2, 1)
+    assert (taken.rows_read, taken.rows_broken) == (2, 1)
+    assert spark.read.parquet(str(tmp_path / "q")).first().text.startswith("[{")
 
 
 def test_a_run_that_died_is_repeated_whole(spark, tmp_path):
-    """Take away the commit of the last batch, as if the run had died after
+    """Take away the ledger rows of the last batch, as if the run had died after
     writing its files: the repeat must not show them twice."""
-    bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
-    land(tmp_path / "bronze/a.json", "v1", "v2")
-    ingest(spark, silver, progress, bronze_path=bronze)
-    commits = tmp_path / "progress/commits"
-    for name in ("0", ".0.crc"):
-        if (commits / name).exists():
-            (commits / name).unlink()
-    ingest(spark, silver, progress, bronze_path=bronze)
-    assert ids_in(spark, silver) == ["v1", "v2"]
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    land(tmp_path / "bronze/a.json", "v1")
+    ingest(spark, silver, bronze_path=bronze)
+    before = set((tmp_path / "silver/_ledger").iterdir())
+    land(tmp_path / "bronze/b.json", "v2", "v3")
+    ingest(spark, silver, bronze_path=bronze)
+    for name in set((tmp_path / "silver/_ledger").iterdir()) - before:
+        name.unlink()
+    assert ids_in(spark, silver) == ["v1"]
+    assert ingest(spark, silver, bronze_path=bronze).rows_read == 2
+    assert ids_in(spark, silver) == ["v1", "v2", "v3"]
 
 
-def test_backlog_in_steps(spark, tmp_path):
-    bronze, silver, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
+def test_backlog_in_steps_counts_everything(spark, tmp_path):
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
     for n in range(5):
         land(tmp_path / f"bronze/{n}.json", f"v{n}")
-    query = ingest(spark, silver, progress, bronze_path=bronze, files_per_batch=2)
-    assert rows_read(query) == 5 and query.lastProgress["batchId"] >= 2
+    (tmp_path / "bronze/x.json").write_text("[{")
+    taken = ingest(spark, silver, bronze_path=bronze, files_per_batch=2)
+    assert taken == Taken(6, 6, 1)
     assert ids_in(spark, silver) == [f"v{n}" for n in range(5)]
 
 
 def test_a_table_has_one_feeder(spark, tmp_path):
     bronze = str(tmp_path / "bronze")
     land(tmp_path / "bronze/a.json", "v1")
-    ingest(spark, str(tmp_path / "stream"), str(tmp_path / "p1"), bronze_path=bronze)
+    ingest(spark, str(tmp_path / "stream"), bronze_path=bronze)
     with pytest.raises(ValueError, match="incremental"):
         jobs.bronze_to_silver(spark, str(tmp_path / "stream"), bronze)
     jobs.bronze_to_silver(spark, str(tmp_path / "batch"), bronze)
     with pytest.raises(ValueError, match="batch job"):
-        ingest(spark, str(tmp_path / "batch"), str(tmp_path / "p2"), bronze_path=bronze)
+        ingest(spark, str(tmp_path / "batch"), bronze_path=bronze)
+    assert ids_in(spark, str(tmp_path / "batch")) == ["v1"]
 
 
-def test_large_history_goes_through_small_files(spark, tmp_path, monkeypatch):
+def test_large_history_goes_through_small_files(spark, tmp_path):
     land_csv(tmp_path / "csv/a.csv", *(f"v{n}" for n in range(50)))
     parts = str(tmp_path / "parts")
     assert jobs.split_history(spark, str(tmp_path / "csv"), parts).get["records"] == 50
-    ingest(spark, str(tmp_path / "silver"), str(tmp_path / "p"), csv_path=parts)
-    monkeypatch.setattr(jobs, "SPLIT_CSV_BYTES", 100)
-    jobs.bronze_to_silver(spark, str(tmp_path / "batch"), csv_path=str(tmp_path / "csv"))
+    ingest(spark, str(tmp_path / "silver"), csv_path=parts)
+    jobs.bronze_to_silver(spark, str(tmp_path / "batch"), csv_path=str(tmp_path / "csv"), split_csv=True)
     for table in ("silver", "batch"):
-        rows = spark.read.parquet(str(tmp_path / table))
+        rows = read_silver(spark, str(tmp_path / table))
         assert rows.count() == 50 and {r.title for r in rows.collect()} == {'a, "b"\nc'}
 
 
 def test_no_source(spark, tmp_path):
     with pytest.raises(ValueError):
-        ingest(spark, str(tmp_path / "s"), str(tmp_path / "p"))
+        ingest(spark, str(tmp_path / "s"))

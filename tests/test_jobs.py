@@ -43,7 +43,9 @@ def test_from_responses_to_reports(spark, tmp_path):
     bronze = str(tmp_path / "bronze")
 
     chart = jobs.land_chart(spark, str(tmp_path / "chart"), bronze, "chart", RUN).first()
-    assert (chart.outcome, chart.records) == ("succeeded", 50)
+    assert (chart.outcome, chart.records, chart.broken) == ("succeeded", 60, 0)
+    capped = jobs.land_chart(spark, str(tmp_path / "chart"), bronze, "chart", RUN, rows=50).first()
+    assert capped.records == 50
     found = jobs.land_search(spark, str(tmp_path / "search"), str(tmp_path / "details"), bronze, RUN)
     assert (found.first().outcome, found.first().records) == ("succeeded", 3)
     # Once more: the day is replaced.
@@ -61,8 +63,11 @@ def test_from_responses_to_reports(spark, tmp_path):
         spark, silver_path, bronze, str(tmp_path / "csv"), "vidlake_job_test",
         str(tmp_path / "quarantine"),
     )
-    assert written.get["records"] == 54
+    assert (written.records, written.broken) == (54, 1)
     assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
+    # The next run does not wipe it out.
+    again = jobs.bronze_to_silver(spark, str(tmp_path / "s2"), bronze, quarantine_path=str(tmp_path / "quarantine"))
+    assert again.broken == 1 and spark.read.parquet(str(tmp_path / "quarantine")).count() == 2
     assert spark.table("vidlake_job_test").count() == 54
     spark.sql("DROP TABLE vidlake_job_test")
 
@@ -70,15 +75,14 @@ def test_from_responses_to_reports(spark, tmp_path):
     jobs.silver_to_clean(silver, str(tmp_path / "clean"))
     assert readers.read_table(spark, str(tmp_path / "clean")).count() == 54
     assert jobs.publish_gold(silver, gold) == 54
-    videos = readers.read_table(spark, f"{gold}/videos")
+    videos = jobs.gold_table(spark, gold, "videos")
     assert videos.filter("video_id = 'old'").select("likes", "description").first() == (7, "d\nd")
-    channels = readers.read_table(spark, f"{gold}/channel_analysis")
-    days = readers.read_table(spark, f"{gold}/daily_analysis")
+    channels = jobs.gold_table(spark, gold, "channel_analysis")
+    days = jobs.gold_table(spark, gold, "daily_analysis")
     assert [tuple(r) for r in reports.daily_uploads(days).collect()] == [("2017-11-13", 1), ("2024-2-5", 53)]
     totals = sum(range(10, 60)) * 10 + 30
     assert [tuple(r) for r in reports.top_channels(channels).collect()] == [("c", totals), ("k", 7)]
-    assert sorted(p.name for p in (tmp_path / "gold").iterdir()) == [
-        "channel_analysis", "daily_analysis", "videos"]
+    assert len(list((tmp_path / "gold").iterdir())) == 1
 
 
 def test_landing_reports_failure(spark, tmp_path):
@@ -94,9 +98,8 @@ def test_gate_leaves_gold_alone(spark, videos, tmp_path):
     with pytest.raises(QualityError) as caught:
         jobs.publish_gold(silver_rows(bronze=videos({"title": None})), gold)
     assert caught.value.failures == ["empty_table: 1"]
-    assert readers.read_table(spark, f"{gold}/videos").count() == 1
-    assert sorted(p.name for p in (tmp_path / "gold").iterdir()) == [
-        "channel_analysis", "daily_analysis", "videos"]
+    assert jobs.gold_table(spark, gold, "videos").count() == 1
+    assert len(list((tmp_path / "gold").iterdir())) == 1
 
 
 def test_gate_catches_what_cleaning_lets_through(spark, videos, tmp_path, monkeypatch):
@@ -113,42 +116,70 @@ def test_gate_catches_what_cleaning_lets_through(spark, videos, tmp_path, monkey
     assert {"null_title", "likes_over_views", "negative_views"} <= rules
     with pytest.raises(QualityError, match="duplicate_snapshot"):
         jobs.publish_gold(silver_rows(bronze=videos({}, {})), gold)
-    assert not (tmp_path / "gold/videos").exists()
+    assert not (tmp_path / "gold").exists() or not list((tmp_path / "gold").iterdir())
     with pytest.raises(QualityError, match="missing column year"):
         jobs.publish_gold(silver_rows(bronze=videos({})).drop("year"), gold)
 
 
-def test_failure_after_the_gate_leaves_gold_alone(spark, videos, tmp_path, monkeypatch):
+def test_missing_columns_are_all_named(spark, videos, tmp_path):
+    silver = silver_rows(bronze=videos({})).drop("title", "description", "day")
+    with pytest.raises(QualityError) as caught:
+        jobs.publish_gold(silver, str(tmp_path / "gold"))
+    assert caught.value.failures == ["missing column title", "missing column description", "missing column day"]
+
+
+@pytest.mark.parametrize("step", ["clean_videos", "duplicate_keys", "channel_rollup", "daily_rollup", "publish_version"])
+def test_failure_at_any_step_leaves_gold_alone(spark, videos, tmp_path, monkeypatch, step):
     gold = str(tmp_path / "gold")
     jobs.publish_gold(silver_rows(bronze=videos({})), gold)
 
-    def broken(_videos):
+    def broken(*_args, **_options):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(jobs, "daily_rollup", broken)
+    monkeypatch.setattr(jobs, step, broken)
     with pytest.raises(RuntimeError):
         jobs.publish_gold(silver_rows(bronze=videos({}, {"video_id": "v2"})), gold)
-    assert readers.read_table(spark, f"{gold}/videos").count() == 1
-    assert readers.read_table(spark, f"{gold}/channel_analysis").first().total_videos == 1
+    for name in ("videos", "channel_analysis", "daily_analysis"):
+        assert jobs.gold_table(spark, gold, name).count() == 1
+    assert len(list((tmp_path / "gold").iterdir())) == 1
+
+
+def test_old_versions_are_retired(spark, videos, tmp_path):
+    gold = str(tmp_path / "gold")
+    for n in range(4):
+        jobs.publish_gold(silver_rows(bronze=videos({"views": str(n + 100)})), gold)
+    assert len(list((tmp_path / "gold").iterdir())) == 2
+    assert jobs.gold_table(spark, gold, "videos").first().views == 103
+
+
+def test_file_size_does_not_decide(spark, tmp_path):
+    """A stray quote is read the same in a file of any size."""
+    rows = [f"v{n},17.14.11,say \"hi\" now,c,10,2017-11-13,5,1,2,d" for n in range(3000)]
+    header = "video_id,trending_date,title,channel_title,category_id,publish_time,views,likes,comment_count,description"
+    for name, some in (("small", rows[:3]), ("large", rows)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text("\n".join([header, *some]) + "\n")
+        done = jobs.bronze_to_silver(spark, str(tmp_path / f"s_{name}"), csv_path=str(tmp_path / name))
+        assert (done.records, done.broken) == (len(some), 0)
 
 
 def test_gold_is_replaced_as_a_whole(spark, videos, tmp_path):
     gold = str(tmp_path / "gold")
     for ids in (["a", "b", "c"], ["d"]):
         jobs.publish_gold(silver_rows(bronze=videos(*({"video_id": i} for i in ids))), gold)
-    assert [r.video_id for r in readers.read_table(spark, f"{gold}/videos").collect()] == ["d"]
-    assert readers.read_table(spark, f"{gold}/daily_analysis").first().total_videos == 1
+    assert [r.video_id for r in jobs.gold_table(spark, gold, "videos").collect()] == ["d"]
+    assert jobs.gold_table(spark, gold, "daily_analysis").first().total_videos == 1
 
 
 def test_gold_with_text_dates_has_a_null_day(spark, videos, tmp_path):
     gold = str(tmp_path / "gold")
     silver = silver_rows(bronze=videos({}, {"video_id": "v2", "published_date": "junk"}))
     assert jobs.publish_gold(silver, gold, published_as="text") == 2
-    days = readers.read_table(spark, f"{gold}/daily_analysis")
+    days = jobs.gold_table(spark, gold, "daily_analysis")
     assert {(r.year, r.total_videos) for r in days.collect()} == {(None, 1), (2024, 1)}
     labels = [r.date for r in reports.daily_views(days).collect()]
     assert labels == ["2024-1-5", None]
-    kept = readers.read_table(spark, f"{gold}/videos")
+    kept = jobs.gold_table(spark, gold, "videos")
     assert dict(kept.dtypes)["published_date"] == "string"
 
 

@@ -118,6 +118,14 @@ def test_oversized_lookup_id_is_split(spark, plan):
             spark.conf.set(key, value)
 
 
+def test_lookup_measures_without_a_single_task(spark, silver, plan):
+    """The ids are stored once; neither measuring nor joining runs them in one task."""
+    found = lookup.lookup_details(silver, silver.select("video_id"))
+    text = plan(found)
+    assert "SinglePartition" not in text and "GlobalLimit" not in text
+    assert text.count("HashAggregate") == 0
+
+
 def test_large_day_is_split_before_the_write(spark, plan):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")

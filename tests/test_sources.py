@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 
@@ -45,7 +46,7 @@ def test_csv_goes_by_header_name(spark, tmp_path):
     first = 'v1,17.14.11,"x|y","he said ""hi"", ok",c,10,2017-11-13T00:00:00Z,5,1,0,2,"a\nb, ""c"""\n'
     write(tmp_path / "in" / "a.csv", header + first)
     write(tmp_path / "in" / "deeper" / "b.csv", header + "v2,17.14.11,,t,c,10,x,n/a,1,0,2,\n")
-    frame = readers.read_csv(spark, str(tmp_path / "in"))
+    frame = readers.readable(readers.read_csv(spark, str(tmp_path / "in")))
     assert set(dict(frame.dtypes).values()) == {"string"} and set(CSV_NAMES) <= set(frame.columns)
     got = {r.video_id: r for r in frame.collect()}
     assert got["v1"].title == 'he said "hi", ok' and got["v1"].description == 'a\nb, "c"'
@@ -101,6 +102,32 @@ def test_bronze_tells_lines_from_arrays(spark, tmp_path):
         readers.read_bronze(spark, str(tmp_path), form="xml")
 
 
+def test_content_tells_the_form(spark, tmp_path):
+    """Names do not: lines and arrays, broken or not, under either kind of name."""
+    lines = [json.dumps({**RECORD, "video_id": f"l{n}"}) for n in range(5)]
+    write(tmp_path / "snap.json", "\n".join(lines) + "\n")
+    write(tmp_path / "cut first.json", lines[0][:20] + "\n" + "\n".join(lines[1:]) + "\n")
+    write_array(tmp_path / "part-0.json", "a0", "a1")
+    write(tmp_path / "part-1.json", "[\n" + ",\n".join(lines[:2]) + "\n]")
+    write(tmp_path / "part-2.json", json.dumps([RECORD]))
+    write(tmp_path / "one.json", json.dumps(RECORD, indent=2))
+    write(tmp_path / "empty.json", "")
+    landed = readers.read_bronze(spark, str(tmp_path))
+    got = sorted(r.video_id for r in readers.readable(landed).collect())
+    assert got == sorted(["l0", "l1", "l2", "l3", "l4", "l1", "l2", "l3", "l4", "a0", "a1", "l0", "l1", "v1", "v1"])
+    assert [r.text for r in readers.quarantined(landed).collect()] == [lines[0][:20]]
+    (tmp_path / "none").mkdir()
+    assert readers.read_bronze(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_responses_in_lines(spark, tmp_path):
+    page = json.dumps({"items": [{"id": {"videoId": "a"}}, {"id": {"videoId": "b"}}]})
+    write(tmp_path / "s.json", page + "\n" + page + "\n{broken\n" + page + "\n")
+    for form in ("any", "lines"):
+        landed = readers.read_search(spark, str(tmp_path), form)
+        assert readers.readable(landed).count() == 3 and readers.quarantined(landed).count() == 1
+
+
 def test_responses_from_files(spark, tmp_path):
     write(tmp_path / "d" / "1.json", json.dumps({"items": [{"id": "a"}]}, indent=2))
     write(tmp_path / "d" / "2.json", json.dumps({"kind": "x"}, indent=2))
@@ -160,21 +187,41 @@ def test_replace_table(spark, tmp_path):
     assert readers.read_table_sql(spark, path, "max(id) AS top").first().top == 2
 
 
-def test_promote_swaps_and_comes_back(spark, tmp_path):
-    published, staged, old = (str(tmp_path / n) for n in ("gold/t", "stage/t", "stage/old/t"))
-    spark.range(1).write.parquet(published)
-    spark.range(2).write.parquet(staged)
-    writers.promote(spark, staged, published, old)
-    assert spark.read.parquet(published).count() == 2 and spark.read.parquet(old).count() == 1
-    with pytest.raises(Exception, match="cannot move|FileNotFound"):
-        writers.promote(spark, str(tmp_path / "nothing"), published, str(tmp_path / "old2"))
-    assert spark.read.parquet(published).count() == 2
+def test_versions_switch_by_a_mark(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    with pytest.raises(FileNotFoundError):
+        writers.current_version(spark, root)
+    made = []
+    for n in range(3):
+        version = writers.new_version(root)
+        spark.range(n).write.parquet(f"{version}/t")
+        if made:
+            assert writers.current_version(spark, root) == made[-1]
+        writers.publish_version(spark, version)
+        made.append(version)
+    assert writers.published_versions(spark, root) == made
+    writers.retire_versions(spark, root, 2)
+    assert writers.published_versions(spark, root) == made[1:]
+    assert spark.read.parquet(f"{writers.current_version(spark, root)}/t").count() == 2
+
+
+def test_a_day_without_records_is_emptied(spark, tmp_path):
+    root = str(tmp_path)
+    day = dt.date(2024, 2, 1)
+    writers.land_by_day(records(spark, {}, {"extraction_date": "2024-02-02"}), root, day)
+    none = records(spark, {}).limit(0)
+    assert writers.land_by_day(none, root, day).get["records"] == 0
+    got = readers.readable(readers.read_bronze(spark, root)).collect()
+    assert [r.extraction_date for r in got] == ["2024-02-02"]
+    writers.land_by_date(records(spark, {}), root, "chart", day)
+    writers.land_by_date(none, root, "chart", day)
+    assert not (tmp_path / "chart/date=2024-02-01").exists()
 
 
 def test_run_report(spark, tmp_path):
     path = str(tmp_path / "t")
     report = writers.run_report(spark, "stored", path, lambda: writers.replace_table(spark.range(7), path))
-    assert tuple(report.first()) == ("succeeded", "stored", 7, path, None)
+    assert tuple(report.first()) == ("succeeded", "stored", 7, None, path, None)
 
     def broken():
         raise RuntimeError("no disk")
@@ -183,6 +230,21 @@ def test_run_report(spark, tmp_path):
     assert (row.outcome, row.records, row.error) == ("failed", None, "no disk")
 
 
+def as_read(landed):
+    """Malformed rows included, as far as they could be read."""
+    return landed.drop("_corrupt_record", "_file")
+
+
+def test_csv_malformed_rows_are_kept_apart(spark, tmp_path):
+    text = 'video_id,title,views\nv1,a,5\nv2, "a,b" ,6\nv3,b\nv4,"x\ny",7\n'
+    write(tmp_path / "a.csv", text)
+    landed = readers.read_csv(spark, str(tmp_path))
+    assert sorted((r.video_id, r.title, r.views) for r in readers.readable(landed).collect()) == [
+        ("v1", "a", "5"), ("v4", "x\ny", "7")]
+    bad = sorted(r.text for r in readers.quarantined(landed).collect())
+    assert [t[:2] for t in bad] == ["v2", "v3"]
+
+
 def csv_text(rows):
     quoted = (",".join('"' + cell.replace('"', '""') + '"' for cell in row) for row in rows)
     return "video_id,title,views\n" + "".join(line + "\n" for line in quoted)
@@ -198,7 +260,7 @@ def test_split_csv_reads_what_read_csv_reads(spark, tmp_path, block):
     write(tmp_path / "d.csv", "video_id,title,views\nz1,,5\nz2,t\n\nz3,\"a\nb\",\"\"")
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
-    wanted = sorted(readers.read_csv(spark, str(tmp_path)).collect(), key=repr)
+    wanted = sorted(as_read(readers.read_csv(spark, str(tmp_path))).collect(), key=repr)
     spark.conf.set(key, str(block))
     try:
         got = sorted(readers.read_split_csv(spark, str(tmp_path)).collect(), key=repr)
@@ -219,7 +281,7 @@ def test_split_csv_on_random_texts(spark, tmp_path, seed, alphabet, eol):
     for name in ("a.csv", "b.csv"):
         rows = [f"{name}{n},{cell()},{cell()}" for n in range(60)]
         (tmp_path / name).write_bytes(eol.join(["video_id,title,views", *rows]).encode())
-    wanted = sorted(readers.read_csv(spark, str(tmp_path)).collect(), key=repr)
+    wanted = sorted(as_read(readers.read_csv(spark, str(tmp_path))).collect(), key=repr)
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, "50")
@@ -233,7 +295,7 @@ def test_split_csv_on_random_texts(spark, tmp_path, seed, alphabet, eol):
 def test_split_csv_with_carriage_returns(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b'video_id,title\r\nv1,"a\r\nb"\r\nv2,c\r\n')
     (tmp_path / "b.csv").write_bytes(b'video_id,title\nw1,"a\r\nb"\nw2,c\n')
-    wanted = sorted(readers.read_csv(spark, str(tmp_path)).collect())
+    wanted = sorted(as_read(readers.read_csv(spark, str(tmp_path))).collect())
     assert sorted(readers.read_split_csv(spark, str(tmp_path)).collect()) == wanted
 
 
@@ -257,12 +319,6 @@ def test_split_csv_refuses_endless_records_early(spark, tmp_path, monkeypatch):
         spark.conf.set(key, before)
 
 
-def test_largest_file(spark, tmp_path):
-    write(tmp_path / "a.csv", "x" * 10)
-    write(tmp_path / "b" / "c.csv", "x" * 30)
-    assert readers.largest_file(spark, str(tmp_path)) == 30
-
-
 def test_split_csv_refuses_other_headers(spark, tmp_path):
     write(tmp_path / "a.csv", "video_id,views\nv1,5\n")
     write(tmp_path / "b.csv", "views,video_id\n5,v1\n")

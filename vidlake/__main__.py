@@ -8,12 +8,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlake.operators.quality import quality_report
+from vidlake.operators.quality import enforce, quality_report
 from vidlake.plans import jobs
 from vidlake.plans.reports import REPORTS, report
 from vidlake.session import size_shuffles, stored_bytes
-from vidlake.sources.readers import read_table
-from vidlake.streaming.ingest import ingest, rows_broken, rows_read
+from vidlake.sources.readers import FORMS, read_table
+from vidlake.streaming.ingest import FILES_PER_BATCH, ingest, read_silver
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -40,6 +40,7 @@ def _arguments() -> argparse.ArgumentParser:
     search = command("land-search", "search responses to a snapshot", "search", "details", "bronze")
     for sub in (chart, search):
         sub.add_argument("--date", type=dt.date.fromisoformat, required=True)
+    chart.add_argument("--rows", type=int, help="keep only so many of the most viewed")
     command("split-history", "large CSV files to small ones", "csv", "out")
     silver = command(
         "to-silver",
@@ -47,19 +48,20 @@ def _arguments() -> argparse.ArgumentParser:
         "silver",
         optional=("bronze", "csv", "table", "quarantine"),
     )
-    silver.add_argument("--split-csv", action=argparse.BooleanOptionalAction)
+    silver.add_argument("--split-csv", action="store_true")
     new = command(
-        "ingest", "new files to silver", "silver", "progress", optional=("bronze", "csv")
+        "ingest", "new files to silver", "silver", optional=("bronze", "csv", "quarantine")
     )
-    for sub in (silver, new):
-        sub.add_argument("--form", choices=("any", "arrays", "lines"), default="any")
-    new.add_argument("--files-per-batch", type=int)
+    for sub in (chart, search, silver, new):
+        sub.add_argument("--form", choices=FORMS, default="any", help="of JSON files")
+    new.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
     command("clean", "silver to the clean table", "silver", "clean", flags=("text-dates",))
     command("gold", "silver to gold, behind the gate", "silver", "gold", flags=("text-dates",))
-    command("quality", "rule violations of a table", "table")
+    command("quality", "rule violations of a table", "table", flags=("enforce",))
     shown = command("report", "show a report", "gold")
     shown.add_argument("name", choices=sorted(REPORTS))
-    shown.add_argument("--rows", type=int, default=50, help="rows to show")
+    shown.add_argument("--rows", type=int, help="rows to show, all if not given")
+    shown.add_argument("--out", help="write the report there as CSV instead")
     return parser
 
 
@@ -72,8 +74,10 @@ def _tell(done: DataFrame) -> None:
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     inputs = [getattr(args, name, None) for name in ("details", "search", "csv")]
-    if args.command in ("to-silver", "ingest"):
+    if args.command == "to-silver":
         inputs.append(args.bronze)
+    if args.command == "ingest":
+        inputs = []  # sized by its new files
     if args.command in ("clean", "gold"):
         inputs.append(args.silver)
     if args.command == "quality":
@@ -82,9 +86,11 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     dates = "text" if getattr(args, "text_dates", False) else "date"
 
     if args.command == "land-chart":
-        _tell(jobs.land_chart(spark, args.details, args.bronze, args.feed, args.date))
+        _tell(jobs.land_chart(
+            spark, args.details, args.bronze, args.feed, args.date, args.form, args.rows))
     elif args.command == "land-search":
-        _tell(jobs.land_search(spark, args.search, args.details, args.bronze, args.date))
+        _tell(jobs.land_search(
+            spark, args.search, args.details, args.bronze, args.date, args.form))
     elif args.command == "split-history":
         print(jobs.split_history(spark, args.csv, args.out).get["records"], "records")
     elif args.command == "to-silver":
@@ -98,27 +104,34 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
             form=args.form,
             split_csv=args.split_csv,
         )
-        print(written.get["records"], "records")
+        print(written.records, "records,", written.broken, "broken")
     elif args.command == "ingest":
-        query = ingest(
+        taken = ingest(
             spark,
             args.silver,
-            args.progress,
             args.bronze,
             args.csv,
             form=args.form,
             files_per_batch=args.files_per_batch,
+            quarantine_path=args.quarantine,
         )
-        print(rows_read(query), "rows read,", rows_broken(query), "broken")
+        print(taken.files, "files,", taken.rows_read, "rows read,", taken.rows_broken, "broken")
     elif args.command == "clean":
-        written = jobs.silver_to_clean(read_table(spark, args.silver), args.clean, dates)
+        written = jobs.silver_to_clean(read_silver(spark, args.silver), args.clean, dates)
         print(written.get["records"], "records")
     elif args.command == "gold":
-        print(jobs.publish_gold(read_table(spark, args.silver), args.gold, dates), "records")
+        print(jobs.publish_gold(read_silver(spark, args.silver), args.gold, dates), "records")
     elif args.command == "quality":
-        quality_report(read_table(spark, args.table)).show(100, truncate=False)
+        table = read_table(spark, args.table)
+        quality_report(table).show(100, truncate=False)
+        if args.enforce:
+            enforce(table)
     else:
-        report(spark, args.gold, args.name).show(args.rows, truncate=False)
+        shown = report(spark, args.gold, args.name)
+        if args.out:
+            shown.write.option("header", True).csv(args.out)
+        else:
+            shown.show(args.rows or max(1, shown.count()), truncate=False)
 
 
 if __name__ == "__main__":

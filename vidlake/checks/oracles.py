@@ -153,17 +153,25 @@ def _rules() -> dict[str, str]:
     return rules
 
 
-def _report(source: str) -> str:
+def _report(source: str, lacking: tuple[str, ...] = ()) -> str:
+    """Rules over a table; those on columns it lacks are not there."""
+    present = "unnest(json_keys(to_json(t)))"
+    names = ", ".join(f"('{c}')" for c in (*CANONICAL, "year", "month", "day"))
     rows = [f"SELECT 'rows' AS rule, count(*) AS violations FROM {source}"]
     rows += [
         f"SELECT '{rule}', count(*) FROM {source} WHERE {broken}"
         for rule, broken in _rules().items()
+        if rule not in [f"{kind}_{c}" for c in lacking for kind in ("null", "blank")]
     ]
     rows.append(
         f"SELECT 'duplicate_snapshot', (SELECT count(*) FROM {source}) - (SELECT count(*) FROM"
         f" (SELECT DISTINCT video_id, extraction_date FROM {source}))"
     )
-    rows.append("SELECT 'missing_columns', 0")
+    rows.append(
+        f"SELECT 'missing_columns', count(*) FROM (VALUES {names}) v(name) WHERE"
+        f" EXISTS (SELECT 1 FROM {source}) AND name NOT IN (SELECT name FROM"
+        f" (SELECT {present} AS name FROM (SELECT * FROM {source} LIMIT 1) t))"
+    )
     rows.append(f"SELECT 'empty_table', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {source}")
     return "\nUNION ALL ".join(rows)
 
@@ -188,8 +196,9 @@ corpus AS (
   SELECT CAST(doc_id AS VARCHAR) AS video_id, concat_ws(' ', lang, source) AS title,
          text AS description, n_chars AS views FROM documents),
 hits AS (
-  SELECT 'technology' AS keyword, video_id, views FROM corpus WHERE {_edge("technology")}
-  UNION ALL SELECT 'AI', video_id, views FROM corpus WHERE {_edge("AI")})"""
+  SELECT 'technology' AS keyword, * FROM corpus WHERE {_edge("technology")}
+  UNION ALL SELECT 'AI', * FROM corpus WHERE {_edge("AI")}
+  UNION ALL SELECT 'éTRE', * FROM corpus WHERE {_edge("éTRE")})"""
 
 _KPIS = """
 SELECT count(*) AS channels, CAST(coalesce(sum(total_videos), 0) AS BIGINT) AS total_videos,
@@ -207,7 +216,7 @@ ORACLES: dict[str, str] = {
     ),
     "cast_metrics": _sql(_SILVER, "SELECT * FROM typed"),
     "publish_date_parts": _sql(
-        _SILVER, f"SELECT video_id, extraction_date, published_date, {_PARTS} FROM silver"
+        [_HISTORICAL, _MAPPED, _parted("parted", "mapped")], "SELECT * FROM parted"
     ),
     "silver_rows": _sql(_SILVER, "SELECT * FROM silver"),
     "trim_text": _sql(
@@ -215,10 +224,10 @@ ORACLES: dict[str, str] = {
     ),
     "drop_incomplete": _sql(_SILVER, f"SELECT * FROM silver WHERE {_COMPLETE}"),
     "clamp_negative": _sql(
-        _SILVER, f"SELECT video_id, extraction_date, {_FLOOR} FROM silver"
+        _SILVER, f"SELECT * REPLACE ({_FLOOR}) FROM silver"
     ),
     "clamp_to_views": _sql(
-        _SILVER, f"SELECT video_id, extraction_date, views, {_CEILING} FROM silver"
+        _SILVER, f"SELECT * REPLACE ({_CEILING}) FROM silver"
     ),
     "dedupe_latest": _sql(
         [*_SILVER, _DATED.replace("FROM trimmed", "FROM silver")], _latest("dated")
@@ -300,7 +309,7 @@ ORACLES: dict[str, str] = {
     ),
     "recent_videos": _sql(
         _SILVER,
-        "SELECT video_id, extraction_date, published_date, views FROM silver"
+        "SELECT * FROM silver"
         " WHERE TRY_CAST(substr(published_date, 1, 10) AS DATE)"
         f" >= DATE '{RUN_DATE}' - 50",
     ),
@@ -311,17 +320,17 @@ ORACLES: dict[str, str] = {
             "ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY keyword"
             " ORDER BY views DESC NULLS LAST, video_id) AS INTEGER) AS rank FROM hits)",
         ],
-        "SELECT keyword, video_id, views, rank, CAST((rank - 1) // 30 + 1 AS INTEGER) AS page"
+        "SELECT *, CAST((rank - 1) // 30 + 1 AS INTEGER) AS page"
         " FROM ranked WHERE rank <= 150",
     ),
     "snapshot_cap": _sql(
         _CLEAN,
-        "SELECT video_id, extraction_date, views FROM clean"
+        "SELECT * FROM clean"
         " ORDER BY views DESC, video_id, extraction_date LIMIT 50",
     ),
     "day_paths": _sql(
         [_BRONZE],
-        "SELECT video_id, extraction_date, substr(extraction_date, 1, 4) AS year,"
+        "SELECT *, substr(extraction_date, 1, 4) AS year,"
         " substr(extraction_date, 6, 2) AS month, substr(extraction_date, 9, 2) AS day FROM bronze",
     ),
     "json_text": _sql([_BRONZE], "SELECT * FROM bronze"),
@@ -329,15 +338,51 @@ ORACLES: dict[str, str] = {
     "csv_scan_texts": _CORPUS_TEXT,
     "csv_scan_split": _CORPUS_TEXT,
     "json_scan": _sql([_BRONZE], _BRONZE_TEXT.format(views="views")),
-    "parquet_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
-    "parquet_sql_scan": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag"
-    " FROM lineitem",
+    "parquet_scan": "SELECT * FROM orders",
+    "parquet_sql_scan": "SELECT * FROM lineitem",
+    "csv_scan_malformed": _sql(
+        [
+            _HISTORICAL,
+            "whole AS (SELECT * FROM historical WHERE title IS NOT NULL AND description IS NOT NULL)",
+        ],
+        "SELECT video_id, count(*) AS n_rows FROM whole WHERE CAST(video_id AS BIGINT) % 5 <> 0"
+        " GROUP BY video_id UNION ALL"
+        " SELECT NULL, count(*) FROM whole WHERE CAST(video_id AS BIGINT) % 5 = 0",
+    ),
+    "details_scan": _sql([_DETAILS], "SELECT * FROM details"),
+    "search_scan": _sql(
+        [_FOUND], "SELECT count(*) AS n_rows, count(DISTINCT video_id) AS n_ids FROM found"
+    ),
+    "bronze_day_overwrite_empty": _sql(
+        [_BRONZE],
+        _BRONZE_TEXT.format(views="views") + " WHERE extraction_date <> '2024-01-03'",
+    ),
+    "quality_missing_columns": _sql(
+        [*_SILVER, "narrow AS (SELECT * EXCLUDE (title, description) FROM silver)"],
+        _report("narrow", ("title", "description")),
+    ),
+    "quality_empty": _sql(
+        [*_SILVER, "nothing AS (SELECT * FROM silver WHERE views < 0 AND views > 0)"],
+        _report("nothing"),
+    ),
+    "incremental_late_file": _sql(_BRONZE_SILVER, "SELECT * FROM silver_bronze"),
+    "incremental_replaced_file": _sql(
+        _BRONZE_SILVER,
+        "SELECT * REPLACE (CASE WHEN extraction_date = '2024-01-02' THEN views + 1 ELSE views END"
+        " AS views) FROM silver_bronze",
+    ),
+    "incremental_counts": _sql(
+        [_BRONZE],
+        "SELECT count(*) AS rows_read,"
+        " count(*) FILTER (WHERE CAST(video_id AS BIGINT) % 100 = 0) AS rows_broken,"
+        " count(*) FILTER (WHERE CAST(video_id AS BIGINT) % 100 <> 0) AS rows_kept FROM bronze",
+    ),
     "bronze_day_overwrite": _sql(
         [_BRONZE],
         _BRONZE_TEXT.format(views=f"CASE WHEN {_EARLY} THEN views + 1 ELSE views END"),
     ),
-    "run_report": "SELECT 'succeeded' AS outcome, 'landed' AS message, count(*) AS records"
-    " FROM orders",
+    "run_report": "SELECT 'succeeded' AS outcome, 'landed' AS message, count(*) AS records,"
+    " CAST(NULL AS BIGINT) AS broken, CAST(NULL AS VARCHAR) AS error FROM orders",
     "silver_publish": _sql(
         [*_SILVER, *_BRONZE_SILVER],
         "SELECT * FROM silver UNION ALL BY NAME SELECT * FROM silver_bronze",

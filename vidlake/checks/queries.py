@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
@@ -19,10 +20,13 @@ from vidlake.checks.samples import (
 from vidlake.functions.dates import path_parts, publish_date
 from vidlake.operators import cleaning, lookup, mapping, quality, responses, rollups, search
 from vidlake.plans import jobs, reports
-from vidlake.schemas import CSV_NAMES, DATE_PARTS, DETAILS_RESPONSE, SEARCH_RESPONSE
+from vidlake.schemas import CSV_NAMES, DETAILS_RESPONSE, KEYWORDS, SEARCH_RESPONSE
 from vidlake.session import scratch_dir
 from vidlake.sources import readers, writers
-from vidlake.streaming.ingest import ingest, rows_read
+from vidlake.streaming.ingest import Taken, ingest, read_silver
+
+# A keyword that only matches with the case of all letters ignored.
+MORE_KEYWORDS = ("éTRE",)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,10 +44,7 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _publish_parts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = mapping.unified(historical(spark, sf))
-    return mapping.add_publish_parts(rows).select(
-        "video_id", "extraction_date", "published_date", *DATE_PARTS
-    )
+    return mapping.add_publish_parts(mapping.unified(historical(spark, sf)))
 
 
 def _trimmed(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,13 +56,11 @@ def _complete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _clamp_negative(spark: SparkSession, sf: str) -> DataFrame:
-    rows = silver(spark, sf).transform(cleaning.clamp_negative)
-    return rows.select("video_id", "extraction_date", "views", "likes", "comments")
+    return silver(spark, sf).transform(cleaning.clamp_negative)
 
 
 def _clamp_to_views(spark: SparkSession, sf: str) -> DataFrame:
-    rows = silver(spark, sf).transform(cleaning.clamp_to_views)
-    return rows.select("video_id", "extraction_date", "views", "likes", "comments")
+    return silver(spark, sf).transform(cleaning.clamp_to_views)
 
 
 def _dated(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,12 +156,11 @@ def _id_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _recent(spark: SparkSession, sf: str) -> DataFrame:
-    rows = search.recent_videos(silver(spark, sf), RUN_DATE)
-    return rows.select("video_id", "extraction_date", "published_date", "views")
+    return search.recent_videos(silver(spark, sf), RUN_DATE)
 
 
 def _keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return search.keyword_matches(corpus(spark, sf)).select("keyword", "video_id", "views")
+    return search.keyword_matches(corpus(spark, sf), (*KEYWORDS, *MORE_KEYWORDS))
 
 
 def _top_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,14 +168,13 @@ def _top_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cap(spark: SparkSession, sf: str) -> DataFrame:
-    rows = cleaning.clean_videos(silver(spark, sf), for_rollups=True)
-    return search.snapshot_cap(rows).select("video_id", "extraction_date", "views")
+    return search.snapshot_cap(clean(spark, sf))
 
 
 def _day_paths(spark: SparkSession, sf: str) -> DataFrame:
     rows = bronze(spark, sf)
     parts = path_parts(F.col("extraction_date").cast("date"))
-    return rows.select("video_id", "extraction_date").withColumns(parts)
+    return rows.withColumns(parts)
 
 
 def _json_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,13 +186,28 @@ def _json_text(spark: SparkSession, sf: str) -> DataFrame:
 def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark)
     writers.write_csv(historical(spark, sf), path)
-    return readers.read_csv(spark, path)
+    return readers.readable(readers.read_csv(spark, path))
+
+
+def _csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Some records lack a column: what is kept, and how many are not."""
+    path = scratch_dir(spark)
+    rows = historical(spark, sf).filter("title is not null and description is not null")
+    cells = ["video_id", "title", "views", "channel_title"]
+    cut = F.when(F.col("video_id").cast("long") % 5 == 0, F.concat_ws(",", *cells[:3]))
+    lines = rows.select(cut.otherwise(F.concat_ws(",", *cells)).alias(",".join(cells)))
+    lines.write.option("header", True).option("sep", "\t").csv(path)
+    landed = readers.read_csv(spark, path)
+    good, bad = readers.readable(landed), readers.quarantined(landed)
+    counts = good.groupBy("video_id").agg(F.count("*").alias("n_rows"))
+    refused = bad.groupBy().agg(F.lit(None).cast("string").alias("video_id"), F.count("*").alias("n_rows"))
+    return counts.union(refused)
 
 
 def _csv_texts(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark)
     writers.write_csv(corpus(spark, sf), path)
-    return readers.read_csv(spark, path)
+    return readers.readable(readers.read_csv(spark, path))
 
 
 def _csv_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,13 +240,44 @@ def _json_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sql_scan(spark: SparkSession, sf: str) -> DataFrame:
-    columns = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag"
-    return readers.read_table_sql(spark, f"{sf}/lineitem.parquet", columns)
+    return readers.read_table_sql(spark, f"{sf}/lineitem.parquet")
 
 
 def _table_scan(spark: SparkSession, sf: str) -> DataFrame:
-    rows = readers.read_table(spark, f"{sf}/orders.parquet")
-    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    """All of orders, from a table partitioned by a column of it."""
+    path = scratch_dir(spark)
+    orders = readers.read_table(spark, f"{sf}/orders.parquet")
+    writers.replace_table(orders, path, "o_orderstatus")
+    return readers.read_table(spark, path)
+
+
+def _land_texts(spark: SparkSession, texts: DataFrame, per_file: int) -> str:
+    """Responses as files of both forms, named alike: lines, and one text per file of
+    a pretty-printed response; one line in 50 of the former is cut."""
+    path = scratch_dir(spark)
+    key = F.pmod(F.xxhash64("response"), F.lit(100))
+    lines = texts.filter(key >= 1)
+    lines = lines.unionAll(lines.filter(key >= 98).select(F.concat(F.lit("{"), F.substring("response", 1, 9))))
+    lines.write.option("lineSep", "\n").text(f"{path}/a")
+    # Responses of one file are one response with all their items.
+    whole = texts.filter(key < 1)
+    pieces = whole.select(F.from_json("response", "items array<string>")["items"].alias("items"))
+    merged = pieces.withColumn("file", F.pmod(F.xxhash64("items"), F.lit(per_file)))
+    merged = merged.groupBy("file").agg(F.flatten(F.collect_list("items")).alias("items"))
+    text = F.concat(F.lit('{\n "items": [\n'), F.array_join("items", ",\n"), F.lit("\n ]\n}"))
+    merged.select("file", text.alias("text")).write.partitionBy("file").option("lineSep", "\n").text(f"{path}/b")
+    return path
+
+
+def _details_scan(spark: SparkSession, sf: str) -> DataFrame:
+    texts = details_text(spark, sf)
+    landed = readers.read_details(spark, _land_texts(spark, texts, 3))
+    return responses.flatten_details(readers.readable(landed), RUN_DATE)
+
+
+def _search_scan(spark: SparkSession, sf: str) -> DataFrame:
+    landed = readers.read_search(spark, _land_texts(spark, search_text(spark, sf), 3))
+    return lookup.count_ids(responses.search_ids(readers.readable(landed)))
 
 
 def _day_overwrite(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,11 +288,22 @@ def _day_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return readers.readable(readers.read_bronze(spark, path))
 
 
+def _day_overwrite_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run of one day finds nothing; its day is empty after it."""
+    path = scratch_dir(spark)
+    rows = bronze(spark, sf)
+    writers.land_by_day(rows, path)
+    day = dt.date(2024, 1, 3)
+    nothing = rows.filter(F.col("extraction_date") == str(day)).filter("views < 0 and views > 0")
+    writers.land_by_day(nothing, path, day)
+    return readers.readable(readers.read_bronze(spark, path, form="lines"))
+
+
 def _run_report(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark)
     rows = bronze(spark, sf)
     report = writers.run_report(spark, "landed", path, lambda: writers.land_by_day(rows, path))
-    return report.select("outcome", "message", "records")
+    return report.select("outcome", "message", "records", "broken", "error")
 
 
 def _silver_publish(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,30 +333,37 @@ def _gold(spark: SparkSession, sf: str) -> str:
 
 
 def _gold_videos(spark: SparkSession, sf: str) -> DataFrame:
-    return readers.read_table(spark, f"{_gold(spark, sf)}/videos")
+    return jobs.gold_table(spark, _gold(spark, sf), "videos")
 
 
 def _gold_rollups(spark: SparkSession, sf: str) -> DataFrame:
     path = _gold(spark, sf)
-    per_channel = readers.read_table(spark, f"{path}/channel_analysis")
-    per_day = readers.read_table(spark, f"{path}/daily_analysis")
+    per_channel = jobs.gold_table(spark, path, "channel_analysis")
+    per_day = jobs.gold_table(spark, path, "daily_analysis")
     return per_channel.unionByName(per_day, allowMissingColumns=True)
 
 
+def _lacking(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(silver(spark, sf).drop("title", "description"))
+
+
+def _empty(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(silver(spark, sf).filter("views < 0 and views > 0"))
+
+
 def _ingest_twice(spark: SparkSession, sf: str) -> tuple[DataFrame, list[int]]:
     root = scratch_dir(spark)
     landing, table_path = f"{root}/bronze", f"{root}/silver"
 
     def run() -> int:
-        query = ingest(spark, table_path, f"{root}/progress", bronze_path=landing)
-        return rows_read(query)
+        return ingest(spark, table_path, bronze_path=landing).rows_read
 
     rows = bronze(spark, sf)
     writers.land_by_day(_early(rows), landing)
     taken = [run(), run()]
     writers.land_by_day(_late(rows), landing)
     taken.append(run())
-    return readers.read_table(spark, table_path), taken
+    return read_silver(spark, table_path), taken
 
 
 def _incremental(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,6 +375,67 @@ def _incremental_runs(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(taken, 1)), "run int, rows_read bigint")
 
 
+def _aged(spark: SparkSession, path: str, days: int) -> None:
+    """Set the files' time back."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(where, True)
+    while files.hasNext():
+        status = files.next()
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def _incremental_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Files a month older than those taken before are taken as well."""
+    root = scratch_dir(spark)
+    landing, table_path = f"{root}/bronze", f"{root}/silver"
+    rows = bronze(spark, sf)
+    writers.land_by_day(_late(rows), f"{landing}/new")
+    ingest(spark, table_path, bronze_path=landing, form="lines")
+    writers.land_by_day(_early(rows), f"{landing}/old")
+    _aged(spark, f"{landing}/old", 30)
+    ingest(spark, table_path, bronze_path=landing, form="lines")
+    return read_silver(spark, table_path)
+
+
+def _incremental_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """A day landed again under the same file name replaces its rows."""
+    root = scratch_dir(spark)
+    landing, table_path = f"{root}/bronze", f"{root}/silver"
+    rows = bronze(spark, sf)
+
+    def land(day: DataFrame) -> None:
+        writers.land_by_date(day.coalesce(1), f"{root}/next", "chart")
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/next/chart")
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/next/chart/*/part-*")):
+            target = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{found.getPath().getParent().getName()}.json")
+            fs.mkdirs(target.getParent())
+            fs.delete(target, False)
+            fs.rename(found.getPath(), target)
+
+    for changed in (rows, rows.filter(F.col("extraction_date") == "2024-01-02").withColumn("views", F.col("views") + 1)):
+        land(changed.hint("rebalance", "extraction_date"))
+        ingest(spark, table_path, bronze_path=landing)
+    return read_silver(spark, table_path)
+
+
+def _incremental_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """More batches than a stream's progress keeps, broken lines among them."""
+    root = scratch_dir(spark)
+    landing = f"{root}/bronze"
+    text = bronze(spark, sf).select(F.to_json(F.struct("*")).alias("value"), "video_id")
+    key = F.col("video_id").cast("long")
+    cut = F.when(key % 100 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    lines = text.select(cut.alias("value"), (key % 12).alias("part")).hint("rebalance", "part")
+    lines.write.partitionBy("part").text(landing)
+    done: Taken = ingest(spark, f"{root}/silver", bronze_path=landing, form="lines", files_per_batch=1)
+    kept = read_silver(spark, f"{root}/silver").count()
+    return spark.createDataFrame(
+        [(done.rows_read, done.rows_broken, kept)], "rows_read bigint, rows_broken bigint, rows_kept bigint"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "apply_mapping": _apply_mapping,
     "align_union": _unified,
@@ -344,6 +466,8 @@ QUERIES: dict[str, Query] = {
     "quality_report_before": _before,
     "quality_report_after": _after,
     "quality_gate": _gate,
+    "quality_missing_columns": _lacking,
+    "quality_empty": _empty,
     "flatten_details": details,
     "search_ids": _distinct_found,
     "id_counts": _id_counts,
@@ -357,12 +481,16 @@ QUERIES: dict[str, Query] = {
     "day_paths": _day_paths,
     "json_text": _json_text,
     "csv_scan": _csv_scan,
+    "csv_scan_malformed": _csv_malformed,
     "csv_scan_texts": _csv_texts,
     "csv_scan_split": _csv_split,
     "json_scan": _json_scan,
+    "details_scan": _details_scan,
+    "search_scan": _search_scan,
     "parquet_scan": _table_scan,
     "parquet_sql_scan": _sql_scan,
     "bronze_day_overwrite": _day_overwrite,
+    "bronze_day_overwrite_empty": _day_overwrite_empty,
     "run_report": _run_report,
     "silver_publish": _silver_publish,
     "clean_publish": _clean_publish,
@@ -370,4 +498,7 @@ QUERIES: dict[str, Query] = {
     "gold_publish_rollups": _gold_rollups,
     "incremental_ingest": _incremental,
     "incremental_runs": _incremental_runs,
+    "incremental_late_file": _incremental_late,
+    "incremental_replaced_file": _incremental_replaced,
+    "incremental_counts": _incremental_counts,
 }

@@ -10,11 +10,11 @@ from pyspark.sql import Column, functions as F
 
 
 def whole_word_pattern(keyword: str) -> str:
-    """Case-insensitive whole-word pattern. The word edges are spelled out
+    """Whole-word pattern that ignores the case of all letters. The word edges are spelled out
     because \\b means different things next to accented letters. They are tested
     after the word, which is the cheaper thing to look for."""
     word, letter = re.escape(keyword), r"[\p{L}\p{N}_]"
-    return f"(?i){word}(?<!{letter}{word})(?!{letter})"
+    return f"(?iu){word}(?<!{letter}{word})(?!{letter})"
 
 
 def mentions(keyword: str, columns: Sequence[str]) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vidlake.schemas import LOOKUP_BATCH
+from vidlake.session import scratch_dir
 
 # The id side is broadcast if it has no more ids and no more text than this.
 BROADCAST_IDS = 1_000_000
@@ -23,12 +24,6 @@ def count_ids(df: DataFrame, column: str = "video_id") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(column).alias("n_ids"))
 
 
-def _is_small(ids: DataFrame, column: str, rows: int) -> bool:
-    text = F.sum(F.octet_length(F.col(column).cast("string"))).alias("bytes")
-    size = ids.agg(F.count(F.lit(1)).alias("ids"), text).first()
-    return size["ids"] <= rows and (size["bytes"] or 0) <= BROADCAST_BYTES
-
-
 def lookup_details(
     details: DataFrame,
     ids: DataFrame,
@@ -37,16 +32,19 @@ def lookup_details(
 ) -> DataFrame:
     """Detail rows of the wanted ids; ids without details vanish.
 
-    The ids are measured first, up to one over the limit, and broadcast if they
-    are within it, which spares the details a shuffle. Beyond it both sides
-    shuffle, and Spark splits the detail rows of an oversized id at run time.
+    The distinct ids are made once, into a table in the shared scratch folder. There
+    they are measured, in parallel, and broadcast if they are within the limits, which
+    spares the details a shuffle. Beyond them both sides shuffle, and Spark splits the
+    detail rows of an oversized id at run time.
     """
-    wanted = distinct_ids(ids, column=column)
-    if broadcast_up_to and _is_small(wanted.limit(broadcast_up_to + 1), column, broadcast_up_to):
+    path = scratch_dir(ids.sparkSession)
+    distinct_ids(ids, column=column).write.parquet(path)
+    wanted = ids.sparkSession.read.schema(ids.select(column).schema).parquet(path)
+    text = F.sum(F.octet_length(F.col(column).cast("string"))).alias("bytes")
+    size = wanted.agg(F.count(F.lit(1)).alias("ids"), text).first()
+    if size["ids"] <= broadcast_up_to and (size["bytes"] or 0) <= BROADCAST_BYTES:
         return details.join(F.broadcast(wanted), column, "left_semi")
-    # Spark splits a join side only if both come straight from a shuffle. The ids
-    # come from an aggregate, so they are shuffled once more; they are narrow.
-    return details.join(wanted.hint("rebalance").hint("merge"), column, "left_semi")
+    return details.join(wanted.hint("merge"), column, "left_semi")
 
 
 def id_batches(

@@ -52,20 +52,27 @@ def stamp_run_date(df: DataFrame, run_date: dt.date) -> DataFrame:
     return df.withColumn("extraction_date", run_date_text(run_date))
 
 
-def unified(historical: DataFrame | None = None, bronze: DataFrame | None = None) -> DataFrame:
-    """UNION ALL of the mapped inputs in canonical shape, all columns text."""
+def unified(
+    historical: DataFrame | None = None, bronze: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """UNION ALL of the mapped inputs in canonical shape, all columns text; columns
+    to keep, which both inputs have, come last."""
+    own = {name: name for name in keep}
+    columns = (*CANONICAL, *keep)
     parts = []
     if historical is not None:
-        parts.append(historical.transform(apply_mapping, CSV_NAMES).transform(align))
+        parts.append(historical.transform(apply_mapping, {**CSV_NAMES, **own}).transform(align, columns))
     if bronze is not None:
-        mapped = bronze.transform(apply_mapping, BRONZE_NAMES)
-        parts.append(mapped.transform(fill_text, "description").transform(align))
+        mapped = bronze.transform(apply_mapping, {**BRONZE_NAMES, **own})
+        parts.append(mapped.transform(fill_text, "description").transform(align, columns))
     if not parts:
         raise ValueError("at least one input is needed")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def silver_rows(historical: DataFrame | None = None, bronze: DataFrame | None = None) -> DataFrame:
-    """Rows of the silver table, from batch or streaming inputs alike. There is
-    no key operator in it, so Spark runs it without a shuffle."""
-    return unified(historical, bronze).transform(type_metrics).transform(add_publish_parts)
+def silver_rows(
+    historical: DataFrame | None = None, bronze: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of the silver table. There is no key operator in it, so Spark runs it
+    without a shuffle."""
+    return unified(historical, bronze, keep).transform(type_metrics).transform(add_publish_parts)

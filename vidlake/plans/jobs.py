@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from vidlake.operators.cleaning import clean_videos
 from vidlake.operators.lookup import lookup_details
@@ -25,8 +25,6 @@ from vidlake.operators.rollups import channel_rollup, daily_rollup
 from vidlake.operators.search import snapshot_cap
 from vidlake.schemas import DATE_PARTS
 from vidlake.sources.readers import (
-    SPLIT_CSV_BYTES,
-    largest_file,
     quarantined,
     read_bronze,
     read_csv,
@@ -36,41 +34,64 @@ from vidlake.sources.readers import (
     readable,
 )
 from vidlake.sources.writers import (
+    Outcome,
     append_table,
+    current_version,
     discard,
     gathered,
     land_by_date,
     land_by_day,
-    promote,
+    new_version,
+    publish_version,
     replace_table,
+    retire_versions,
     run_report,
+    watched,
     write_csv,
 )
 
 
 def land_chart(
-    spark: SparkSession, details_path: str, bronze_root: str, feed: str, run_date: dt.date
+    spark: SparkSession,
+    details_path: str,
+    bronze_root: str,
+    feed: str,
+    run_date: dt.date,
+    form: str = "any",
+    rows: int | None = None,
 ) -> DataFrame:
-    """Landed responses of the popularity chart to the day's snapshot, capped.
-    Returns the run report."""
+    """Landed responses of the popularity chart to the day's snapshot; with ``rows``,
+    only so many of the most viewed. Returns the run report."""
 
-    def write() -> Observation:
-        chart = flatten_details(read_details(spark, details_path), run_date)
-        return land_by_date(snapshot_cap(chart), bronze_root, feed)
+    def write() -> Outcome:
+        landed, broken = watched(read_details(spark, details_path, form))
+        chart = flatten_details(readable(landed), run_date)
+        if rows is not None:
+            chart = snapshot_cap(chart, rows)
+        written = land_by_date(chart, bronze_root, feed, run_date)
+        return Outcome(written.get["records"], broken.get["broken"])
 
     return run_report(spark, "chart snapshot", f"{bronze_root}/{feed}", write)
 
 
 def land_search(
-    spark: SparkSession, search_path: str, details_path: str, bronze_root: str, run_date: dt.date
+    spark: SparkSession,
+    search_path: str,
+    details_path: str,
+    bronze_root: str,
+    run_date: dt.date,
+    form: str = "any",
 ) -> DataFrame:
     """Landed search pages and details responses to the day's snapshot: the
     details of the distinct ids found. Returns the run report."""
 
-    def write() -> Observation:
-        ids = search_ids(read_search(spark, search_path))
-        details = flatten_details(read_details(spark, details_path), run_date)
-        return land_by_day(lookup_details(details, ids), bronze_root)
+    def write() -> Outcome:
+        pages, broken_pages = watched(read_search(spark, search_path, form))
+        landed, broken = watched(read_details(spark, details_path, form))
+        ids = search_ids(readable(pages))
+        details = flatten_details(readable(landed), run_date)
+        written = land_by_day(lookup_details(details, ids), bronze_root, run_date)
+        return Outcome(written.get["records"], broken_pages.get["broken"] + broken.get["broken"])
 
     return run_report(spark, "search snapshot", bronze_root, write)
 
@@ -89,23 +110,35 @@ def bronze_to_silver(
     table: str | None = None,
     quarantine_path: str | None = None,
     form: str = "any",
-    split_csv: bool | None = None,
-) -> Observation:
+    split_csv: bool = False,
+) -> Outcome:
     """Unify both sources and add them to the silver table. Reads everything
-    there is; streaming.ingest reads only what is new. Text that does not parse
-    goes to the quarantine path, if one is given. ``split_csv`` reads a CSV file
-    in many tasks (see read_split_csv); unless told, large files are."""
+    there is; streaming.ingest reads only what is new. What does not parse is counted
+    and, if a quarantine path is given, kept there under this run. ``split_csv``
+    reads a CSV file in many tasks and refuses files that are not strict about
+    quotes (see read_split_csv)."""
+    sources: list[DataFrame] = []
+    counts: list[Observation] = []
+
+    def taken(landed: DataFrame) -> DataFrame:
+        sources.append(landed)
+        seen, broken = watched(landed)
+        counts.append(broken)
+        return readable(seen)
+
     bronze = csv = None
     if bronze_path is not None:
-        landed = read_bronze(spark, bronze_path, form=form)
-        bronze = readable(landed)
-        if quarantine_path is not None:
-            replace_table(quarantined(landed), quarantine_path)
+        bronze = taken(read_bronze(spark, bronze_path, form=form))
     if csv_path is not None:
-        if split_csv is None:
-            split_csv = largest_file(spark, csv_path) > SPLIT_CSV_BYTES
-        csv = (read_split_csv if split_csv else read_csv)(spark, csv_path)
-    return append_table(silver_rows(csv, bronze), silver_path, table)
+        csv = read_split_csv(spark, csv_path) if split_csv else taken(read_csv(spark, csv_path))
+    written = append_table(silver_rows(csv, bronze), silver_path, table)
+    broken = sum(int(count.get["broken"]) for count in counts)
+    if broken and quarantine_path is not None:
+        run = uuid.uuid4().hex
+        for landed in sources:
+            bad = quarantined(landed).withColumn("run", F.lit(run))
+            bad.write.mode("append").partitionBy("run").parquet(quarantine_path)
+    return Outcome(written.get["records"], broken)
 
 
 def silver_to_clean(silver: DataFrame, clean_path: str, published_as: str = "date") -> Observation:
@@ -113,42 +146,56 @@ def silver_to_clean(silver: DataFrame, clean_path: str, published_as: str = "dat
     return replace_table(clean_videos(silver, published_as), clean_path, *DATE_PARTS)
 
 
-def publish_gold(silver: DataFrame, gold_path: str, published_as: str = "date") -> int:
+# Published versions of gold that stay, for readers that are still at work.
+KEPT_VERSIONS = 2
+
+
+def publish_gold(
+    silver: DataFrame, gold_path: str, published_as: str = "date", keep: int = KEPT_VERSIONS
+) -> int:
     """Clean, validate, and publish the three gold tables.
 
-    The clean table is computed once, into a staging folder, and the write
-    counts the rule violations on its way. The gate is decided on those counts
-    and a check for duplicate keys. Both rollups read the staged files. Only
-    then do the three tables take the place of the published ones; before that
-    a failure of any kind leaves gold as it was. Returns the clean rows.
+    They are written to the folder of a new version. The clean table is computed
+    once, and its write counts the rule violations on its way; the gate is decided on
+    those counts, on the columns that silver has and on a check for duplicate keys.
+    Both rollups read the written files. Only then is the version marked, which
+    switches all three tables in one step; before that a failure of any kind leaves
+    gold as it was, and nothing behind. Returns the clean rows.
     """
     spark = silver.sparkSession
-    staging = f"{gold_path}/_staging-{uuid.uuid4().hex}"
-    videos = clean_videos(silver, published_as)
-    absent = missing_columns(videos)
+    absent = missing_columns(silver)
     if absent:
         raise QualityError([f"missing column {name}" for name in absent])
-    # After the last shuffle, so that the counts are those of the writing stage.
-    observed = Observation()
-    checked = gathered(videos, *DATE_PARTS).observe(observed, *rule_counts(videos.columns))
-    checked.write.partitionBy(*DATE_PARTS).parquet(f"{staging}/videos")
-    found = dict(observed.get)
-    if published_as == "text":
-        # Unreadable dates are kept here, in a NULL day, as a matter of design.
-        found.pop("null_partition", None)
-    found[EMPTY] = int(found[ROWS] == 0)
-    failures = failures_in(found)
-    if not failures:
-        staged = spark.read.schema(videos.schema).parquet(f"{staging}/videos")
-        if not duplicate_keys(staged).isEmpty():
+    version = new_version(gold_path)
+    published = False
+    try:
+        videos = clean_videos(silver, published_as)
+        # After the last shuffle, so that the counts are those of the writing stage.
+        observed = Observation()
+        checked = gathered(videos, *DATE_PARTS).observe(observed, *rule_counts(videos.columns))
+        checked.write.partitionBy(*DATE_PARTS).parquet(f"{version}/videos")
+        found = dict(observed.get)
+        if published_as == "text":
+            # Unreadable dates are kept here, in a NULL day, as a matter of design.
+            found.pop("null_partition", None)
+        found[EMPTY] = int(found[ROWS] == 0)
+        failures = failures_in(found)
+        written = spark.read.schema(videos.schema).parquet(f"{version}/videos")
+        if not failures and not duplicate_keys(written).isEmpty():
             failures = [DUPLICATES]
-    if failures:
-        discard(spark, staging)
-        raise QualityError(failures)
-
-    replace_table(channel_rollup(staged), f"{staging}/channel_analysis")
-    replace_table(daily_rollup(staged), f"{staging}/daily_analysis")
-    for name in ("videos", "channel_analysis", "daily_analysis"):
-        promote(spark, f"{staging}/{name}", f"{gold_path}/{name}", f"{staging}/retired/{name}")
-    discard(spark, staging)
+        if failures:
+            raise QualityError(failures)
+        replace_table(channel_rollup(written), f"{version}/channel_analysis")
+        replace_table(daily_rollup(written), f"{version}/daily_analysis")
+        publish_version(spark, version)
+        published = True
+    finally:
+        if not published:
+            discard(spark, version)
+    retire_versions(spark, gold_path, keep)
     return int(found[ROWS])
+
+
+def gold_table(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
+    """A gold table as published last."""
+    return spark.read.parquet(f"{current_version(spark, gold_path)}/{name}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vidlake.functions.dates import day_label
 from vidlake.functions.numbers import thousands
+from vidlake.plans.jobs import gold_table
 from vidlake.schemas import DATE_PARTS, TOP_CHANNELS
 
 
@@ -69,4 +70,4 @@ REPORTS = {
 def report(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
     """A report over published gold tables."""
     table, query = REPORTS[name]
-    return query(spark.read.parquet(f"{gold_path}/{table}"))
+    return query(gold_table(spark, gold_path, table))

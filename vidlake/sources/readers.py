@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from vidlake.schemas import (
     BRONZE,
@@ -26,36 +29,33 @@ _CSV_OPTIONS = {
     "recursiveFileLookup": True,
 }
 
-_FILE = "_file"
-# File names as Spark writes them, and all others.
-_OURS = "part-*"
-_OTHERS = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}"
+FILE = "_file"
+FORMS = ("any", "arrays", "lines")
+Paths = str | Sequence[str]
 
-
-# CSV files above this are worth splitting.
-SPLIT_CSV_BYTES = 1024**3
 # No text in Spark can be longer than twice this.
 MAX_RECORD_BYTES = 1024**3
 
 
-def csv_header(spark: SparkSession, path: str) -> StructType:
+def csv_header(spark: SparkSession, path: Paths) -> StructType:
     """Columns of the CSV files, all text, by the names in the header row."""
     return spark.read.options(**_CSV_OPTIONS, multiLine=True).csv(path).schema
 
 
-def read_csv(
-    spark: SparkSession, path: str, multi_line: bool = True, stream: bool = False, **options: object
-) -> DataFrame:
-    """Historical CSV, every column text. Columns go by header name, so other
-    columns may be present in any place.
+def read_csv(spark: SparkSession, path: Paths, multi_line: bool = True) -> DataFrame:
+    """Historical CSV, every column text, with columns for the text of a malformed
+    record and the file it is in. Columns go by header name, so other columns may be
+    present in any place.
 
     A file whose quoted texts may hold line breaks is one task here. For large
     files there are read_split_csv, and ``multi_line=False`` if no text has a
     line break.
     """
-    reader = spark.readStream if stream else spark.read
-    reader = reader.schema(csv_header(spark, path)).options(**_CSV_OPTIONS)
-    return reader.options(**options).option("multiLine", multi_line).csv(path)
+    schema = with_corrupt_column(csv_header(spark, path))
+    reader = spark.read.schema(schema).options(**_CSV_OPTIONS)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    landed = reader.option("multiLine", multi_line).csv(path)
+    return landed.select(*landed.columns, F.col("_metadata.file_path").alias(FILE))
 
 
 def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -157,52 +157,68 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     return parsed.filter(F.coalesce(kept, F.lit(False))).select("_row.*")
 
 
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Size of the largest file below the path; no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.max("length").alias("length")).first().length or 0
+def as_paths(files: Sequence[str]) -> list[str]:
+    """File names as metadata columns give them, in the form readers take."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(name)) for name in files]
+
+
+def tell_apart(spark: SparkSession, path: Paths) -> tuple[list[str], list[str]]:
+    """Files that are one JSON text each, and files of JSON lines, by their content:
+    a file of lines does not begin with the bracket of an array, and its first line, or
+    if that is broken most lines, are whole objects. Files without text are in neither."""
+    text = spark.read.option("recursiveFileLookup", True).text(path)
+    line = F.btrim(F.col("value"), F.lit(" \t\r\ufeff"))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = text.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), line.alias("line"))
+    outlined = F.col("line").startswith("{") & F.col("line").endswith("}")
+    whole = F.when(outlined, F.try_parse_json("line").isNotNull()).otherwise(False)
+    files = (
+        lines.filter(F.col("line") != "")
+        .select("file", "place", F.left("line", F.lit(1)).alias("begin"), whole.alias("whole"))
+        .groupBy("file")
+        .agg(
+            F.min_by(F.struct("begin", "whole"), "place").alias("first"),
+            (F.count_if("whole") * 2 > F.count(F.lit(1))).alias("most"),
+        )
+    )
+    # One row per file; Spark itself lists them on the driver as well.
+    is_lines = (F.col("first.begin") != "[") & (F.col("first.whole") | F.col("most"))
+    found = files.select("file", is_lines.alias("lines")).collect()
+    texts = sorted(row["file"] for row in found if not row["lines"])
+    return as_paths(texts), as_paths(sorted(row["file"] for row in found if row["lines"]))
 
 
-def _json(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    multi_line: bool,
-    stream: bool = False,
-    **options: object,
-) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    reader = reader.schema(with_corrupt_column(schema)).option("recursiveFileLookup", True)
+def _json(spark: SparkSession, path: Paths, schema: StructType, multi_line: bool) -> DataFrame:
+    reader = spark.read.schema(with_corrupt_column(schema)).option("recursiveFileLookup", True)
     reader = reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
-    landed = reader.options(**options).json(path)
-    return landed.select(*landed.columns, F.col("_metadata.file_path").alias(_FILE))
+    landed = reader.json(path)
+    return landed.select(*landed.columns, F.col("_metadata.file_path").alias(FILE))
 
 
-def read_bronze(
-    spark: SparkSession, path: str, form: str = "any", stream: bool = False, **options: object
-) -> DataFrame:
-    """All snapshots below the path, whatever the directory layout, metrics as
-    text, with columns for unparsable text and the file it is in.
+def read_landed(spark: SparkSession, path: Paths, schema: StructType, form: str = "any") -> DataFrame:
+    """All JSON records below the path, whatever the directory layout, with columns
+    for unparsable text and the file it is in.
 
-    ``form="arrays"``: every file is one JSON array, and one task at the least.
-    ``form="lines"``: files are JSON lines, and split. Read as an array, a file of
-    lines would lose all but its first, so ``form="any"`` tells them apart by
-    name: Spark's own files, which our sinks land, are lines, all others arrays.
+    ``form="arrays"``: every file is one JSON text, an array or an object, and one
+    task at the least. ``form="lines"``: files are JSON lines, and split. Read as one
+    text, a file of lines would lose all but its first, so ``form="any"`` looks at the
+    texts first, which reads them twice.
     """
-    forms = {
-        "arrays": [(True, "*")],
-        "lines": [(False, "*")],
-        "any": [(True, _OTHERS), (False, _OURS)],
-    }
-    if form not in forms:
-        raise ValueError(f"form must be one of {', '.join(forms)}")
-    parts = [
-        _json(spark, path, BRONZE, multi_line, stream, pathGlobFilter=names, **options)
-        for multi_line, names in forms[form]
-    ]
+    if form not in FORMS:
+        raise ValueError(f"form must be one of {', '.join(FORMS)}")
+    whole, lines = tell_apart(spark, path) if form == "any" else (path, []) if form == "arrays" else ([], path)
+    parts = [_json(spark, p, schema, multi_line) for p, multi_line in ((whole, True), (lines, False)) if p]
+    if not parts:
+        columns = [*with_corrupt_column(schema).fields, StructField(FILE, StringType())]
+        return spark.createDataFrame([], StructType(columns))
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_bronze(spark: SparkSession, path: Paths, form: str = "any") -> DataFrame:
+    """All snapshots below the path, metrics as text; see read_landed."""
+    return read_landed(spark, path, BRONZE, form)
+
+
 def _any_row(landed: DataFrame) -> Column:
     """Always true, and reads a column: Spark refuses to read the column of
     unparsable text alone, which a count of a filter on it would come to."""
@@ -213,24 +229,24 @@ def _any_row(landed: DataFrame) -> Column:
 
 def readable(landed: DataFrame) -> DataFrame:
     """Rows that parsed, without the column of unparsable text."""
-    return landed.filter(F.col(CORRUPT).isNull() & _any_row(landed)).drop(CORRUPT, _FILE)
+    return landed.filter(F.col(CORRUPT).isNull() & _any_row(landed)).drop(CORRUPT, FILE)
 
 
 def quarantined(landed: DataFrame) -> DataFrame:
     """What did not parse: file and text, for a count or a quarantine table."""
     return landed.filter(F.col(CORRUPT).isNotNull() & _any_row(landed)).select(
-        F.col(_FILE).alias("file"), F.col(CORRUPT).alias("text")
+        F.col(FILE).alias("file"), F.col(CORRUPT).alias("text")
     )
 
 
-def read_details(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Landed details responses, one row per response that parsed."""
-    return readable(_json(spark, path, DETAILS_RESPONSE, multi_line))
+def read_details(spark: SparkSession, path: Paths, form: str = "any") -> DataFrame:
+    """Landed details responses, one row per response; see read_landed."""
+    return read_landed(spark, path, DETAILS_RESPONSE, form)
 
 
-def read_search(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Landed search result pages, one row per page that parsed."""
-    return readable(_json(spark, path, SEARCH_RESPONSE, multi_line))
+def read_search(spark: SparkSession, path: Paths, form: str = "any") -> DataFrame:
+    """Landed search result pages, one row per page; see read_landed."""
+    return read_landed(spark, path, SEARCH_RESPONSE, form)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from vidlake.functions.dates import lenient_date, path_parts
-from vidlake.schemas import DATE_PARTS
+from vidlake.schemas import CORRUPT, DATE_PARTS
 
-# Where a streaming file sink keeps its log. Readers of a folder that has one
-# see only the files in the log.
-STREAM_LOG = "_spark_metadata"
+# Where incremental ingest keeps its ledger, inside the table's folder.
+LEDGER = "_ledger"
+# A published version has this file in it.
+_MARK = "_PUBLISHED"
 
 
 def gathered(df: DataFrame, *columns: str) -> DataFrame:
@@ -30,31 +34,59 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(observed, F.count(F.lit(1)).alias("records")), observed
 
 
-def land_by_day(records: DataFrame, root: str) -> Observation:
+@dataclass(frozen=True)
+class Outcome:
+    """What a job wrote and refused, in the shape of an Observation."""
+
+    records: int
+    broken: int
+
+    @property
+    def get(self) -> dict[str, int]:
+        return {"records": self.records, "broken": self.broken}
+
+
+def watched(landed: DataFrame) -> tuple[DataFrame, Observation]:
+    """Landed rows with an Observation of those that did not parse. It stands before
+    a shuffle, so a stage that Spark repeats counts them again."""
+    observed = Observation()
+    return landed.observe(observed, F.count_if(F.col(CORRUPT).isNotNull()).alias("broken")), observed
+
+
+def land_by_day(records: DataFrame, root: str, run_date: dt.date | None = None) -> Observation:
     """Snapshot as JSON lines under year=/month=/day= of the extraction date.
-    Days in the input replace what the root holds for them; others stay."""
+    Days in the input replace what the root holds for them; others stay. The day of
+    the run, if given, is replaced also when there is no record for it."""
     extracted = lenient_date(F.col("extraction_date"))
     rows = gathered(records.withColumns(path_parts(extracted)), *DATE_PARTS)
-    return _land(rows, root, *DATE_PARTS)
+    day = run_date and f"year={run_date:%Y}/month={run_date:%m}/day={run_date:%d}"
+    return _land(rows, root, day, *DATE_PARTS)
 
 
-def land_by_date(records: DataFrame, root: str, feed: str) -> Observation:
+def land_by_date(
+    records: DataFrame, root: str, feed: str, run_date: dt.date | None = None
+) -> Observation:
     """The same under <feed>/date=yyyy-MM-dd, with non-ASCII text escaped."""
     rows = gathered(records.withColumn("date", F.col("extraction_date")), "date")
-    return _land(rows, f"{root}/{feed}", "date", writeNonAsciiCharacterAsCodePoint=True)
+    day = run_date and f"date={run_date:%Y-%m-%d}"
+    return _land(rows, f"{root}/{feed}", day, "date", writeNonAsciiCharacterAsCodePoint=True)
 
 
-def _land(rows: DataFrame, path: str, *partitions: str, **options: object) -> Observation:
+def _land(
+    rows: DataFrame, path: str, day: str | None, *partitions: str, **options: object
+) -> Observation:
     rows, observed = counted(rows)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.options(**options).partitionBy(*partitions).json(path)
+    if day and not observed.get["records"]:
+        discard(rows.sparkSession, f"{path}/{day}")
     return observed
 
 
 def append_table(df: DataFrame, path: str, table: str | None = None) -> Observation:
     """Add rows to the day-partitioned snappy Parquet table. With a name, the
     table and its new partitions are registered in the catalog as well."""
-    if exists(df.sparkSession, f"{path}/{STREAM_LOG}"):
+    if exists(df.sparkSession, f"{path}/{LEDGER}"):
         raise ValueError(f"{path} is fed by incremental ingest, which would hide these rows")
     rows, observed = counted(gathered(df, *DATE_PARTS))
     writer = rows.write.mode("append").format("parquet")
@@ -94,41 +126,56 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def promote(spark: SparkSession, staged: str, path: str, retired: str) -> None:
-    """Put a staged table in the place of the published one, which moves to
-    ``retired``, and comes back if the staged one cannot be moved in."""
-    (fs, target), (_, source), (_, old) = (
-        _file_system(spark, p) for p in (path, staged, retired)
-    )
-    fs.mkdirs(target.getParent())
-    fs.mkdirs(old.getParent())
-    replaces = fs.exists(target)
-    if replaces and not fs.rename(target, old):
-        raise OSError(f"cannot retire {path}")
-    moved = False
-    try:
-        moved = fs.rename(source, target)
-    finally:
-        if not moved and replaces:
-            fs.rename(old, target)
-    if not moved:
-        raise OSError(f"cannot move {staged} to {path}")
+def new_version(root: str) -> str:
+    """A fresh folder for the next version of the tables under the root; folders
+    sort by the time they were named."""
+    now = dt.datetime.now(dt.timezone.utc)
+    return f"{root}/v{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def publish_version(spark: SparkSession, version: str) -> None:
+    """Make a complete version the current one. Creating one empty file does it, in
+    any store, so readers find either all of the new tables or all of the old."""
+    fs, mark = _file_system(spark, f"{version}/{_MARK}")
+    fs.create(mark, False).close()
+
+
+def published_versions(spark: SparkSession, root: str) -> list[str]:
+    """Published versions, the current one last."""
+    fs, pattern = _file_system(spark, f"{root}/v*/{_MARK}")
+    found = fs.globStatus(pattern) or []
+    return sorted(f"{root}/{status.getPath().getParent().getName()}" for status in found)
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """The folder of the tables as published last."""
+    found = published_versions(spark, root)
+    if not found:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return found[-1]
+
+
+def retire_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all published versions but the last ones."""
+    for version in published_versions(spark, root)[: -max(1, keep)]:
+        discard(spark, version)
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Delete a staging directory of ours."""
+    """Delete a folder of ours, if it is there."""
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
 
 
 def run_report(
-    spark: SparkSession, message: str, path: str, write: Callable[[], Observation]
+    spark: SparkSession, message: str, path: str, write: Callable[[], Observation | Outcome]
 ) -> DataFrame:
-    """Run a write and tell in one row how it went. The record count comes from
-    the write itself; a failure is reported, not raised."""
+    """Run a write and tell in one row how it went: records written, and input that
+    was refused, if the write counts that. A failure is reported, not raised."""
     try:
-        row = ("succeeded", message, int(write().get["records"]), path, None)
+        done = write().get
+        row = ("succeeded", message, int(done["records"]), done.get("broken"), path, None)
     except Exception as error:
-        row = ("failed", message, None, path, str(error))
-    schema = "outcome string, message string, records bigint, output_path string, error string"
+        row = ("failed", message, None, None, path, str(error))
+    schema = "outcome string, message string, records bigint, broken bigint, output_path string, error string"
     return spark.createDataFrame([row], schema)

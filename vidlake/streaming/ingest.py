@@ -1,67 +1,125 @@
-"""Incremental ingest: each run takes only the files no run has taken before."""
+"""Incremental ingest: each run takes only the files no run has taken before.
+
+The table's folder holds a ledger: a row for every file taken, by path, modification
+time and length. A run lists what there is, anti-joins it with the ledger, and reads
+the rest, whatever its age. Rows carry the number of the taking of their file; those
+of a taking that is not in the ledger, because the run died, or that a later taking
+of the same path replaced, are not part of the table. So a run counts when its
+ledger rows are written, in one step, and no row of the table is ever rewritten.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vidlake.operators.mapping import silver_rows
-from vidlake.schemas import CORRUPT, DATE_PARTS
-from vidlake.sources.readers import read_bronze, read_csv, readable
-from vidlake.sources.writers import STREAM_LOG, exists, gathered
+from vidlake.schemas import DATE_PARTS
+from vidlake.session import size_shuffles
+from vidlake.sources.readers import FILE, as_paths, quarantined, read_bronze, read_csv
+from vidlake.sources.writers import LEDGER, counted, exists, gathered, watched
+
+_TAKING = "_taking"
+_LEDGER_SCHEMA = "file string, modified timestamp, length bigint, taking bigint, run bigint"
+# Files read by one job, so that a large backlog is taken in steps.
+FILES_PER_BATCH = 10_000
+
+
+@dataclass(frozen=True)
+class Taken:
+    """Files taken, records read of them and, among these, those that did not parse."""
+
+    files: int
+    rows_read: int
+    rows_broken: int
+
 
-_LANDED = "landed"
+def _ledger(spark: SparkSession, silver_path: str) -> DataFrame:
+    path = f"{silver_path}/{LEDGER}"
+    if not exists(spark, path):
+        return spark.createDataFrame([], _LEDGER_SCHEMA)
+    return spark.read.schema(_LEDGER_SCHEMA).parquet(path)
+
+
+def _listed(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Files below a path; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(
+        F.lit(kind).alias("kind"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_size").alias("length"),
+    )
 
 
 def ingest(
     spark: SparkSession,
     silver_path: str,
-    checkpoint: str,
     bronze_path: str | None = None,
     csv_path: str | None = None,
     form: str = "any",
-    files_per_batch: int | None = None,
-) -> StreamingQuery:
-    """Append the new files of both sources to the silver table and stop.
-
-    One query feeds the table, so its file log makes every batch appear once,
-    also when a run dies half way and is repeated with the same checkpoint. The
-    batch job therefore does not write to a table fed this way, nor the other
-    way round. ``files_per_batch`` takes a large backlog in several steps.
+    files_per_batch: int = FILES_PER_BATCH,
+    quarantine_path: str | None = None,
+) -> Taken:
+    """Take the new and the changed files of both sources into the silver table.
+
+    A file that was replaced replaces its rows. Its rows stay when it is deleted.
+    The batch job does not write to a table fed this way, nor the other way round.
+    Files that change without a change of time and length go unnoticed.
     """
-    if exists(spark, silver_path) and not exists(spark, f"{silver_path}/{STREAM_LOG}"):
+    if bronze_path is None and csv_path is None:
+        raise ValueError("at least one input is needed")
+    if exists(spark, silver_path) and not exists(spark, f"{silver_path}/{LEDGER}"):
         raise ValueError(f"{silver_path} was written by the batch job, whose rows this would hide")
-    limit = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
-    bronze = csv = None
-    if bronze_path is not None:
-        landed = read_bronze(spark, bronze_path, form=form, stream=True, **limit)
-        broken = F.count_if(F.col(CORRUPT).isNotNull()).alias("broken")
-        bronze = readable(landed.observe(_LANDED, broken))
-    if csv_path is not None:
-        csv = read_csv(spark, csv_path, stream=True, **limit)
-    rows = gathered(silver_rows(csv, bronze), *DATE_PARTS)
-    query = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*DATE_PARTS)
-        .option("compression", "snappy")
-        .option("path", silver_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    ledger = _ledger(spark, silver_path)
+    if not exists(spark, f"{silver_path}/{LEDGER}"):
+        ledger.write.parquet(f"{silver_path}/{LEDGER}")
+    sources = [(bronze_path, "bronze"), (csv_path, "csv")]
+    listed = [_listed(spark, path, kind) for path, kind in sources if path is not None]
+    there = listed[0] if len(listed) == 1 else listed[0].unionByName(listed[1])
+    run = (ledger.agg(F.max("run")).first()[0] or 0) + 1
+    # One row per new file; Spark itself lists all files on the driver.
+    new = there.join(ledger, ["file", "modified", "length"], "left_anti").orderBy("kind", "file").collect()
+    size_shuffles(spark, sum(row["length"] for row in new))
+
+    taken, read, broken = 0, 0, 0
+    for kind in ("bronze", "csv"):
+        files = [row for row in new if row["kind"] == kind]
+        for start in range(0, len(files), files_per_batch):
+            batch = files[start : start + files_per_batch]
+            found = _take(spark, batch, kind, silver_path, form, run, quarantine_path)
+            taken, read, broken = taken + len(batch), read + sum(found), broken + found[1]
+    return Taken(taken, read, broken)
 
 
-def rows_read(query: StreamingQuery) -> int:
-    """Input rows of a finished run, as far as Spark keeps its progress: the last
-    spark.sql.streaming.numRecentProgressUpdates batches."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def _take(
+    spark: SparkSession, batch: list, kind: str, silver_path: str, form: str, run: int, quarantine_path: str | None
+) -> tuple[int, int]:
+    """Rows written and rows refused of some files."""
+    numbered = [(row["file"], row["modified"], row["length"], uuid.uuid4().int >> 66, run) for row in batch]
+    takings = spark.createDataFrame(numbered, _LEDGER_SCHEMA)
+    paths = as_paths([row["file"] for row in batch])
+    source = read_csv(spark, paths) if kind == "csv" else read_bronze(spark, paths, form=form)
+    landed, refused = watched(source)
+    good = landed.filter(F.col("_corrupt_record").isNull())
+    rows = silver_rows(**{"historical" if kind == "csv" else "bronze": good}, keep=(FILE,))
+    # As many rows as the batch has files.
+    known = F.broadcast(takings.select(F.col("file").alias(FILE), F.col("taking").alias(_TAKING)))
+    rows, written = counted(gathered(rows.join(known, FILE).drop(FILE), *DATE_PARTS))
+    rows.write.mode("append").partitionBy(*DATE_PARTS).option("compression", "snappy").parquet(silver_path)
+    n_broken = int(refused.get["broken"])
+    if quarantine_path is not None and n_broken:
+        bad = quarantined(source).withColumn("run", F.lit(uuid.uuid4().hex))
+        bad.write.mode("append").partitionBy("run").parquet(quarantine_path)
+    takings.coalesce(1).write.mode("append").parquet(f"{silver_path}/{LEDGER}")
+    return int(written.get["records"]), n_broken
 
 
-def rows_broken(query: StreamingQuery) -> int:
-    """Of these the snapshot records, or whole files, that did not parse and so
-    were left out of the table; read_bronze and quarantined show them."""
-    seen = (progress["observedMetrics"].get(_LANDED) for progress in query.recentProgress)
-    return sum(metrics["broken"] for metrics in seen if metrics)
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The silver table, whichever job feeds it; partition columns prune as usual."""
+    if not exists(spark, f"{path}/{LEDGER}"):
+        return spark.read.parquet(path)
+    last = _ledger(spark, path).groupBy("file").agg(F.max_by("taking", "run").alias(_TAKING))
+    return spark.read.parquet(path).join(last.select(_TAKING), _TAKING, "left_semi").drop(_TAKING)
