@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import warnings
@@ -29,7 +31,9 @@ def local_session(cores: str = "*", app: str = "vidlake", **settings: str) -> Sp
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="vidlake-")
+    folder = tempfile.mkdtemp(prefix="vidlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_dir(spark: SparkSession) -> str:
