@@ -233,5 +233,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id"), TEXT_HASH).distinct()
     marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("leaked_id")) & (marked[TEXT_HASH] == found[TEXT_HASH])
+    same = marked["doc_id"].eqNullSafe(found["leaked_id"]) & (marked[TEXT_HASH] == found[TEXT_HASH])
     return marked.join(found, same, "left_anti").drop(TEXT_HASH)

@@ -189,15 +189,18 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """node and sorted shingles of the asked nodes, whose texts are read again."""
-    named = nodes.join(asked, "node").select(F.col("doc_id").alias("named"), "node", "key")
-    texts = docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("named")))
+    named = nodes.join(asked, "node").select("who", "node", "key")
+    rows = docs.select("doc_id", F.xxhash64("text").alias(TEXT_HASH), "text")
+    # The hash keeps rows without an id from meeting each other.
+    same = F.col("doc_id").eqNullSafe(F.col("who.doc_id")) & (F.col(TEXT_HASH) == F.col(f"who.{TEXT_HASH}"))
+    texts = rows.join(named, same)
 
     def cut(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"node": [], "set": []}
         rows = zip(*(batch.column(c).to_pylist() for c in ("node", "key", "text")))
         for node, key, text in rows:
             tokens = words(text_of(text))
-            # An id that repeats names other texts as well.
+            # Another text of the same hash, under the same id, is not meant.
             if xxhash.xxh3_128_digest(b" ".join(tokens)) == key:
                 out["node"].append(node)
                 out["set"].append(shingles(tokens).tobytes())
@@ -308,7 +311,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and a hash of the text of every row."""
     signed = save(_signed(docs), "signed")
     nodes = signed.filter("n_shingles > 0").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")
+        F.min("doc_id").alias("doc_id"),
+        F.min(F.struct("doc_id", TEXT_HASH)).alias("who"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("regs").alias("regs"),
     )
     n = signed.count()
     nodes = save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes", files_for(n, 100_000))
@@ -354,5 +360,5 @@ def without_copies(docs: DataFrame) -> DataFrame:
     Documents without an id that are alike word by word count as one."""
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), TEXT_HASH)
     marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (marked[TEXT_HASH] == kept[TEXT_HASH])
+    same = marked["doc_id"].eqNullSafe(kept["kept_id"]) & (marked[TEXT_HASH] == kept[TEXT_HASH])
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", TEXT_HASH]).drop(TEXT_HASH)
