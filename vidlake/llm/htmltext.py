@@ -32,6 +32,7 @@ import pickle
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -104,6 +105,7 @@ def parse(source: str) -> Page:
     that are not for reading are left out with all they hold."""
     page = Page()
     open_: list[tuple[str, int]] = []  # tag, and its node or that of the block around it
+    opened: Counter[str] = Counter()
     held: list[str] = []
     linked = links = unread = 0
 
@@ -138,6 +140,7 @@ def parse(source: str) -> Page:
                 page.ends[at] = len(page.tags)
             links -= tag == "a"
             unread -= tag in _UNREAD
+            opened[tag] -= 1
             open_.pop()
 
     def take(text: str) -> None:
@@ -169,7 +172,7 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if closing:
-            for place in range(len(open_) - 1, -1, -1):
+            for place in range(len(open_) - 1, -1, -1) if opened[tag] else ():
                 if open_[place][0] == tag:
                     close(place)
                     break
@@ -185,7 +188,7 @@ def parse(source: str) -> Page:
             end = _ENDS[tag].search(source, at)
             at = end.start() if end else size
         for ended in _CLOSED_BY.get(tag, ()):
-            for place in range(len(open_) - 1, -1, -1):
+            for place in range(len(open_) - 1, -1, -1) if opened[ended] else ():
                 if open_[place][0] == ended:
                     close(place)
                     break
@@ -206,6 +209,7 @@ def parse(source: str) -> Page:
             page.elements[around] += 1
         if not (found[3] or "").rstrip().endswith("/") or tag in _BLOCKS:
             open_.append((tag, around))
+            opened[tag] += 1
             links += tag == "a"
             unread += tag in _UNREAD
     close(0)
