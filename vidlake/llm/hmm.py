@@ -47,7 +47,7 @@ FREQUENT = 4096
 SUFFIXES = 512
 SEGMENT = 256
 SEED_TEXTS, SEED_ROUNDS = 1500, 12
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 16_000_000
 # Tokens by which a state's emissions lean on those of the corpus.
 LEAN = 50.0
 # Tokens that are gone through at once.
@@ -59,6 +59,16 @@ def _suffix(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % SUFFIXES
 
 
+def _planes(places: np.ndarray) -> bytes:
+    """32-bit places, all lowest bytes first: the higher ones, mostly alike, then
+    compress to little."""
+    return places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _places(planes: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: a document with the places of its tokens, and a block's list
     of words (hash, suffix class, training count)."""
@@ -106,7 +116,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                     (known.setdefault(w, len(known) + 1) for w in tokens), np.uint32, len(tokens)
                 )
                 found = np.append(found, np.uint32(0))
-                rows.append((doc, held, found.tobytes()))
+                rows.append((doc, held, _planes(found)))
                 if not held:
                     counts.append(found)
                 size += len(text_of(text))
@@ -129,25 +139,26 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 
 def _listed(blocks: DataFrame) -> DataFrame:
-    """block, at, word, suffix, n: a row per word of a block."""
+    """block, word, tag, n: a row per word of a block; the tag holds its place in the
+    block's list and, in the last 16 bits, its suffix class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("block", "words", "suffixes", "counts"))
             for block, words, suffixes, counts in zip(*columns):
                 words = np.frombuffer(words, np.int64)
+                suffix = np.frombuffer(suffixes, np.uint16).astype(np.int64)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": np.full(len(words), block),
-                        "at": np.arange(len(words), dtype=np.int32),
                         "word": words,
-                        "suffix": np.frombuffer(suffixes, np.uint16).astype(np.int32),
+                        "tag": np.arange(len(words), dtype=np.int64) << 16 | suffix,
                         "n": np.frombuffer(counts, np.int64),
                     }
                 )
 
     lists = blocks.filter("words is not null").select("block", "words", "suffixes", "counts")
-    return lists.mapInArrow(run, "block long, at int, word long, suffix int, n long")
+    return lists.mapInArrow(run, "block long, word long, tag long, n long")
 
 
 class Model:
@@ -305,9 +316,9 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     blocks = save(_blocks(docs), "blocks")
     listed = _listed(blocks)
-    counts = save(
-        listed.groupBy("word").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n")).filter("n > 0"), "counts"
-    )
+    suffix = F.col("tag").bitwiseAND(F.lit(0xFFFF))
+    known = listed.filter("n > 0").groupBy("word").agg(F.max(suffix).cast("int").alias("suffix"), F.sum("n").alias("n"))
+    counts = save(known, "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = int(total["n"]), int(total["v"])
     # FREQUENT rows.
@@ -315,10 +326,10 @@ def score(docs: DataFrame) -> DataFrame:
     own = {row["word"]: at for at, row in enumerate(top)}
     own[_END] = FREQUENT + SUFFIXES
     n_classes = FREQUENT + SUFFIXES + 1
-    rare = F.when(F.col("word") == _END, F.lit(SUFFIXES)).otherwise(F.col("suffix"))
-    frequent = spark.createDataFrame([(w, a) for w, a in own.items()], "word long, own int")
-    classed = counts.join(F.broadcast(frequent), "word", "left").select(
-        "n", F.coalesce("own", F.lit(FREQUENT) + rare).alias("class")
+    # The end's suffix class is SUFFIXES, behind those of words.
+    frequent = F.broadcast(spark.createDataFrame([(w, a) for w, a in own.items()], "word long, own int"))
+    classed = counts.join(frequent, "word", "left").select(
+        "n", F.coalesce("own", F.lit(FREQUENT) + F.col("suffix")).alias("class")
     )
     held = np.zeros((2, n_classes))
     for row in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
@@ -328,23 +339,29 @@ def score(docs: DataFrame) -> DataFrame:
     single = np.r_[np.ones(FREQUENT, bool), np.zeros(SUFFIXES, bool), True]
     within = held[0] + 0.5 * (held[1] + 1)
     base = n_all + 0.5 * (v_all + 1)
-    facts = spark.sparkContext.broadcast((own, single, within))
+    facts = spark.sparkContext.broadcast((single, within))
 
-    asked = listed.select("block", "at", "word", "suffix").join(
-        counts.select("word", F.col("n").alias("c")), "word", "left"
+    asked = (
+        listed.select("block", "word", "tag")
+        .join(counts.select("word", F.col("n").alias("c")), "word", "left")
+        .join(frequent, "word", "left")
+    )
+    # The place and the class of a word, in one number.
+    placed = F.shiftleft(F.shiftright("tag", 16), 16).bitwiseOR(
+        F.coalesce(F.col("own").cast("long"), F.lit(FREQUENT) + suffix)
     )
+    asked = asked.select("block", placed.alias("tag"), "c")
 
     def classify(key, texts: pa.Table, words: pa.Table) -> pa.Table:
-        own, single, within = facts.value
-        words = words.sort_by("at")
+        single, within = facts.value
+        words = words.sort_by("tag")
         c = words["c"].fill_null(0).to_numpy().astype(float)
-        own_class = np.fromiter((own.get(w, -1) for w in words["word"].to_pylist()), np.int64, len(c))
-        class_ = np.where(own_class >= 0, own_class, FREQUENT + words["suffix"].to_numpy())
+        class_ = words["tag"].to_numpy() & 0xFFFF
         base_log = np.log10((c + 0.5) / base)
         class_log = np.where(single[class_], 0.0, np.log10((c + 0.5) / within[class_]))
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "within", "classes")}
         for value in texts["places"]:
-            places = np.frombuffer(value.as_buffer(), np.uint32)
+            places = _places(value)
             sums = len(places), int((c[places] > 0).sum()), float(base_log[places].sum()), float(class_log[places].sum())
             for column, x in zip(out.values(), (*sums, class_[places].astype(np.uint16).tobytes())):
                 column.append(x)
