@@ -157,7 +157,8 @@ def pack(
                 names = [f.split()[0] for f in schema.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
-    return tokens.join(plan, "row").mapInArrow(cut, schema)
+    # The plan grows with the documents, so it is never broadcast.
+    return tokens.join(plan.hint("merge"), "row").mapInArrow(cut, schema)
 
 
 def mixture(pieces: DataFrame, *, window: int = WINDOW, sequence: int = SEQUENCE) -> DataFrame:
