@@ -56,8 +56,8 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = _library(path)
         self.letters = byte_letters()
-        self.words = WordCache(self._word, CACHE_WORDS)
-        self.pieces = WordCache(self._piece, CACHE_UNITS)
+        self.words = WordCache(self._word, 2 * CACHE_WORDS)
+        self.pieces = WordCache(self._piece, CACHE_WORDS)
         ends = "'s|'t|'re|'ve|'m|'ll|'d"
         self.ascii = re.compile(rf"{ends}|[a-z]+|[0-9]|[^a-z0-9{_WHITE}]+")
         self.full = regex.compile(rf"{ends}|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+")
