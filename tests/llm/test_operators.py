@@ -376,6 +376,29 @@ def test_quality_base_matches_brute_force(docs):
     assert all(r.kept for (i, n), r in got.items() if i is not None and i < 200 and n >= 50 and not r.base_failed)
 
 
+def test_quality_rejects_other_languages_and_letters(spark):
+    """Texts under another language, and random letters, are far; own ones are kept."""
+    dice = random.Random(20)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    share = [1 / k for k in range(1, 3001)]
+    # The same letters in all languages, so that only words tell them apart.
+    own = {lang: ["".join(dice.choices(letters, k=dice.randint(2, 8))) for _ in share] for lang in ("a", "b")}
+    rows = []
+    for lang, words in own.items():
+        for k in range(300):
+            n = dice.choice([50, 60, 100, 400, 1000])
+            rows.append((len(rows), " ".join(dice.choices(words, share, k=n)), lang, "own"))
+    for k in range(30):
+        n = (50, 100, 400)[k % 3]
+        rows.append((len(rows), " ".join(dice.choices(own["b"], share, k=n)), "a", "other"))
+        text = " ".join("".join(dice.choices(letters, k=dice.randint(2, 8))) for _ in range(n))
+        rows.append((len(rows), text, "b", "letters"))
+    got = by_id(quality.quality(spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")))
+    for i, _, _, kind in rows:
+        assert not got[i].base_failed
+        assert got[i].kept == (kind == "own"), (kind, got[i])
+
+
 def test_distance():
     assert quality.distance(np.array([1.0, 0]), np.array([0, 2.0])) == 1
     assert quality.distance(np.array([1.0, 3]), np.array([2.0, 6])) == 0

@@ -2,11 +2,14 @@
 
 Each language has two references, learned from all documents of that language, every
 document counting the same: how its characters fall into classes, and how its words
-fall on the TOP_WORDS most frequent words of the language and all others. A document
-is far from its language if the Jensen-Shannon distance of one of its histograms
-(square root of the divergence, base 2, so from 0 to 1) is beyond a limit. A short
-text's histogram strays by chance, so the limits are wider the fewer words there
-are, and texts of fewer than MIN_WORDS words are not judged by distance at all.
+fall on the TOP_WORDS most frequent words of the language, in classes by rank (1, 2-3,
+4-7, ...), and all others. A document is far from its language if the Jensen-Shannon
+distance of one of its histograms (square root of the divergence, base 2, so from 0 to
+1) is beyond a limit. A short text's histogram strays by chance, so the limits are wider
+the fewer words there are, and texts of fewer than MIN_WORDS words are not judged by
+distance at all. The limit for words lies WORD_REACH of the way from the distance that
+chance alone gives a text of that length to the language's distance from a text that
+has none of its frequent words, so it can be passed at every length.
 
 Before that, the base rules: too few words, or too many words in repeated windows.
 
@@ -28,14 +31,14 @@ from pyspark.sql import functions as F
 
 from vidlake.llm.common import hashes, mix, odd_multipliers, save, slices, text_of
 
-TOP_WORDS = 64
+TOP_WORDS = 1023
 MIN_WORDS = 50
 # 100 * repeated words > MAX_REPEATED * words fails.
 MAX_REPEATED = 50
 WINDOW = 3
-# Limits of the two distances, and how much wider they are for one word.
+# Limit of the distance of characters, and how much wider it is for one word.
 CHAR_LIMIT, CHAR_SLACK = 0.22, 0.6
-WORD_LIMIT, WORD_SLACK = 0.41, 1.0
+WORD_REACH = 0.4
 
 _SYMBOLS = b"#*$%&|<>"
 _CLASSES = ["space", "line", "small", "capital", "digit", "stop", "quote", "symbol", "mark", "control", "lead", "tail"]
@@ -158,7 +161,7 @@ def references(docs: DataFrame, *, top: int = TOP_WORDS) -> DataFrame:
                 data = _bytes(text)
                 words = data.lower().split()
                 if len(words) >= MIN_WORDS:
-                    chars, shares = char_histogram(data), _word_histogram(words, place[lang])
+                    chars, shares = char_histogram(data), _word_histogram(words, place[lang], top.bit_length())
                     total = sums.setdefault(lang, [np.zeros(len(chars)), np.zeros(len(shares))])
                     total[0] += chars / chars.sum()
                     total[1] += shares / shares.sum()
@@ -186,12 +189,21 @@ def references(docs: DataFrame, *, top: int = TOP_WORDS) -> DataFrame:
 
 
 def _places(known: dict) -> dict:
-    return {lang: {word: at for at, word in enumerate(words)} for lang, words in known.items()}
+    """Classes of the frequent words of every language; 0 is left for others."""
+    return {lang: {word: at.bit_length() for at, word in enumerate(words, 1)} for lang, words in known.items()}
 
 
-def _word_histogram(words: list[bytes], place: dict[bytes, int]) -> np.ndarray:
-    at = [place.get(w, -1) for w in words]
-    return np.bincount(np.array(at, np.int64) + 1, minlength=len(place) + 1).astype(float)
+def _word_histogram(words: list[bytes], place: dict[bytes, int], classes: int) -> np.ndarray:
+    at = [place.get(w, 0) for w in words]
+    return np.bincount(np.array(at, np.int64), minlength=classes + 1).astype(float)
+
+
+def word_limit(shares: np.ndarray, n: int) -> float:
+    """Limit of the word distance of a text of n words from a reference."""
+    chance = np.sqrt((len(shares) - 1) / (8 * np.log(2) * n))
+    none = np.zeros(len(shares))
+    none[0] = 1
+    return float(chance + WORD_REACH * (distance(none, shares) - chance))
 
 
 def judge(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -213,14 +225,12 @@ def judge(docs: DataFrame, known: DataFrame) -> DataFrame:
                 words = data.split()
                 n, repeat = len(words), repeated_words(words)
                 failed = n < MIN_WORDS or 100 * repeat > MAX_REPEATED * n
-                chars, shares = None, None
+                chars, shares, far = None, None, False
                 if n >= MIN_WORDS and lang in place:
                     _, char_share, word_share = shared.value[lang]
                     chars = distance(char_histogram(data), char_share)
-                    shares = distance(_word_histogram(data.lower().split(), place[lang]), word_share)
-                far = chars is not None and (
-                    chars > CHAR_LIMIT + CHAR_SLACK / np.sqrt(n) or shares > WORD_LIMIT + WORD_SLACK / np.sqrt(n)
-                )
+                    shares = distance(_word_histogram(data.lower().split(), place[lang], len(word_share) - 1), word_share)
+                    far = chars > CHAR_LIMIT + CHAR_SLACK / np.sqrt(n) or shares > word_limit(word_share, n)
                 # A character's later bytes are 0x80 to 0xBF.
                 joined = b"".join(words)
                 later = len(joined) - len(joined.decode("utf-8", "surrogatepass")) if not joined.isascii() else 0
