@@ -433,6 +433,27 @@ def test_pseudonyms_keep_format_and_link(docs):
     assert pii.pseudonymise(docs([(1, "x")])).columns == docs([(1, "x")]).columns
 
 
+def test_phones_of_any_area_code_are_replaced(spark, docs):
+    from pyspark.sql import functions as F
+
+    texts = ["call +1 (017) 555-7713 or +1 (132) 055-1352", "+1 132-555-1352, +1.017.155.7713 and +10175557713", "(017) 555-7713",
+             "1 (988) 555-2485 and 988-555-2485"]
+    rows = by_id(pii.report(docs(list(enumerate(texts)))))
+    shape = lambda t: re.sub("[01]", "0", re.sub("[2-9]", "2", t))
+    for i, n in enumerate((2, 3, 1, 2)):
+        assert rows[i].n_values == n and re.sub(r"\d", "0", rows[i].text) == re.sub(r"\d", "0", texts[i])
+    assert shape(rows[0].text)[9] == "0" and "+1 (" in rows[0].text
+    assert "0175557713" in texts[1] and not re.search("017.?.?555|132.?.?[05]55", " ".join(r.text for r in rows.values()))
+    numbers = spark.range(3000).select(F.format_string("+1 (%03d) 555-01%02d", F.col("id") % 1000, F.floor(F.col("id") / 1000)).alias("v"))
+    moved = numbers.select("v", pii.pseudonym(F.col("v"), "k").alias("w"))
+    assert moved.select("w").distinct().count() == 3000
+    assert moved.filter("v = w or (substr(v, 5, 1) < '2') != (substr(w, 5, 1) < '2')").count() == 0
+    sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    form = r"\+1 \(\d{3}\) \d{3}-\d{4}"
+    old, new = (d.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(form), F.lit(0))).alias("v")) for d in (sf, pii.report(sf)))
+    assert old.count() == new.count() > 0 and old.intersect(new).count() == 0
+
+
 def luhn(number):
     digits = [int(d) for d in number.replace(" ", "")][::-1]
     return sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0

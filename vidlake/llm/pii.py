@@ -15,7 +15,9 @@ stay different.
 - Cards keep a right check digit, IBANs their country and right check digits, IPv4
   addresses are permuted as 32 bits, and the leading digits of North American
   numbers stay in 2 to 9. Of social security numbers only the format stays. The country code of a phone number, the prefix of an
-  access key and the domain of an address stay.
+  access key and the domain of an address stay. Numbers behind +1 and those with a
+  bracketed area code are taken whatever digits they have; there 0 and 1 are permuted
+  among themselves where others have 2 to 9.
 - Dates are permuted as days of the 400 years from 1800, by halves modulo 189 and
   773 (189 * 773 days), so every day stays a day.
 
@@ -47,7 +49,7 @@ _PATTERNS = {
     "dot_date": r"(?<![0-9A-Za-z.])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![0-9]|\.[0-9])",
     "slash_date": r"(?<![0-9A-Za-z/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "nanp": r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
+    "nanp": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?[0-9]{3}|[2-9][0-9]{2}[ .-][2-9][0-9]{2})[ .-][0-9]{4})(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?![0-9])",
     "card": r"(?<![0-9A-Za-z.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
@@ -55,8 +57,9 @@ _PATTERNS = {
 _ANY = "|".join(_PATTERNS[k].replace(r"([-/])", "(?:[-/])").replace(r"\1", "[-/]") for k in _PATTERNS)
 _DAY_ZERO = "1800-01-01"
 _LOW, _HIGH = 189, 773
-# Stand-ins for digits that only run from 2 to 9, and for four bits.
+# Stand-ins for digits that only run from 2 to 9, for those below, and for four bits.
 _EIGHT = "ÀÁÂÃÄÅÆÇ"
+_TWO = "ðñ"
 _SIXTEEN = "ÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞß"
 
 
@@ -89,6 +92,7 @@ def _shifted(half: Column, other: Column, step: Column, key: str) -> Column:
                 .when(code.between(97, 122), among(97, 26))
                 .when(code.between(65, 90), among(65, 26))
                 .when(code.between(192, 199), among(192, 8))
+                .when(code.between(240, 241), among(240, 2))
                 .otherwise(among(208, 16))
             )
 
@@ -200,13 +204,13 @@ def _nanp(value: Column, key: str) -> Column:
     plain = _plain(value)
     local = F.substr(plain, F.length(plain) - 9)
     coded = F.concat(
-        F.translate(F.substr(local, F.lit(1), F.lit(1)), "23456789", _EIGHT),
+        F.translate(F.substr(local, F.lit(1), F.lit(1)), "0123456789", _TWO + _EIGHT),
         F.substr(local, F.lit(2), F.lit(2)),
-        F.translate(F.substr(local, F.lit(4), F.lit(1)), "23456789", _EIGHT),
+        F.translate(F.substr(local, F.lit(4), F.lit(1)), "0123456789", _TWO + _EIGHT),
         F.substr(local, F.lit(5)),
     )
     head = F.substr(plain, F.lit(1), F.length(plain) - 10)
-    return _filled(value, F.concat(head, F.translate(permuted(coded, key), _EIGHT, "23456789")))
+    return _filled(value, F.concat(head, F.translate(permuted(coded, key), _TWO + _EIGHT, "0123456789")))
 
 
 def _phone(value: Column, key: str) -> Column:
