@@ -454,6 +454,34 @@ def test_phones_of_any_area_code_are_replaced(spark, docs):
     assert old.count() == new.count() > 0 and old.intersect(new).count() == 0
 
 
+def test_values_beside_numbers_are_replaced(docs):
+    card = "4111111111111111"
+    spaced = "4111 1111 1111 1111"
+    wanted = {
+        f"{card} 12/25": r"(\d{16}) 12/25",
+        f"{spaced} 123": r"(\d{4} \d{4} \d{4} \d{4}) 123",
+        "4111-1111-1111-1111 08/27": r"(\d{4}-\d{4}-\d{4}-\d{4}) 08/27",
+        f"order 12 {spaced} 12/25": r"order 12 (\d{4} \d{4} \d{4} \d{4}) 12/25",
+        f"no 2024 {card}": r"no 2024 (\d{16})",
+        "3782 822463 10005 1234": r"(\d{4} \d{6} \d{5}) 1234",
+        f"XX12 {spaced} x": r"XX12 (\d{4} \d{4} \d{4} \d{4}) x",
+        "BE68 5390 0754 7034 BIC GKCCBEBB": r"(BE\d\d \d{4} \d{4} \d{4}) BIC GKCCBEBB",
+        "BE68539007547034 GKCCBEBB": r"(BE\d{14}) GKCCBEBB",
+        "ES91 2100 0418 4502 0005 1332 EUR": r"(ES\d\d \d{4} \d{4} \d{4} \d{4} \d{4}) EUR",
+        "+49 30 12345678 20241231": r"(\+49 \d\d \d{8}) 20241231",
+    }
+    rows = by_id(pii.report(docs(list(enumerate([*wanted, f"{card} 12/25/2020 {spaced} 123 {spaced} 08 BE68 5390 0754 7034 EUR"])))))
+    for i, (text, shape) in enumerate(wanted.items()):
+        found = re.fullmatch(shape, rows[i].text)
+        assert found and found[1] not in text and rows[i].n_values == 1, (text, rows[i].text)
+        if text[0] not in "+BE":
+            assert luhn(re.sub("[ -]", "", found[1]))
+    last = rows[len(wanted)]
+    found = re.fullmatch(r"(\d{16}) (\d\d/\d\d/\d{4}) (\d{4}(?: \d{4}){3}) 123 (\d{4}(?: \d{4}){3}) 08 (BE.*) EUR", last.text)
+    assert found and last.n_values == 5 and found[2] != "12/25/2020"
+    assert found[1] == found[3].replace(" ", "") == found[4].replace(" ", "") == re.search(r"\d{16}", rows[0].text)[0]
+
+
 def luhn(number):
     digits = [int(d) for d in number.replace(" ", "")][::-1]
     return sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0

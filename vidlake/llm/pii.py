@@ -21,6 +21,13 @@ stay different.
 - Dates are permuted as days of the 400 years from 1800, by halves modulo 189 and
   773 (189 * 773 days), so every day stays a day.
 
+Valid cards and IBANs are listed before a text is searched, with every length they may have, so
+that a number or word next to one (expiry, security code, BIC, currency) does not
+hide it: a run of digits or of an IBAN's groups is tried as a whole and up to each of
+its separators, and card-like groups (4-4-4-4, 4-6-5, 4-6-4, 13 to 19 digits in one)
+are tried wherever they begin. Only valid ones are taken, the longer one first, and
+the text around them is searched as any other.
+
 Everything is built-in Spark expressions. The key is a literal in the plan; keep
 plans of production runs as safe as the key.
 
@@ -37,6 +44,9 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 DEMO_KEY = "vidlake-demo-key"
 
+# So many digits; written out, as a pattern that looks back cannot count.
+_DIGIT = "[ .()-]{0,3}[0-9]"
+_EIGHT_TO_15 = _DIGIT * 8 + f"(?:{_DIGIT}" * 7 + ")?" * 7
 # Patterns, tried in this order at every place. Possessive runs keep long words
 # from being searched again from each of their letters.
 _PATTERNS = {
@@ -50,11 +60,22 @@ _PATTERNS = {
     "slash_date": r"(?<![0-9A-Za-z/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "nanp": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?[0-9]{3}|[2-9][0-9]{2}[ .-][2-9][0-9]{2})[ .-][0-9]{4})(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?![0-9])",
+    "phone": rf"(?<![0-9A-Za-z+])\+[2-9][0-9]{{0,2}}(?:[ .-]?\(?[0-9]{{2,5}}\)?){{2,5}}(?<=\+{_EIGHT_TO_15}\)?)(?![0-9])",
     "card": r"(?<![0-9A-Za-z.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
-# One alternation without groups of its own kind that could be captured twice.
-_ANY = "|".join(_PATTERNS[k].replace(r"([-/])", "(?:[-/])").replace(r"\1", "[-/]") for k in _PATTERNS)
+# Card-like groups and IBANs, at every place they begin.
+_CARD_FORM = (
+    r"(?<![0-9A-Za-z.+])(?=[3-6]|2[2-7])"
+    r"(?=([0-9]{13,19}(?![0-9])|(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?![0-9])))"
+)
+_IBAN_FORM = f"(?=({_PATTERNS['iban']}))"
+
+
+def _several(names: list[str]) -> str:
+    """One alternation without groups of its own kind that could be captured twice."""
+    return "|".join(_PATTERNS[k].replace(r"([-/])", "(?:[-/])").replace(r"\1", "[-/]") for k in names)
+
+
 _DAY_ZERO = "1800-01-01"
 _LOW, _HIGH = 189, 773
 # Stand-ins for digits that only run from 2 to 9, for those below, and for four bits.
@@ -304,9 +325,54 @@ def pseudonym(value: Column, key: str) -> Column:
     )
 
 
+def _up_to_separators(match: Column) -> Column:
+    """The beginnings of a match that end where a separator follows, and the match."""
+    groups = F.split(match, "[ -]")
+    return F.transform(
+        F.sequence(F.lit(1), F.size(groups)),
+        lambda k: F.substr(match, F.lit(1), F.length(F.array_join(F.slice(groups, 1, k), " "))),
+    )
+
+
+def _one_of(values: Column, before: str, after: str) -> Column:
+    """A pattern for any of the values, or for nothing. They hold no character that
+    means something in a pattern."""
+    longest = F.array_sort(F.array_distinct(values), lambda a, b: F.length(b) - F.length(a))
+    return F.when(F.size(values) > 0, F.concat(F.lit(f"{before}(?:"), F.array_join(longest, "|"), F.lit(f"){after}"))).otherwise(
+        F.lit("(?!)")
+    )
+
+
+def _pattern(text: Column) -> Column:
+    """What is to be replaced in a text, valid IBANs and cards by their own digits."""
+    runs = F.regexp_extract_all(text, F.lit(_PATTERNS["card"]), F.lit(0))
+    # A run cut short is a card only if its groups are no short numbers in a row.
+    cut = F.filter(
+        F.flatten(F.transform(runs, _up_to_separators)), lambda c: c.rlike("^[0-9]{4,}(?:[ -][0-9]{4,})*(?:[ -][0-9]{1,3})?$")
+    )
+    cards = F.concat(runs, cut, F.regexp_extract_all(text, F.lit(_CARD_FORM), F.lit(1)))
+    cards = F.filter(cards, lambda c: F.length(_plain(c)).between(13, 19) & (F.pmod(luhn(_plain(c)), F.lit(10)) == 0))
+    ibans = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_IBAN_FORM), F.lit(1)), _up_to_separators))
+    ibans = F.filter(ibans, lambda i: i.rlike(_whole("iban")) & (mod97(_plain(i)) == 1))
+    names = list(_PATTERNS)
+    first, others = names[: names.index("iban")], names[names.index("iban") + 1 : names.index("card")]
+    return F.concat_ws(
+        "|",
+        F.lit(_several(first)),
+        _one_of(ibans, "(?<![A-Za-z0-9])", "(?![A-Za-z0-9])"),
+        F.lit(_several(others)),
+        _one_of(cards, "(?<![0-9A-Za-z.])", "(?![0-9])"),
+    )
+
+
 def pseudonymised(text: Column, key: str) -> Column:
     """struct(text, n_values) of a text column."""
-    parts, found = F.split(text, _ANY, -1), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
+    plain = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n_values"))
+    return F.when(text.rlike("[0-9@=:]"), _let(_pattern(text), lambda pattern: _replaced(text, pattern, key))).otherwise(plain)
+
+
+def _replaced(text: Column, pattern: Column, key: str) -> Column:
+    parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     replaced = F.transform(found, lambda value: pseudonym(value, key))
 
     def joined(new: Column) -> Column:
@@ -314,8 +380,7 @@ def pseudonymised(text: Column, key: str) -> Column:
         changed = F.filter(F.zip_with(new, found, lambda a, b: a != b), lambda x: x)
         return F.struct(F.array_join(pieces, "").alias("text"), F.size(changed).cast("long").alias("n_values"))
 
-    plain = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n_values"))
-    return F.when(text.rlike("[0-9@=:]"), _let(replaced, joined)).otherwise(plain)
+    return _let(replaced, joined)
 
 
 def pseudonymise(docs: DataFrame, *, key: str = DEMO_KEY) -> DataFrame:
