@@ -328,6 +328,21 @@ def test_expressions():
             licenses.postfix(broken)
 
 
+def test_unknown_ids_keep_the_known_ones():
+    def tagged(expression):
+        return licenses.scan(f"// SPDX-License-Identifier: {expression}\ncode")[5:]
+
+    assert tagged("MIT OR EPL-2.0") == ({"mit", "epl-2.0"}, 1.0, True)
+    assert tagged("(GPL-2.0 OR Linux-OpenIB)") == ({"gpl-2", "linux-openib"}, 1.0, False)
+    assert tagged("MIT AND BSL-1.0") == ({"mit", "bsl-1.0"}, 1.0, False)
+    assert tagged("LGPL-2.0-or-later WITH x OR Zlib") == ({"lgpl-2.0", "zlib"}, 1.0, False)
+    assert tagged("DocumentRef-a:LicenseRef-b OR ISC") == ({"documentref-a:licenseref-b", "isc"}, 1.0, True)
+    for name in ("Zlib", "0BSD", "MPL-1.1", "CC-BY-3.0"):
+        assert tagged(name) == ({name.lower()}, 1.0, False)
+    for broken in ("MIT OR", "NOASSERTION", "see the file", "EPL+2 OR MIT", ""):
+        assert tagged(broken) == (set(), 0.3, None)
+
+
 def test_license_places_match_brute_force(docs):
     dice = random.Random(17)
     bits = ["under", "the", "mit", "license", "apache", "version", "2", "cc", "by", "nc", "é", "x-"]

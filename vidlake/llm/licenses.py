@@ -6,7 +6,8 @@ them does not matter) and the words of identifier tags. Behind a tag such as
 `SPDX-License-Identifier:` stands an expression of license ids joined by `AND`, `OR`
 and `WITH`, with brackets; a shunting-yard parser turns it into postfix order, which
 is evaluated: `OR` needs one side to be acceptable, `AND` both, and `WITH` adds an
-exception to the license before it.
+exception to the license before it. Any id is a license: those of IDS get the labels
+that phrases use, others their own name in small letters, and count as not permissive.
 
 A text's labels are those of its phrases and the ids of its valid expressions, and
 its score says how sure the scan is: a tag with a valid expression 1, the base
@@ -85,7 +86,10 @@ BASE_SCORE, TAG_SCORE, BROKEN_SCORE = 0.9, 1.0, 0.3
 
 # Separators become blanks, A-Z small letters.
 _FOLD = bytes(c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
-_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*")
+_TOKEN = re.compile(r"\(|\)|(?:DocumentRef-[A-Za-z0-9.-]+:)?[A-Za-z0-9][A-Za-z0-9.+-]*")
+_ID = re.compile(r"(?:documentref-[a-z0-9.-]+:)?[a-z0-9](?:[a-z0-9.-]*[a-z0-9])?")
+# Values that say that no license is named.
+_NO_LICENSE = frozenset({"none", "noassertion"})
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 _TAG = re.compile(r"(?:spdx-license-identifier|license-expression)\s*:[ \t]*([^\n\r*<>\"']*)", re.IGNORECASE)
 
@@ -96,7 +100,7 @@ class NotAnExpression(ValueError):
 
 def postfix(text: str) -> list[str]:
     """An expression's ids and operators in postfix order (shunting-yard). Words after
-    a complete expression end it."""
+    a complete expression end it; a mere word before other words is no id, unless known."""
     out: list[str] = []
     held: list[str] = []
     operand_next = True
@@ -123,6 +127,8 @@ def postfix(text: str) -> list[str]:
             held.pop()
         elif "(" in held or token == "(":
             raise NotAnExpression(text)
+        elif len(out) == 1 and out[0].isalpha() and out[0] not in IDS:
+            raise NotAnExpression(text)
         else:
             break
     if operand_next or "(" in held:
@@ -130,12 +136,12 @@ def postfix(text: str) -> list[str]:
     return out + held[::-1]
 
 
-def _license(name: str) -> str | None:
-    """Label of an id, or None if it is not one."""
-    plain = re.sub(r"(-only|-or-later|\+)$", "", name).rstrip(".")
-    if plain in IDS:
-        return IDS[plain]
-    return plain if plain.startswith("licenseref-") else None
+def _license(name: str) -> str:
+    """Label of an id: the one that phrases use, or its own name without a suffix."""
+    plain = re.sub(r"(-only|-or-later|\+)$", "", name.rstrip("."))
+    if plain in _NO_LICENSE or not _ID.fullmatch(plain):
+        raise NotAnExpression(name)
+    return IDS.get(plain, plain)
 
 
 def evaluated(order: list[str]) -> tuple[set[str], bool]:
@@ -162,8 +168,6 @@ def _value(item) -> tuple[set[str], bool]:
     if not isinstance(item, str):
         return item
     label = _license(item)
-    if label is None:
-        raise NotAnExpression(item)
     return {label}, label in PERMISSIVE
 
 
