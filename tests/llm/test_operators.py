@@ -154,6 +154,40 @@ def test_leaks_survive_substitutions(spark, docs):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id and r.doc_id < 100) == [21, 22]
 
 
+def test_substituted_short_items_match_brute_force(spark, docs):
+    dice = random.Random(8)
+    items = [(k, prose(dice, 5 + k % 20)) for k in range(40)]
+    far = ["q" + w for w in VOCABULARY]
+    rows = []
+    for k, text in items:
+        for _ in range(6):
+            words = text.split()
+            n = len(words)
+            # Up to one more than may differ; the first and the last place, too.
+            for place in dice.sample(range(n), dice.randint(0, n // 5 + 1)) if dice.random() < 0.7 else [dice.choice([0, n - 1])]:
+                words[place] = "exchanged"
+            around = [" ".join(dice.choices(far, k=dice.choice([0, 3, 20]))) for _ in range(2)]
+            rows.append((len(rows), f"{around[0]} {' '.join(words)} {around[1]}"))
+    whole, stretch = set(), set()
+    for i, text in rows:
+        words = text.split()
+        for k, item in items:
+            own = item.split()
+            for shift in range(1 - len(own), len(words)):
+                equal = np.array([0 <= shift + j < len(words) and words[shift + j] == w for j, w in enumerate(own)])
+                if 5 * equal.sum() >= 4 * len(own):
+                    whole.add((i, k))
+                if decontam.best_stretch(equal)[2] >= 12:
+                    stretch.add((i, k))
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(docs(rows), bench(spark, items)).collect()}
+    assert len(whole) > 150 and whole <= found <= whole | stretch
+
+
+def test_best_stretch_takes_the_longer_of_equals():
+    assert decontam.best_stretch(np.array([1, 1, 1, 0, 1, 1, 0], bool)) == (0, 6, 5)
+    assert decontam.best_stretch(np.array([1, 0, 1], bool)) == (0, 1, 1)
+
+
 def test_no_items_no_leaks(spark, docs):
     assert decontam.leaks(docs(ODD), bench(spark, [])).count() == 0
     assert decontam.leaks(docs([]), bench(spark, [(1, "a b c d e f g")])).count() == 0

@@ -3,7 +3,9 @@
 Words are runs of letters and digits, lower-cased. A mask looks at some of SPAN
 neighbouring words and ignores the others, so a passage with words exchanged
 still shares hashes with its original wherever the exchanged words fall on
-ignored places. Items shorter than a span are looked for as a whole.
+ignored places. Besides, every item is cut into so many blocks that, when a fifth of
+it differs, one block differs in one word at most; masks of a block's length that
+ignore each of its places in turn find that one, so no such item is missed.
 
 1. Hashes of every mask at every place of the test items are a table; a Bloom
    filter of it (at most 2**MAX_BITS bits, whatever the number of items) is
@@ -11,9 +13,9 @@ ignored places. Items shorter than a span are looked for as a whole.
 2. Documents are read once. Places whose hash passes the filter are kept, with
    the hashes of the words around them, as one row per cluster of hits.
 3. Hits join the table of test hashes. Each (cluster, item, alignment) is verified
-   word by word: the best stretch, at +1 for an equal and -SUBSTITUTION for an
-   exchanged word, is a leak if at least MIN_MATCHED words of it (or all but a fifth
-   of a shorter item) are equal.
+   word by word: the whole item is a leak if all but a fifth of its words are equal,
+   else the best stretch, at +1 for an equal and -SUBSTITUTION for an exchanged word,
+   if at least MIN_MATCHED words of it are. Words beyond the text's ends differ.
 
 Cases: null and empty texts, and items of fewer than MIN_WORDS words, match
 nothing. Rows that repeat give the same leak once. Leaks of documents with a
@@ -30,12 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, mix, odd_multipliers, save, text_of
+from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, odd_multipliers, save, text_of
 from vidlake.llm.toxicity import _FOLD
 
 # Places a mask looks at.
 MASKS = ("110101011", "111010011", "101100111", "110011101")
 SPAN = 9
+# Masks of a block, by its length: all words but one. Without the first or the last
+# word it is the same shorter mask, which also fits at the ends of a text.
+BLOCKS = {
+    5: ("1111", "10111", "11011", "11101"),
+    7: ("111111", "1011111", "1101111", "1110111", "1111011", "1111101"),
+}
+ALL_MASKS = (*MASKS, *BLOCKS[5], *BLOCKS[7])
 MIN_WORDS = 5
 MIN_MATCHED = 12
 SUBSTITUTION = 2
@@ -48,26 +57,42 @@ def _tokens(text: str) -> np.ndarray:
     return hashes(text.encode("utf-8", "surrogatepass").translate(_FOLD).split())
 
 
-def seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
-    """Hash of the looked-at words at every place where the mask fits."""
-    n = len(tokens) - len(mask) + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    total = np.full(n, int(mask, 2), np.uint64)
-    for k, bit in enumerate(mask):
-        if bit == "1":
-            total += tokens[k : k + n] * _PLACE[k]
-    return mix(total)
-
-
-def _masks(n_tokens: int) -> tuple[str, ...]:
-    """Masks for an item: the spaced ones, or all words of a short item."""
-    return MASKS if n_tokens >= SPAN else ("1" * n_tokens,) if n_tokens >= MIN_WORDS else ()
-
-
-def _slots(hashed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64((1 << bits) - 1)
-    return (hashed & low).astype(np.int64), (hashed >> np.uint64(64 - bits)).astype(np.int64)
+def seeds(tokens: np.ndarray, *masks: str) -> list[np.ndarray]:
+    """For each mask the hash of the looked-at words at every place where it fits. Sums of
+    hashes times odd numbers spread as well as the hashes do."""
+    products = [tokens * by for by in _PLACE]
+    found = []
+    for mask in masks:
+        n = max(0, len(tokens) - len(mask) + 1)
+        total = np.full(n, int(mask, 2), np.uint64)
+        for k, bit in enumerate(mask):
+            if bit == "1":
+                total += products[k][k : k + n]
+        found.append(total)
+    return found
+
+
+def _needed(n_tokens: int) -> int:
+    """Equal words that make a whole item a leak."""
+    return -(-4 * n_tokens // 5)
+
+
+def item_seeds(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes an item is looked for by, and their places: the spaced masks everywhere,
+    and those of its blocks. m blocks hold 2 m - 1 exchanged words at least before each
+    of them has two."""
+    n = len(tokens)
+    if n < MIN_WORDS:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    found = [(hashed, 0) for hashed in seeds(tokens, *MASKS)]
+    blocks = (n - _needed(n) + 2) // 2
+    length = max(b for b in BLOCKS if b <= n // blocks)
+    for first in range(0, blocks * (n // blocks), n // blocks):
+        found += [(hashed, first) for hashed in seeds(tokens[first : first + length], *BLOCKS[length])]
+    return (
+        np.concatenate([hashed for hashed, _ in found]),
+        np.concatenate([np.arange(len(hashed)) + first for hashed, first in found]),
+    )
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -77,13 +102,13 @@ def _items(benchmark: DataFrame) -> DataFrame:
         out: dict[str, list] = {"item_id": [], "tokens": [], "n_tokens": [], "hash": [], "at": []}
         for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
             tokens = _tokens(text_of(text))
-            found = [seeds(tokens, m) for m in _masks(len(tokens))]
-            if found:
+            hashed, at = item_seeds(tokens)
+            if len(hashed):
                 out["item_id"].append(item)
                 out["tokens"].append(tokens.tobytes())
                 out["n_tokens"].append(len(tokens))
-                out["hash"].append(as_long(np.concatenate(found)))
-                out["at"].append(np.concatenate([np.arange(len(f)) for f in found]))
+                out["hash"].append(as_long(hashed))
+                out["at"].append(at)
         types = {"item_id": pa.int64(), "tokens": pa.binary(), "n_tokens": pa.int64()}
         lists = pa.list_(pa.int64())
         return {k: pa.array(v, types.get(k, lists)) for k, v in out.items()}
@@ -108,29 +133,27 @@ def _filter_words(table: DataFrame, bits: int) -> np.ndarray:
     return flags
 
 
-def _clusters(docs: DataFrame, flags: np.ndarray, bits: int, reach: int, lengths: list[int]) -> DataFrame:
+def _clusters(docs: DataFrame, flags: np.ndarray, bits: int, reach: int) -> DataFrame:
     """doc_id, first word, hashes of the words, and hits (place, hash)."""
     shared = docs.sparkSession.sparkContext.broadcast(flags)
-    masks = (*MASKS, *("1" * n for n in lengths))
 
     def passes(hashed: np.ndarray) -> np.ndarray:
         words_ = shared.value
-        one, two = _slots(hashed, bits)
+        one = as_long(hashed) & ((1 << bits) - 1)
         at = np.flatnonzero((words_[one >> 6] >> (one & 63)) & 1)
-        return at[((words_[two[at] >> 6] >> (two[at] & 63)) & 1).astype(bool)]
+        two = as_long(hashed[at] >> np.uint64(64 - bits))
+        return at[((words_[two >> 6] >> (two & 63)) & 1).astype(bool)]
 
     def find(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"doc_id": [], TEXT_HASH: [], "first": [], "tokens": [], "at": [], "hash": []}
         rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", TEXT_HASH, "text")))
         for doc, text_hash, text in rows:
             tokens = _tokens(text_of(text))
-            at, found = [], []
-            for mask in masks:
-                hashed = seeds(tokens, mask)
-                places = passes(hashed)
-                at.append(places)
-                found.append(hashed[places])
-            at, found = np.concatenate(at), np.concatenate(found)
+            hashed = seeds(tokens, *ALL_MASKS)
+            place = np.concatenate([np.arange(len(h)) for h in hashed])
+            hashed = np.concatenate(hashed)
+            found = passes(hashed)
+            at, found = place[found], hashed[found]
             if not len(at):
                 continue
             order = np.argsort(at, kind="stable")
@@ -156,14 +179,29 @@ def _clusters(docs: DataFrame, flags: np.ndarray, bits: int, reach: int, lengths
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and equal words of the stretch with the highest score."""
+    """Start, end and equal words of the stretch with the highest score, the longest
+    and then the first of several."""
     total = np.r_[0, np.cumsum(np.where(equal, 1, -SUBSTITUTION))]
     gain = total - np.minimum.accumulate(total)
-    end = int(gain.argmax())
-    start = int(total[: end + 1].argmin())
+    ends = np.flatnonzero(gain == gain.max())
+    starts = np.array([total[: end + 1].argmin() for end in ends])
+    at = int((ends - starts).argmax())
+    start, end = int(starts[at]), int(ends[at])
     return start, end, int(equal[start:end].sum())
 
 
+def leaked(equal: np.ndarray, n_item: int) -> tuple[int, int, int] | None:
+    """Start, end and equal words of the leak of an aligned item, or None."""
+    n_equal = int(equal.sum())
+    if n_equal >= _needed(n_item):
+        places = np.flatnonzero(equal)
+        return int(places[0]), int(places[-1]) + 1, n_equal
+    if n_equal < MIN_MATCHED:
+        return None
+    found = best_stretch(equal)
+    return found if found[2] >= MIN_MATCHED else None
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, first_word, last_word (of the document, counted from 0),
     n_equal, n_item_words of every leak: a row for each document and item."""
@@ -179,10 +217,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     if not size["items"]:
         return spark.createDataFrame([], result)
-    lengths = [r[0] for r in items.filter(F.col("n_tokens") < SPAN).select("n_tokens").distinct().collect()]
     bits = min(MAX_BITS, max(16, int(size["seeds"] * 64).bit_length()))
     flags = _filter_words(table, bits)
-    clusters = _clusters(docs, flags, bits, int(size["longest"]), sorted(lengths))
+    clusters = _clusters(docs, flags, bits, int(size["longest"]))
     clusters = save(clusters.withColumn("cluster", F.monotonically_increasing_id()), "clusters")
 
     hits = clusters.select("cluster", F.explode(F.arrays_zip("hash", "at")).alias("s"))
@@ -208,8 +245,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 low, high = max(0, -skip), min(len(item), len(tokens) - skip)
                 if high <= low:
                     continue
-                start, end, n_equal = best_stretch(item[low:high] == tokens[low + skip : high + skip])
-                if n_equal >= min(MIN_MATCHED, -(-4 * len(item) // 5)):
+                found = leaked(item[low:high] == tokens[low + skip : high + skip], len(item))
+                if found:
+                    start, end, n_equal = found
                     first = row["shift"] + low + start
                     values = row["doc_id"], row["item_id"], first, first + end - start - 1, n_equal, len(item)
                     for column, value in zip(out, (*values, row[TEXT_HASH])):
