@@ -126,6 +126,20 @@ def test_one_document_of_each_class_stays(docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 7, 8, 9]
 
 
+def test_one_document_of_each_class_stays_without_ids(docs):
+    text = prose(random.Random(6), 80)
+    near = mutated(random.Random(6), text, 1)
+    other = prose(random.Random(60), 80)
+    rows = [(None, text), (None, text.upper()), (None, near), (None, other), (4, other), (5, text + " a"), (5, text + " b"),
+            (6, "x y z"), (6, "p q r"), (None, None), (None, ""), (None, "")]
+    kept = [(r.doc_id, (r.text or "").split()[:1]) for r in neardup.without_copies(docs(rows)).collect()]
+    first = [text.split()[0]], [other.split()[0]]
+    wanted = [(5, first[0]), (4, first[1]), (6, ["x"]), (6, ["p"]), (None, []), (None, [])]
+    assert sorted(map(repr, kept)) == sorted(map(repr, wanted))
+    rows = [(None, text), (None, text.upper()), (None, near)]
+    assert neardup.without_copies(docs(rows)).count() == 1
+
+
 # Decontamination
 
 

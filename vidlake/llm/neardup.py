@@ -308,7 +308,8 @@ def _stars(edges: DataFrame) -> bool:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and a hash of the text of every row."""
+    """doc_id, n_shingles, component_id, kept, a hash of the text and the class (null for
+    texts without a word) of every row."""
     signed = save(_signed(docs), "signed")
     nodes = signed.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"),
@@ -341,7 +342,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.select("node", "key", F.col("doc_id").alias("low_id")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    classes = named.join(least, "root").select("key", "component_id")
+    classes = named.join(least, "root").select("key", "component_id", F.col("root").alias("class_node"))
     return (
         signed.select("doc_id", TEXT_HASH, "key", "n_shingles")
         .join(classes, "key", "left")
@@ -350,15 +351,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             TEXT_HASH,
             "n_shingles",
             F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(F.col("n_shingles") > 0, F.col("class_node")).alias("class_node"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one of the smallest id, with all its columns.
-    Documents without an id that are alike word by word count as one."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), TEXT_HASH)
+    """One document of each class, the one of the smallest id (and of several of that id,
+    the smallest text hash; without an id only if none has one), with all its columns.
+    Texts without a word stay, those alike under one id once."""
+    single = F.col("class_node").isNull()
+    kept = near_duplicates(docs).groupBy("class_node", F.when(single, F.col("doc_id")), F.when(single, F.col(TEXT_HASH))).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", TEXT_HASH)).alias("least")
+    )
+    kept = kept.select(F.col("least.doc_id").alias("kept_id"), F.col(f"least.{TEXT_HASH}").alias(TEXT_HASH))
     marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(kept["kept_id"]) & (marked[TEXT_HASH] == kept[TEXT_HASH])
+    same = marked["doc_id"].eqNullSafe(kept["kept_id"]) & marked[TEXT_HASH].eqNullSafe(kept[TEXT_HASH])
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", TEXT_HASH]).drop(TEXT_HASH)
