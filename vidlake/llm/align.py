@@ -8,9 +8,9 @@ the decoded bytes. Every token is then held against the bytes it should stand fo
 where tokens of both end cut the text into groups, and tokens whose bytes overlap are
 linked.
 
-Neither tokenizer joins what a blank after a word separates (for B this is read off its
-vocabulary), so texts are cut there and workers keep the alignment of words they have
-seen. How often each pair of ids is linked is counted over the corpus, after adding up
+Neither tokenizer joins what a blank after a word separates, or a line break, or a mark
+after a letter (for B this is read off its vocabulary), so texts are cut there and workers
+keep the alignment of words they have seen. How often each pair of ids is linked is counted over the corpus, after adding up
 within tasks. The most frequent pairs, no more than SHARED_PAIRS, are sent to every task;
 documents look those up at once, and meet the counts of the rare ones in a join.
 
@@ -45,8 +45,12 @@ LINKS_AT_ONCE = 1 << 21
 TEXT_AT_ONCE = 1 << 20
 LEARNT_AT_ONCE = 20_000
 # Words a worker keeps per generation, and the longest one kept.
-CACHE_UNITS = 250_000
+CACHE_UNITS = 400_000
 CACHE_LENGTH = 48
+# Letters and marks between which B has no pieces; units to put before others.
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
+_MARKS = ".,;:!?)"
+_BEFORE = (" a", " a\n")
 # Marks the first link of each token of A; ids need fewer bits.
 BEGINS = 1 << 31
 
@@ -82,50 +86,51 @@ class Aligner:
         ]
         self.a_sizes = np.array([len(x) for x in self.a_bytes])
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
-        joined = any(re.search("[^\u2581]\u2581", p) for p in pieces)
-        # A blank after a word; none if B has pieces across such a place.
-        self.cut = None if joined else re.compile(r"(?<=\S)(?= )")
+        # Where to cut: before a blank after a word, around a single line break, and
+        # before a mark after a letter. None where B has pieces across such a place;
+        # A's pattern separates all of them.
+        cuts = []
+        if not any(re.search("[^\u2581]\u2581", p) for p in pieces):
+            cuts.append(r"(?<=\S)(?= )")
+            if not any("\n" in p for p in pieces):
+                cuts.append(r"(?<=\S)(?=\n)|(?<=\S\n)(?=\S)")
+            marks = "".join(m for m in _MARKS if not any(re.search(_LETTER + re.escape(m), p) for p in pieces))
+            if marks:
+                cuts.append(f"(?<={_LETTER})(?=[{re.escape(marks)}])")
+        self.cut = re.compile("|".join(cuts)) if cuts else None
+        #: Ids with the mark after them: in a side, between sides, between groups, none.
+        ids = range(max(len(self.a_bytes), size))
+        self.texts = [f"{i}{mark}" for i in ids for mark in (",", "|", ";", "")]
         #: Unit to its groups as text and its links; None if it is not given back.
         self.units: dict[str, tuple[str, bytes] | None] = {}
         self.old: dict[str, tuple[str, bytes] | None] = {}
 
-    def _a_tokens(self, units: list[str], data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A's ids and where they end in the bytes of all units."""
-        found = self.a.encode_batch(units, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.int64)
-        spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets) for e in found), np.int64)
-        starts, ends = spans[::2].copy(), spans[1::2].copy()
-        # Characters before each unit, for each of its tokens.
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        before = np.repeat(np.cumsum([0, *map(len, units[:-1])]), sizes)
+    def _a_tokens(self, text: str, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids and where they end in the bytes."""
+        found = self.a.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids))
+        starts, ends = spans[::2], spans[1::2]
         places = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        coarse = places[np.minimum(ends + before, len(places) - 1)]
         # The next token has bytes of the same character.
-        shared = np.append((starts[1:] < ends[:-1]) & (before[1:] == before[:-1]), False)
-        return ids, _refined(coarse, shared, self.a_sizes[ids])
+        shared = np.append(starts[1:] < ends[:-1], False)
+        return ids, _refined(places[ends], shared, self.a_sizes[ids])
 
-    def _b_tokens(self, units: list[str], firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _b_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The same of B, whose spans count bytes, without the blank it puts first."""
-        ids, ends, sizes = [], [], []
-        for proto in self.b.encode([u[1:] for u in units], return_type="proto", num_threads=1):
-            pieces = proto.pieces
-            ids += [p.id for p in pieces]
-            ends += [p.end for p in pieces]
-            sizes.append(len(pieces))
-        tokens = np.array(ids, np.int64)
-        coarse = np.array(ends, np.int64) + 1 + np.repeat(firsts, sizes)
-        return tokens, _refined(coarse, self.is_byte[tokens], self.b_sizes[tokens])
+        pieces = self.b.encode(text[1:], return_type="proto").pieces
+        ids = np.fromiter((p.id for p in pieces), np.int64, len(pieces))
+        coarse = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
+        return ids, _refined(coarse, self.is_byte[ids], self.b_sizes[ids])
 
     def learn(self, units: list[str]) -> list[tuple[str, bytes] | None]:
-        """Groups and links of texts that begin with a blank."""
+        """Groups and links of texts that, put together, are cut where they meet."""
         if not units:
             return []
-        encoded = [u.encode("utf-8", "surrogatepass") for u in units]
-        whole = b"".join(encoded)
-        last = np.cumsum([len(x) for x in encoded])
-        firsts = last - [len(x) for x in encoded]
-        a, a_ends = self._a_tokens(units, np.frombuffer(whole, np.uint8))
-        b, b_ends = self._b_tokens(units, firsts)
+        text = "".join(units)
+        whole = text.encode("utf-8", "surrogatepass")
+        a, a_ends = self._a_tokens(text, np.frombuffer(whole, np.uint8))
+        b, b_ends = self._b_tokens(text)
         for ids, ends, known, sizes in (
             (a, a_ends, self.a_bytes, self.a_sizes),
             (b, b_ends, self.b_bytes, self.b_sizes),
@@ -135,25 +140,30 @@ class Aligner:
                 # Some unit is not given back: halves tell which.
                 half = len(units) // 2
                 return [None] if not half else self.learn(units[:half]) + self.learn(units[half:])
+        sizes = map(len, units) if len(whole) == len(text) else (len(u.encode("utf-8", "surrogatepass")) for u in units)
+        last = np.cumsum(np.fromiter(sizes, np.int64, len(units)))
         # Between neighbouring ends one token of A and one of B overlap.
         every = np.union1d(a_ends, b_ends)
         a_place, b_place = np.searchsorted(a_ends, every), np.searchsorted(b_ends, every)
         begins = np.append(True, a_place[1:] != a_place[:-1])
         links = (b[b_place] << 32 | a[a_place] | begins * BEGINS).astype("<i8").tobytes()
         link_ends = (8 * np.searchsorted(every, last, "right")).tolist()
+        # Tokens of a group: A's, then B's, each with the mark that follows it.
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        group_ends = np.searchsorted(common, last, "right").tolist()
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for i_end, j_end in zip(
-            np.searchsorted(a_ends, common, "right").tolist(), np.searchsorted(b_ends, common, "right").tolist()
-        ):
-            groups.append(f"{','.join(a_text[i:i_end])}|{','.join(b_text[j:j_end])}")
-            i, j = i_end, j_end
-        out, group, link = [], 0, 0
-        for group_end, link_end in zip(group_ends, link_ends):
-            out.append((";".join(groups[group:group_end]), links[link:link_end]))
-            group, link = group_end, link_end
+        groups = [np.searchsorted(common, ends) for ends in (a_ends, b_ends)]
+        group = np.concatenate(groups)
+        marks = [np.append(g[1:] != g[:-1], True) for g in groups]
+        marks[0] = marks[0] * 1
+        marks[1] = marks[1] * 2 + np.isin(b_ends, last, assume_unique=True)
+        of_b = np.repeat([0, 1], [len(a), len(b)])
+        order = np.lexsort((of_b, group))
+        code = (np.concatenate([a, b]) << 2 | np.concatenate(marks))[order]
+        tokens = list(map(self.texts.__getitem__, code.tolist()))
+        token_ends = (np.searchsorted(a_ends, last, "right") + np.searchsorted(b_ends, last, "right")).tolist()
+        out, token, link = [], 0, 0
+        for token_end, link_end in zip(token_ends, link_ends):
+            out.append(("".join(tokens[token:token_end]), links[link:link_end]))
+            token, link = token_end, link_end
         return out
 
     def _look_up(self, wanted: set[str]) -> dict[str, tuple[str, bytes] | None]:
@@ -163,11 +173,11 @@ class Aligner:
         new = wanted - self.units.keys()
         kept = new & self.old.keys()
         self.units.update((u, self.old[u]) for u in kept)
-        missing = sorted(new - kept)
         long = {}
-        for start in range(0, len(missing), LEARNT_AT_ONCE):
-            part = missing[start : start + LEARNT_AT_ONCE]
+        for part in _parts(new - kept):
             for unit, found in zip(part, self.learn(part)):
+                if unit in _BEFORE and unit not in new:
+                    continue
                 (self.units if len(unit) <= CACHE_LENGTH else long)[unit] = found
         return self.units | long if long else self.units
 
@@ -203,6 +213,21 @@ class Aligner:
         yield self.cut.split(text[start:]) if self.cut else [text]
 
 
+def _parts(units: Iterable[str]) -> Iterator[list[str]]:
+    """Units to be learnt together, each that begins without a blank after what it may
+    come after; one that ends with white space is the last of its part."""
+    part: list[str] = []
+    for unit in units:
+        if unit[0] != " ":
+            part.append(_BEFORE[0] if unit[0] in _MARKS or unit[0].isspace() else _BEFORE[1])
+        part.append(unit)
+        if len(part) >= LEARNT_AT_ONCE or unit[-1].isspace():
+            yield part
+            part = []
+    if part:
+        yield part
+
+
 def _refined(coarse: np.ndarray, unsure: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Ends of tokens: those that offsets tell, and from them on decoded bytes."""
     told = np.where(unsure, -1, np.arange(len(coarse)))
