@@ -123,10 +123,18 @@ class Aligner:
         coarse = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
         return ids, _refined(coarse, self.is_byte[ids], self.b_sizes[ids])
 
-    def learn(self, units: list[str]) -> list[tuple[str, bytes] | None]:
-        """Groups and links of texts that, put together, are cut where they meet."""
-        if not units:
+    def learn(self, wanted: list[str]) -> list[tuple[str, bytes] | None]:
+        """Groups and links of units of which all but the last end in a character that
+        is not white space, or in one line break. They are encoded in one text, each
+        that begins without a blank after a word it may come after."""
+        if not wanted:
             return []
+        units, mine = [], []
+        for unit in wanted:
+            if unit[0] != " ":
+                units.append(_BEFORE[0] if unit[0] in _MARKS or unit[0].isspace() else _BEFORE[1])
+            mine.append(len(units))
+            units.append(unit)
         text = "".join(units)
         whole = text.encode("utf-8", "surrogatepass")
         a, a_ends = self._a_tokens(text, np.frombuffer(whole, np.uint8))
@@ -138,8 +146,8 @@ class Aligner:
             given = b"".join(map(known.__getitem__, ids.tolist()))
             if given != whole or not np.array_equal(np.cumsum(sizes[ids]), ends):
                 # Some unit is not given back: halves tell which.
-                half = len(units) // 2
-                return [None] if not half else self.learn(units[:half]) + self.learn(units[half:])
+                half = len(wanted) // 2
+                return [None] if not half else self.learn(wanted[:half]) + self.learn(wanted[half:])
         sizes = map(len, units) if len(whole) == len(text) else (len(u.encode("utf-8", "surrogatepass")) for u in units)
         last = np.cumsum(np.fromiter(sizes, np.int64, len(units)))
         # Between neighbouring ends one token of A and one of B overlap.
@@ -164,7 +172,7 @@ class Aligner:
         for token_end, link_end in zip(token_ends, link_ends):
             out.append(("".join(tokens[token:token_end]), links[link:link_end]))
             token, link = token_end, link_end
-        return out
+        return [out[place] for place in mine]
 
     def _look_up(self, wanted: set[str]) -> dict[str, tuple[str, bytes] | None]:
         """What is known of some units, after learning the others."""
@@ -176,8 +184,6 @@ class Aligner:
         long = {}
         for part in _parts(new - kept):
             for unit, found in zip(part, self.learn(part)):
-                if unit in _BEFORE and unit not in new:
-                    continue
                 (self.units if len(unit) <= CACHE_LENGTH else long)[unit] = found
         return self.units | long if long else self.units
 
@@ -214,14 +220,12 @@ class Aligner:
 
 
 def _parts(units: Iterable[str]) -> Iterator[list[str]]:
-    """Units to be learnt together, each that begins without a blank after what it may
-    come after; one that ends with white space is the last of its part."""
+    """Units to be learnt together; one that ends with white space is the last of its
+    part."""
     part: list[str] = []
     for unit in units:
-        if unit[0] != " ":
-            part.append(_BEFORE[0] if unit[0] in _MARKS or unit[0].isspace() else _BEFORE[1])
         part.append(unit)
-        if len(part) >= LEARNT_AT_ONCE or unit[-1].isspace():
+        if len(part) == LEARNT_AT_ONCE or unit[-1].isspace():
             yield part
             part = []
     if part:
