@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vidlake.llm import decontam, neardup, packing, pii, toxicity
-from vidlake.llm.common import read, save
+from vidlake.llm.common import read, released, save
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     *earlier, (_, last) = STAGES
     for name, stage in earlier:
-        docs = save(stage(spark, docs, sf_dir), name)
+        with released():
+            docs = save(stage(spark, docs, sf_dir), name)
     return last(spark, docs, sf_dir)

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vidlake.llm.common import save, slices
+from vidlake.llm.common import at_work, save, share, slices
 from vidlake.llm.tokens import byte_letters
 
 # Pairs that are sent to every task, 17 bytes each.
@@ -295,6 +295,7 @@ def _aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     names = [part.split()[0] for part in _ALIGNED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(__name__)
         tool = aligner(path_a, path_b)
         for batch in slices(batches):
             found = tool.align(text.as_py() for text in batch.column("text"))
@@ -407,7 +408,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, shared_pairs: int = SHARED_
         "pair", "links", (F.col("links") == F.col("highest")).alias("best")
     )
     least, rare = _shared(counts, shared_pairs)
-    known = spark.sparkContext.broadcast(_Known(judged.filter(F.col("links") >= least).toArrow()))
+    known = share(spark, _Known(judged.filter(F.col("links") >= least).toArrow()))
     sums = aligned.mapInArrow(partial(_summed, known), f"row long, {_RESULT}, n_best long, count_sum long")
     if rare:
         left = aligned.select("row", "pairs", "times").mapInArrow(partial(_left, known), "row long, pair long, times int")

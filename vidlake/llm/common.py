@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidlake.session import scratch_dir
 
-# Entries a worker keeps per generation of a word cache, and the longest word kept.
-CACHE_ENTRIES = 150_000
+# Bytes a worker keeps per generation of a word cache, and the longest word kept.
+CACHE_BYTES = 32_000_000
 CACHE_WORD_BYTES = 64
 # Texts are handled in slices of about so many bytes.
 SLICE_BYTES = 8_000_000
@@ -47,17 +50,27 @@ def fifth(doc_id: str | Column) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % 5
 
 
+#: The caches of this worker, and the operator that filled them.
+_CACHES: list[WordCache] = []
+_FILLED_BY: list[str] = []
+#: Values sent to every task by this driver, and not yet taken back.
+_SHARED: list[Broadcast] = []
+
+
 class WordCache(dict):
     """Results of a function of a word (or, with longest 0, a number), computed
     once per worker. A full cache becomes the old one, which words used again are
-    taken from, and the one before it is forgotten."""
+    taken from, and the one before it is forgotten; so there are two of them at most,
+    of about ``room`` bytes each."""
 
-    def __init__(self, function: Callable, entries: int = CACHE_ENTRIES, longest: int = CACHE_WORD_BYTES):
+    def __init__(self, function: Callable, room: int = CACHE_BYTES, longest: int = CACHE_WORD_BYTES):
         super().__init__()
         self.function = function
-        self.entries = entries
+        self.room = room
         self.longest = longest
+        self.held = 0
         self.old: dict = {}
+        _CACHES.append(self)
 
     def __missing__(self, word):
         value = self.old.get(word)
@@ -65,12 +78,47 @@ class WordCache(dict):
             value = self.function(word)
             if self.longest and len(word) > self.longest:
                 return value
-        if len(self) >= self.entries:
+        if self.held >= self.room:
             self.old = dict(self)
             self.clear()
+            self.held = 0
+        # With what the table of a dict takes for an entry.
+        self.held += getsizeof(word) + getsizeof(value) + 100
         self[word] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+        self.held = 0
+
+
+def at_work(operator: str) -> None:
+    """Called as a task begins: what another operator has kept in this worker goes."""
+    if _FILLED_BY != [operator]:
+        for kept in _CACHES:
+            kept.forget()
+        _FILLED_BY[:] = [operator]
+
+
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """Send a value of bounded size to every task; see released()."""
+    _SHARED.append(spark.sparkContext.broadcast(value))
+    return _SHARED[-1]
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Take back what was sent to the tasks in here. Only for results that have been
+    written by the end, as nothing else could be computed again."""
+    before = len(_SHARED)
+    try:
+        yield
+    finally:
+        for value in _SHARED[before:]:
+            value.destroy()
+        del _SHARED[before:]
+
 
 _hashes = WordCache(xxhash.xxh3_64_intdigest)
 
@@ -126,6 +174,7 @@ def map_texts(
     """One call per slice of rows; it returns the columns of the schema."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(function.__module__)
         for batch in slices(batches):
             columns = function(batch)
             yield pa.RecordBatch.from_pydict(columns)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, odd_multipliers, save, text_of
+from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, odd_multipliers, save, share, text_of
 from vidlake.llm.toxicity import _FOLD
 
 # Places a mask looks at.
@@ -135,7 +135,7 @@ def _filter_words(table: DataFrame, bits: int) -> np.ndarray:
 
 def _clusters(docs: DataFrame, flags: np.ndarray, bits: int, reach: int) -> DataFrame:
     """doc_id, first word, hashes of the words, and hits (place, hash)."""
-    shared = docs.sparkSession.sparkContext.broadcast(flags)
+    shared = share(docs.sparkSession, flags)
 
     def passes(hashed: np.ndarray) -> np.ndarray:
         words_ = shared.value

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vidlake.llm.common import save, slices
+from vidlake.llm.common import save, share, slices
 
 SCALE = 256
 SAMPLE = 4096
@@ -304,7 +304,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, pivots: int = PIVOT
     sample = drawn.toArrow().combine_chunks().to_batches()[0]
     extra = np.sqrt(np.maximum(longest - sample.column("norm2").to_numpy(), 0))
     centres = choose_pivots(np.c_[_matrix(sample, dim), extra], pivots)
-    shared = spark.sparkContext.broadcast(centres)
+    shared = share(spark, centres)
 
     per_annulus = max(ANNULUS_ROWS, -(-size["rows"] // MAX_ANNULI))
     # Equal vectors are told apart by id, so that they can be split over tasks.
@@ -312,7 +312,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, pivots: int = PIVOT
     keyed = keyed.sortWithinPartitions("pivot", "distance", "vec_id")
     index = save(_annuli(keyed, dim, per_annulus), "index")
     listed = index.select("annulus", "pivot", "lo", "hi").toArrow()
-    directory = spark.sparkContext.broadcast(_Directory(listed, centres, longest))
+    directory = share(spark, _Directory(listed, centres, longest))
 
     queries = table.filter(F.col("vec_id") % every == 0).select("vec_id", "vec", "n")
     found, seen = None, 0

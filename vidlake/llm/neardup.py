@@ -49,7 +49,9 @@ THRESHOLD = 75
 REGISTERS = 128
 BAND_ROWS = 4
 MANTISSA_BITS = 10
+# Nodes of a band that a task compares with as many others, and shingles of theirs.
 CHUNK = 1_000
+CHUNK_SHINGLES = 1_000_000
 # Registers of two sets at the threshold agree in 0.75 +- 0.038 of cases.
 HOPELESS = 0.75 - 5.2 * 0.0383
 
@@ -228,13 +230,17 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _close_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one band (band, node, root) and different classes that share
-    enough shingles, as far as half of each hash tells."""
+    """Pairs (a, b) of one band (band, node, root, n_shingles) and different classes that
+    share enough shingles, as far as half of each hash tells."""
     several = (
         members.groupBy("band")
-        .agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .agg(
+            F.greatest(F.count("*") / CHUNK, F.sum("n_shingles") / CHUNK_SHINGLES).alias("size"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+        )
         .filter("low != high")
-        .select("band", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
+        .select("band", F.ceil("size").cast("int").alias("chunks"))
     )
     mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     dealt = (
@@ -330,11 +336,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     asked = met.join(hubs, "band").filter("node != hub")
     asked = asked.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = save(_verified(_estimated(asked, nodes), sets), "links", files_for(n, 50_000))
-    roots = sets.select("node").join(components(links, narrow), "node", "left")
+    weight = (F.octet_length("set") / 8).cast("long").alias("n_shingles")
+    roots = sets.select("node", weight).join(components(links, narrow), "node", "left")
     roots = save(roots.withColumn("root", F.coalesce("root", "node")), "roots", narrow)
 
     # Links found now join classes.
     close = _estimated(_close_pairs(met.join(roots, "node"), sets), nodes)
+    roots = roots.select("node", "root")
     found = _verified(close, sets).join(roots.toDF("a", "root_a"), "a").join(roots.toDF("b", "root_b"), "b")
     joined = components(found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), narrow)
     roots = roots.join(joined.toDF("root", "low"), "root", "left").select("node", F.coalesce("low", "root").alias("root"))

@@ -22,7 +22,9 @@ from vidlake.llm.common import WordCache
 # Unicode's white space, as the tokenizers' patterns mean it.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CACHE_UNITS = 200_000
-CACHE_WORDS = 400_000
+# Bytes of words and of smaller parts that a worker keeps, twice; see WordCache.
+WORD_BYTES = 128_000_000
+PART_BYTES = 48_000_000
 # Lengths of beginnings that are kept.
 _SHARED = (8, 6, 4)
 # Marks that end a word, none of which begins a piece of its own with what follows.
@@ -56,8 +58,8 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = _library(path)
         self.letters = byte_letters()
-        self.words = WordCache(self._word, 2 * CACHE_WORDS)
-        self.pieces = WordCache(self._piece, CACHE_WORDS)
+        self.words = WordCache(self._word, WORD_BYTES)
+        self.pieces = WordCache(self._piece, PART_BYTES)
         ends = "'s|'t|'re|'ve|'m|'ll|'d"
         self.ascii = re.compile(rf"{ends}|[a-z]+|[0-9]|[^a-z0-9{_WHITE}]+")
         self.full = regex.compile(rf"{ends}|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+")
@@ -127,10 +129,10 @@ class PrefixCounts:
         #: Ids of the tokens, and -1 for what tokens only end in.
         self.ending = {t[i:]: -1 for t in self.id for i in range(len(t))} | self.id
         self.begun: dict[bytes, tuple[list[int], list[int]]] = {}
-        self.apart = WordCache(self._apart, 2 * CACHE_UNITS, 0)
-        self.whole = WordCache(self._whole, 2 * CACHE_UNITS, 0)
-        self.units = WordCache(self._unit, CACHE_WORDS)
-        self.pieces = WordCache(self._piece, CACHE_UNITS)
+        self.apart = WordCache(self._apart, PART_BYTES, 0)
+        self.whole = WordCache(self._whole, PART_BYTES, 0)
+        self.units = WordCache(self._unit, WORD_BYTES)
+        self.pieces = WordCache(self._piece, PART_BYTES)
         self.split = re.compile(rf"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
         self.white = re.compile(rf"[{_WHITE}]*")
         ends = "'s|'t|'re|'ve|'m|'ll|'d"

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import fifth, hashes, map_texts, mix, odd_multipliers, text_of
+from vidlake.llm.common import at_work, fifth, hashes, map_texts, mix, odd_multipliers, share, slices, text_of
 
 BITS = 22
 MAX_ROWS = 20_000
@@ -53,29 +53,34 @@ def features(text: str) -> np.ndarray:
     return places[places != _BIAS]
 
 
-def ftrl(samples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """Dense weights after some passes over rows of present features, each named once."""
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+def ftrl(samples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """Features with a weight and their weights, after some passes over rows of present
+    features, each named once. Numbers are kept for the features that occur."""
+    occurs = np.zeros(1 << BITS, bool)
+    occurs[_BIAS] = True
+    for row in samples:
+        occurs[row] = True
+    known = np.flatnonzero(occurs)
+    # The bias is the first of them.
+    place = np.cumsum(occurs, dtype=np.int32) - 1
+    z, n = np.zeros(len(known)), np.zeros(len(known))
 
     def weight(at):
         zs = z[at]
         shrunk = np.sign(zs) * np.maximum(np.abs(zs) - L1 * (at != _BIAS), 0)
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
-    samples = [np.append(s, np.int32(_BIAS)) for s in samples]
     order = np.random.default_rng(1)
     for _ in range(epochs):
         for row in order.permutation(len(samples)):
-            at = samples[row]
+            at = np.append(place[samples[row]], np.int32(_BIAS))
             w = weight(at)
             g = _sigmoid(w.sum()) - labels[row]
             rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - rate * w
             n[at] += g * g
-    used = np.flatnonzero(n)
-    dense = np.zeros(1 << BITS)
-    dense[used] = weight(used)
-    return dense
+    weights = weight(np.arange(len(known)))
+    return known[weights != 0], weights[weights != 0]
 
 
 def _sigmoid(x: float) -> float:
@@ -108,9 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> Da
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("places", "ascending")])
         samples = [np.frombuffer(p.as_buffer(), np.int32) for p in table["places"]]
-        dense = ftrl(samples, table["toxic"].to_numpy().astype(float))
-        used = np.flatnonzero(dense)
-        return pa.table({"feature": pa.array(used, pa.int32()), "weight": dense[used]})
+        feature, weight = ftrl(samples, table["toxic"].to_numpy().astype(float))
+        return pa.table({"feature": pa.array(feature, pa.int32()), "weight": weight})
 
     return ready.groupBy().applyInArrow(fit, "feature int, weight double")
 
@@ -135,12 +139,13 @@ def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
     model = weights.collect()
     at = np.array([w.feature for w in model], np.int64)
     value = np.array([w.weight for w in model], float)
-    shared = docs.sparkSession.sparkContext.broadcast((at, value))
+    shared = share(docs.sparkSession, (at, value))
     trained = bool(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(__name__)
         judge = _judge(*shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             scores = [judge(text_of(t)) if trained else 0.0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "score": pa.array(scores, pa.float64())}
@@ -165,11 +170,12 @@ def without_toxic(docs: DataFrame, weights: DataFrame) -> DataFrame:
     model = weights.collect()
     at = np.array([w.feature for w in model], np.int64)
     value = np.array([w.weight for w in model], float)
-    shared = docs.sparkSession.sparkContext.broadcast((at, value))
+    shared = share(docs.sparkSession, (at, value))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(__name__)
         judge = _judge(*shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             keep = [judge(text_of(t)) < 0.5 for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vidlake.llm.common import save, slices
+from vidlake.llm.common import at_work, save, share, slices
 
 # Characters of terms are digits, letters and all beyond ASCII; only
 # A-Z are lower-cased.
@@ -71,6 +71,7 @@ def _postings(docs: DataFrame, vocabulary) -> DataFrame:
     """Number of terms of each document, and how often those of the vocabulary occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(__name__)
         known = vocabulary.value
         for batch in slices(batches):
             n, ends, rows, times = [], [0], [], []
@@ -268,7 +269,7 @@ def _block(docs: DataFrame, items: list[tuple[int | None, str | None]], k: int)
     vocabulary = {term: row for row, term in enumerate(sorted(set().union(*asked)))}
     if not vocabulary:
         return None
-    postings = save(_postings(docs, spark.sparkContext.broadcast(vocabulary)), "postings")
+    postings = save(_postings(docs, share(spark, vocabulary)), "postings")
     size = postings.agg(F.count_if(F.col("n") > 0).alias("documents"), F.sum("n").alias("total")).first()
     if not size["documents"]:
         return None
@@ -284,8 +285,7 @@ def _block(docs: DataFrame, items: list[tuple[int | None, str | None]], k: int)
     rows = [{int(place[vocabulary[t]]): times for t, times in x.items() if weights[vocabulary[t]]} for x in asked]
     corpus = (size["documents"], size["total"], np.sort(weights)[::-1].copy(), place)
     names = [item_id for item_id, _ in items]
-    share = spark.sparkContext.broadcast
-    found = _search(postings, share(_Items(names, rows)), share(corpus), k)
+    found = _search(postings, share(spark, _Items(names, rows)), share(spark, corpus), k)
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     # As many rows as the block has items.
