@@ -1,8 +1,8 @@
 """PII: format-preserving pseudonyms from a keyed Feistel network.
 
-Found are e-mail addresses, phone numbers, IPv4 addresses, card numbers, social
-security numbers, IBANs, dates and credentials (access keys, and values given to
-`password`, `token` and the like). A match is replaced only if it is valid: Luhn
+Found are e-mail addresses, phone numbers, IP addresses, card numbers, social
+security numbers, IBANs, dates and credentials (access keys and tokens of the usual
+issuers, and values given to `password`, `token` and the like). A match is replaced only if it is valid: Luhn
 for cards, mod 97 for IBANs, octets up to 255, real days of the calendar, real
 number ranges. Its replacement is valid too and has the same format, and as a
 permutation under one key it is the same wherever the value occurs, in any
@@ -15,7 +15,10 @@ stay different.
 - Cards keep a right check digit, IBANs their country and right check digits, IPv4
   addresses are permuted as 32 bits, and the leading digits of North American
   numbers stay in 2 to 9. Of social security numbers only the format stays. The country code of a phone number, the prefix of an
-  access key and the domain of an address stay. Numbers behind +1 and those with a
+  access key and the domain of an address stay. A phone number is linked whether written
+  with + or 00, with or without a bracketed 0, and however it is grouped; one without a
+  country code keeps its leading 0. Letters of an address are linked in either case.
+  IPv6 addresses are permuted digit by digit, as written. Numbers behind +1 and those with a
   bracketed area code are taken whatever digits they have; there 0 and 1 are permuted
   among themselves where others have 2 to 9.
 - Dates are permuted as days of the 400 years from 1800, by halves modulo 189 and
@@ -29,7 +32,9 @@ are tried wherever they begin. Only valid ones are taken, the longer one first,
 the text around them is searched as any other.
 
 Everything is built-in Spark expressions. The key is a literal in the plan; keep
-plans of production runs as safe as the key.
+plans of production runs as safe as the key. The caller gives it, or session_key()
+takes it from the setting KEY_SETTING, without which a session has a random one of its own, so
+that its pseudonyms are linked with each other and with none of another session.
 
 Cases: null text stays null with no value found; empty text stays empty. Rows
 that repeat are treated alike. Slashed dates are read month first if that is a
@@ -38,11 +43,19 @@ day, else day first. Other columns are returned as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+import warnings
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-DEMO_KEY = "vidlake-demo-key"
+KEY_SETTING = "spark.vidlake.pii.key"
+# Prefixes of access keys, and the calling codes of countries, those of
+# one and two digits by themselves.
+_KEY_HEAD = r"(?:AKIA|ASIA|gh[oprsu]_|github_pat_|[prs]k_(?:live|test)_|xox[abprs]-|AIza|eyJ)"
+_COUNTRY = "(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
 
 # So many digits; written out, as a pattern that looks back cannot count.
 _DIGIT = "[ .()-]{0,3}[0-9]"
@@ -50,17 +63,19 @@ _EIGHT_TO_15 = _DIGIT * 8 + f"(?:{_DIGIT}" * 7 + ")?" * 7
 # Patterns, tried in this order at every place. Possessive runs keep long words
 # from being searched again from each of their letters.
 _PATTERNS = {
-    "credential": r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/.-]{8,}+",
-    "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
+    "credential": r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:\s{0,3}[=:]\s{0,3}[\"']?|\s{1,3}is:?\s{1,3}[\"']?(?=[A-Za-z_+/.-]*[0-9]))[A-Za-z0-9_+/.-]{8,}+",
+    "key": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[oprsu]_[A-Za-z0-9]{36,}+|github_pat_[A-Za-z0-9_]{22,}+|[prs]k_(?:live|test)_[A-Za-z0-9]{16,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{2,4}(?::[0-9A-Fa-f]{1,4}){0,5}::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})(?![0-9A-Za-z:]|\.[0-9])",
     "iso_date": r"(?<![0-9A-Za-z-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?![0-9-])",
     "dot_date": r"(?<![0-9A-Za-z.])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![0-9]|\.[0-9])",
     "slash_date": r"(?<![0-9A-Za-z/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "nanp": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?[0-9]{3}|[2-9][0-9]{2}[ .-][2-9][0-9]{2})[ .-][0-9]{4})(?![0-9])",
-    "phone": rf"(?<![0-9A-Za-z+])\+[2-9][0-9]{{0,2}}(?:[ .-]?\(?[0-9]{{2,5}}\)?){{2,5}}(?<=\+{_EIGHT_TO_15}\)?)(?![0-9])",
+    "phone": rf"(?<![0-9A-Za-z+])(?:\+[2-9][0-9]{{0,2}}|00[2-9][0-9]{{0,2}}(?=[ .(-]))(?:[ .-]?\(?[0-9]{{1,5}}\)?){{2,7}}(?<=(?:\+|00){_EIGHT_TO_15}\)?)(?![0-9])",
+    "national": r"(?<![0-9A-Za-z+.,/:-])(?=(?:[0-9 ()]){11,17}(?![0-9]))\(?0[1-9][0-9]{0,4}\)?(?: [0-9]{2,8}){1,4}(?<=[0-9 )][0-9 ][0-9]{2,8})(?![0-9]|[ .,/:-][0-9])",
     "card": r"(?<![0-9A-Za-z.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 # Card-like groups and IBANs, at every place they begin.
@@ -235,11 +250,40 @@ def _nanp(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    """The country code, up to the first separator or two digits, stays."""
-    head = F.regexp_extract(value, r"^\+(?:[0-9]{1,3}(?=[ .(-])|[0-9]{2})", 0)
+    """The country code stays, and so does a bracketed 0."""
+    head = F.regexp_extract(value, rf"^(?:\+|00){_COUNTRY}", 0)
+    rest = F.replace(F.substr(value, F.length(head) + 1), F.lit("(0)"), F.lit("(\x01)"))
+    return F.concat(head, F.replace(_in_place(rest, key), F.lit("\x01"), F.lit("0")))
+
+
+def _national(value: Column, key: str) -> Column:
+    """The first 0 stays."""
+    head = F.regexp_extract(value, r"^\(?0", 0)
     return F.concat(head, _in_place(F.substr(value, F.length(head) + 1), key))
 
 
+def _either_case(value: Column, key: str) -> Column:
+    """Permuted as in small letters, with capitals where they were."""
+    return _let(
+        _in_place(F.lower(value), key),
+        lambda new: F.array_join(
+            F.transform(
+                _chars(value),
+                lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(new, i + 1, F.lit(1)))).otherwise(
+                    F.substr(new, i + 1, F.lit(1))
+                ),
+            ),
+            "",
+        ),
+    )
+
+
+def _ipv6(value: Column, key: str) -> Column:
+    digits = F.translate(F.lower(_plain(value)), "0123456789abcdef", _SIXTEEN)
+    new = _filled(value, F.translate(permuted(digits, key), _SIXTEEN, "0123456789abcdef"))
+    return F.when(value.rlike("[A-F]"), F.upper(new)).otherwise(new)
+
+
 def _moved_day(day: Column, key: str) -> Column:
     index = F.datediff(day, F.to_date(F.lit(_DAY_ZERO)))
 
@@ -294,7 +338,8 @@ def pseudonym(value: Column, key: str) -> Column:
     """The replacement of a match, or the match itself if it is not valid."""
     plain = _plain(value)
     octets = F.split(value, r"\.")
-    head = F.regexp_extract(value, r"^[A-Za-z_-]+\s*[=:]\s*[\"']?", 0)
+    head = F.regexp_extract(value, r"^[A-Za-z_-]+(?:\s*[=:]\s*|\s+is:?\s+)[\"']?", 0)
+    key_head = F.regexp_extract(value, f"^{_KEY_HEAD}", 0)
     at = F.instr(value, "@")
     iso, dot = _day(value, 0, 1, 2), _day(value, 2, 1, 0)
     month_first, day_first = _day(value, 2, 0, 1), _day(value, 2, 1, 0)
@@ -304,10 +349,11 @@ def pseudonym(value: Column, key: str) -> Column:
 
     return (
         F.when(is_a("credential"), F.concat(head, _in_place(F.substr(value, F.length(head) + 1), key)))
-        .when(is_a("key"), F.concat(F.substr(value, F.lit(1), F.lit(4)), permuted(F.substr(value, F.lit(5)), key)))
-        .when(is_a("email"), F.concat(_in_place(F.substr(value, F.lit(1), at - 1), key), F.substr(value, at)))
+        .when(is_a("key"), F.concat(key_head, _in_place(F.substr(value, F.length(key_head) + 1), key)))
+        .when(is_a("email"), F.concat(_either_case(F.substr(value, F.lit(1), at - 1), key), F.substr(value, at)))
         .when(is_a("iban") & (mod97(plain) == 1), _iban(value, key))
         .when(is_a("ip"), F.when(F.forall(octets, lambda o: o.cast("int") < 256), _ip(value, key)).otherwise(value))
+        .when(is_a("ipv6"), _ipv6(value, key))
         .when(is_a("iso_date"), F.coalesce(_date(value, iso, (0, 1, 2), key), value))
         .when(is_a("dot_date"), F.coalesce(_date(value, dot, (2, 1, 0), key), value))
         .when(
@@ -319,7 +365,8 @@ def pseudonym(value: Column, key: str) -> Column:
             F.when(value.rlike("^(?!000|666|9)...-(?!00)..-(?!0000)"), _in_place(value, key)).otherwise(value),
         )
         .when(is_a("nanp"), _nanp(value, key))
-        .when(is_a("phone") & F.length(plain).between(8, 15), _phone(value, key))
+        .when(is_a("phone") & F.length(plain).between(8, 17), _phone(value, key))
+        .when(is_a("national") & F.length(plain).between(9, 12), _national(value, key))
         .when(is_a("card") & (F.pmod(luhn(plain), F.lit(10)) == 0), _card(value, key))
         .otherwise(value)
     )
@@ -383,12 +430,24 @@ def _replaced(text: Column, pattern: Column, key: str) -> Column:
     return _let(replaced, joined)
 
 
-def pseudonymise(docs: DataFrame, *, key: str = DEMO_KEY) -> DataFrame:
-    """The documents with their texts rewritten; all columns are kept."""
-    return docs.withColumn("text", pseudonymised(F.col("text"), key)["text"])
+@cache
+def _drawn(application: str) -> str:
+    warnings.warn(f"{KEY_SETTING} is not set: pseudonyms are not linked with those of other sessions")
+    return secrets.token_hex(32)
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting, else one drawn for the session."""
+    return spark.conf.get(KEY_SETTING, None) or _drawn(spark.sparkContext.applicationId)
+
+
+def pseudonymise(docs: DataFrame, *, key: str | None = None) -> DataFrame:
+    """The documents with their texts rewritten; all columns are kept. Without a key, the
+    session's."""
+    return docs.withColumn("text", pseudonymised(F.col("text"), key or session_key(docs.sparkSession))["text"])
 
 
-def report(docs: DataFrame, *, key: str = DEMO_KEY) -> DataFrame:
+def report(docs: DataFrame, *, key: str | None = None) -> DataFrame:
     """doc_id, text, n_values of every row."""
-    new = pseudonymised(F.col("text"), key)
+    new = pseudonymised(F.col("text"), key or session_key(docs.sparkSession))
     return docs.select("doc_id", new.alias("new")).select("doc_id", "new.text", "new.n_values")
