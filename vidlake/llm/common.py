@@ -20,7 +20,7 @@ CACHE_BYTES = 32_000_000
 CACHE_WORD_BYTES = 64
 # Texts are handled in slices of about so many bytes.
 SLICE_BYTES = 8_000_000
-# Column that tells rows of one id apart by their text; no table of ours has it.
+# Column that tells rows of one id apart by their text.
 TEXT_HASH = "_vidlake_text_hash"
 
 
@@ -44,6 +44,14 @@ def save(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that the table does not have."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def fifth(doc_id: str | Column) -> Column:
     """crc32 of the id's text, modulo 5; a null id counts as empty text."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

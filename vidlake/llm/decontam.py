@@ -7,19 +7,22 @@ ignored places. Besides, every item is cut into so many blocks that, when a fift
 it differs, one block differs in one word at most; masks of a block's length that
 ignore each of its places in turn find that one, so no such item is missed.
 
-1. Hashes of every mask at every place of the test items are a table; a Bloom
-   filter of it (at most 2**MAX_BITS bits, whatever the number of items) is
-   broadcast.
-2. Documents are read once. Places whose hash passes the filter are kept, with
-   the hashes of the words around them, as one row per cluster of hits.
+1. Hashes of every mask at every place of the test items are a table. The distinct
+   ones, sorted, are sent to every task, with how far their items reach to both sides;
+   items are dealt in blocks so that these are no more than SEEDS_AT_ONCE, about.
+2. Documents are read once per block. Places whose hash is among them (a bit map of
+   hashes comes first, then the exact test) are kept, with the hashes of the words as
+   far as the items of these hashes reach, as one row per cluster of hits.
 3. Hits join the table of test hashes. Each (cluster, item, alignment) is verified
    word by word: the whole item is a leak if all but a fifth of its words are equal,
    else the best stretch, at +1 for an equal and -SUBSTITUTION for an exchanged word,
    if at least MIN_MATCHED words of it are. Words beyond the text's ends differ.
 
 Cases: null and empty texts, and items of fewer than MIN_WORDS words, match
-nothing. Rows that repeat give the same leak once. Leaks of documents with a
-null id are returned under a null id. Ties between stretches go to the longer
+nothing. Rows that repeat give the same leak once; so do items alike in id and words.
+Items are told apart by row: those without an id are found and returned under a null
+id, and different items of one id each have their leak. Leaks of documents with a null
+id are returned under a null id. Ties between stretches go to the longer
 match, then the earlier place. Other columns are not looked at.
 """
 
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import TEXT_HASH, as_long, hashes, map_texts, odd_multipliers, save, share, text_of
+from vidlake.llm.common import TEXT_HASH, as_long, free_name, hashes, map_texts, odd_multipliers, save, share, text_of
 from vidlake.llm.toxicity import _FOLD
 
 # Places a mask looks at.
@@ -48,7 +51,9 @@ ALL_MASKS = (*MASKS, *BLOCKS[5], *BLOCKS[7])
 MIN_WORDS = 5
 MIN_MATCHED = 12
 SUBSTITUTION = 2
-MAX_BITS = 28
+# Distinct seeds of the items that one pass over the documents looks for, about; a task
+# holds 16 bytes of each, and 8 to 16 of the bit map.
+SEEDS_AT_ONCE = 2_000_000
 
 _PLACE = odd_multipliers(SPAN, 21)
 
@@ -120,53 +125,60 @@ def _items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _filter_words(table: DataFrame, bits: int) -> np.ndarray:
-    """Bloom filter as bytes; at most 2**(MAX_BITS - 6) rows come here."""
-    low, high = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)), F.shiftrightunsigned("hash", 64 - bits)
-    slot = table.select(F.explode(F.array(low, high)).alias("slot"))
-    packed = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")
-    )
-    flags = np.zeros(1 << (bits - 6), np.int64)
-    rows = packed.toPandas()
-    flags[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return flags
+class _Seeds:
+    """Sorted hashes, how far the items of each reach to both sides, and a bit map."""
 
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("hash")
+        self.hash = rows.column("hash").to_numpy()
+        self.before = rows.column("before").to_numpy().astype(np.int32)
+        self.after = rows.column("after").to_numpy().astype(np.int32)
+        self.bits = max(16, (64 * len(self.hash)).bit_length())
+        flags = np.zeros(1 << (self.bits - 3), np.uint8)
+        low = self.hash & ((1 << self.bits) - 1)
+        np.bitwise_or.at(flags, low >> 3, (1 << (low & 7)).astype(np.uint8))
+        self.flags = flags
 
-def _clusters(docs: DataFrame, flags: np.ndarray, bits: int, reach: int) -> DataFrame:
-    """doc_id, first word, hashes of the words, and hits (place, hash)."""
-    shared = share(docs.sparkSession, flags)
+    def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some hashes are there, and where."""
+        hashed = as_long(hashed)
+        low = hashed & ((1 << self.bits) - 1)
+        at = np.flatnonzero(self.flags[low >> 3] >> (low & 7).astype(np.uint8) & 1)
+        place = np.minimum(np.searchsorted(self.hash, hashed[at]), len(self.hash) - 1)
+        same = self.hash[place] == hashed[at]
+        return at[same], place[same]
 
-    def passes(hashed: np.ndarray) -> np.ndarray:
-        words_ = shared.value
-        one = as_long(hashed) & ((1 << bits) - 1)
-        at = np.flatnonzero((words_[one >> 6] >> (one & 63)) & 1)
-        two = as_long(hashed[at] >> np.uint64(64 - bits))
-        return at[((words_[two >> 6] >> (two & 63)) & 1).astype(bool)]
+
+def _clusters(docs: DataFrame, known: _Seeds) -> DataFrame:
+    """doc_id, first word, hashes of the words, and hits (place, hash)."""
+    shared = share(docs.sparkSession, known)
 
     def find(batch: pa.RecordBatch) -> dict:
+        wanted = shared.value
         out: dict[str, list] = {"doc_id": [], TEXT_HASH: [], "first": [], "tokens": [], "at": [], "hash": []}
         rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", TEXT_HASH, "text")))
         for doc, text_hash, text in rows:
             tokens = _tokens(text_of(text))
             hashed = seeds(tokens, *ALL_MASKS)
-            place = np.concatenate([np.arange(len(h)) for h in hashed])
-            hashed = np.concatenate(hashed)
-            found = passes(hashed)
-            at, found = place[found], hashed[found]
-            if not len(at):
+            sizes = np.array([len(h) for h in hashed])
+            found, place = wanted.find(np.concatenate(hashed))
+            if not len(found):
                 continue
-            order = np.argsort(at, kind="stable")
-            at, found = at[order], found[order]
-            for own in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > reach) + 1):
-                first = max(0, int(at[own[0]]) - reach)
-                last = int(at[own[-1]]) + reach
+            # Places within the mask's own row of hashes.
+            at = found - np.repeat(np.cumsum(sizes) - sizes, sizes)[found]
+            start = np.maximum(at - wanted.before[place], 0)
+            end = np.minimum(at + wanted.after[place], len(tokens))
+            order = np.argsort(start, kind="stable")
+            at, start, end, place = at[order], start[order], end[order], place[order]
+            so_far = np.maximum.accumulate(end)
+            for own in np.split(np.arange(len(at)), np.flatnonzero(start[1:] > so_far[:-1]) + 1):
+                first, last = int(start[own[0]]), int(so_far[own[-1]])
                 out["doc_id"].append(doc)
                 out[TEXT_HASH].append(text_hash)
                 out["first"].append(first)
                 out["tokens"].append(tokens[first:last].tobytes())
                 out["at"].append(at[own])
-                out["hash"].append(as_long(found[own]))
+                out["hash"].append(wanted.hash[place[own]])
         longs, lists = pa.int64(), pa.list_(pa.int64())
         types = {"doc_id": longs, TEXT_HASH: longs, "first": longs, "tokens": pa.binary(), "at": lists, "hash": lists}
         return {k: pa.array(v, types[k]) for k, v in out.items()}
@@ -202,39 +214,64 @@ def leaked(equal: np.ndarray, n_item: int) -> tuple[int, int, int] | None:
     return found if found[2] >= MIN_MATCHED else None
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+_RESULT = (
+    "doc_id long, item long, first_word long, last_word long, n_equal int, n_item_words int, " + f"{TEXT_HASH} long"
+)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, seeds_at_once: int = SEEDS_AT_ONCE) -> DataFrame:
     """doc_id, item_id, first_word, last_word (of the document, counted from 0),
     n_equal, n_item_words of every leak: a row for each document and item."""
     spark = docs.sparkSession
-    items = save(_items(benchmark), "items")
-    table = items.select("item_id", F.explode(F.arrays_zip("hash", "at")).alias("s"))
-    table = table.select("item_id", F.col("s.hash").alias("hash"), F.col("s.at").alias("item_at"))
-    size = items.agg(
-        F.count("*").alias("items"), F.max("n_tokens").alias("longest"), F.sum(F.size("hash")).alias("seeds")
-    ).first()
-    result = "doc_id long, item_id long, first_word long, last_word long, n_equal int, n_item_words int, " + (
-        f"{TEXT_HASH} long"
+    items = _items(benchmark).dropDuplicates(["item_id", "tokens"])
+    items = save(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    size = items.agg(F.count("*").alias("items"), F.sum(F.size("hash")).alias("seeds")).first()
+    blocks = -(-(size["seeds"] or 0) // seeds_at_once)
+    found = None
+    for number in range(blocks):
+        # Items are of a size, but for few, so blocks are alike.
+        block = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number)
+        some = _leaks_of(docs, block)
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        found = spark.createDataFrame([], _RESULT)
+    best = F.max(F.struct("n_equal", (-F.col("first_word")).alias("m"), "last_word", "n_item_words")).alias("best")
+    ids = items.select("item", "item_id")
+    return found.groupBy("doc_id", TEXT_HASH, "item").agg(best).join(ids, "item").select(
+        "doc_id",
+        "item_id",
+        (-F.col("best.m")).alias("first_word"),
+        "best.last_word",
+        "best.n_equal",
+        "best.n_item_words",
+        TEXT_HASH,
+    )
+
+
+def _leaks_of(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Leaks of some items, by the number of the item."""
+    table = items.select("item", "n_tokens", F.explode(F.arrays_zip("hash", "at")).alias("s"))
+    table = table.select("item", "n_tokens", F.col("s.hash").alias("hash"), F.col("s.at").alias("item_at"))
+    reach = table.groupBy("hash").agg(
+        F.max("item_at").alias("before"), F.max(F.col("n_tokens") - F.col("item_at")).alias("after")
     )
-    if not size["items"]:
-        return spark.createDataFrame([], result)
-    bits = min(MAX_BITS, max(16, int(size["seeds"] * 64).bit_length()))
-    flags = _filter_words(table, bits)
-    clusters = _clusters(docs, flags, bits, int(size["longest"]))
+    rows = reach.toArrow()
+    if not rows.num_rows:
+        return docs.sparkSession.createDataFrame([], _RESULT)
+    clusters = _clusters(docs, _Seeds(rows))
     clusters = save(clusters.withColumn("cluster", F.monotonically_increasing_id()), "clusters")
 
     hits = clusters.select("cluster", F.explode(F.arrays_zip("hash", "at")).alias("s"))
     hits = hits.select("cluster", F.col("s.hash").alias("hash"), F.col("s.at").alias("at"))
     aligned = (
-        hits.join(table, "hash")
-        .select("cluster", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
-        .distinct()
+        hits.join(table, "hash").select("cluster", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     )
     both = aligned.join(clusters.select("cluster", "doc_id", TEXT_HASH, "first", "tokens"), "cluster").join(
-        items.select("item_id", F.col("tokens").alias("item_tokens")), "item_id"
+        items.select("item", F.col("tokens").alias("item_tokens")), "item"
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "item_id", "first_word", "last_word", "n_equal", "n_item_words", TEXT_HASH]
+        names = ["doc_id", "item", "first_word", "last_word", "n_equal", "n_item_words", TEXT_HASH]
         types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()]
         for batch in batches:
             out: list[list] = [[] for _ in names]
@@ -249,27 +286,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if found:
                     start, end, n_equal = found
                     first = row["shift"] + low + start
-                    values = row["doc_id"], row["item_id"], first, first + end - start - 1, n_equal, len(item)
+                    values = row["doc_id"], row["item"], first, first + end - start - 1, n_equal, len(item)
                     for column, value in zip(out, (*values, row[TEXT_HASH])):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
-    found = both.mapInArrow(verify, result)
-    best = F.max(F.struct("n_equal", (-F.col("first_word")).alias("m"), "last_word", "n_item_words")).alias("best")
-    return found.groupBy("doc_id", TEXT_HASH, "item_id").agg(best).select(
-        "doc_id",
-        "item_id",
-        (-F.col("best.m")).alias("first_word"),
-        "best.last_word",
-        "best.n_equal",
-        "best.n_item_words",
-        TEXT_HASH,
-    )
+    return both.mapInArrow(verify, _RESULT)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id"), TEXT_HASH).distinct()
-    marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(found["leaked_id"]) & (marked[TEXT_HASH] == found[TEXT_HASH])
-    return marked.join(found, same, "left_anti").drop(TEXT_HASH)
+    mark = free_name(docs, TEXT_HASH)
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(found["leaked_id"]) & (marked[mark] == found[TEXT_HASH])
+    return marked.join(found, same, "left_anti").drop(mark)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vidlake.llm.common import TEXT_HASH, as_long, files_for, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
+from vidlake.llm.common import TEXT_HASH, as_long, files_for, free_name, hashes, map_texts, mix, odd_multipliers, save, sorted_groups, text_of, words
 
 WORDS = 5
 # 100 * intersection >= THRESHOLD * union.
@@ -374,6 +374,7 @@ def without_copies(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", TEXT_HASH)).alias("least")
     )
     kept = kept.select(F.col("least.doc_id").alias("kept_id"), F.col(f"least.{TEXT_HASH}").alias(TEXT_HASH))
-    marked = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(kept["kept_id"]) & marked[TEXT_HASH].eqNullSafe(kept[TEXT_HASH])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", TEXT_HASH]).drop(TEXT_HASH)
+    mark = free_name(docs, TEXT_HASH)
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(kept["kept_id"]) & marked[mark].eqNullSafe(kept[TEXT_HASH])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", mark]).drop(mark)
