@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -197,6 +198,33 @@ def test_substituted_short_items_match_brute_force(spark, docs):
     assert len(whole) > 150 and whole <= found <= whole | stretch
 
 
+def test_items_without_or_with_the_same_id(spark, docs):
+    dice = random.Random(14)
+    one, two, three = (prose(dice, n) for n in (25, 30, 9))
+    rows = [(1, f"x {one} y"), (2, two), (3, f"{three} z"), (None, one), (4, "nothing of it")]
+    items = [(None, one), (7, two), (7, three), (7, two)]
+    found = [(r.doc_id, r.item_id, r.n_equal) for r in decontam.leaks(docs(rows), bench(spark, items)).collect()]
+    assert sorted(found, key=repr) == sorted([(1, None, 25), (None, None, 25), (2, 7, 30), (3, 7, 9)], key=repr)
+    kept = decontam.without_leaks(docs(rows).selectExpr("*", f"doc_id + 1 AS {decontam.TEXT_HASH}"), bench(spark, items)).collect()
+    assert [(r.doc_id, r[decontam.TEXT_HASH]) for r in kept] == [(4, 5)]
+
+
+def test_items_in_blocks_and_of_all_lengths(spark, docs, monkeypatch):
+    """Many passes over few seeds find what one pass finds; a long item widens no
+    other item's clusters."""
+    dice = random.Random(15)
+    items = [(k, prose(dice, dice.choice([5, 9, 20, 60]))) for k in range(30)] + [(99, prose(dice, 3000))]
+    rows = [(k, f"{prose(dice, 40)} {items[k % 31][1]} {prose(dice, 300)}") for k in range(60)]
+    key = lambda r: (r.doc_id, r.item_id, r.first_word, r.last_word, r.n_equal)
+    whole = sorted(map(key, decontam.leaks(docs(rows), bench(spark, items)).collect()))
+    parts = sorted(map(key, decontam.leaks(docs(rows), bench(spark, items), seeds_at_once=500).collect()))
+    assert whole == parts and {(k, items[k % 31][0]) for k in range(60)} <= {r[:2] for r in whole}
+    saved = []
+    monkeypatch.setattr(decontam, "save", lambda df, name: (saved.append(df.collect()), df.sparkSession.createDataFrame(saved[-1], df.schema))[1])
+    decontam.leaks(docs([(1, f"{prose(random.Random(3), 500)} {items[0][1]}")]), bench(spark, items))
+    assert max(len(r.tokens) // 8 for r in saved[1]) < 3000
+
+
 def test_best_stretch_takes_the_longer_of_equals():
     assert decontam.best_stretch(np.array([1, 1, 1, 0, 1, 1, 0], bool)) == (0, 6, 5)
     assert decontam.best_stretch(np.array([1, 0, 1], bool)) == (0, 1, 1)
@@ -545,6 +573,87 @@ def test_values_beside_numbers_are_replaced(docs):
     assert found[1] == found[3].replace(" ", "") == found[4].replace(" ", "") == re.search(r"\d{16}", rows[0].text)[0]
 
 
+def test_phones_of_any_country_are_replaced_and_linked(docs):
+    texts = ["+33 1 42 68 53 00", "+353 1 234 5678", "+61 2 9374 4000", "+44 (0)20 7946 0958", "0049 30 12345678", "020 7946 0958",
+             "(020) 7946 0958 or 01 42 68 53 00, 030 12345678.", "+35312345678", "+44 20 7946 0958", "+49 30 12345678", "00 353 1 234 5678",
+             "id 0012345678 of 01-02-2023 and 0.2 0123 4"]
+    rows = by_id(pii.report(docs(list(enumerate(texts))), key="k"))
+    digits = lambda t: re.sub(r"\D", "", t)
+    for i, text in enumerate(texts[:10]):
+        assert re.sub(r"\d", "0", rows[i].text) == re.sub(r"\d", "0", text), text
+        assert rows[i].n_values == (3 if i == 6 else 1) and digits(rows[i].text)[4:] not in digits(text), (text, rows[i].text)
+    for head, i in (("+33 ", 0), ("+353 ", 1), ("+61 ", 2), ("+44 (0)", 3), ("0049 ", 4), ("0", 5)):
+        assert rows[i].text.startswith(head)
+    assert digits(rows[1].text) == digits(rows[7].text)
+    assert digits(rows[3].text.replace("(0)", "")) == digits(rows[8].text)
+    assert digits(rows[4].text)[2:] == digits(rows[9].text)
+    assert digits(rows[5].text) == digits(rows[6].text)[:11]
+    assert rows[11].text == texts[11].replace("01-02-2023", "01-02-2023")
+
+
+def test_keys_addresses_and_either_case(docs):
+    texts = ["ghp_" + "aB3" * 12, "sk_live_" + "4eC39HqLyjWD" * 2, "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N",
+             "the password is hunter2hunter2", "the password is required", "Bob.X@x.org and bob.x@x.org", "2001:db8:85a3::8a2e:370:7334 at 12:30:45",
+             "fe80:0:0:0:202:b3ff:fe1e:8329", "a std::vector, aa:bb:cc:dd:ee:ff"]
+    rows = by_id(pii.report(docs(list(enumerate(texts))), key="k"))
+    for i, n in enumerate((1, 1, 1, 1, 0, 2, 1, 1, 0)):
+        assert rows[i].n_values == n and len(rows[i].text) == len(texts[i]), rows[i].text
+    assert [rows[i].text[:h] for i, h in ((0, 4), (1, 8), (2, 3), (3, 16))] == ["ghp_", "sk_live_", "eyJ", "the password is "]
+    one, two = rows[5].text.split(" and ")
+    assert one.lower() == two and one[0].isupper() and one != "Bob.X@x.org"
+    assert re.fullmatch(r"([0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}) at 12:30:45", rows[6].text)
+    assert not {"2001", "8a2e"} & set(rows[6].text.split(":"))
+
+
+def brute_feistel(value, key):
+    """The network over plain Python text."""
+    kinds = ((48, 57, 10), (97, 122, 26), (65, 90, 26), (192, 199, 8), (240, 241, 2), (208, 223, 16))
+    middle = len(value) // 2
+    halves = [value[:middle], value[middle:]]
+    for turn in range(pii.ROUNDS):
+        mine, other = halves[1 - turn % 2], halves[turn % 2]
+        stream = "".join(
+            hashlib.sha256(f"{key}|{turn}/{b}/{len(mine)}|{other}".encode()).hexdigest()
+            for b in range(max(0, int((len(mine) - 1) / 16)) + 1)
+        )
+        moved = ""
+        for k, c in enumerate(mine):
+            first, n = next((first, n) for first, last, n in kinds if first <= ord(c) <= last)
+            moved += chr(first + (ord(c) - first + int(stream[4 * k : 4 * k + 4], 16)) % n)
+        halves[1 - turn % 2] = moved
+    return "".join(halves)
+
+
+def test_feistel_matches_plain_python(spark):
+    from pyspark.sql import functions as F
+
+    dice = random.Random(12)
+    values = ["".join(dice.choices("0123456789abcXYZ", k=dice.randint(1, 45))) for _ in range(200)]
+    frame = spark.createDataFrame([(v,) for v in values], "v string").select("v", pii.permuted(F.col("v"), "k").alias("w"))
+    for row in frame.collect():
+        assert row.w == brute_feistel(row.v, "k")
+
+
+def test_check_digits_match_plain_python(spark):
+    from pyspark.sql import functions as F
+
+    dice = random.Random(13)
+    ibans = ["".join(dice.choices("ABCXYZ", k=2)) + "".join(dice.choices("0123456789", k=2)) + "".join(dice.choices("0123456789ABZ", k=18)) for _ in range(100)]
+    numbers = ["".join(dice.choices("0123456789", k=dice.randint(2, 19))) for _ in range(100)]
+    frame = spark.createDataFrame(list(zip(ibans, numbers)), "i string, n string")
+    for row in frame.select("i", "n", pii.mod97(F.col("i")).alias("r"), pii.luhn(F.col("n")).alias("s")).collect():
+        assert row.r == int("".join(str(int(c, 36)) for c in row.i[4:] + row.i[:4])) % 97
+        assert (row.s % 10 == 0) == luhn(row.n)
+
+
+def test_a_session_without_a_key_has_its_own(spark, docs):
+    key = pii.session_key(spark)
+    assert len(key) == 64 and pii.session_key(spark) == key
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    assert pii.session_key(spark) == "mine"
+    spark.conf.unset(pii.KEY_SETTING)
+
+
 def luhn(number):
     digits = [int(d) for d in number.replace(" ", "")][::-1]
     return sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0
