@@ -1,17 +1,21 @@
 """Packing by deficit round-robin: every window holds its sources in proportion.
 
-Each source is a queue of segments (documents, cut at SEQUENCE tokens). In every
-round a source is credited its share of WINDOW tokens and serves segments while
-its credit lasts; what is left is carried to the next round, so no window strays
-from the proportions by more than a segment per source, and the error never adds
-up. The rounds, one after the other, are one stream of tokens, cut into sequences.
-
-A queue that has not run dry has been credited `round * quantum` in all, so the
-round of a segment is known from where it ends in its queue:
-`ceil(end / quantum)`. That makes the whole schedule two running sums, over the
-queues and over the stream, taken in partitions with the partitions' sums carried
-over; credit is carried across partitions the same way. Hot sources are spread
-over all partitions. Token ids are made once and move once, to their places.
+Each source is a queue of documents, one after the other. In every round a source is
+credited its share of WINDOW tokens and serves what the credit covers; the document at
+which it ends is cut there, and goes on in the next round. No segment is made shorter
+than LEAST tokens by that: a source may serve up to so many less, or more on credit of
+the next round. So over any number of rounds a source is at most LEAST tokens off its
+credit, and the error never adds up. The rounds, one after the other, are one stream
+of tokens, cut into sequences. A window's edges are off those of its round by at most
+LEAST tokens for each source, so a source's tokens in a full window are off its share by
+2 * LEAST and that, at the very most; by far less on average.
+
+A queue that has not run dry has been credited `round * quantum` in all, so where a queue
+is cut, and the round of a segment, are known from its place in its queue alone:
+`ceil((end - LEAST + 1) / quantum)`. That makes the whole schedule two running sums, over
+the queues and over the stream, taken in partitions with the partitions' sums carried
+over; credit is carried across partitions the same way. Hot sources are spread over all
+partitions. Token ids are made once and move once, to their places.
 
 By default the shares are the corpus's own, so all queues end together. Given
 shares may end a queue early; later windows share what is left.
@@ -36,6 +40,8 @@ from vidlake.llm.tokens import word_ids
 
 SEQUENCE = 4096
 WINDOW = 16 * SEQUENCE
+# Shortest segment that a cut at the end of the credit leaves.
+LEAST = 64
 END_ID = 2
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
@@ -60,7 +66,7 @@ def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
-def _scheduled(tokens: DataFrame, shares: Mapping[str, float] | None, sequence: int, window: int) -> DataFrame:
+def _scheduled(tokens: DataFrame, shares: Mapping[str, float] | None, window: int, least: int) -> DataFrame:
     """row, start, length, at: where in the stream each segment goes."""
     # Source null and source "" stay apart.
     queue = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))
@@ -77,25 +83,36 @@ def _scheduled(tokens: DataFrame, shares: Mapping[str, float] | None, sequence:
         quantum = F.col("queue_n") * F.lit(window / total)
     else:
         given = {f"s{k}": float(v) for k, v in shares.items() if v > 0}
-        least = min(given.values(), default=1.0) / 1000
+        rest = min(given.values(), default=1.0) / 1000
         pairs = [F.lit(x) for k, v in given.items() for x in (k, v * window)]
         share = F.element_at(F.create_map(*pairs), F.col("queue")) if pairs else F.lit(None).cast("double")
-        quantum = F.coalesce(share, F.lit(least * window))
+        quantum = F.coalesce(share, F.lit(rest * window))
     running = F.sum("n").over(Window.partitionBy("queue", "part").orderBy("row")) - F.col("n")
     placed = (
         narrow.withColumn("inside", running)
         .join(parts.withColumn("quantum", quantum), ["queue", "part"])
         .select("row", "queue", "n", "quantum", (F.col("before") + F.col("inside")).alias("begin"))
     )
-    starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(sequence).cast("long"))
-    cut = placed.withColumn("start", F.explode(starts)).withColumn(
-        "length", F.least(F.lit(sequence).cast("long"), F.col("n") - F.col("start"))
+    # Sources with little credit are cut where several rounds' credit ends.
+    unit = F.col("quantum") * F.ceil(F.lit(least) / F.col("quantum"))
+    placed = placed.withColumn("unit", unit)
+    low = (F.floor(F.col("begin") / F.col("unit")) + 1).cast("long")
+    high = (F.ceil((F.col("begin") + F.col("n")) / F.col("unit")) - 1).cast("long")
+    ends = F.transform(
+        F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>")),
+        lambda k: F.floor(k * F.col("unit")).cast("long") - F.col("begin"),
     )
-    end = F.col("begin") + F.col("start") + F.col("length")
+    cuts = F.filter(ends, lambda c: (c >= least) & (F.col("n") - c >= least))
+    starts, stops = F.concat(F.array(F.lit(0).cast("long")), cuts), F.concat(cuts, F.array("n"))
+    cut = placed.withColumn("segment", F.explode(F.arrays_zip(starts.alias("start"), stops.alias("stop"))))
+    end = F.col("begin") + F.col("segment.stop")
     cut = cut.select(
-        "row", "start", "length", "queue",
-        (F.col("begin") + F.col("start")).alias("begin"),
-        F.ceil(end / F.col("quantum")).cast("long").alias("round"),
+        "row",
+        F.col("segment.start").alias("start"),
+        (F.col("segment.stop") - F.col("segment.start")).alias("length"),
+        "queue",
+        (F.col("begin") + F.col("segment.start")).alias("begin"),
+        F.greatest(F.lit(1), F.ceil((end - least + 1) / F.col("quantum"))).cast("long").alias("round"),
     )
     order = ["round", "queue", "begin"]
     sorted_ = cut.repartitionByRange(*order).withColumn("slice", F.spark_partition_id())
@@ -119,6 +136,7 @@ def pack(
     sequence: int = SEQUENCE,
     window: int = WINDOW,
     shares: Mapping[str, float] | None = None,
+    least: int = LEAST,
     with_ids: bool = False,
 ) -> DataFrame:
     """A row per piece: doc_id, start (in the document), length, ids_crc32, doc_tokens,
@@ -127,7 +145,7 @@ def pack(
     offset; each is gapless from 0, and all but the last are full."""
     tokens = save(_encoded(docs, path, end_id), "tokens")
     plan = (
-        _scheduled(tokens.drop("ids"), shares, sequence, window)
+        _scheduled(tokens.drop("ids"), shares, window, least)
         .groupBy("row")
         .agg(F.collect_list(F.struct("start", "length", "at")).alias("plan"))
     )
