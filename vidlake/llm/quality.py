@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 from vidlake.llm.common import hashes, mix, odd_multipliers, save, slices, text_of
 
 TOP_WORDS = 1023
+# Pieces that the words of a language are ranked in at first.
+SALTS = 256
+# Languages whose references are sent to every task at once, some 20 kB each.
+LANGUAGES_AT_ONCE = 1000
 MIN_WORDS = 50
 # 100 * repeated words > MAX_REPEATED * words fails.
 MAX_REPEATED = 50
@@ -141,13 +145,18 @@ def _frequent(docs: DataFrame, top: int) -> DataFrame:
 
     counted = docs.select("lang", "text").mapInArrow(count, "lang string, word binary, n long")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    return counted.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "word", "rank")
+    # First within pieces of a language, as all its words are too many for one task.
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)))
+    order = F.desc("n"), "word"
+    piece = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
+    best = salted.withColumn("place", piece).filter(F.col("place") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "word", "rank")
 
 
 def references(docs: DataFrame, *, top: int = TOP_WORDS) -> DataFrame:
     """lang, words, chars, shares: the references of every language. One row per
-    language, so its size is that of the list of languages."""
+    language, so its size is that of the list of languages; see quality()."""
     frequent = save(_frequent(docs, top), "frequent")
     listed = frequent.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word")))["word"].alias("words"))
     known = {row["lang"]: [bytes(w) for w in row["words"]] for row in listed.collect()}
@@ -250,6 +259,14 @@ def judge(docs: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def quality(docs: DataFrame) -> DataFrame:
-    """References from the documents, and the verdict on each of them."""
-    return judge(docs, references(docs))
+def quality(docs: DataFrame, *, languages_at_once: int = LANGUAGES_AT_ONCE) -> DataFrame:
+    """References from the documents, and the verdict on each of them. A column of
+    languages with more values than that is gone through in blocks of values."""
+    languages = docs.select("lang").distinct().count()
+    blocks = max(1, -(-languages // languages_at_once))
+    judged = None
+    for number in range(blocks):
+        some = docs if blocks == 1 else docs.filter(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == number)
+        part = judge(some, references(some))
+        judged = part if judged is None else judged.unionByName(part)
+    return judged
