@@ -309,6 +309,73 @@ def test_packing_keeps_every_token(spark, shares):
             assert abs(row.share - wanted) < 0.25
 
 
+def plain_round_robin(queues, quanta, least):
+    """Queues of document lengths; (queue, document, start, length) in the order served.
+    Credit is added round by round, and a document cut where it ends."""
+    left = {q: [[d, 0, n] for d, n in docs] for q, docs in queues.items()}
+    credit, spent, owed, out, turn = dict.fromkeys(queues, 0.0), dict.fromkeys(queues, 0), {}, [], 0
+    for q, quantum in quanta.items():
+        owed[q] = quantum * -(-least // quantum)
+    while any(left.values()):
+        turn += 1
+        for q in sorted(queues):
+            while left[q]:
+                document, start, n = left[q][0]
+                begin, stop, at = spent[q], n - start, None
+                for k in range(int(begin / owed[q]) + 1, int((begin + stop) / owed[q]) + 2):
+                    # The next end of credit within the document that leaves both parts long enough.
+                    place = math.floor(k * owed[q]) - begin
+                    if place + start >= least and stop - place >= least and 0 < place < stop:
+                        at = place
+                        break
+                length = stop if at is None else at
+                if begin + length > turn * quanta[q] + least - 1:
+                    break
+                out.append((q, document, start, length))
+                spent[q] += length
+                left[q][0][1] += length
+                if left[q][0][1] == n:
+                    left[q].pop(0)
+    return out
+
+
+def test_schedule_is_deficit_round_robin(spark):
+    dice = random.Random(16)
+    rows = [(i, prose(dice, dice.choice([0, 5, 60, 700])), dice.choice("aaaabbc") if i else "rare") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    shares = {"a": 0.5, "b": 0.3, "c": 0.19, "rare": 0.01}
+    pieces = packing.pack(frame, WORD_BPE, sequence=64, window=1024, shares=shares, least=16).collect()
+    queues = defaultdict(list)
+    for i, _, source in rows:
+        queues[f"s{source}"].append((i, next(p.doc_tokens for p in pieces if p.doc_id == i)))
+    wanted = plain_round_robin(queues, {f"s{s}": v * 1024 for s, v in shares.items()}, 16)
+    at = 0
+    order = {}
+    for queue, document, start, length in wanted:
+        order.update(((document, start + k), at + k) for k in range(length))
+        at += length
+    got = {(p.doc_id, p.start + k): p.sequence_id * 64 + p.offset + k for p in pieces for k in range(p.length)}
+    assert got == order
+
+
+def test_windows_hold_the_proportions(spark):
+    """Production sizes, on all documents of the middle table."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    pieces = packing.pack(docs, WORD_BPE)
+    held = packing.mixture(pieces).collect()
+    last = max(r.window for r in held)
+    total = Counter()
+    for row in held:
+        total[row.source] += row.tokens
+    share = {s: n / sum(total.values()) for s, n in total.items()}
+    by_window = defaultdict(dict)
+    for row in held:
+        by_window[row.window][row.source] = row.share
+    off = [abs(by_window[w].get(s, 0) - share[s]) for w in range(last) for s in share]
+    assert last > 50 and max(off) < packing.LEAST * (2 + len(share)) / packing.WINDOW
+    assert max(off) < 0.01 and sum(off) / len(off) < 0.002
+
+
 def test_packing_nothing(spark, docs):
     assert packing.pack(docs([]), WORD_BPE).count() == 0
 
