@@ -16,8 +16,9 @@ which the scaled forward recursion computes exactly, whatever the length.
 2. The lists are summed to counts of the whole corpus, and each block's words are
    joined with those. A word is one row per block, so frequent words do not skew.
 3. Baum-Welch: tasks add up expected transitions and emissions of all training
-   texts, cut into SEGMENT tokens; the sums, STATES * classes numbers whatever the
-   corpus, give the next model. States start from a few rounds on a bounded sample
+   texts, each as a whole (one of more than BATCH_TOKENS tokens in pieces, which hand
+   on where they stand); the sums, STATES * classes numbers whatever the corpus, give
+   the next model. States start from a few rounds on a bounded sample
    of SEED_TEXTS training texts.
 
 Words are told apart by 64-bit hash.
@@ -45,7 +46,6 @@ STATES = 8
 ROUNDS = 3
 FREQUENT = 4096
 SUFFIXES = 512
-SEGMENT = 256
 SEED_TEXTS, SEED_ROUNDS = 1500, 12
 BLOCK_BYTES = 16_000_000
 # Tokens by which a state's emissions lean on those of the corpus.
@@ -249,17 +249,57 @@ def expected(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([gamma[: width[0]].sum(axis=0), (step * model.step).ravel(), emitted.ravel()])
 
 
-def _segments(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+def _expected_long(model: Model, sequence: np.ndarray) -> np.ndarray:
+    """The same of one sequence, piece by piece: the forward recursion keeps what enters
+    each piece, and the backward one makes it again from there."""
+    emit = np.ascontiguousarray(model.emit.T)
+    pieces = [sequence[at : at + BATCH_TOKENS] for at in range(0, len(sequence), BATCH_TOKENS)]
+
+    def forward(piece: np.ndarray, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        alpha, scale = emit[piece], np.empty(len(piece))
+        for t in range(len(piece)):
+            alpha[t] *= model.start if last is None else last @ model.step
+            scale[t] = alpha[t].sum()
+            alpha[t] /= scale[t]
+            last = alpha[t]
+        return alpha, scale
+
+    entering: list[np.ndarray | None] = [None]
+    for piece in pieces[:-1]:
+        entering.append(forward(piece, entering[-1])[0][-1].copy())
+    step = np.zeros((STATES, STATES))
+    emitted = np.zeros((STATES, len(emit)))
+    beta = np.ones(STATES)
+    start = np.zeros(STATES)
+    for piece, last in zip(reversed(pieces), reversed(entering)):
+        alpha, scale = forward(piece, last)
+        gamma = np.empty_like(alpha)
+        for t in range(len(piece) - 1, -1, -1):
+            gamma[t] = alpha[t] * beta
+            before = alpha[t - 1] if t else last
+            if before is not None:
+                back = emit[piece[t]] * beta / scale[t]
+                step += np.outer(before, back)
+                beta = model.step @ back
+        emitted += [np.bincount(piece, gamma[:, k], len(emit)) for k in range(STATES)]
+        start = gamma[0]
+    return np.concatenate([start, (step * model.step).ravel(), emitted.ravel()])
+
+
+def _counted(model: Model, sequences: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Expected counts of whole sequences, by batches of bounded size."""
     held, size = [], 0
     for s in sequences:
-        for start in range(0, len(s), SEGMENT):
-            held.append(s[start : start + SEGMENT])
-            size += len(held[-1])
+        if len(s) > BATCH_TOKENS:
+            yield _expected_long(model, s)
+            continue
+        held.append(s)
+        size += len(s)
         if size >= BATCH_TOKENS:
-            yield held
+            yield expected(model, held)
             held, size = [], 0
     if held:
-        yield held
+        yield expected(model, held)
 
 
 def _sequences(column) -> list[np.ndarray]:
@@ -272,9 +312,10 @@ def _seeded(texts: DataFrame, share: np.ndarray) -> Model:
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("classes", "ascending")])
         model = Model.first(share)
-        sequences = _sequences(table["classes"])
+        # Texts of like length go through the recursion side by side.
+        sequences = sorted(_sequences(table["classes"]), key=len)
         for _ in range(SEED_ROUNDS):
-            model = Model.of_counts(sum(expected(model, part) for part in _segments(sequences)), share)
+            model = Model.of_counts(sum(_counted(model, sequences)), share)
         row = np.concatenate([model.start, model.step.ravel(), model.emit.ravel()])
         return pa.table({"model": pa.array([row.tobytes()], pa.binary())})
 
@@ -296,8 +337,8 @@ def baum_welch(texts: DataFrame, share: np.ndarray, *, rounds: int = ROUNDS) ->
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size)
             for batch in batches:
-                for part in _segments(_sequences(batch.column("classes"))):
-                    total += expected(shared.value, part)
+                for found in _counted(shared.value, _sequences(batch.column("classes"))):
+                    total += found
             used = np.flatnonzero(total)
             for start in range(0, len(used), 50_000):
                 at = used[start : start + 50_000]
