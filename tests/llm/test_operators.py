@@ -443,6 +443,37 @@ def test_forward_is_the_sum_over_paths():
     assert abs(counts[: hmm.STATES].sum() - 2) < 1e-9 and abs(counts[hmm.STATES * (hmm.STATES + 1) :].sum() - 6) < 1e-9
 
 
+@pytest.mark.parametrize("at_once", [2, 5, 100])
+def test_expected_counts_are_sums_over_paths(monkeypatch, at_once):
+    """One step of training on texts longer than any piece."""
+    monkeypatch.setattr(hmm, "STATES", 3)
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", at_once)
+    share = np.array([0.4, 0.3, 0.2, 0.1])
+    model = hmm.Model.first(share, seed=5)
+    texts = [np.array(t, np.uint16) for t in ([0, 3, 2, 1, 1, 0, 2], [3], [2, 2, 0, 1], [1, 0])]
+    start, step, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 4))
+    for text in texts:
+        weights = {}
+        for path in np.ndindex(*(3,) * len(text)):
+            p = model.start[path[0]] * model.emit[path[0], text[0]]
+            for k in range(1, len(text)):
+                p *= model.step[path[k - 1], path[k]] * model.emit[path[k], text[k]]
+            weights[path] = p
+        total = sum(weights.values())
+        for path, p in weights.items():
+            start[path[0]] += p / total
+            for k, state in enumerate(path):
+                emit[state, text[k]] += p / total
+                if k:
+                    step[path[k - 1], state] += p / total
+    wanted = np.concatenate([start, step.ravel(), emit.ravel()])
+    found = sum(hmm._counted(model, texts))
+    assert np.abs(found - wanted).max() < 1e-9
+    better = hmm.Model.of_counts(found, share)
+    plain = hmm.Model.of_counts(wanted, share)
+    assert np.abs(better.step - plain.step).max() < 1e-9 and np.abs(better.emit - plain.emit).max() < 1e-9
+
+
 def test_long_text_does_not_underflow():
     model = hmm.Model.first(np.full(7, 1 / 7))
     found = hmm.log10_likelihood(model, [np.arange(50_000, dtype=np.uint16) % 7])
