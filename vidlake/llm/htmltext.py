@@ -33,7 +33,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -55,7 +55,10 @@ _BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNREAD = frozenset("script style noscript template title textarea select button svg iframe object form head".split())
+_UNREAD = frozenset(
+    "script style noscript template title textarea select button label legend datalist svg iframe object form head".split()
+)
+_IN_HEAD = frozenset("head title meta link script style base noscript template".split())
 _RAW = frozenset("script style textarea title".split())
 _CLOSED_BY = {
     **{t: ("p",) for t in _BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}},
@@ -71,6 +74,9 @@ _SCOPE = frozenset("table ul ol dl div section article main body html".split())
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL
 )
+# A form that holds any of these, or several paragraphs, is put around the page.
+_PAGE_PART = re.compile(r"<(?:article|main|nav|header|footer|h1)[\s/>]|(?:<p[\s>].*?){3}", re.IGNORECASE | re.DOTALL)
+_FORM_END = re.compile(r"</form[\s/>]", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 _KINDS = [
@@ -101,8 +107,10 @@ _ENDS = {tag: _end(tag) for tag in _RAW}
 
 
 def parse(source: str) -> Page:
-    """The page's block elements and runs of text. Form, script and other elements
-    that are not for reading are left out with all they hold."""
+    """The page's block elements and runs of text. Forms, scripts and other elements
+    that are not for reading are left out with all they hold; of a form around the page or
+    the article, only its fields, labels and buttons are. A head without an end ends at
+    the first element or text that cannot be in it."""
     page = Page()
     open_: list[tuple[str, int]] = []  # tag, and its node or that of the block around it
     opened: Counter[str] = Counter()
@@ -145,6 +153,8 @@ def parse(source: str) -> Page:
 
     def take(text: str) -> None:
         nonlocal linked
+        if unread and open_[-1][0] == "head" and text.strip():
+            close(0)
         if text and not unread:
             if "&" in text:
                 text = html.unescape(text)
@@ -194,8 +204,13 @@ def parse(source: str) -> Page:
                     break
                 if open_[place][0] in _SCOPE:
                     break
-        if tag == "body" and open_ and open_[0][0] == "head":
+        if open_ and open_[0][0] == "head" and (tag == "body" or open_[-1][0] == "head" and tag not in _IN_HEAD):
             close(0)
+        if tag == "form" and not unread:
+            end = _FORM_END.search(source, at)
+            if _PAGE_PART.search(source, at, end.start() if end else size):
+                # What it holds is read; its end tag will match nothing.
+                continue
         around = node()
         if tag in _BLOCKS and not unread:
             flush()
@@ -429,6 +444,8 @@ def disguised(source: str, words: list[str], dice: random.Random) -> str:
     ]
     inside = part("ad", f"<p>{some(4, 20)}</p>", "aside") if dice.random() < 0.3 else ""
     at = re.search(r"<(?:article|div) data-main[^>]*>", out)
+    if at:
+        out = _furnished(out, at.end(), some, dice)
     if at:
         stop = out.find('<div class="', at.end())
         tail = out.rfind("</article>") if "</article>" in out else stop
@@ -446,6 +463,32 @@ def disguised(source: str, words: list[str], dice: random.Random) -> str:
     return out
 
 
+def _furnished(source: str, start: int, some: Callable[[int, int], str], dice: random.Random) -> str:
+    """The page with a header in the article that begins at ``start``, and some of what
+    articles hold besides paragraphs."""
+    stop = source.find("</article>", start)
+    if stop < 0:
+        # A renamed article ends where the next renamed part begins, about.
+        stop = source.find('<div class="', start)
+    body = source[start:stop] if stop > 0 else source[start:]
+    rest = source[stop:] if stop > 0 else ""
+    extras = (
+        lambda: f"<pre>{some(8, 60)}\n  {some(5, 40)}</pre>",
+        lambda: f"<blockquote><p>{some(8, 50)}.</p></blockquote>",
+        lambda: "<ul>" + "".join(f"<li>{some(4, 25)}</li>" for _ in range(dice.randint(2, 6))) + "</ul>",
+        lambda: f"<h2>{some(2, 8)}</h2>",
+        lambda: "<table>" + "".join(f"<tr><td>{some(1, 4)}</td><td>{some(1, 6)}</td></tr>" for _ in range(4)) + "</table>",
+    )
+    places = [found.end() for found in re.finditer("</p>", body)]
+    for place in sorted(dice.sample(places, min(len(places), dice.randint(0, 2))), reverse=True):
+        body = body[:place] + dice.choice(extras)() + body[place:]
+    heading = re.match(r"\s*<(h[1-3])\b.*?</\1>", body, re.DOTALL | re.IGNORECASE)
+    if heading and dice.random() < 0.5:
+        line = f'<p class="{dice.choice(["byline", "meta", "date", "author"])}">{some(2, 8)}</p>' if dice.random() < 0.6 else ""
+        body = f"<header>{heading[0]}{line}</header>{body[heading.end():]}"
+    return source[:start] + body + rest
+
+
 _OUTSIDE = frozenset(w for k, names in _NAMES.items() if k != "article" for n in names for w in n.split("-"))
 
 
