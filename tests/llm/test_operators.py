@@ -383,6 +383,33 @@ def test_packing_nothing(spark, docs):
 # Toxicity
 
 
+def test_ftrl_matches_plain_python():
+    dice = random.Random(19)
+    samples = [np.array(sorted(dice.sample(range(1, 40), dice.randint(0, 12))), np.int32) for _ in range(60)]
+    labels = np.array([float(3 in s or dice.random() < 0.1) for s in samples])
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        shrink = 0.0 if i == 0 else toxicity.L1
+        if abs(z[i]) <= shrink:
+            return 0.0
+        return -(z[i] - math.copysign(shrink, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(1)
+    for _ in range(40):
+        for row in order.permutation(len(samples)):
+            own = {i: weight(i) for i in [0, *samples[row].tolist()]}
+            error = 1 / (1 + math.exp(-sum(own.values()))) - labels[row]
+            for i, w in own.items():
+                rate = (math.sqrt(n[i] + error * error) - math.sqrt(n[i])) / toxicity.ALPHA
+                z[i] += error - rate * w
+                n[i] += error * error
+    wanted = {i: weight(i) for i in list(n) if weight(i)}
+    found = dict(zip(*(x.tolist() for x in toxicity.ftrl(samples, labels, epochs=40))))
+    assert found.keys() == wanted.keys() and 3 in found
+    assert all(abs(found[i] - wanted[i]) < 1e-9 for i in wanted)
+
+
 def test_toxicity_learns_and_spares(spark, docs):
     dice = random.Random(11)
     rows, marks = [], []
@@ -802,6 +829,90 @@ def test_main_text(spark):
     assert none.count() == 1
 
 
+A = "The first long paragraph of the article tells about rivers, mountains and towns, and it goes on for a while."
+B = "A second paragraph, also long enough, has more to say about the weather, the harvest and the people there."
+MENU = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>About</a></li></ul></nav>"
+HEAD = "<html><head><title>t</title></head><body>"
+UNUSUAL = {
+    # No end of the head, no body.
+    f"<html><head><title>t</title><article><h1>Head</h1><p>{A}</p><p>{B}</p></article></html>": f"Head\n{A}\n{B}",
+    # A form around the page.
+    f"{HEAD}<form action='x'>{MENU}<article><h1>Head</h1><p>{A}</p><p>{B}</p></article><label>Mail</label><input>"
+    "<footer>&copy; site. All rights.</footer></form></body></html>": f"Head\n{A}\n{B}",
+    f"{HEAD}{MENU}<article><h1>Head</h1><p>{A}</p><pre>x = compute(1, 2)\n  y = x + 1</pre><p>{B}</p></article>"
+    "<footer>&copy; site.</footer></body></html>": f"Head\n{A}\nx = compute(1, 2) y = x + 1\n{B}",
+    # The article's own header.
+    f"{HEAD}<header><a href='/'>Site</a></header>{MENU}<article><header><h1>Head line</h1><p>By someone</p></header><p>{A}</p>"
+    f"<p>{B}</p></article><footer>&copy; site.</footer></body></html>": f"Head line\nBy someone\n{A}\n{B}",
+    f"{HEAD}<article><h1>Head</h1><p>{A}</p><p>{B}</p></article><form><p>Subscribe to our letter</p><input><button>Go</button>"
+    "</form></body></html>": f"Head\n{A}\n{B}",
+    "": "",
+}
+
+
+def test_unusual_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    trees = htmltext.train(pages)
+    asked = spark.createDataFrame([(i, None, h) for i, h in enumerate(UNUSUAL)], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in htmltext.extract(asked, trees).collect()}
+    assert [found[i] for i in range(len(UNUSUAL))] == list(UNUSUAL.values())
+    # Every page that marks its article gives just that.
+    inside = {r.page_id: "\n".join(text for at, text, _ in page.runs if own[at]) for r in pages.collect()
+              for page, own in [htmltext._labelled(r.html)]}
+    assert {r.page_id: r.text for r in htmltext.extract(pages, trees).collect()} == inside
+    nothing = pages.limit(0)
+    assert htmltext.main_text(nothing).count() == 0
+
+
+def test_chosen_nodes_are_the_best_set():
+    """Against all sets of nodes that hold their parents and the root."""
+    dice = random.Random(17)
+    for _ in range(60):
+        page = htmltext.Page()
+        n = dice.randint(1, 10)
+        page.parents = [-1] + [dice.randrange(k) for k in range(1, n)]
+        # In document order, as parsed.
+        order = []
+        stack = [0]
+        while stack:
+            at = stack.pop()
+            order.append(at)
+            stack += [c for c in range(n - 1, 0, -1) if page.parents[c] == at]
+        new = {old: k for k, old in enumerate(order)}
+        page.parents = [-1 if page.parents[old] < 0 else new[page.parents[old]] for old in order]
+        page.ends = [0] * n
+        for at in range(n - 1, -1, -1):
+            page.ends[at] = max([at + 1] + [page.ends[c] for c in range(at + 1, n) if page.parents[c] == at])
+        page.tags = [f"t{k}" for k in range(n)]  # no siblings of one tag
+        odds = np.array([dice.uniform(-2, 2) for _ in range(n)])
+        gain = odds.copy()
+        gain[0] = max(gain[0], 0)
+        best = max(
+            (
+                sum(gain[k] for k in range(n) if kept >> k & 1)
+                for kept in range(1, 1 << n)
+                if kept & 1 and all(not kept >> k & 1 or kept >> page.parents[k] & 1 for k in range(1, n))
+            )
+        )
+        keep = htmltext.chosen(page, odds)
+        assert all(not keep[k] or keep[page.parents[k]] for k in range(1, n))
+        assert abs(gain[keep].sum() - max(best, 0)) < 1e-9
+
+
+def test_one_tree_is_the_best_split():
+    """The first split of a tree against all splits of all columns."""
+    dice = np.random.default_rng(18)
+    rows = dice.integers(0, 6, (200, 4)).astype(np.float32)
+    labels = ((rows[:, 2] > 3) ^ (dice.random(200) < 0.1)).astype(float)
+    trees = htmltext.boost(rows, labels)
+    g, h = labels - labels.mean(), np.full(200, labels.mean() * (1 - labels.mean()))
+    score = lambda at: g[at].sum() ** 2 / (h[at].sum() + 1)
+    gains = {(c, v): score(rows[:, c] <= v) + score(rows[:, c] > v) for c in range(4) for v in range(5)}
+    column, value = max(gains, key=gains.get)
+    assert trees.feature[0, 0] == column and trees.edges[column][trees.bin[0, 0]] == value + 0.5
+    assert ((trees.score(rows) > 0) == (labels > 0)).mean() > 0.85
+
+
 def test_markup_is_read_as_far_as_it_goes():
     found = htmltext.parse(
         "<title>T</title><p>a  b\n c<br>d<p><b>e<p>f</div><script>x<p>y</script><!-- z --><ul><li>g<li>h</ul>i &lt;j&gt; 1 < 2"
