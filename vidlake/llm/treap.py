@@ -58,7 +58,7 @@ def terms(text: str) -> Iterator[list[bytes]]:
     data = text.encode("utf-8", "surrogatepass").translate(_TERM_BYTES)
     start = 0
     while len(data) - start > PIECE_BYTES:
-        end = data.rfind(b" ", start, start + PIECE_BYTES)
+        end = data.rfind(b" ", start + 1, start + PIECE_BYTES)
         end = data.find(b" ", start + PIECE_BYTES) if end < 0 else end
         if end < 0:
             break
