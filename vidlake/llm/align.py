@@ -126,12 +126,12 @@ class Aligner:
     def learn(self, wanted: list[str]) -> list[tuple[str, bytes] | None]:
         """Groups and links of units of which all but the last end in a character that
         is not white space, or in one line break. They are encoded in one text, each
-        that begins without a blank after a word it may come after."""
+        that is no word after a blank after what it may come after."""
         if not wanted:
             return []
         units, mine = [], []
         for unit in wanted:
-            if unit[0] != " ":
+            if unit[0] != " " or unit.isspace():
                 units.append(_BEFORE[0] if unit[0] in _MARKS or unit[0].isspace() else _BEFORE[1])
             mine.append(len(units))
             units.append(unit)
