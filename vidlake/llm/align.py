@@ -342,7 +342,7 @@ def _shared(counts: DataFrame, most: int) -> tuple[int, int]:
     have fewer."""
     level = F.floor(F.log2("links")).cast("int").alias("level")
     sizes = sorted(map(tuple, counts.groupBy(level).agg(F.count(F.lit(1))).collect()), reverse=True)
-    held, least = 0, 63
+    held, least = 0, 62
     for power, pairs in sizes:
         if held + pairs > most:
             break

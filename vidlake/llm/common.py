@@ -33,15 +33,31 @@ def files_for(rows: int, per_file: int) -> int:
     return max(12, -(-rows // per_file))
 
 
+#: What a batch that goes to Python holds at most while a table is written: tasks work
+#: on slices of about SLICE_BYTES, and larger batches are memory on both sides.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+}
+
+
 def save(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write a table to the folder all executors share and read it back, which
     cuts the lineage: a lost executor costs no more than its own tasks. Spark's
     partitions are put together to the given number of files, if there are more."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}"
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{name}"
     if files is not None:
         df = df.coalesce(files)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before = {key: spark.conf.get(key, None) for key in _BATCHES}
+    try:
+        for key, value in _BATCHES.items():
+            spark.conf.set(key, value)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -102,7 +118,9 @@ class WordCache(dict):
 
 
 def at_work(operator: str) -> None:
-    """Called as a task begins: what another operator has kept in this worker goes."""
+    """Called as a task begins: what another operator has kept in this worker goes, and
+    so does memory that batches have left."""
+    pa.default_memory_pool().release_unused()
     if _FILLED_BY != [operator]:
         for kept in _CACHES:
             kept.forget()
@@ -186,6 +204,7 @@ def map_texts(
         for batch in slices(batches):
             columns = function(batch)
             yield pa.RecordBatch.from_pydict(columns)
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

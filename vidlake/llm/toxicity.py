@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,9 +112,11 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> Da
     ready = map_texts(rows, places, "doc_id long, toxic int, places binary")
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("places", "ascending")])
-        samples = [np.frombuffer(p.as_buffer(), np.int32) for p in table["places"]]
-        feature, weight = ftrl(samples, table["toxic"].to_numpy().astype(float))
+        at_work(__name__)
+        # The order alone, as the table is large.
+        order = pc.sort_indices(table, [("doc_id", "ascending"), ("places", "ascending")]).to_numpy()
+        places = [np.frombuffer(p.as_buffer(), np.int32) for p in table["places"]]
+        feature, weight = ftrl([places[i] for i in order], table["toxic"].to_numpy().astype(float)[order])
         return pa.table({"feature": pa.array(feature, pa.int32()), "weight": weight})
 
     return ready.groupBy().applyInArrow(fit, "feature int, weight double")
