@@ -1,13 +1,18 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
+import shutil
 import time
 
 import pytest
 
+from vidlake.operators.cleaning import clean_videos
 from vidlake.plans import jobs
+from vidlake.sources import writers
 from vidlake.streaming.ingest import Taken, ingest, read_silver
+from vidlake.streaming.ledger import ROWS, Conflict, Ledger
 
 RECORD = {
     "title": "t",
@@ -116,11 +121,9 @@ def test_a_run_that_died_is_repeated_whole(spark, tmp_path):
     bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
     land(tmp_path / "bronze/a.json", "v1")
     ingest(spark, silver, bronze_path=bronze)
-    before = set((tmp_path / "silver/_ledger").iterdir())
     land(tmp_path / "bronze/b.json", "v2", "v3")
     ingest(spark, silver, bronze_path=bronze)
-    for name in set((tmp_path / "silver/_ledger").iterdir()) - before:
-        name.unlink()
+    max((tmp_path / "silver/_ledger/commits").glob("0*")).unlink()
     assert ids_in(spark, silver) == ["v1"]
     assert ingest(spark, silver, bronze_path=bronze).rows_read == 2
     assert ids_in(spark, silver) == ["v1", "v2", "v3"]
@@ -162,3 +165,111 @@ def test_large_history_goes_through_small_files(spark, tmp_path):
 def test_no_source(spark, tmp_path):
     with pytest.raises(ValueError):
         ingest(spark, str(tmp_path / "s"))
+
+
+def videos_of_day(videos, views, *ids):
+    return videos(*({"video_id": i, "views": str(views)} for i in ids))
+
+
+def states(spark, path):
+    return sorted((r.video_id, r.views) for r in read_silver(spark, path).collect())
+
+
+@pytest.mark.parametrize("by_date", [False, True])
+def test_a_day_landed_again_replaces_its_rows(spark, tmp_path, videos, by_date):
+    """Through the sink itself, which names its files anew."""
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    day = dt.date(2024, 2, 1)
+
+    def take(rows):
+        if by_date:
+            writers.land_by_date(rows, bronze, "chart", day)
+        else:
+            writers.land_by_day(rows, bronze, day)
+        return ingest(spark, silver, bronze_path=bronze)
+
+    land(tmp_path / "bronze/other.json", "w")
+    take(videos_of_day(videos, 500, "v0", "v1"))
+    assert states(spark, silver) == [("v0", 500), ("v1", 500), ("w", 5)]
+    assert take(videos_of_day(videos, 300, "v0")).files_withdrawn >= 1
+    assert states(spark, silver) == [("v0", 300), ("w", 5)]
+    assert clean_videos(read_silver(spark, silver)).filter("video_id = 'v0'").first().views == 300
+    take(videos_of_day(videos, 1, "v0").limit(0))
+    assert states(spark, silver) == [("w", 5)]
+    assert ingest(spark, silver, bronze_path=bronze) == Taken(0, 0, 0)
+    take(videos_of_day(videos, 9, "v1"))
+    take(videos_of_day(videos, 1, "v0").limit(0))
+    assert states(spark, silver) == [("w", 5)]
+
+
+def test_a_day_put_away_keeps_its_rows(spark, tmp_path, videos):
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    writers.land_by_day(videos_of_day(videos, 5, "v0"), bronze)
+    ingest(spark, silver, bronze_path=bronze)
+    shutil.rmtree(tmp_path / "bronze/year=2024")
+    land(tmp_path / "bronze/year=2024/month=02/day=02/a.json", "v1")
+    ingest(spark, silver, bronze_path=bronze)
+    assert ids_in(spark, silver) == ["v0", "v1"]
+
+
+def test_two_runs_over_the_same_file(spark, tmp_path, monkeypatch):
+    """The second run commits while the first one is between its rows and its commit."""
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    land(tmp_path / "bronze/a.json", "v1")
+    ingest(spark, silver, bronze_path=bronze)
+    land(tmp_path / "bronze/a.json", "v2", "v3")
+    land(tmp_path / "bronze/b.json", "v4")
+    commit, meeting = Ledger.commit, []
+
+    def commit_late(self, rows, version, over=0):
+        if not meeting:
+            meeting.append(None)
+            meeting[0] = ingest(spark, silver, bronze_path=bronze)
+            land(tmp_path / "bronze/c.json", "v5")
+            meeting.append(ingest(spark, silver, bronze_path=bronze))
+        commit(self, rows, version, over)
+
+    monkeypatch.setattr(Ledger, "commit", commit_late)
+    ingest(spark, silver, bronze_path=bronze)
+    assert [t.files for t in meeting] == [2, 1]
+    assert ids_in(spark, silver) == ["v2", "v3", "v4", "v5"]
+    assert Ledger(spark, silver).version() == 5
+    monkeypatch.undo()
+    assert ingest(spark, silver, bronze_path=bronze) == Taken(0, 0, 0)
+
+
+def test_a_late_withdrawal_spares_what_was_landed_since(spark, tmp_path, videos, monkeypatch):
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    writers.land_by_day(videos_of_day(videos, 1, "v0"), bronze)
+    ingest(spark, silver, bronze_path=bronze)
+    writers.land_by_day(videos_of_day(videos, 2, "v0"), bronze)
+    commit, done = Ledger.commit, []
+
+    def commit_late(self, rows, version, over=0):
+        if not done:
+            done.append(True)
+            writers.land_by_day(videos_of_day(videos, 3, "v0", "v1"), bronze)
+            ingest(spark, silver, bronze_path=bronze)
+        commit(self, rows, version, over)
+
+    monkeypatch.setattr(Ledger, "commit", commit_late)
+    ingest(spark, silver, bronze_path=bronze)
+    ingest(spark, silver, bronze_path=bronze)
+    monkeypatch.undo()
+    # The first run's files are gone by now; landing the day once more withdraws them.
+    writers.land_by_day(videos_of_day(videos, 4, "v1"), bronze)
+    ingest(spark, silver, bronze_path=bronze)
+    assert states(spark, silver) == [("v1", 4)]
+
+
+def test_versions_are_made_once(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "t"))
+    ledger.create()
+    ledger.create()
+    assert ledger.version() == 1
+    none = spark.createDataFrame([], ROWS)
+    ledger.commit(none, 2)
+    for version in (1, 2, 4):
+        with pytest.raises(Conflict):
+            ledger.commit(none, version)
+    assert ledger.version() == 2 and ledger.state().count() == 0

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from vidlake.functions.dates import lenient_date, path_parts
@@ -14,6 +15,8 @@ from vidlake.schemas import CORRUPT, DATE_PARTS
 
 # Where incremental ingest keeps its ledger, inside the table's folder.
 LEDGER = "_ledger"
+# Names of files that stand for a day without records.
+EMPTY_DAY = "empty-"
 # A published version has this file in it.
 _MARK = "_PUBLISHED"
 
@@ -80,6 +83,11 @@ def _land(
     writer.options(**options).partitionBy(*partitions).json(path)
     if day and not observed.get["records"]:
         discard(rows.sparkSession, f"{path}/{day}")
+        # A file without records beside it, so that a reader of what is new can tell an
+        # empty day from one that was put away.
+        parent, _, name = f"{path}/{day}".rpartition("/")
+        discard(rows.sparkSession, f"{parent}/{EMPTY_DAY}{name}.json")
+        create_file(rows.sparkSession, f"{parent}/{EMPTY_DAY}{name}.json", "[]")
     return observed
 
 
@@ -126,6 +134,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one of this name; of several writers at once
+    one succeeds, where the store creates files exclusively."""
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        return False
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
+def times_in(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names in a folder with their modification times in milliseconds."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(target)}
+
+
 def new_version(root: str) -> str:
     """A fresh folder for the next version of the tables under the root; folders
     sort by the time they were named."""
