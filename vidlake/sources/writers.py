@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -196,8 +197,13 @@ def retire_versions(spark: SparkSession, root: str, keep: int) -> None:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of ours, if it is there."""
-    fs, target = _file_system(spark, path)
-    fs.delete(target, True)
+    delete(spark, path, whole=True)
+
+
+def delete(spark: SparkSession, path: str, whole: bool = False) -> None:
+    """Delete a file, named as in a metadata column or by its path, or a whole folder."""
+    fs, target = _file_system(spark, unquote(path) if "://" in path or path.startswith("file:") else path)
+    fs.delete(target, whole)
 
 
 def run_report(

@@ -62,11 +62,15 @@ class Ledger:
         """The last version."""
         return max(self.times(), default=0)
 
+    def committed(self) -> DataFrame:
+        """Names of the entries that count. By a pattern, as Spark takes two readings of
+        one folder in a query for the same, also if the folder has changed in between."""
+        return self.spark.read.text(f"{self.commits}/*")
+
     def state(self, version: int | None = None) -> DataFrame:
         """The last row of every file up to a version, withdrawn ones included."""
         entries = self.spark.read.schema(_ENTRY).parquet(f"{self.entries}/*")
-        committed = self.spark.read.text(self.commits)
-        rows = entries.join(committed, F.col("entry") == F.col("value"), "left_semi")
+        rows = entries.join(self.committed(), F.col("entry") == F.col("value"), "left_semi")
         if version is not None:
             rows = rows.filter(F.col("version") <= version)
         names = [part.split()[0] for part in ROWS.split(", ")] + ["version"]
