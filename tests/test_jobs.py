@@ -6,11 +6,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from vidlake.__main__ import run
 from vidlake.operators.cleaning import clean_videos
 from vidlake.operators.mapping import silver_rows
 from vidlake.operators.quality import QualityError
 from vidlake.plans import jobs, reports
-from vidlake.sources import readers
+from vidlake.sources import readers, writers
+from vidlake.streaming.ingest import ingest, read_silver
 
 RUN = dt.date(2024, 2, 24)
 
@@ -209,3 +211,51 @@ def test_one_hot_snapshot(videos):
     )
     rows = clean_videos(silver).collect()
     assert sorted((r.video_id, r.views) for r in rows) == [("v1", 2), ("v2", 100), ("v3", 100)]
+
+
+def test_catalog_follows_versions(spark, tmp_path, videos):
+    gold = str(tmp_path / "gold")
+    one = silver_rows(bronze=videos({"video_id": "a"}, {"video_id": "b"}))
+    jobs.publish_gold(one, gold, catalog_prefix="cat_", keep=1)
+    ids = lambda: sorted(r.video_id for r in spark.sql("SELECT video_id FROM cat_videos").collect())
+    assert ids() == ["a", "b"]
+    two = silver_rows(bronze=videos({"video_id": "c"}))
+    jobs.publish_gold(two, gold, catalog_prefix="cat_", keep=1)
+    assert ids() == ["c"] and spark.table("cat_channel_analysis").first().total_videos == 1
+    assert spark.sql("SELECT sum(total_views) FROM cat_daily_analysis").first()[0] == 100
+    with pytest.raises(QualityError):
+        jobs.publish_gold(one.filter("views < 0 and views > 0"), gold, catalog_prefix="cat_")
+    assert ids() == ["c"]
+
+
+def test_catalog_of_a_fed_table_follows_its_ledger(spark, tmp_path, videos):
+    bronze, silver = (str(tmp_path / n) for n in ("bronze", "silver"))
+    writers.land_by_day(videos({"video_id": "a"}, {"video_id": "b"}), bronze)
+    ingest(spark, silver, bronze_path=bronze)
+    jobs.register_silver(spark, silver, "fed_silver")
+    assert spark.sql("SELECT count(*) FROM fed_silver").first()[0] == 2
+    assert spark.table("fed_silver").columns == read_silver(spark, silver).columns
+    writers.land_by_day(videos({"video_id": "c"}), bronze)
+    ingest(spark, silver, bronze_path=bronze)
+    assert [r.video_id for r in spark.sql("SELECT video_id FROM fed_silver").collect()] == ["c"]
+
+
+def test_runs_are_kept_once(spark, tmp_path, videos, capsys):
+    bronze, silver, log = (str(tmp_path / n) for n in ("bronze", "silver", "log"))
+    writers.land_by_day(videos({"video_id": "a"}, {"video_id": "b"}), bronze)
+    for run_id in ("one", "two", "two"):
+        run(spark, ["ingest", "--bronze", bronze, "--silver", silver, "--run-log", log, "--run-id", run_id])
+    with pytest.raises(Exception):
+        run(spark, ["gold", "--silver", str(tmp_path / "none"), "--gold", "g", "--run-log", log, "--run-id", "three"])
+    (tmp_path / "taken").write_text("a file where the folder should go")
+    (tmp_path / "1.json").write_text('{"items": [{"id": "v"}]}')
+    with pytest.raises(SystemExit):
+        run(spark, ["land-chart", "--details", str(tmp_path / "1.json"), "--bronze", str(tmp_path / "taken"), "--feed", "c",
+                    "--date", "2024-02-06", "--run-log", log])
+    rows = {r.run_id: r for r in writers.read_runs(spark, log).collect()}
+    assert len(rows) == 4
+    kept = {i: (r.command, r.outcome, r.records, r.broken, r.output_path) for i, r in rows.items()}
+    assert kept["one"] == ("ingest", "succeeded", 2, 0, silver) and kept["two"] == ("ingest", "succeeded", 0, 0, silver)
+    assert kept["three"] == ("gold", "failed", None, None, "g") and "none" in rows["three"].error
+    last = next(r for i, r in rows.items() if i not in ("one", "two", "three"))
+    assert last.outcome == "failed" and last.error and last.error != "1" and last.ended >= last.started

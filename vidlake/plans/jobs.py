@@ -44,11 +44,13 @@ from vidlake.sources.writers import (
     new_version,
     publish_version,
     replace_table,
+    replace_view,
     retire_versions,
     run_report,
     watched,
     write_csv,
 )
+from vidlake.streaming.ledger import TAKING, Ledger, read_silver
 
 
 def land_chart(
@@ -150,8 +152,34 @@ def silver_to_clean(silver: DataFrame, clean_path: str, published_as: str = "dat
 KEPT_VERSIONS = 2
 
 
+GOLD_TABLES = ("videos", "channel_analysis", "daily_analysis")
+
+
+def register_gold(spark: SparkSession, gold_path: str, prefix: str) -> list[str]:
+    """Views ``<prefix>videos`` and so on in the catalog over the tables as published
+    last; a view is replaced in one step. Returns their names."""
+    version = current_version(spark, gold_path)
+    for name in GOLD_TABLES:
+        replace_view(spark, f"{prefix}{name}", f"SELECT * FROM parquet.`{version}/{name}`")
+    return [f"{prefix}{name}" for name in GOLD_TABLES]
+
+
+def register_silver(spark: SparkSession, silver_path: str, name: str) -> None:
+    """A view in the catalog over a table fed by ingest. It follows the ledger by itself,
+    so it is made once."""
+    columns = ", ".join(f"`{c}`" for c in read_silver(spark, silver_path).columns)
+    live = Ledger(spark, silver_path).sql()
+    replace_view(
+        spark, name, f"SELECT {columns} FROM parquet.`{silver_path}` LEFT SEMI JOIN ({live}) USING ({TAKING})"
+    )
+
+
 def publish_gold(
-    silver: DataFrame, gold_path: str, published_as: str = "date", keep: int = KEPT_VERSIONS
+    silver: DataFrame,
+    gold_path: str,
+    published_as: str = "date",
+    keep: int = KEPT_VERSIONS,
+    catalog_prefix: str | None = None,
 ) -> int:
     """Clean, validate, and publish the three gold tables.
 
@@ -160,7 +188,8 @@ def publish_gold(
     those counts, on the columns that silver has and on a check for duplicate keys.
     Both rollups read the written files. Only then is the version marked, which
     switches all three tables in one step; before that a failure of any kind leaves
-    gold as it was, and nothing behind. Returns the clean rows.
+    gold as it was, and nothing behind. With a prefix, the catalog's views over the three
+    tables then move to the new version. Returns the clean rows.
     """
     spark = silver.sparkSession
     absent = missing_columns(silver)
@@ -192,6 +221,8 @@ def publish_gold(
     finally:
         if not published:
             discard(spark, version)
+    if catalog_prefix is not None:
+        register_gold(spark, gold_path, catalog_prefix)
     retire_versions(spark, gold_path, keep)
     return int(found[ROWS])
 

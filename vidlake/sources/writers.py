@@ -218,3 +218,39 @@ def run_report(
         row = ("failed", message, None, None, path, str(error))
     schema = "outcome string, message string, records bigint, broken bigint, output_path string, error string"
     return spark.createDataFrame([row], schema)
+
+
+_RUN = (
+    "run_id string, command string, outcome string, message string, records bigint, broken bigint, "
+    "output_path string, error string, started timestamp, ended timestamp"
+)
+
+
+def log_run(
+    spark: SparkSession,
+    log_path: str,
+    run_id: str,
+    command: str,
+    started: dt.datetime,
+    done: Outcome | None = None,
+    path: str | None = None,
+    error: str | None = None,
+) -> None:
+    """Keep how a run went, as one row in a table with a folder per run; a run that is
+    repeated under its id replaces its row."""
+    outcome = "succeeded" if error is None else "failed"
+    message = f"{command} {outcome}"
+    counts = (done.records, done.broken) if done else (None, None)
+    row = (run_id, command, outcome, message, *counts, path, error, started, dt.datetime.now(dt.timezone.utc))
+    frame = spark.createDataFrame([row], _RUN).coalesce(1)
+    frame.drop("run_id").write.mode("overwrite").parquet(f"{log_path}/run_id={run_id}")
+
+
+def read_runs(spark: SparkSession, log_path: str) -> DataFrame:
+    """All runs that were kept."""
+    return spark.read.schema(_RUN).parquet(log_path)
+
+
+def replace_view(spark: SparkSession, name: str, query: str) -> None:
+    """A view of this name in the catalog, in place of the one there was."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
