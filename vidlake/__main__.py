@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vidlake.operators.quality import enforce, quality_report
 from vidlake.plans import jobs
 from vidlake.plans.reports import REPORTS, report
+from vidlake.plans.upkeep import maintain_gold
 from vidlake.session import size_shuffles, stored_bytes
 from vidlake.sources.readers import FORMS, read_table
 from vidlake.sources.writers import Outcome, log_run
@@ -62,6 +63,7 @@ def _arguments() -> argparse.ArgumentParser:
     command("clean", "silver to the clean table", "silver", "clean", flags=("text-dates",))
     gold = command("gold", "silver to gold, behind the gate", "silver", "gold", flags=("text-dates",))
     command("quality", "rule violations of a table", "table", flags=("enforce",))
+    gold.add_argument("--incremental", action="store_true", help="only what changed in a fed silver table")
     gold.add_argument("--catalog", help="prefix of the catalog's views over the gold tables")
     new.add_argument("--view", help="name of the catalog's view over the silver table")
     command("compact", "rewrite what was fed into large files", "silver", flags=("everything",))
@@ -175,6 +177,10 @@ def _perform(spark: SparkSession, args: argparse.Namespace) -> Outcome | None:
         print(written.get["records"], "records")
         return Outcome(written.get["records"], 0)
     elif args.command == "gold":
+        if args.incremental:
+            kept = maintain_gold(spark, args.silver, args.gold, dates, catalog_prefix=args.catalog)
+            print("everything," if kept.whole else "changes,", kept.keys, "records" if kept.whole else "keys")
+            return Outcome(kept.keys, 0)
         records = jobs.publish_gold(
             read_silver(spark, args.silver), args.gold, dates, catalog_prefix=args.catalog
         )

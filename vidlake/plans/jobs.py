@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -41,8 +44,10 @@ from vidlake.sources.writers import (
     gathered,
     land_by_date,
     land_by_day,
+    mark_of,
     new_version,
     publish_version,
+    published_versions,
     replace_table,
     replace_view,
     retire_versions,
@@ -152,6 +157,62 @@ def silver_to_clean(silver: DataFrame, clean_path: str, published_as: str = "dat
 KEPT_VERSIONS = 2
 
 
+@dataclass(frozen=True)
+class Published:
+    """What a version's mark says: the ledger's version it stands for, how it was
+    cleaned, and the folders of its layers, the first of which is whole."""
+
+    ledger: int | None = None
+    published_as: str = "date"
+    layers: tuple[str, ...] = ()
+
+    def text(self) -> str:
+        return json.dumps({"ledger": self.ledger, "published_as": self.published_as, "layers": self.layers})
+
+
+def _state_of(spark: SparkSession, version: str) -> Published:
+    said = mark_of(spark, version)
+    found = json.loads(said) if said else {}
+    layers = tuple(found.get("layers") or [version.rpartition("/")[2]])
+    return Published(found.get("ledger"), found.get("published_as", "date"), layers)
+
+
+def published_state(spark: SparkSession, gold_path: str) -> Published | None:
+    """What the version that was published last says of itself."""
+    found = published_versions(spark, gold_path)
+    return _state_of(spark, found[-1]) if found else None
+
+
+def _layered(gold_path: str, layers: Sequence[str]) -> str:
+    """The clean table as SQL: rows of each layer but for keys of later ones."""
+    parts = []
+    for at, layer in enumerate(layers):
+        later = " UNION ALL ".join(f"SELECT * FROM parquet.`{gold_path}/{x}/touched`" for x in layers[at + 1 :])
+        part = f"SELECT * FROM parquet.`{gold_path}/{layer}/videos` r"
+        if later:
+            part += (
+                f" LEFT ANTI JOIN ({later}) t ON r.video_id <=> t.video_id"
+                " AND r.extraction_date <=> t.extraction_date"
+            )
+        parts.append(part)
+    return " UNION ALL ".join(parts)
+
+
+def gold_videos(spark: SparkSession, gold_path: str) -> DataFrame:
+    """The clean table as published last."""
+    layers = _state_of(spark, current_version(spark, gold_path)).layers
+    if len(layers) == 1:
+        return spark.read.parquet(f"{gold_path}/{layers[0]}/videos")
+    return spark.sql(_layered(gold_path, layers))
+
+
+def retire_gold(spark: SparkSession, gold_path: str, keep: int) -> None:
+    """Delete published versions but the last ones and their layers."""
+    last = published_versions(spark, gold_path)[-max(1, keep) :]
+    needed = {f"{gold_path}/{layer}" for version in last for layer in _state_of(spark, version).layers}
+    retire_versions(spark, gold_path, keep, needed)
+
+
 GOLD_TABLES = ("videos", "channel_analysis", "daily_analysis")
 
 
@@ -159,7 +220,8 @@ def register_gold(spark: SparkSession, gold_path: str, prefix: str) -> list[str]
     """Views ``<prefix>videos`` and so on in the catalog over the tables as published
     last; a view is replaced in one step. Returns their names."""
     version = current_version(spark, gold_path)
-    for name in GOLD_TABLES:
+    replace_view(spark, f"{prefix}videos", _layered(gold_path, _state_of(spark, version).layers))
+    for name in GOLD_TABLES[1:]:
         replace_view(spark, f"{prefix}{name}", f"SELECT * FROM parquet.`{version}/{name}`")
     return [f"{prefix}{name}" for name in GOLD_TABLES]
 
@@ -180,6 +242,7 @@ def publish_gold(
     published_as: str = "date",
     keep: int = KEPT_VERSIONS,
     catalog_prefix: str | None = None,
+    mark: Published | None = None,
 ) -> int:
     """Clean, validate, and publish the three gold tables.
 
@@ -216,17 +279,19 @@ def publish_gold(
             raise QualityError(failures)
         replace_table(channel_rollup(written), f"{version}/channel_analysis")
         replace_table(daily_rollup(written), f"{version}/daily_analysis")
-        publish_version(spark, version)
+        publish_version(spark, version, mark.text() if mark else "")
         published = True
     finally:
         if not published:
             discard(spark, version)
     if catalog_prefix is not None:
         register_gold(spark, gold_path, catalog_prefix)
-    retire_versions(spark, gold_path, keep)
+    retire_gold(spark, gold_path, keep)
     return int(found[ROWS])
 
 
 def gold_table(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
     """A gold table as published last."""
+    if name == "videos":
+        return gold_videos(spark, gold_path)
     return spark.read.parquet(f"{current_version(spark, gold_path)}/{name}")

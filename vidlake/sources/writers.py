@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Container
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -167,11 +167,21 @@ def new_version(root: str) -> str:
     return f"{root}/v{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def publish_version(spark: SparkSession, version: str) -> None:
-    """Make a complete version the current one. Creating one empty file does it, in
+def publish_version(spark: SparkSession, version: str, text: str = "") -> None:
+    """Make a complete version the current one. Creating one small file does it, in
     any store, so readers find either all of the new tables or all of the old."""
+    if not create_file(spark, f"{version}/{_MARK}", text):
+        raise FileExistsError(f"{version} is published already")
+
+
+def mark_of(spark: SparkSession, version: str) -> str:
+    """What the mark of a published version says."""
     fs, mark = _file_system(spark, f"{version}/{_MARK}")
-    fs.create(mark, False).close()
+    stream = fs.open(mark)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def published_versions(spark: SparkSession, root: str) -> list[str]:
@@ -189,10 +199,11 @@ def current_version(spark: SparkSession, root: str) -> str:
     return found[-1]
 
 
-def retire_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Delete all published versions but the last ones."""
+def retire_versions(spark: SparkSession, root: str, keep: int, needed: Container[str] = ()) -> None:
+    """Delete all published versions but the last ones, and those still needed."""
     for version in published_versions(spark, root)[: -max(1, keep)]:
-        discard(spark, version)
+        if version not in needed:
+            discard(spark, version)
 
 
 def discard(spark: SparkSession, path: str) -> None:

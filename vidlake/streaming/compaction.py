@@ -99,6 +99,8 @@ def sweep(spark: SparkSession, silver_path: str, older_than: float = WEEK) -> Sw
     takings = rows.distinct().join(needed.withColumn("seen", F.lit(1)), F.col(TAKING) == F.col("taking"), "left")
     unseen = takings.groupBy("path").agg(F.max("seen").alias("seen"), F.max("written").alias("written"))
     unseen = unseen.filter(F.col("seen").isNull() & (F.unix_millis("written") < before)).select("path")
+    # Said before anything is deleted.
+    ledger.mark_swept(max(old))
     data_files = 0
     # Names of files to delete, a partition of them at a time.
     for row in unseen.toLocalIterator():

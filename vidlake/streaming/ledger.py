@@ -81,6 +81,13 @@ class Ledger:
         """The takings that count."""
         return self.state(version).filter(F.col("taking").isNotNull())
 
+    def swept(self) -> int:
+        """Up to this version, rows that no longer count may have been deleted."""
+        return max(map(int, times_in(self.spark, f"{self.table}/{LEDGER}/swept")), default=0)
+
+    def mark_swept(self, version: int) -> None:
+        create_file(self.spark, f"{self.table}/{LEDGER}/swept/{version:020d}", "")
+
     def commit(self, rows: DataFrame, version: int, over: int = 0) -> None:
         """Make rows count, as the given version, which must be the next one. With
         ``over``, they say all that still counts of the versions up to that one. The
