@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +15,11 @@ from pyspark.sql import functions as F
 from vidlake.session import scratch_dir
 
 # Bytes a worker keeps per generation of a word cache, and the longest word kept.
-CACHE_BYTES = 32_000_000
+CACHE_BYTES = 37_500_000
 CACHE_WORD_BYTES = 64
+# A word, its result and their place in a dict; words are short, as longer ones are not
+# kept, and so are results.
+ENTRY_BYTES = 250
 # Texts are handled in slices of about so many bytes.
 SLICE_BYTES = 8_000_000
 # Column that tells rows of one id apart by their text.
@@ -85,14 +87,13 @@ class WordCache(dict):
     """Results of a function of a word (or, with longest 0, a number), computed
     once per worker. A full cache becomes the old one, which words used again are
     taken from, and the one before it is forgotten; so there are two of them at most,
-    of about ``room`` bytes each."""
+    of some ``room`` bytes each, at ENTRY_BYTES for an entry."""
 
     def __init__(self, function: Callable, room: int = CACHE_BYTES, longest: int = CACHE_WORD_BYTES):
         super().__init__()
         self.function = function
-        self.room = room
+        self.entries = room // ENTRY_BYTES
         self.longest = longest
-        self.held = 0
         self.old: dict = {}
         _CACHES.append(self)
 
@@ -102,19 +103,15 @@ class WordCache(dict):
             value = self.function(word)
             if self.longest and len(word) > self.longest:
                 return value
-        if self.held >= self.room:
+        if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
-            self.held = 0
-        # With what the table of a dict takes for an entry.
-        self.held += getsizeof(word) + getsizeof(value) + 100
         self[word] = value
         return value
 
     def forget(self) -> None:
         self.clear()
         self.old = {}
-        self.held = 0
 
 
 def at_work(operator: str) -> None:

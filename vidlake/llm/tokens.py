@@ -23,8 +23,8 @@ from vidlake.llm.common import WordCache
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CACHE_UNITS = 200_000
 # Bytes of words and of smaller parts that a worker keeps, twice; see WordCache.
-WORD_BYTES = 80_000_000
-PART_BYTES = 32_000_000
+WORD_BYTES = 160_000_000
+PART_BYTES = 60_000_000
 # Lengths of beginnings that are kept.
 _SHARED = (8, 6, 4)
 # Marks that end a word, none of which begins a piece of its own with what follows.
