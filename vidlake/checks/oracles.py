@@ -137,6 +137,19 @@ _BRONZE_SILVER = [
     _parted("silver_bronze", "typed_bronze"),
 ]
 _CLEAN = [*_SILVER, _TRIMMED, _DATED, _repaired("dated"), _ROLLUPS]
+# The second day landed again, with other views and every second video only.
+_RELANDED = (
+    "(SELECT * REPLACE (CASE WHEN extraction_date = '2024-01-02' THEN views + 1 ELSE views END AS views)"
+    " FROM silver_bronze WHERE extraction_date <> '2024-01-02' OR CAST(video_id AS BIGINT) % 2 = 0)"
+)
+_CLEAN_RELANDED = [
+    *_BRONZE_SILVER,
+    f"silver AS (SELECT * FROM {_RELANDED})",
+    _TRIMMED,
+    _DATED,
+    _repaired("dated"),
+    _ROLLUPS,
+]
 _CLEAN_TEXT = [*_SILVER, _TRIMMED, _repaired("trimmed"), _ROLLUPS]
 
 
@@ -341,18 +354,13 @@ ORACLES: dict[str, str] = {
     "parquet_scan": "SELECT * FROM orders",
     "parquet_sql_scan": "SELECT * FROM lineitem",
     "csv_scan_malformed": _sql(
-        [
-            _HISTORICAL,
-            "whole AS (SELECT * FROM historical WHERE title IS NOT NULL AND description IS NOT NULL)",
-        ],
-        "SELECT video_id, count(*) AS n_rows FROM whole WHERE CAST(video_id AS BIGINT) % 5 <> 0"
-        " GROUP BY video_id UNION ALL"
-        " SELECT NULL, count(*) FROM whole WHERE CAST(video_id AS BIGINT) % 5 = 0",
+        [_HISTORICAL],
+        "SELECT *, CAST(NULL AS VARCHAR) AS text FROM historical WHERE CAST(video_id AS BIGINT) % 5 <> 0"
+        " UNION ALL BY NAME SELECT video_id || ',' || trending_date AS text FROM historical"
+        " WHERE CAST(video_id AS BIGINT) % 5 = 0",
     ),
     "details_scan": _sql([_DETAILS], "SELECT * FROM details"),
-    "search_scan": _sql(
-        [_FOUND], "SELECT count(*) AS n_rows, count(DISTINCT video_id) AS n_ids FROM found"
-    ),
+    "search_scan": _sql([_FOUND], "SELECT video_id FROM found"),
     "bronze_day_overwrite_empty": _sql(
         [_BRONZE],
         _BRONZE_TEXT.format(views="views") + " WHERE extraction_date <> '2024-01-03'",
@@ -399,4 +407,30 @@ ORACLES: dict[str, str] = {
         " UNION ALL SELECT 2, 0"
         f" UNION ALL SELECT 3, count(*) FILTER (WHERE NOT ({_EARLY})) FROM bronze",
     ),
+    "incremental_relanded_day": _sql(_BRONZE_SILVER, f"SELECT * FROM {_RELANDED}"),
+    "incremental_relanded_empty": _sql(
+        _BRONZE_SILVER, "SELECT * FROM silver_bronze WHERE extraction_date <> '2024-01-03'"
+    ),
+    "incremental_compacted": _sql(_BRONZE_SILVER, f"SELECT * FROM {_RELANDED}"),
+    "incremental_gold": _sql(_CLEAN_RELANDED, "SELECT * FROM clean"),
+    "incremental_gold_rollups": _sql(
+        _CLEAN_RELANDED, "SELECT * FROM channels UNION ALL BY NAME SELECT * FROM days"
+    ),
+    "gold_catalog": _sql(
+        _CLEAN,
+        "\nUNION ALL ".join(
+            f"SELECT {version} AS version, '{name}' AS name, {count} AS n_rows FROM clean WHERE {when}"
+            for version, when in ((1, _EARLY), (2, "true"))
+            for name, count in (
+                ("videos", "count(*)"),
+                ("channel_analysis", "count(DISTINCT channel_title)"),
+                ("daily_analysis", "count(DISTINCT (year, month, day))"),
+            )
+        ),
+    ),
+    "silver_catalog": _sql(_BRONZE_SILVER, "SELECT * FROM silver_bronze"),
+    "run_log": "SELECT 'first' AS run_id, 'ingest' AS command, 'succeeded' AS outcome, count(*) AS records,"
+    " CAST(0 AS BIGINT) AS broken, '/silver' AS output_path, false AS has_error FROM orders"
+    " UNION ALL SELECT 'second', 'ingest', 'succeeded', 0, 0, '/silver', false"
+    " UNION ALL SELECT 'third', 'clean', 'failed', NULL, NULL, '/clean', true",
 }

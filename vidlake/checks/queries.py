@@ -20,9 +20,11 @@ from vidlake.checks.samples import (
 from vidlake.functions.dates import path_parts, publish_date
 from vidlake.operators import cleaning, lookup, mapping, quality, responses, rollups, search
 from vidlake.plans import jobs, reports
+from vidlake.plans.upkeep import maintain_gold
 from vidlake.schemas import CSV_NAMES, DETAILS_RESPONSE, KEYWORDS, SEARCH_RESPONSE
 from vidlake.session import scratch_dir
 from vidlake.sources import readers, writers
+from vidlake.streaming.compaction import compact, sweep
 from vidlake.streaming.ingest import Taken, ingest, read_silver
 
 # A keyword that only matches with the case of all letters ignored.
@@ -190,18 +192,19 @@ def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
-    """Some records lack a column: what is kept, and how many are not."""
+    """Some records end after two columns: all rows that are kept, and the text of those
+    that are not."""
     path = scratch_dir(spark)
-    rows = historical(spark, sf).filter("title is not null and description is not null")
-    cells = ["video_id", "title", "views", "channel_title"]
-    cut = F.when(F.col("video_id").cast("long") % 5 == 0, F.concat_ws(",", *cells[:3]))
-    lines = rows.select(cut.otherwise(F.concat_ws(",", *cells)).alias(",".join(cells)))
-    lines.write.option("header", True).option("sep", "\t").csv(path)
+    rows = historical(spark, sf)
+    whole = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    cut = F.when(F.col("video_id").cast("long") % 5 == 0, F.concat_ws(",", *rows.columns[:2]))
+    lines = rows.select(cut.otherwise(F.to_csv(F.struct(*rows.columns), whole)).alias(",".join(rows.columns)))
+    # A line is one cell here, written as it is.
+    as_is = {**whole, "quote": "\u0000", "header": True, "sep": "\t"}
+    lines.write.options(**as_is).csv(path)
     landed = readers.read_csv(spark, path)
     good, bad = readers.readable(landed), readers.quarantined(landed)
-    counts = good.groupBy("video_id").agg(F.count("*").alias("n_rows"))
-    refused = bad.groupBy().agg(F.lit(None).cast("string").alias("video_id"), F.count("*").alias("n_rows"))
-    return counts.union(refused)
+    return good.unionByName(bad.select("text"), allowMissingColumns=True)
 
 
 def _csv_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,7 +280,7 @@ def _details_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def _search_scan(spark: SparkSession, sf: str) -> DataFrame:
     landed = readers.read_search(spark, _land_texts(spark, search_text(spark, sf), 3))
-    return lookup.count_ids(responses.search_ids(readers.readable(landed)))
+    return responses.search_ids(readers.readable(landed))
 
 
 def _day_overwrite(spark: SparkSession, sf: str) -> DataFrame:
@@ -436,6 +439,127 @@ def _incremental_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _fed(spark: SparkSession, sf: str, *landings: Callable[[DataFrame, str], object]) -> str:
+    """A silver table fed after each of some landings; the folder it is in."""
+    root = scratch_dir(spark)
+    rows = bronze(spark, sf)
+    for land in landings:
+        land(rows, f"{root}/bronze")
+        ingest(spark, f"{root}/silver", bronze_path=f"{root}/bronze", form="lines")
+    return root
+
+
+def _land_second_day_again(rows: DataFrame, path: str) -> None:
+    """The second day once more, with other views, and without every second video."""
+    day = rows.filter("extraction_date = '2024-01-02' and cast(video_id as long) % 2 = 0")
+    writers.land_by_day(day.withColumn("views", F.col("views") + 1), path)
+
+
+def _land_empty_day(rows: DataFrame, path: str) -> None:
+    writers.land_by_day(rows.filter("views < 0 and views > 0"), path, dt.date(2024, 1, 3))
+
+
+def _land_early(rows: DataFrame, path: str) -> None:
+    writers.land_by_day(_early(rows), path)
+
+
+def _land_late(rows: DataFrame, path: str) -> None:
+    writers.land_by_day(_late(rows), path)
+
+
+def _incremental_relanded(spark: SparkSession, sf: str) -> DataFrame:
+    """A day landed again through the sink replaces its rows, those it lacks included."""
+    root = _fed(spark, sf, writers.land_by_day, _land_second_day_again)
+    return read_silver(spark, f"{root}/silver")
+
+
+def _incremental_emptied(spark: SparkSession, sf: str) -> DataFrame:
+    """A day landed again without records leaves none."""
+    root = _fed(spark, sf, writers.land_by_day, _land_empty_day)
+    return read_silver(spark, f"{root}/silver")
+
+
+def _compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of a fed table after a compaction and a sweep of all that was before."""
+    root = _fed(spark, sf, _land_early, _land_late, _land_second_day_again)
+    compact(spark, f"{root}/silver", everything=True)
+    sweep(spark, f"{root}/silver", older_than=-60)
+    return read_silver(spark, f"{root}/silver")
+
+
+def _kept_gold(spark: SparkSession, sf: str) -> str:
+    """Gold made after a first landing, and kept up over two more."""
+    root = scratch_dir(spark)
+    rows = bronze(spark, sf)
+    for land in (_land_early, _land_late, _land_second_day_again):
+        land(rows, f"{root}/bronze")
+        ingest(spark, f"{root}/silver", bronze_path=f"{root}/bronze", form="lines")
+        maintain_gold(spark, f"{root}/silver", f"{root}/gold")
+    return f"{root}/gold"
+
+
+def _incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.gold_table(spark, _kept_gold(spark, sf), "videos")
+
+
+def _incremental_rollups(spark: SparkSession, sf: str) -> DataFrame:
+    path = _kept_gold(spark, sf)
+    per_channel = jobs.gold_table(spark, path, "channel_analysis")
+    per_day = jobs.gold_table(spark, path, "daily_analysis")
+    return per_channel.unionByName(per_day, allowMissingColumns=True)
+
+
+def _gold_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog's views after a second version took the place of a first one: rows
+    by the number of the version and the name of the table."""
+    path = scratch_dir(spark)
+    prefix = f"gold_{path.rsplit('-', 1)[1]}_"
+    rows = silver(spark, sf)
+    counts = []
+    for version, part in ((1, _early(rows)), (2, rows)):
+        jobs.publish_gold(part, path, keep=1, catalog_prefix=prefix)
+        for name in jobs.GOLD_TABLES:
+            found = spark.sql(f"SELECT count(*) FROM {prefix}{name}").first()[0]
+            counts.append((version, name, found))
+    return spark.createDataFrame(counts, "version int, name string, n_rows bigint")
+
+
+def _fed_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """A fed table by name, through a view made before its last landing."""
+    root = _fed(spark, sf, _land_early)
+    name = "fed_" + root.rsplit("-", 1)[1]
+    jobs.register_silver(spark, f"{root}/silver", name)
+    _land_late(bronze(spark, sf), f"{root}/bronze")
+    ingest(spark, f"{root}/silver", bronze_path=f"{root}/bronze", form="lines")
+    return spark.table(name)
+
+
+def _run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of a command, one of them repeated under its id, and a failed one."""
+    root = scratch_dir(spark)
+    writers.land_by_day(bronze(spark, sf), f"{root}/bronze")
+    log = ["--run-log", f"{root}/runs", "--run-id"]
+    feed = ["ingest", "--silver", f"{root}/silver", "--bronze", f"{root}/bronze", "--form", "lines", *log]
+    for run_id in ("first", "second", "second"):
+        command([*feed, run_id])(spark)
+    try:
+        command(["clean", "--silver", f"{root}/none", "--clean", f"{root}/clean", *log, "third"])(spark)
+    except Exception as error:
+        failed = type(error).__name__
+    kept = writers.read_runs(spark, f"{root}/runs").filter(F.lit(bool(failed)))
+    path = F.replace("output_path", F.lit(root), F.lit("")).alias("output_path")
+    return kept.select(
+        "run_id", "command", "outcome", "records", "broken", path, F.col("error").isNotNull().alias("has_error")
+    )
+
+
+def command(argv: list[str]) -> Callable[[SparkSession], None]:
+    """A command as it is given to spark-submit."""
+    from vidlake.__main__ import run
+
+    return partial(run, argv=argv)
+
+
 QUERIES: dict[str, Query] = {
     "apply_mapping": _apply_mapping,
     "align_union": _unified,
@@ -501,4 +625,12 @@ QUERIES: dict[str, Query] = {
     "incremental_late_file": _incremental_late,
     "incremental_replaced_file": _incremental_replaced,
     "incremental_counts": _incremental_counts,
+    "incremental_relanded_day": _incremental_relanded,
+    "incremental_relanded_empty": _incremental_emptied,
+    "incremental_compacted": _compacted,
+    "incremental_gold": _incremental_gold,
+    "incremental_gold_rollups": _incremental_rollups,
+    "gold_catalog": _gold_catalog,
+    "silver_catalog": _fed_catalog,
+    "run_log": _run_log,
 }
