@@ -139,3 +139,28 @@ def test_lookup_does_not_broadcast_long_texts(spark, details, plan, monkeypatch)
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 10)
     ids = spark.createDataFrame([("a",), ("z" * 20,)], "video_id string")
     assert "SortMergeJoin" in plan(lookup.lookup_details(details, ids))
+
+
+def test_lookup_beyond_the_limit_leaves_rows_out_before_the_shuffle(spark, plan):
+    """Same rows as with a broadcast; few of the others reach the exchange."""
+    from pyspark.sql import functions as F
+
+    from vidlake.operators import lookup
+
+    details = spark.range(200_000).select(
+        F.when(F.col("id") % 1000 != 0, F.concat(F.lit("v"), F.col("id") % 50_000)).alias("video_id"), F.col("id").alias("views")
+    )
+    ids = spark.range(0, 50_000, 25).select(F.concat(F.lit("v"), "id").alias("video_id")).union(
+        spark.createDataFrame([(None,), ("gone",)], "video_id string")
+    )
+    wanted = lookup.distinct_ids(ids)
+    few, many = (lookup.lookup_details(details, ids, broadcast_up_to=n) for n in (10**6, 10))
+    assert many.columns == few.columns == ["video_id", "views"]
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect())) and many.count() > 7_000
+    kept = lookup.maybe_wanted(details, wanted, 2_002)
+    assert kept.filter("video_id is not null").count() < 1.3 * many.count() + 200_000 / lookup.BITS_PER_ID
+    text = plan(many)
+    # The bit map is tested below the exchange of the details.
+    assert text.index("SortMergeJoin") < text.index("Exchange hashpartitioning(video_id") < text.index("BroadcastHashJoin")
+    # However small the map, no wanted row is lost.
+    assert lookup.maybe_wanted(details, wanted, 1).join(wanted, "video_id", "left_semi").count() == many.count()

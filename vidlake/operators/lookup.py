@@ -12,6 +12,9 @@ from vidlake.session import scratch_dir
 # The id side is broadcast if it has no more ids and no more text than this.
 BROADCAST_IDS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Beyond that, a bit map of the ids is: bits for each id, and at most so many rows of it.
+BITS_PER_ID = 16
+MAX_BITMAPS = BROADCAST_BYTES // 4096
 
 
 def distinct_ids(*frames: DataFrame, column: str = "video_id") -> DataFrame:
@@ -35,7 +38,9 @@ def lookup_details(
     The distinct ids are made once, into a table in the shared scratch folder. There
     they are measured, in parallel, and broadcast if they are within the limits, which
     spares the details a shuffle. Beyond them both sides shuffle, and Spark splits the
-    detail rows of an oversized id at run time.
+    detail rows of an oversized id at run time; detail rows whose id is not in a bit map
+    of the wanted ids are left out before that. The bit map has a bounded size whatever
+    the number of ids: the more there are, the less it leaves out.
     """
     path = scratch_dir(ids.sparkSession)
     distinct_ids(ids, column=column).write.parquet(path)
@@ -44,7 +49,26 @@ def lookup_details(
     size = wanted.agg(F.count(F.lit(1)).alias("ids"), text).first()
     if size["ids"] <= broadcast_up_to and (size["bytes"] or 0) <= BROADCAST_BYTES:
         return details.join(F.broadcast(wanted), column, "left_semi")
-    return details.join(wanted.hint("merge"), column, "left_semi")
+    return maybe_wanted(details, wanted, size["ids"], column).join(wanted.hint("merge"), column, "left_semi")
+
+
+def maybe_wanted(details: DataFrame, wanted: DataFrame, ids: int, column: str = "video_id") -> DataFrame:
+    """Detail rows whose id may be among the wanted ones: all that are, and of the others
+    about one in BITS_PER_ID, or more once the bit map has its full size. The map is a
+    row of 4 kB per 32,768 hashes, of which there are MAX_BITMAPS at most."""
+    bitmaps = min(MAX_BITMAPS, max(1, -(-ids * BITS_PER_ID >> 15)))
+    place = F.pmod(F.xxhash64(F.col(column)), F.lit(bitmaps << 15))
+    bits = wanted.select(place.alias("_place")).groupBy(F.shiftright("_place", 15).alias("_map")).agg(
+        F.bitmap_construct_agg(F.col("_place").bitwiseAND(F.lit(32767))).alias("_bits")
+    )
+    within = F.col("_place").bitwiseAND(F.lit(32767))
+    byte = F.substring(F.col("_bits"), F.shiftright(within, 3).cast("int") + 1, F.lit(1))
+    there = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.col("_place").bitwiseAND(F.lit(7)).cast("int")) == 1
+    bits = F.broadcast(bits.withColumnRenamed("_map", "_of"))
+    placed = details.withColumn("_place", place)
+    # A semi join, as Spark would move the look-up's own one below any other.
+    test = (F.shiftright("_place", 15) == F.col("_of")) & there
+    return placed.join(bits, test, "left_semi").select(*details.columns)
 
 
 def id_batches(
