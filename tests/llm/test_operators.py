@@ -127,6 +127,14 @@ def test_one_document_of_each_class_stays(docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 7, 8, 9]
 
 
+def test_own_columns_of_any_name_stay(docs):
+    text = prose(random.Random(21), 60)
+    frame = docs([(1, text), (2, text), (3, "other")]).selectExpr("*", f"doc_id + 1 AS {neardup.TEXT_HASH}")
+    kept = neardup.without_copies(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r[neardup.TEXT_HASH]) for r in kept.collect()) == [(1, 2), (3, 4)]
+
+
 def test_one_document_of_each_class_stays_without_ids(docs):
     text = prose(random.Random(6), 80)
     near = mutated(random.Random(6), text, 1)
@@ -615,6 +623,23 @@ def test_quality_rejects_other_languages_and_letters(spark):
         assert got[i].kept == (kind == "own"), (kind, got[i])
 
 
+def test_frequent_words_and_blocks_of_languages(spark, monkeypatch):
+    """The words that lead in their pieces are the ones that lead; languages apart give
+    what they give together."""
+    dice = random.Random(20)
+    rows = [(i, prose(dice, dice.choice([0, 20, 90, 200])), dice.choice(["en", "de", None, ""])) for i in range(120)]
+    rows += [(500, None, "fr"), (501, "word " * 80, "xx")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    wanted = set()
+    for lang in {lang for _, _, lang in rows}:
+        counts = Counter(w for _, t, own in rows if own == lang for w in (t or "").lower().encode().split())
+        wanted |= {(lang, w, rank) for rank, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:7], 1)}
+    assert {(r.lang, bytes(r.word), r.rank) for r in quality._frequent(frame, 7).collect()} == wanted
+    whole, apart = (sorted(map(tuple, quality.quality(frame, languages_at_once=n).collect()), key=repr) for n in (1000, 1))
+    assert whole == apart and len(whole) == len(rows)
+    assert quality.quality(frame.limit(0)).count() == 0
+
+
 def test_distance():
     assert quality.distance(np.array([1.0, 0]), np.array([0, 2.0])) == 1
     assert quality.distance(np.array([1.0, 3]), np.array([2.0, 6])) == 0
