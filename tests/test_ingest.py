@@ -8,6 +8,7 @@ import time
 
 import pytest
 
+from vidlake.checks import queries
 from vidlake.operators.cleaning import clean_videos
 from vidlake.plans import jobs
 from vidlake.sources import writers
@@ -273,3 +274,28 @@ def test_versions_are_made_once(spark, tmp_path):
         with pytest.raises(Conflict):
             ledger.commit(none, version)
     assert ledger.version() == 2 and ledger.state().count() == 0
+
+
+def test_days_landed_again_in_files_of_any_number(spark, tmp_path, monkeypatch):
+    """No task writes all days, or a large day, alone; the second landing comes to fewer files."""
+    orders = spark.range(14_000).selectExpr(
+        "id as o_orderkey", "id % 50 as o_custkey", "'1-URGENT' as o_orderpriority",
+        "date '1995-01-01' + cast(id % 30 as int) as o_orderdate", "cast(id as double) as o_totalprice",
+    )
+    orders.repartition(8).write.parquet(str(tmp_path / "sf/orders.parquet"))
+    day, found = tmp_path / "run/bronze/date=2024-01-02", []
+
+    def watched(*args, **kwargs):
+        found.append(len(list(day.glob("*.json"))))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        return ingest(*args, **kwargs)
+
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark: str(tmp_path / "run"))
+    monkeypatch.setattr(queries, "ingest", watched)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        rows = queries.QUERIES["incremental_replaced_file"](spark, str(tmp_path / "sf")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert found[0] > found[1] >= 1
+    assert sorted((int(r.video_id), r.views) for r in rows) == [(n, n + (n % 7 == 1)) for n in range(14_000)]

@@ -402,23 +402,31 @@ def _incremental_late(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _incremental_replaced(spark: SparkSession, sf: str) -> DataFrame:
-    """A day landed again under the same file name replaces its rows."""
+    """A day landed again under the same file names replaces its rows."""
     root = scratch_dir(spark)
     landing, table_path = f"{root}/bronze", f"{root}/silver"
     rows = bronze(spark, sf)
+    hadoop = spark._jvm.org.apache.hadoop.fs
 
     def land(day: DataFrame) -> None:
-        writers.land_by_date(day.coalesce(1), f"{root}/next", "chart")
-        where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/next/chart")
-        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-        for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/next/chart/*/part-*")):
-            target = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{found.getPath().getParent().getName()}.json")
-            fs.mkdirs(target.getParent())
-            fs.delete(target, False)
-            fs.rename(found.getPath(), target)
+        """A day's files are named by their number. Should the day have come to fewer of
+        them, those left over go with it, as ever when a day is landed again."""
+        writers.land_by_date(day, f"{root}/next", "chart")
+        written = hadoop.Path(f"{root}/next/chart/*/part-*")
+        fs = written.getFileSystem(spark._jsc.hadoopConfiguration())
+        parts: dict[str, list[str]] = {}
+        for found in fs.globStatus(written):
+            path = found.getPath()
+            parts.setdefault(path.getParent().getName(), []).append(path.toString())
+        for name, paths in parts.items():
+            target = hadoop.Path(f"{landing}/{name}")
+            fs.delete(target, True)
+            fs.mkdirs(target)
+            for number, path in enumerate(sorted(paths)):
+                fs.rename(hadoop.Path(path), hadoop.Path(target, f"{number:05d}.json"))
 
     for changed in (rows, rows.filter(F.col("extraction_date") == "2024-01-02").withColumn("views", F.col("views") + 1)):
-        land(changed.hint("rebalance", "extraction_date"))
+        land(changed)
         ingest(spark, table_path, bronze_path=landing)
     return read_silver(spark, table_path)
 
