@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from vidlake.__main__ import run
+from vidlake.checks import queries
 from vidlake.operators.cleaning import clean_videos
 from vidlake.operators.mapping import silver_rows
 from vidlake.operators.quality import QualityError
@@ -259,3 +261,32 @@ def test_runs_are_kept_once(spark, tmp_path, videos, capsys):
     assert kept["three"] == ("gold", "failed", None, None, "g") and "none" in rows["three"].error
     last = next(r for i, r in rows.items() if i not in ("one", "two", "three"))
     assert last.outcome == "failed" and last.error and last.error != "1" and last.ended >= last.started
+
+
+def test_silver_is_published_from_compressed_landings(spark, tmp_path, monkeypatch):
+    """CSV from the tasks of the scan, in files of so many rows; all rows of both sources."""
+    lines = spark.range(4_000).selectExpr(
+        "id as l_orderkey", "id % 40 + 1 as l_partkey", "id % 9 as l_suppkey", "cast(id % 4 as int) as l_linenumber",
+        "cast(id % 50 as double) as l_quantity", "cast(20000 + id as double) as l_extendedprice",
+        "'A' as l_returnflag", "'F' as l_linestatus", "date '1995-01-01' + cast(id % 9 as int) as l_shipdate",
+    )
+    lines.repartition(2).write.parquet(str(tmp_path / "sf/lineitem.parquet"))
+    orders = spark.range(700).selectExpr(
+        "id + 4000 as o_orderkey", "id % 50 as o_custkey", "'1-URGENT' as o_orderpriority",
+        "date '1995-01-01' + cast(id % 9 as int) as o_orderdate", "cast(id as double) as o_totalprice",
+    )
+    orders.write.parquet(str(tmp_path / "sf/orders.parquet"))
+    made = []
+
+    def scratch(spark):
+        made.append(tmp_path / f"made-{uuid.uuid4().hex}")
+        return str(made[-1])
+
+    monkeypatch.setattr(queries, "scratch_dir", scratch)
+    monkeypatch.setattr(queries, "CSV_ROWS_PER_FILE", 500)
+    rows = queries.QUERIES["silver_publish"](spark, str(tmp_path / "sf")).select("video_id", "views").collect()
+    wanted = [(n, n) for n in range(4_000)] + [(n + 4_000, n) for n in range(700)]
+    assert sorted((int(r.video_id), r.views) for r in rows) == wanted
+    landed = [path for root in made for path in root.rglob("part-*") if "silver" not in path.parts]
+    assert all(path.name.endswith(".gz") for path in landed)
+    assert len([path for path in landed if path.parent.name == "csv"]) == 8

@@ -324,3 +324,19 @@ def test_split_csv_refuses_other_headers(spark, tmp_path):
     write(tmp_path / "b.csv", "views,video_id\n5,v1\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
         readers.read_split_csv(spark, str(tmp_path)).collect()
+
+
+def test_compressed_landings_read_the_same(spark, tmp_path):
+    rows = records(spark, *({"video_id": f"v{n}", "title": 'é "q"\n,'} for n in range(5)), {"extraction_date": "2024-02-02"})
+    writers.land_by_day(rows, str(tmp_path / "in"), compression="gzip")
+    writers.land_by_date(rows, str(tmp_path / "in"), "chart", compression="gzip")
+    writers.write_csv(rows.coalesce(1), str(tmp_path / "csv"), spread=False, compression="gzip", maxRecordsPerFile=1)
+    landed = readers.readable(readers.read_bronze(spark, str(tmp_path / "in")))
+    texts = readers.readable(readers.read_csv(spark, str(tmp_path / "csv")))
+    wanted = sorted(map(tuple, rows.select("video_id", "title", "extraction_date").collect()))
+    assert sorted(map(tuple, texts.select("video_id", "title", "extraction_date").collect())) == wanted
+    found = landed.select("video_id", "title", "extraction_date").collect()
+    assert sorted(map(tuple, found)) == sorted(2 * wanted)
+    names = [path.name for kind in ("in", "csv") for path in (tmp_path / kind).rglob("part-*")]
+    assert names and all(name.endswith(".gz") for name in names)
+    assert len(list((tmp_path / "csv").glob("part-*"))) == 6

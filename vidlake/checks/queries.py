@@ -29,6 +29,7 @@ from vidlake.streaming.ingest import Taken, ingest, read_silver
 
 # A keyword that only matches with the case of all letters ignored.
 MORE_KEYWORDS = ("éTRE",)
+CSV_ROWS_PER_FILE = 250_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,13 +228,13 @@ def _late(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("extraction_date") >= "2024-01-04")
 
 
-def _land_both(spark: SparkSession, sf: str) -> str:
+def _land_both(spark: SparkSession, sf: str, **options: object) -> str:
     """Every snapshot, the early days in one directory layout, the rest in the
     other."""
     path = scratch_dir(spark)
     rows = bronze(spark, sf)
-    writers.land_by_day(_early(rows), path)
-    writers.land_by_date(_late(rows), path, "chart")
+    writers.land_by_day(_early(rows), path, **options)
+    writers.land_by_date(_late(rows), path, "chart", **options)
     return path
 
 
@@ -310,13 +311,16 @@ def _run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _silver_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sources land compressed. The tasks of a scan are even, so the CSV is written
+    from them as they are; a file, which is a task later, holds so many rows."""
     root = scratch_dir(spark)
-    writers.write_csv(historical(spark, sf), f"{root}/csv")
+    small = {"compression": "gzip", "maxRecordsPerFile": CSV_ROWS_PER_FILE}
+    writers.write_csv(historical(spark, sf), f"{root}/csv", spread=False, **small)
     name = "silver_" + root.rsplit("-", 1)[1]
     jobs.bronze_to_silver(
         spark,
         f"{root}/silver",
-        bronze_path=_land_both(spark, sf),
+        bronze_path=_land_both(spark, sf, compression="gzip"),
         csv_path=f"{root}/csv",
         table=name,
     )

@@ -57,23 +57,27 @@ def watched(landed: DataFrame) -> tuple[DataFrame, Observation]:
     return landed.observe(observed, F.count_if(F.col(CORRUPT).isNotNull()).alias("broken")), observed
 
 
-def land_by_day(records: DataFrame, root: str, run_date: dt.date | None = None) -> Observation:
+def land_by_day(
+    records: DataFrame, root: str, run_date: dt.date | None = None, **options: object
+) -> Observation:
     """Snapshot as JSON lines under year=/month=/day= of the extraction date.
     Days in the input replace what the root holds for them; others stay. The day of
-    the run, if given, is replaced also when there is no record for it."""
+    the run, if given, is replaced also when there is no record for it. Options are
+    those of Spark's writer, as ``compression``; a compressed file is one task later,
+    and files are no larger than the advisory partition size makes them."""
     extracted = lenient_date(F.col("extraction_date"))
     rows = gathered(records.withColumns(path_parts(extracted)), *DATE_PARTS)
     day = run_date and f"year={run_date:%Y}/month={run_date:%m}/day={run_date:%d}"
-    return _land(rows, root, day, *DATE_PARTS)
+    return _land(rows, root, day, *DATE_PARTS, **options)
 
 
 def land_by_date(
-    records: DataFrame, root: str, feed: str, run_date: dt.date | None = None
+    records: DataFrame, root: str, feed: str, run_date: dt.date | None = None, **options: object
 ) -> Observation:
     """The same under <feed>/date=yyyy-MM-dd, with non-ASCII text escaped."""
     rows = gathered(records.withColumn("date", F.col("extraction_date")), "date")
     day = run_date and f"date={run_date:%Y-%m-%d}"
-    return _land(rows, f"{root}/{feed}", day, "date", writeNonAsciiCharacterAsCodePoint=True)
+    return _land(rows, f"{root}/{feed}", day, "date", writeNonAsciiCharacterAsCodePoint=True, **options)
 
 
 def _land(
@@ -107,12 +111,14 @@ def append_table(df: DataFrame, path: str, table: str | None = None) -> Observat
     return observed
 
 
-def write_csv(df: DataFrame, path: str) -> Observation:
+def write_csv(df: DataFrame, path: str, spread: bool = True, **options: object) -> Observation:
     """Rows as CSV files with a header, in the form the CSV readers take; the
-    files are about as large as the advisory partition size."""
-    rows, observed = counted(df.hint("rebalance"))
+    files are about as large as the advisory partition size. Rows of even tasks need
+    not be spread; their files are those of the tasks, for which Spark's writer has the
+    option ``maxRecordsPerFile``."""
+    rows, observed = counted(df.hint("rebalance") if spread else df)
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.options(header=True, quote='"', escape='"', **keep).csv(path)
+    rows.write.options(header=True, quote='"', escape='"', **keep, **options).csv(path)
     return observed
 
 
